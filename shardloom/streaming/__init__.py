@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference has no stream operators (no stream reads or writes, no
+watermarks, no windowed or stateful stream aggregation).  Its "streaming"
+means reading written shards back lazily, which ``shardloom.sources.shards``
+covers with plain batch reads.  No stream operator is invented here.
+"""
