@@ -60,10 +60,12 @@ def ranged_checkpoint(df: DataFrame, keys: Sequence[str | Column],
 
 
 def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "row_idx",
-                   groups: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
+                   groups: Sequence[str] = (), num_partitions: int | None = None,
+                   count_name: str | None = None) -> DataFrame:
     """Add ``name``: the 0-based position of each row in ``order`` (which must
     be a total order: append tie-breakers if the key is not unique), restarted
-    at 0 for every combination of ``groups``."""
+    at 0 for every combination of ``groups``.  With ``count_name``, also add
+    the number of rows (in the group, or in all)."""
     groups = _names(groups)
     ranged = ranged_checkpoint(df, [*groups, *order], num_partitions)
     local = (ranged.withColumn("_pid", F.shiftright(F.col("_mid"), 33))
@@ -71,14 +73,19 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "ro
     counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition: bounded by the partition count, so broadcast is safe
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"),
+                            F.sum("_n").over(Window.partitionBy()).alias("_all"))
     out = (local.join(F.broadcast(offsets), "_pid")
            .withColumn(name, F.col("_pos") + F.col("_off")))
     if groups:
-        starts = out.groupBy(*groups).agg(F.min(name).alias("_start"))
+        starts = out.groupBy(*groups).agg(F.min(name).alias("_start"), F.count(F.lit(1)).alias("_gn"))
         out = (out.join(starts, groups, "inner")
                .withColumn(name, F.col(name) - F.col("_start")))
-    return out.drop("_mid", "_pid", "_pos", "_off", "_start")
+        if count_name:
+            out = out.withColumn(count_name, F.col("_gn"))
+    elif count_name:
+        out = out.withColumn(count_name, F.col("_all"))
+    return out.drop("_mid", "_pid", "_pos", "_off", "_start", "_all", "_gn")
 
 
 def running_sum(df: DataFrame, order: Sequence[str | Column], values: dict[str, Column],

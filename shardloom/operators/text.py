@@ -82,11 +82,12 @@ def map_columns(df: DataFrame, exprs: dict[str, Column], remove: Sequence[str] =
     return out.drop(*remove)
 
 
-def describe_encoded(df: DataFrame, columns: Sequence[str], head: int = 5) -> DataFrame:
+def describe_encoded(df: DataFrame, columns: Sequence[str], head: int = 5,
+                     keys: Sequence[str] = ()) -> DataFrame:
     """T4: per row and column, the first ``head`` ids, the array length and
-    the element type, as a long frame ``(column, first_ids, length, dtype)``."""
+    the element type, as a long frame ``(*keys, column, first_ids, length, dtype)``."""
     types = dict(df.dtypes)
-    parts = [df.select(F.lit(c).alias("column"), F.slice(F.col(c), 1, head).alias("first_ids"),
+    parts = [df.select(*keys, F.lit(c).alias("column"), F.slice(F.col(c), 1, head).alias("first_ids"),
                        F.size(F.col(c)).alias("length"), F.lit(types[c]).alias("dtype"))
              for c in columns]
     out = parts[0]
@@ -105,9 +106,12 @@ def collate(df: DataFrame, batch_col: str, order_col: str, feature_cols: Sequenc
     agg = df.groupBy(batch_col).agg(
         F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("_o"),
                                              *[F.col(c) for c in carried]))).alias("_rows"))
+    def field(name):
+        return lambda r: r[name]
+
     sel = [F.col(batch_col)]
     for c in feature_cols:
-        sel.append(F.transform("_rows", lambda r, c=c: r[c]).alias(c))
+        sel.append(F.transform("_rows", field(c)).alias(c))
     if label_col:
         sel.append(F.transform("_rows", lambda r: r[label_col]).alias(rename_label or label_col))
     return agg.select(*sel)

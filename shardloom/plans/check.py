@@ -100,7 +100,8 @@ def main(argv=None):
         try:
             r = compare(spark, a.sf, n, con)
         except Exception as e:  # report and go on
-            r = {"name": n, "status": "ERROR", "error": repr(e)[:600]}
+            msg = getattr(e, "getMessage", None)
+            r = {"name": n, "status": "ERROR", "error": (msg() if callable(msg) else repr(e))[:1500]}
         bad += r["status"] in ("MISMATCH", "ERROR")
         print(r, flush=True)
     return 1 if bad else 0

@@ -11,7 +11,25 @@ VOCAB_SIZE = 1000
 SEQ_LEN = 32
 
 # DuckDB pieces shared by the oracle SQL below.
-_DUCK_TOKENS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+def duck_tokens(text: str = "text") -> str:
+    return rf"list_filter(regexp_split_to_array(lower({text}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
+
+
+_DUCK_TOKENS = duck_tokens("text")
+
+
+def duck_encoded(src: str, key: str, text: str, seq_len: int, name: str = "enc") -> str:
+    """CTEs ending in ``{name}(key, input_ids, n_real)``; needs ``vocab``."""
+    body = seq_len - 2
+    return f"""{name}_cut as (select {key} as k, ({duck_tokens(text)})[1:{body}] as toks from {src}),
+{name}_tok as (select k, unnest(toks) as token, generate_subscripts(toks, 1) as pos from {name}_cut),
+{name}_ids as (select t.k, list(coalesce(v.id, 1) order by t.pos) as ids
+               from {name}_tok t left join vocab v using (token) group by t.k),
+{name} as (select c.k as {key},
+             list_concat([2], coalesce(i.ids, cast([] as integer[])), [3],
+                         list_transform(range({body} - len(c.toks)), lambda x: 0)) as input_ids,
+             len(c.toks) + 2 as n_real
+           from {name}_cut c left join {name}_ids i on c.k = i.k)"""
 _DUCK_VOCAB = f"""
 vocab as (
   select token, cast(row_number() over (order by cnt desc, token) - 1 + 4 as integer) as id, cnt
@@ -67,16 +85,10 @@ def vocab_top_words(spark, sf):
 
 @register("encode_fixed_length", sql=f"""
 with {_DUCK_VOCAB},
-cut as (select doc_id, ({_DUCK_TOKENS})[1:{SEQ_LEN - 2}] as toks from documents),
-tok as (select doc_id, toks, unnest(toks) as token, generate_subscripts(toks, 1) as pos from cut),
-ids as (select t.doc_id, string_agg(cast(coalesce(v.id, 1) as varchar), ' ' order by t.pos) as body
-        from tok t left join vocab v using (token) group by t.doc_id)
-select c.doc_id,
-       concat_ws(' ', '2', nullif(i.body, ''), '3',
-                 nullif(array_to_string(list_transform(range({SEQ_LEN - 2} - len(c.toks)), lambda x: '0'), ' '), '')) as input_ids,
-       cast(len(c.toks) + 2 as integer) as mask_sum,
-       cast({SEQ_LEN} as integer) as length
-from cut c left join ids i using (doc_id)
+{duck_encoded("documents", "doc_id", "text", SEQ_LEN)}
+select doc_id, array_to_string(input_ids, ' ') as input_ids, cast(n_real as integer) as mask_sum,
+       cast(len(input_ids) as integer) as length
+from enc
 """)
 def encode_fixed_length(spark, sf):
     """Every document encoded to a fixed length; ids as text for comparison."""
