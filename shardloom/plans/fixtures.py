@@ -132,6 +132,16 @@ DUCK = {
     cast((image_id * 7919 + bbox_id * 104729) % 1000003 as double) / 1000003 as score
   from fx_objects where (image_id * 3 + bbox_id) % 9 <> 0)""",
     "fx_urls": """fx_urls as (select page_id, url from pages)""",
+    "fx_det": """fx_det_q as (
+  select vec_id as image_id, q,
+    list_transform(embedding[q * 6 + 1: q * 6 + 6], lambda v: cast(v as double)) as lg,
+    list_transform(embedding[q * 4 + 25: q * 4 + 28], lambda v: 1.0 / (1.0 + exp(-cast(v as double)))) as bx,
+    cast(320 + vec_id % 5 * 80 as int) as width, cast(240 + vec_id % 4 * 80 as int) as height
+  from embeddings, (select unnest(range(0, 4)) as q) qs),
+fx_det as (
+  select image_id, q as query, width, height, bx,
+    list_transform(lg[1:5], lambda v: exp(v - list_max(lg)) / list_sum(list_transform(lg, lambda u: exp(u - list_max(lg))))) as p
+  from fx_det_q)""",
     "fx_attempts": """fx_attempts as (
   select p.page_id, a.attempt,
     case when p.page_id % 50 = 7 then 4 when (p.page_id + a.attempt) % 3 = 0 and a.attempt < 3 then 8 else 0 end as status
@@ -153,3 +163,36 @@ def duck_with(*names: str) -> str:
     for n in names:
         add(n)
     return "with " + ",\n".join(DUCK[n] for n in order)
+
+
+def objects_nested(spark, sf):
+    """The reference's nested form: per image a struct of parallel arrays
+    ordered by ``bbox_id``; for images with ``image_id % 10 = 0`` the
+    ``area`` list is one shorter (zip must stop at the shortest list)."""
+    o = objects(spark, sf)
+    g = o.groupBy("image_id", "width", "height").agg(
+        F.array_sort(F.collect_list(F.struct(
+            "bbox_id", "category", F.array("x", "y", "w", "h").alias("bbox"),
+            (F.col("w") * F.col("h")).alias("area")))).alias("_o"))
+    area = F.transform("_o", lambda r: r["area"])
+    area = F.when(F.col("image_id") % 10 == 0, F.slice(area, 1, F.size("_o") - 1)).otherwise(area)
+    return g.select("image_id", "width", "height", F.struct(
+        F.transform("_o", lambda r: r["bbox_id"]).alias("bbox_id"),
+        F.transform("_o", lambda r: r["category"]).alias("category"),
+        F.transform("_o", lambda r: r["bbox"]).alias("bbox"),
+        area.alias("area")).alias("objects"))
+
+
+def detector_outputs(spark, sf):
+    """Raw detector outputs derived from ``embeddings``: per row four queries
+    of six logits (five classes and "no object") and four normalised
+    centre boxes (sigmoid of the next sixteen values)."""
+    e = table(spark, sf, "embeddings")
+    q = F.sequence(F.lit(0), F.lit(3))
+    lg = F.transform(q, lambda i: F.slice("embedding", i * 6 + 1, 6))
+    bx = F.transform(q, lambda i: F.transform(F.slice("embedding", i * 4 + 25, 4),
+                                              lambda v: F.lit(1.0) / (F.lit(1.0) + F.exp(-v.cast("double")))))
+    k = F.col("vec_id")
+    return e.select(k.alias("image_id"), lg.alias("logits"), bx.alias("pred_boxes"),
+                    (F.lit(320) + k % 5 * 80).cast("int").alias("width"),
+                    (F.lit(240) + k % 4 * 80).cast("int").alias("height"))
