@@ -39,10 +39,9 @@ def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.drop(*names)
 
 
-def conform(df: DataFrame, dtype_map: dict[str, str]) -> DataFrame:
-    """Select the declared columns in declared order, cast to the declared
-    sample dtype (``ndarray`` without a dtype keeps the element type).  Under
-    ANSI mode an out-of-range value raises instead of wrapping."""
+def conform_columns(dtype_map: dict[str, str]) -> list[Column]:
+    """The declared columns in declared order, cast to the declared sample
+    dtype (``ndarray`` without a dtype keeps the element type)."""
     cols = []
     for name, dt in dtype_map.items():
         if dt == "ndarray":
@@ -51,7 +50,13 @@ def conform(df: DataFrame, dtype_map: dict[str, str]) -> DataFrame:
             cols.append(F.col(name).cast(DTYPES[dt]).alias(name))
         else:
             raise ValueError(f"unknown dtype {dt!r} for {name}")
-    return df.select(*cols)
+    return cols
+
+
+def conform(df: DataFrame, dtype_map: dict[str, str]) -> DataFrame:
+    """Conform a frame to a declared dtype map.  Under ANSI mode an
+    out-of-range value raises instead of wrapping."""
+    return df.select(*conform_columns(dtype_map))
 
 
 def take_n(df: DataFrame, n: int, order_by: Sequence[str | Column]) -> DataFrame:
