@@ -33,6 +33,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
 from .index import running_sum
 
 # Fixed values of the public COCO evaluation protocol.
@@ -62,10 +63,11 @@ def cap_detections(pred: DataFrame, max_dets: int = 100) -> DataFrame:
     return pred.withColumn("det_rank", F.row_number().over(w)).filter(F.col("det_rank") <= max_dets)
 
 
-def iou_pairs(pred: DataFrame, truth: DataFrame, min_iou: float = 0.5, max_dets: int = 100) -> DataFrame:
+def iou_pairs(pred: DataFrame, truth: DataFrame, min_iou: float = 0.5, max_dets: int = 100,
+              capped: bool = False) -> DataFrame:
     """Capped detections and truths of the same image and class with IoU
-    at or above ``min_iou``."""
-    p = cap_detections(pred, max_dets).select(
+    at or above ``min_iou`` (``capped``: ``pred`` already has ``det_rank``)."""
+    p = (pred if capped else cap_detections(pred, max_dets)).select(
         "image_id", "label", "det_id", "det_rank", "score",
         *[F.col(k).alias(f"p_{k}") for k in ("x1", "y1", "x2", "y2")])
     t = truth.select("image_id", "label", "gt_id",
@@ -130,12 +132,13 @@ def match_greedy(pairs: DataFrame, thresholds_pct: Sequence[int] = IOU_THRESHOLD
 
 
 def det_flags(pred: DataFrame, matches: DataFrame, thresholds_pct: Sequence[int] = IOU_THRESHOLDS_PCT,
-              ranges: dict[str, tuple[float, float]] | None = None, max_dets: int = 100) -> DataFrame:
+              ranges: dict[str, tuple[float, float]] | None = None, max_dets: int = 100,
+              capped: bool = False) -> DataFrame:
     """Every capped detection per threshold and range with ``tp`` 0/1; dets
     that are ignored (matched to an ignored truth, or unmatched and outside
     the area range) are removed."""
     ranges = ranges or {"all": AREA_RANGES["all"]}
-    d = cap_detections(pred, max_dets)
+    d = pred if capped else cap_detections(pred, max_dets)
     d_area = (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))
     d = (d.select("image_id", "label", "det_id", "det_rank", "score", d_area.alias("_area"))
          .withColumn("thr", F.explode(_thresholds(thresholds_pct)))
@@ -190,9 +193,13 @@ def evaluate(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[int] =
     max_dets, recall)."""
     ranges = ranges or AREA_RANGES
     top = max(max_dets)
-    pairs = iou_pairs(pred, truth, min(thresholds_pct) / 100.0, top)
+    checkpoint_dir(pred.sparkSession)
+    capped = cap_detections(pred, top).select("image_id", "label", "det_id", "det_rank", "score",
+                                              "x1", "y1", "x2", "y2")
+    pairs = iou_pairs(capped, truth, min(thresholds_pct) / 100.0, top, capped=True)
     matches = match_greedy(pairs, thresholds_pct, ranges, top)
-    flags = det_flags(pred, matches, thresholds_pct, ranges, top)
+    # flags feed both AP and recall: cut the lineage once (shared checkpoint folder)
+    flags = det_flags(capped, matches, thresholds_pct, ranges, top, capped=True).checkpoint(eager=True)
     npos = truth_counts(truth, ranges)
     ap = average_precision(flags, npos, thresholds_pct, num_partitions)
     # recall per max_dets: true positives among the first m detections per image and class
@@ -208,36 +215,33 @@ def evaluate(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[int] =
     return {"pairs": pairs, "matches": matches, "flags": flags, "npos": npos, "ap": ap, "recall": recall}
 
 
+_AP_METRICS = [
+    ("map", "rng = 'all'"), ("map_50", "rng = 'all' AND thr = 0.5"), ("map_75", "rng = 'all' AND thr = 0.75"),
+    ("map_small", "rng = 'small'"), ("map_medium", "rng = 'medium'"), ("map_large", "rng = 'large'"),
+]
+_AR_METRICS = [
+    ("mar_1", "rng = 'all' AND max_dets = 1"), ("mar_10", "rng = 'all' AND max_dets = 10"),
+    ("mar_100", "rng = 'all' AND max_dets = 100"), ("mar_small", "rng = 'small' AND max_dets = 100"),
+    ("mar_medium", "rng = 'medium' AND max_dets = 100"), ("mar_large", "rng = 'large' AND max_dets = 100"),
+]
+
+
+def _stack(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    pairs = ", ".join(f"'{n}', `{n}`" for n in names)
+    return df.selectExpr(f"stack({len(names)}, {pairs}) as (metric, value)")
+
+
 def map_summary(ap: DataFrame, recall: DataFrame) -> DataFrame:
     """The summary metrics as a long frame ``(metric, value)``:
     map, map_50, map_75, map_small/medium/large, mar_1/10/100,
-    mar_small/medium/large.  A metric with no class holding truths is -1."""
-    def mean_ap(name, cond):
-        return ap.filter(cond).agg(F.avg("ap").alias("v")).select(F.lit(name).alias("metric"), "v")
-
-    def mean_ar(name, cond):
-        per = recall.filter(cond).groupBy("label").agg(F.avg("recall").alias("r"))
-        return per.agg(F.avg("r").alias("v")).select(F.lit(name).alias("metric"), "v")
-
-    c = F.col
-    parts = [
-        mean_ap("map", c("rng") == "all"),
-        mean_ap("map_50", (c("rng") == "all") & (c("thr") == 0.5)),
-        mean_ap("map_75", (c("rng") == "all") & (c("thr") == 0.75)),
-        mean_ap("map_small", c("rng") == "small"),
-        mean_ap("map_medium", c("rng") == "medium"),
-        mean_ap("map_large", c("rng") == "large"),
-        mean_ar("mar_1", (c("rng") == "all") & (c("max_dets") == 1)),
-        mean_ar("mar_10", (c("rng") == "all") & (c("max_dets") == 10)),
-        mean_ar("mar_100", (c("rng") == "all") & (c("max_dets") == 100)),
-        mean_ar("mar_small", (c("rng") == "small") & (c("max_dets") == 100)),
-        mean_ar("mar_medium", (c("rng") == "medium") & (c("max_dets") == 100)),
-        mean_ar("mar_large", (c("rng") == "large") & (c("max_dets") == 100)),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("metric", F.coalesce(c("v"), F.lit(-1.0)).alias("value"))
+    mar_small/medium/large.  A metric with no class holding truths is -1.
+    Each side is one aggregation with conditional means, then unpivoted."""
+    a = ap.agg(*[F.avg(F.when(F.expr(c), F.col("ap"))).alias(n) for n, c in _AP_METRICS])
+    per = recall.groupBy("label").agg(*[F.avg(F.when(F.expr(c), F.col("recall"))).alias(n)
+                                        for n, c in _AR_METRICS])
+    r = per.agg(*[F.avg(n).alias(n) for n, _ in _AR_METRICS])
+    out = _stack(a, [n for n, _ in _AP_METRICS]).unionByName(_stack(r, [n for n, _ in _AR_METRICS]))
+    return out.select("metric", F.coalesce(F.col("value"), F.lit(-1.0)).alias("value"))
 
 
 def metrics_table(ap: DataFrame, recall: DataFrame, classes: DataFrame | None = None,
