@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,8 +155,6 @@ def row_function(pyfunc: Callable[[str, int], int]) -> StatusFn:
     """Wrap a per-row Python function ``f(value, attempt) -> int`` (a
     download, a copy) as an Arrow-batched, non-deterministic column
     function for ``run_round``."""
-    import pandas as pd
-
     @F.pandas_udf("int")
     def _apply(values: pd.Series, attempt: pd.Series) -> pd.Series:
         return pd.Series([int(pyfunc(v, int(a))) for v, a in zip(values, attempt)], dtype="int32")
