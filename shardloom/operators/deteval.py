@@ -20,9 +20,10 @@ Plan shape, and why it holds at scale:
   be taken before it, so its best free truth is always among them (exact);
 * matching is a fold (``aggregate``) over one (image, class, threshold,
   range) group of at most 100 x 100 pairs;
-* precision/recall need running counts in score order per (class,
-  threshold, range): ``running_sum`` cuts that order into ranges instead of
-  a window over the whole class;
+* precision/recall need ranks in score order per (class, threshold,
+  range): one range cut of the detection flags gives every true positive
+  its rank among detections and among true positives without a window
+  over the whole class;
 * the 101-point envelope works on at most 101 buckets per class and threshold.
 """
 
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .index import running_sum
+from .index import subset_positions
 
 # Fixed values of the public COCO evaluation protocol.
 IOU_THRESHOLDS_PCT = [50, 55, 60, 65, 70, 75, 80, 85, 90, 95]
@@ -91,65 +92,127 @@ def _outside(area: Column, lo: Column, hi: Column) -> Column:
     return (area < lo) | (area > hi)
 
 
-def match_greedy(pairs: DataFrame, thresholds_pct: Sequence[int] = IOU_THRESHOLDS_PCT,
-                 ranges: dict[str, tuple[float, float]] | None = None, max_dets: int = 100) -> DataFrame:
-    """Greedy matching per (image, class, threshold, area range).
+def _mask(area: Column, ranges: dict[str, tuple[float, float]]) -> Column:
+    """Bit r set when the area lies outside range r (ignored there)."""
+    m = F.lit(0)
+    for r, (lo, hi) in enumerate(ranges.values()):
+        m = m + F.when(_outside(area, F.lit(lo), F.lit(hi)), F.lit(1 << r)).otherwise(F.lit(0))
+    return m
 
-    Detections in rank order; each takes its best free truth at or above
-    the threshold, truths outside the area range last.  Each detection keeps
-    its first ``max_dets`` candidates in that preference order: at most
-    ``max_dets - 1`` truths are taken before it, so its choice is always
-    among them (exact).  Returns one row per match
-    ``(image_id, label, thr, rng, det_id, gt_id, gt_ignored)``."""
-    ranges = ranges or {"all": AREA_RANGES["all"]}
-    t_area = (F.col("t_x2") - F.col("t_x1")) * (F.col("t_y2") - F.col("t_y1"))
-    x = (pairs.withColumn("thr", F.explode(F.filter(_thresholds(thresholds_pct),
-                                                    lambda t: F.col("iou") >= t)))
-         .withColumn("_r", F.explode(_range_table(ranges)))
-         .withColumn("rng", F.col("_r.rng"))
-         .withColumn("gt_ign", _outside(t_area, F.col("_r.lo"), F.col("_r.hi")).cast("int")))
-    wc = Window.partitionBy("image_id", "label", "thr", "rng", "det_id").orderBy(
-        F.asc("gt_ign"), F.desc("iou"), F.asc("gt_id"))
-    x = x.withColumn("_c", F.row_number().over(wc)).filter(F.col("_c") <= max_dets)
-    item = F.struct(F.col("det_rank").alias("a"), F.col("gt_ign").alias("b"), (-F.col("iou")).alias("c"),
-                    F.col("gt_id").alias("d"), F.col("det_id").alias("e"))
-    groups = x.groupBy("image_id", "label", "thr", "rng").agg(F.array_sort(F.collect_list(item)).alias("_ps"))
-    init = F.struct(F.array().cast("array<bigint>").alias("taken"),
-                    F.array().cast("array<bigint>").alias("dets"),
-                    F.array().cast("array<struct<det_id:bigint,gt_id:bigint,gt_ignored:int>>").alias("m"))
 
-    def step(acc, p):
-        free = ~F.array_contains(acc["dets"], p["e"]) & ~F.array_contains(acc["taken"], p["d"])
-        return F.when(free, F.struct(
-            F.array_append(acc["taken"], p["d"]).alias("taken"),
-            F.array_append(acc["dets"], p["e"]).alias("dets"),
-            F.array_append(acc["m"], F.struct(p["e"].alias("det_id"), p["d"].alias("gt_id"),
-                                              p["b"].alias("gt_ignored"))).alias("m"))).otherwise(acc)
+def _bit(mask: Column, bit: Column) -> Column:
+    """1 when ``mask`` has the bit ``bit`` (a power of two) set, else 0."""
+    return F.when(mask.bitwiseAND(bit) != 0, F.lit(1)).otherwise(F.lit(0))
 
-    matched = groups.select("image_id", "label", "thr", "rng",
-                            F.explode(F.aggregate("_ps", init, step, lambda acc: acc["m"])).alias("_m"))
-    return matched.select("image_id", "label", "thr", "rng", "_m.det_id", "_m.gt_id", "_m.gt_ignored")
 
+_MATCH_TYPE = "array<struct<det_id:bigint,gt_id:bigint,gt_ignored:int>>"
 
-def det_flags(pred: DataFrame, matches: DataFrame, thresholds_pct: Sequence[int] = IOU_THRESHOLDS_PCT,
-              ranges: dict[str, tuple[float, float]] | None = None, max_dets: int = 100,
-              capped: bool = False) -> DataFrame:
-    """Every capped detection per threshold and range with ``tp`` 0/1; dets
-    that are ignored (matched to an ignored truth, or unmatched and outside
-    the area range) are removed."""
+
+def match_by_image(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[int] = IOU_THRESHOLDS_PCT,
+                   ranges: dict[str, tuple[float, float]] | None = None, max_dets: int = 100,
+                   capped: bool = False) -> DataFrame:
+    """E2 core: greedy matching for every (threshold, area range) inside one
+    row per (image, class).
+
+    Detections in rank order; each takes its best free truth at or above
+    the threshold, truths outside the area range last, then IoU desc, then
+    ``gt_id``.  Each detection keeps its first ``max_dets`` candidates per
+    ignore pattern of the truths (``g_mask``: which ranges ignore them): at
+    most ``max_dets - 1`` truths are taken before it, so its choice is always
+    among them, for every threshold and range (exact).
+
+    Plan: detections are ranked per (image, class) and truths joined on
+    (image, class); the candidate window, the grouping and the join of
+    detections with their pairs all reuse that hash partitioning, so pairs
+    are shuffled once and never multiplied by thresholds or ranges.  Each
+    row holds at most ``max_dets`` detections and their capped candidates.
+
+    Returns one row per (image, class, threshold, range) with ``ds`` (the
+    detections) and ``res``: the matches ``m`` (det_id, gt_id, gt_ignored)
+    in detection order, the matched detection ids ``dets`` and those matched
+    to an ignored truth ``ign``."""
     ranges = ranges or {"all": AREA_RANGES["all"]}
     d = pred if capped else cap_detections(pred, max_dets)
     d_area = (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))
-    d = (d.select("image_id", "label", "det_id", "det_rank", "score", d_area.alias("_area"))
-         .withColumn("thr", F.explode(_thresholds(thresholds_pct)))
-         .withColumn("_r", F.explode(_range_table(ranges)))
-         .withColumn("rng", F.col("_r.rng"))
-         .withColumn("_out", _outside(F.col("_area"), F.col("_r.lo"), F.col("_r.hi"))))
-    j = d.join(matches, ["image_id", "label", "thr", "rng", "det_id"], "left")
-    ignored = (F.col("gt_ignored") == 1) | (F.col("gt_id").isNull() & F.col("_out"))
-    return (j.filter(~F.coalesce(ignored, F.lit(False)))
-            .select("image_id", "label", "det_id", "det_rank", "score", "thr", "rng",
-                    F.col("gt_id").isNotNull().cast("int").alias("tp")))
+    d = d.select("image_id", "label", "det_id", "det_rank", "score", "x1", "y1", "x2", "y2",
+                 _mask(d_area, ranges).alias("d_mask"))
+    t_area = (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))
+    t = truth.select("image_id", "label", "gt_id", *[F.col(k).alias(f"t_{k}") for k in ("x1", "y1", "x2", "y2")],
+                     _mask(t_area, ranges).alias("g_mask"))
+    p = d.select("image_id", "label", "det_id", "det_rank",
+                 *[F.col(k).alias(f"p_{k}") for k in ("x1", "y1", "x2", "y2")])
+    pairs = (p.join(t, ["image_id", "label"]).withColumn("iou", iou())
+             .filter(F.col("iou") >= F.lit(min(thresholds_pct) / 100.0)))
+    wc = Window.partitionBy("image_id", "label", "det_id", "g_mask").orderBy(F.desc("iou"), F.asc("gt_id"))
+    pairs = pairs.withColumn("_c", F.row_number().over(wc)).filter(F.col("_c") <= max_dets)
+    # detections and their pairs meet in one row per (image, class): a union
+    # of the two kinds of rows, collected side by side (nulls are skipped)
+    det_item = F.struct("det_rank", "det_id", "score", "d_mask")
+    pair_item = F.struct("det_rank", "det_id", "gt_id", "iou", "g_mask")
+    rows = (d.select("image_id", "label", det_item.alias("dd"), F.lit(None).cast(
+                pairs.select(pair_item).schema[0].dataType).alias("pp"))
+            .unionByName(pairs.select("image_id", "label", F.lit(None).cast(
+                d.select(det_item).schema[0].dataType).alias("dd"), pair_item.alias("pp"))))
+    g = rows.groupBy("image_id", "label").agg(F.array_sort(F.collect_list("dd")).alias("ds"),
+                                              F.collect_list("pp").alias("ps"),
+                                              F.max("pp.iou").alias("max_iou"))
+    combos = F.array(*[F.struct(F.lit(float(pct)) / F.lit(100.0), F.lit(1 << r), F.lit(name))
+                       .cast("struct<thr:double,bit:int,rng:string>")
+                       for pct in thresholds_pct for r, name in enumerate(ranges)])
+    # one row per (image, class, threshold, range); still partitioned by (image, class)
+    x = g.select("image_id", "label", "ds", "ps", "max_iou", F.explode(combos).alias("c"))
+    items = F.array_sort(F.transform(F.filter("ps", lambda q: q["iou"] >= F.col("c.thr")), lambda q: F.struct(
+        q["det_rank"].alias("a"), _bit(q["g_mask"], F.col("c.bit")).alias("b"), (-q["iou"]).alias("c"),
+        q["gt_id"].alias("d"), q["det_id"].alias("e"))))
+    init = F.struct(F.array().cast("array<bigint>").alias("taken"),
+                    F.array().cast("array<bigint>").alias("dets"),
+                    F.array().cast("array<bigint>").alias("ign"),
+                    F.array().cast(_MATCH_TYPE).alias("m"))
+
+    def step(acc, q):
+        free = ~F.array_contains(acc["dets"], q["e"]) & ~F.array_contains(acc["taken"], q["d"])
+        return F.when(free, F.struct(
+            F.array_append(acc["taken"], q["d"]).alias("taken"),
+            F.array_append(acc["dets"], q["e"]).alias("dets"),
+            F.when(q["b"] == 1, F.array_append(acc["ign"], q["e"])).otherwise(acc["ign"]).alias("ign"),
+            F.array_append(acc["m"], F.struct(q["e"].alias("det_id"), q["d"].alias("gt_id"),
+                                              q["b"].alias("gt_ignored"))).alias("m"))).otherwise(acc)
+
+    # no candidate at this threshold: nothing to fold
+    res = F.when(F.coalesce(F.col("max_iou"), F.lit(-1.0)) < F.col("c.thr"), init).otherwise(
+        F.aggregate(items, init, step))
+    return x.select("image_id", "label", F.col("c.thr").alias("thr"), F.col("c.rng").alias("rng"),
+                    F.col("c.bit").alias("bit"), "ds", res.alias("res"))
+
+
+def matches_of(grouped: DataFrame) -> DataFrame:
+    """One row per match ``(image_id, label, thr, rng, det_id, gt_id, gt_ignored)``."""
+    x = grouped.select("image_id", "label", "thr", "rng", F.explode("res.m").alias("mm"))
+    return x.select("image_id", "label", "thr", "rng", "mm.det_id", "mm.gt_id", "mm.gt_ignored")
+
+
+def flags_of(grouped: DataFrame) -> DataFrame:
+    """Every capped detection per threshold and range with ``tp`` 0/1,
+    computed in its (image, class, threshold, range) row; ignored detections
+    (matched to an ignored truth, or unmatched and outside the area range)
+    are left out."""
+    def ignored(dd):
+        matched = F.array_contains(F.col("res.dets"), dd["det_id"])
+        return F.array_contains(F.col("res.ign"), dd["det_id"]) | (
+            ~matched & (_bit(dd["d_mask"], F.col("bit")) == 1))
+
+    kept = F.filter("ds", lambda dd: ~ignored(dd))
+    f = F.transform(kept, lambda dd: F.struct(
+        dd["det_id"].alias("det_id"), dd["det_rank"].alias("det_rank"), dd["score"].alias("score"),
+        F.array_contains(F.col("res.dets"), dd["det_id"]).cast("int").alias("tp")))
+    x = grouped.select("image_id", "label", "thr", "rng", F.explode(f).alias("ff"))
+    return x.select("image_id", "label", "ff.det_id", "ff.det_rank", "ff.score", "thr", "rng", "ff.tp")
+
+
+def match_greedy(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[int] = IOU_THRESHOLDS_PCT,
+                 ranges: dict[str, tuple[float, float]] | None = None, max_dets: int = 100) -> DataFrame:
+    """Greedy matches per (image, class, threshold, area range)."""
+    return matches_of(match_by_image(pred, truth, thresholds_pct, ranges, max_dets))
 
 
 def truth_counts(truth: DataFrame, ranges: dict[str, tuple[float, float]] | None = None) -> DataFrame:
@@ -161,19 +224,12 @@ def truth_counts(truth: DataFrame, ranges: dict[str, tuple[float, float]] | None
             .groupBy("label", F.col("_r.rng").alias("rng")).agg(F.count(F.lit(1)).alias("npos")))
 
 
-def average_precision(flags: DataFrame, npos: DataFrame, thresholds_pct: Sequence[int] = IOU_THRESHOLDS_PCT,
-                      num_partitions: int | None = None) -> DataFrame:
-    """101-point interpolated AP per (class, threshold, range) with
-    ``npos > 0``.  For the i-th true positive at overall position k the
-    precision is i/k and it covers every recall point j with
-    ``i * 100 >= j * npos``; the interpolated precision at j is the largest
-    such value over points at or beyond j (0 if none)."""
-    runs = running_sum(flags, [F.desc("score"), F.asc("image_id"), F.asc("det_id")],
-                       {"k": F.lit(1).cast("bigint"), "i": F.col("tp").cast("bigint")},
-                       groups=["label", "thr", "rng"], num_partitions=num_partitions)
-    tps = runs.filter(F.col("tp") == 1).join(npos, ["label", "rng"])
-    buckets = (tps.select("label", "thr", "rng", F.expr("least((i * 100) div npos, 100)").alias("j"),
-                          (F.col("i") / F.col("k")).alias("prec"))
+def _ap_from_positions(tps: DataFrame, npos: DataFrame, thresholds_pct: Sequence[int]) -> DataFrame:
+    """101-point AP from the true positives with their 1-based ranks ``i``
+    (among true positives) and ``k`` (among all counted detections)."""
+    t = tps.join(npos, ["label", "rng"])
+    buckets = (t.select("label", "thr", "rng", F.expr("least((i * 100) div npos, 100)").alias("j"),
+                        (F.col("i") / F.col("k")).alias("prec"))
                .groupBy("label", "thr", "rng", "j").agg(F.max("prec").alias("prec")))
     grid = (npos.filter(F.col("npos") > 0)
             .withColumn("thr", F.explode(_thresholds(thresholds_pct)))
@@ -185,6 +241,23 @@ def average_precision(flags: DataFrame, npos: DataFrame, thresholds_pct: Sequenc
     return g.groupBy("label", "thr", "rng").agg((F.sum("q") / F.lit(float(RECALL_POINTS))).alias("ap"))
 
 
+def _score_order() -> list[Column]:
+    return [F.desc("score"), F.asc("image_id"), F.asc("det_id")]
+
+
+def average_precision(flags: DataFrame, npos: DataFrame, thresholds_pct: Sequence[int] = IOU_THRESHOLDS_PCT,
+                      num_partitions: int | None = None) -> DataFrame:
+    """101-point interpolated AP per (class, threshold, range) with
+    ``npos > 0``.  For the i-th true positive at overall position k the
+    precision is i/k and it covers every recall point j with
+    ``i * 100 >= j * npos``; the interpolated precision at j is the largest
+    such value over points at or beyond j (0 if none).  Only true positives
+    need ranks, and both ranks come from one range cut of the flags."""
+    pos, _ = subset_positions(flags, _score_order(), ["label", "thr", "rng"], F.col("tp") == 1, num_partitions)
+    tps = pos.select("label", "thr", "rng", (F.col("pos_sub") + 1).alias("i"), (F.col("pos_all") + 1).alias("k"))
+    return _ap_from_positions(tps, npos, thresholds_pct)
+
+
 def evaluate(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[int] = IOU_THRESHOLDS_PCT,
              ranges: dict[str, tuple[float, float]] | None = None, max_dets: Sequence[int] = MAX_DETS,
              num_partitions: int | None = None) -> dict[str, DataFrame]:
@@ -194,14 +267,22 @@ def evaluate(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[int] =
     ranges = ranges or AREA_RANGES
     top = max(max_dets)
     checkpoint_dir(pred.sparkSession)
+    # the capped detections feed both the pairs and the flags; inside one plan
+    # their shuffle is computed once and reused
     capped = cap_detections(pred, top).select("image_id", "label", "det_id", "det_rank", "score",
                                               "x1", "y1", "x2", "y2")
     pairs = iou_pairs(capped, truth, min(thresholds_pct) / 100.0, top, capped=True)
-    matches = match_greedy(pairs, thresholds_pct, ranges, top)
-    # flags feed both AP and recall: cut the lineage once (shared checkpoint folder)
-    flags = det_flags(capped, matches, thresholds_pct, ranges, top, capped=True).checkpoint(eager=True)
+    grouped = match_by_image(capped, truth, thresholds_pct, ranges, top, capped=True)
+    matches = matches_of(grouped)
+    flags = flags_of(grouped)
     npos = truth_counts(truth, ranges)
-    ap = average_precision(flags, npos, thresholds_pct, num_partitions)
+    # one range cut of the flags: ranks for AP, and reused as is for recall.  The
+    # flags come out of the per-image folds, which the range cut's sampling pass
+    # would otherwise run a second time: materialise them first.
+    pos, flags = subset_positions(flags, _score_order(), ["label", "thr", "rng"], F.col("tp") == 1,
+                                  num_partitions, materialize=True)
+    tps = pos.select("label", "thr", "rng", (F.col("pos_sub") + 1).alias("i"), (F.col("pos_all") + 1).alias("k"))
+    ap = _ap_from_positions(tps, npos, thresholds_pct)
     # recall per max_dets: true positives among the first m detections per image and class
     md = F.array(*[F.lit(m) for m in max_dets])
     f = flags.withColumn("max_dets", F.explode(md)).filter(F.col("det_rank") <= F.col("max_dets"))

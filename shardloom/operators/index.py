@@ -48,10 +48,16 @@ def _names(cols: Sequence[str]) -> list[str]:
 
 
 def ranged_checkpoint(df: DataFrame, keys: Sequence[str | Column],
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, materialize: bool = False) -> DataFrame:
     """Range-partition and sort ``df`` by ``keys``, tag each row with
-    ``_mid`` (monotonic id) and cut lineage with a reliable checkpoint."""
+    ``_mid`` (monotonic id) and cut lineage with a reliable checkpoint.
+
+    The range cut samples its input in a job of its own before the shuffle
+    reads it again; ``materialize`` checkpoints an expensive input first so
+    it is computed once."""
     checkpoint_dir(df.sparkSession)
+    if materialize:
+        df = df.checkpoint(eager=True)
     k = _cols(keys)
     ranged = (df.repartitionByRange(_parts(df, num_partitions), *k)
               .sortWithinPartitions(*k)
@@ -122,3 +128,43 @@ def running_sum(df: DataFrame, order: Sequence[str | Column], values: dict[str,
         out = out.withColumn(n, F.col(f"_l_{n}") + F.coalesce(F.col(f"_c_{n}"), F.lit(0)))
     drop = ["_mid", "_pid"] + [f"_{p}_{n}" for n in values for p in ("v", "l", "c")]
     return out.drop(*drop)
+
+
+def _offsets(frame: DataFrame, id_col: str, groups: Sequence[str], tag: str) -> DataFrame:
+    """Per (partition, group): the number to add to a row's position in its
+    partition to get its position in the group (rows of the group in
+    earlier partitions, minus the group's first position here)."""
+    pid = F.shiftright(F.col(id_col), 33)
+    pos = F.col(id_col).bitwiseAND(F.lit(_LOW_BITS))
+    small = frame.groupBy(pid.alias("_p"), *groups).agg(F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_f"))
+    w = Window.partitionBy(*groups).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    return small.select(F.col("_p").alias(f"_p_{tag}"), *groups,
+                        (F.coalesce(F.sum("_n").over(w), F.lit(0)) - F.col("_f")).alias(f"_o_{tag}"))
+
+
+def _add_position(frame: DataFrame, id_col: str, offsets: DataFrame, groups: Sequence[str], tag: str,
+                  name: str) -> DataFrame:
+    j = (frame.withColumn(f"_p_{tag}", F.shiftright(F.col(id_col), 33))
+         .join(F.broadcast(offsets), [f"_p_{tag}", *groups]))
+    return (j.withColumn(name, F.col(id_col).bitwiseAND(F.lit(_LOW_BITS)) + F.col(f"_o_{tag}"))
+            .drop(f"_p_{tag}", f"_o_{tag}"))
+
+
+def subset_positions(df: DataFrame, order: Sequence[str | Column], groups: Sequence[str], subset: Column,
+                     num_partitions: int | None = None, materialize: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows where ``subset`` holds, each with ``pos_all`` (0-based position
+    among all rows of its group in ``order``) and ``pos_sub`` (position among
+    the subset rows of its group).  Returns ``(positions, ranged)`` where
+    ``ranged`` is the checkpointed input, reusable for other aggregates.
+
+    One range cut and checkpoint; everything after it is narrow: positions
+    inside a partition come from monotonic ids, and the carry between
+    partitions from frames with one row per (partition, group), broadcast
+    back.  Use it when the number of groups is bounded (those frames hold at
+    most partitions + groups rows)."""
+    groups = _names(groups)
+    ranged = ranged_checkpoint(df, [*groups, *order], num_partitions, materialize)
+    sub = ranged.filter(subset).withColumn("_sid", F.monotonically_increasing_id())
+    out = _add_position(sub, "_mid", _offsets(ranged, "_mid", groups, "a"), groups, "a", "pos_all")
+    out = _add_position(out, "_sid", _offsets(sub, "_sid", groups, "s"), groups, "s", "pos_sub")
+    return out.drop("_mid", "_sid"), ranged.drop("_mid")
