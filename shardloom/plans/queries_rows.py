@@ -410,3 +410,52 @@ def score_saved_classifier(spark, sf):
     scored = N.score_saved(B.split_of(s, "test"), path)
     return scored.select("idx", "label", F.col("prediction").cast("int").alias("prediction"),
                          F.round("score", 6).alias("score"))
+
+
+@register("keep_drop_columns", sql="""
+select l_orderkey, l_quantity, l_extendedprice from lineitem
+""")
+def keep_drop_columns(spark, sf):
+    """Keep named columns, then drop one (pruned at the scan)."""
+    li = table(spark, sf, "lineitem")
+    kept = P.keep_columns(li, ["l_orderkey", "l_quantity", "l_extendedprice", "l_discount"])
+    return P.drop_columns(kept, ["l_discount"])
+
+
+@register("session_user_for_table")
+def session_user_for_table(spark, sf):
+    """The session user next to a table (value depends on the session)."""
+    return P.current_user_frame(table(spark, sf, "region"))
+
+
+@register("image_bytes_pages", sql="""
+select page_id, cast(octet_length(encode(html)) as integer) as n_bytes from pages
+""")
+def image_bytes_pages(spark, sf):
+    """P10: raw bytes resolved from a ``{bytes: ...}`` struct column (page
+    markup stored the way image datasets store their pictures)."""
+    pages = table(spark, sf, "pages").select(
+        "page_id", F.struct(F.encode("html", "UTF-8").alias("bytes")).alias("image"))
+    return P.image_bytes(pages).select("page_id", F.octet_length("image_bytes").alias("n_bytes"))
+
+
+@register("parallelism_floor_pages", sql="""
+select page_id, url from pages
+""")
+def parallelism_floor_pages(spark, sf):
+    """At least 10 x default parallelism partitions for per-row work
+    (the rows are unchanged)."""
+    pages = spark.read.parquet(f"{sf.rstrip('/')}/pages.parquet").select("page_id", "url")
+    return B.with_parallelism(pages, floor_factor=10)
+
+
+@register("map_columns_docs", sql=f"""
+select doc_id, lang, cast(len({_DUCK_TOKENS}) as integer) as n_tokens,
+       cast(length(text) as integer) as n_text_chars
+from documents
+""")
+def map_columns_docs(spark, sf):
+    """Computed columns added, source columns removed."""
+    d = table(spark, sf, "documents").select("doc_id", "lang", "text", "source")
+    return T.map_columns(d, {"n_tokens": F.size(tokens("text")), "n_text_chars": F.length("text")},
+                         remove=["text", "source"])
