@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import CLS, PAD, SEP, SPECIALS, UNK, tokens
+from .index import with_row_index
 
 
 def build_vocab(df: DataFrame, text_col: str = "text", size: int = 30000,
@@ -22,16 +23,18 @@ def build_vocab(df: DataFrame, text_col: str = "text", size: int = 30000,
     the whole corpus by (count desc, token), numbered after the specials.
 
     Word counts are aggregated map-side first, so a word holding a third of
-    all tokens costs one partial row per task.  The top-k is a
-    ``TakeOrderedAndProject`` whose merge is bounded by ``size``; the numbering
-    window therefore runs over at most ``size`` rows.
+    all tokens costs one partial row per task.  The ranking is the
+    distributed row index over the count table (a range cut), not a global
+    top-k: ``limit`` would merge ``size`` rows from every partition in one
+    task, which at tens of thousands of words and thousands of partitions is
+    a single-task funnel.
     """
     spark = df.sparkSession
     words = df.select(F.explode(tokens(text_col)).alias("token"))
     counts = words.groupBy("token").agg(F.count(F.lit(1)).alias("count"))
-    top = counts.orderBy(F.desc("count"), F.asc("token")).limit(size)
-    w = Window.orderBy(F.desc("count"), F.asc("token"))
-    ranked = top.select("token", (F.row_number().over(w) - 1 + len(specials)).alias("id"), "count")
+    idx = with_row_index(counts, [F.desc("count"), F.asc("token")], "_r")
+    ranked = idx.filter(F.col("_r") < size).select(
+        "token", (F.col("_r") + len(specials)).alias("id"), "count")
     sp = spark.createDataFrame([(t, i) for i, t in enumerate(specials)], "token string, id int")
     sp = sp.select("token", F.col("id").cast("int").alias("id"), F.lit(None).cast("bigint").alias("count"))
     return sp.unionByName(ranked.select("token", F.col("id").cast("int").alias("id"), "count"))

@@ -106,13 +106,14 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 def merge_manifest(manifests: Sequence[DataFrame], order: Sequence[str] = ("part", "shard")) -> DataFrame:
     """One root index from per-part (or per-export) indexes, each shard
-    with its start offset (running row count over the shard list, which has
-    one row per shard)."""
+    with its start offset: a distributed running row count over the shard
+    list (one row per shard), so even millions of shards never pass through
+    one task."""
     m = manifests[0]
     for x in manifests[1:]:
         m = m.unionByName(x)
-    w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return m.withColumn("start", F.coalesce(F.sum("rows").over(w), F.lit(0)).cast("bigint"))
+    r = running_sum(m, list(order), {"_end": F.col("rows").cast("bigint")})
+    return r.withColumn("start", (F.col("_end") - F.col("rows")).cast("bigint")).drop("_end")
 
 
 def verify_export(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
