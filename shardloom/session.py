@@ -23,6 +23,10 @@ _LOCAL_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of frames no longer referenced are removed by Spark's
+    # own cleaner (local runs write many small checkpoints)
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.cleaner.periodicGC.interval": "1min",
 }
 
 
