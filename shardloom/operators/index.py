@@ -95,9 +95,11 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "ro
 
 
 def running_sum(df: DataFrame, order: Sequence[str | Column], values: dict[str, Column],
-                groups: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
+                groups: Sequence[str] = (), num_partitions: int | None = None,
+                totals: bool = False) -> DataFrame:
     """Add one inclusive running sum per entry of ``values`` (name -> expression)
-    in ``order`` within ``groups``, without a single-partition window."""
+    in ``order`` within ``groups``, without a single-partition window.  With
+    ``totals``, also add ``{name}_total``: the sum over the whole group."""
     groups = _names(groups)
     src = df
     for name, expr in values.items():
@@ -122,7 +124,13 @@ def running_sum(df: DataFrame, order: Sequence[str | Column], values: dict[str,
     nonzero = F.lit(False)
     for n in values:
         nonzero = nonzero | (F.col(f"_c_{n}") != 0)
-    carry = carry.filter(nonzero)
+    if totals:
+        # group totals for every (partition, group) present: bounded by partitions + groups
+        wt = Window.partitionBy(*groups)
+        carry = carry.join(tot.select("_pid", *groups, *[F.sum(f"_t_{n}").over(wt).alias(f"{n}_total")
+                                                          for n in values]), ["_pid", *groups])
+    else:
+        carry = carry.filter(nonzero)
     out = local.join(F.broadcast(carry), ["_pid", *groups], "left")
     for n in values:
         out = out.withColumn(n, F.col(f"_l_{n}") + F.coalesce(F.col(f"_c_{n}"), F.lit(0)))

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from ..operators.index import running_sum
 from ..operators.rows import conform_columns
-from ..operators.splits import assign_groups
 
 # Bytes per element of each declared sample dtype.
 ELEMENT_BYTES = {"int32": 4, "int": 8, "int64": 8, "float32": 4, "float64": 8}
@@ -62,16 +61,29 @@ def row_digest(columns: dict[str, str]) -> Column:
 
 def assign_shards(df: DataFrame, columns: dict[str, str], key: Sequence[str] | str, parts: int = 4,
                   size_limit: int = 64 << 20, num_partitions: int | None = None) -> DataFrame:
-    """Add ``part``, ``shard`` (dense within the part) and ``row_bytes``."""
+    """Add ``part`` (B3 contiguous groups in key order), ``shard`` (dense
+    within the part) and ``row_bytes``.
+
+    One range cut in key order gives each row its position and the running
+    byte count; the part follows from the position, and the bytes before a
+    part come from a frame with one row per part."""
     keys = [key] if isinstance(key, str) else list(key)
-    g = assign_groups(df, parts, keys, "part", num_partitions).withColumn("row_bytes", row_bytes(columns))
-    r = running_sum(g, keys, {"_cum": F.col("row_bytes")}, groups=["part"], num_partitions=num_partitions)
-    r = r.withColumn("_raw", F.expr(f"(_cum - 1) div {int(size_limit)}"))
+    src = df.withColumn("row_bytes", row_bytes(columns))
+    r = running_sum(src, keys, {"_n": F.lit(1).cast("bigint"), "_cb": F.col("row_bytes")},
+                    num_partitions=num_partitions, totals=True)
+    size = F.expr(f"_n_total div {parts}")
+    part = F.when(size == 0, F.lit(parts - 1)).otherwise(
+        F.least(F.expr(f"(_n - 1) div greatest(_n_total div {parts}, 1)"), F.lit(parts - 1)))
+    r = r.withColumn("part", part.cast("int")).drop("_n", "_n_total", "_cb_total")
+    # bytes before each part: one row per part
+    starts = r.groupBy("part").agg(F.min(F.col("_cb") - F.col("row_bytes")).alias("_before"))
+    r = r.join(F.broadcast(starts), "part").withColumn(
+        "_raw", F.expr(f"(_cb - _before - 1) div {int(size_limit)}")).drop("_before", "_cb")
     # one row per shard: renumbering works on the shard list, not on the rows
     shards = r.select("part", "_raw").distinct()
     shards = shards.withColumn("shard", (F.row_number().over(Window.partitionBy("part").orderBy("_raw")) - 1)
                                .cast("int"))
-    return r.join(shards, ["part", "_raw"]).drop("_raw", "_cum")
+    return r.join(shards, ["part", "_raw"]).drop("_raw")
 
 
 def export_shards(df: DataFrame, path: str, columns: dict[str, str], key: Sequence[str] | str,
