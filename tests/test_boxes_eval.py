@@ -186,3 +186,85 @@ def test_cap_uses_window_group_limit(spark, capsys):
     capsys.readouterr()
     E.cap_detections(df, 100).explain(mode="simple")
     assert "WindowGroupLimit" in capsys.readouterr().out
+
+
+def _brute_ranges(pred, truth, thr, lo, hi, max_dets=100):
+    """Plain-Python COCO-style evaluation for one threshold and area range:
+    truths outside the range are ignored (matched last), unmatched
+    detections outside it are ignored; returns {label: (ap, recall)}."""
+    out = {}
+    area = lambda b: (b[5] - b[3]) * (b[6] - b[4])
+    for lab in sorted({t[1] for t in truth}):
+        T = [t for t in truth if t[1] == lab]
+        npos = sum(1 for t in T if lo <= area(t) <= hi)
+        if npos == 0:
+            continue
+        rows = []
+        for img in sorted({p[0] for p in pred if p[1] == lab}):
+            ps = sorted([p for p in pred if p[0] == img and p[1] == lab], key=lambda p: (-p[7], p[2]))[:max_dets]
+            gts = [t for t in T if t[0] == img]
+            taken = set()
+            for p in ps:
+                best, key = None, None
+                for t in gts:
+                    if t[2] in taken:
+                        continue
+                    iw = max(min(p[5], t[5]) - max(p[3], t[3]), 0.0)
+                    ih = max(min(p[6], t[6]) - max(p[4], t[4]), 0.0)
+                    inter = iw * ih
+                    u = area(p) + area(t) - inter
+                    v = inter / u if u > 0 else 0.0
+                    ign = not (lo <= area(t) <= hi)
+                    if v >= thr and (key is None or (ign, -v, t[2]) < key):
+                        best, key = t, (ign, -v, t[2])
+                if best is not None:
+                    taken.add(best[2])
+                    if not key[0]:
+                        rows.append((p, 1))
+                elif lo <= area(p) <= hi:
+                    rows.append((p, 0))
+        rows.sort(key=lambda r: (-r[0][7], r[0][0], r[0][2]))
+        i, prec = 0, {}
+        for k, (_, tp) in enumerate(rows, 1):
+            if tp:
+                i += 1
+                j = min(i * 100 // npos, 100)
+                prec[j] = max(prec.get(j, 0.0), i / k)
+        q, best = [], 0.0
+        for j in range(100, -1, -1):
+            best = max(best, prec.get(j, 0.0))
+            q.append(best)
+        out[lab] = (sum(q) / 101.0, i / npos)
+    return out
+
+
+def test_area_ranges_match_brute_force(spark):
+    rnd = random.Random(11)
+    truth, pred = [], []
+    for img in range(25):
+        for g in range(rnd.randint(1, 5)):
+            w, h = rnd.choice([(6, 8), (20, 30), (40, 40), (80, 150), (31, 33)])
+            x, y = rnd.uniform(0, 100), rnd.uniform(0, 100)
+            lab = rnd.randint(0, 1)
+            truth.append((img, lab, g + 1, x, y, x + w, y + h))
+            for d in range(rnd.randint(1, 2)):
+                s = rnd.uniform(0.8, 1.25)
+                dx, dy = rnd.uniform(-3, 3), rnd.uniform(-3, 3)
+                pred.append((img, lab, 10 * g + d + 1, x + dx, y + dy, x + dx + w * s, y + dy + h * s,
+                             round(rnd.random(), 3)))
+    pdf = spark.createDataFrame(pred, "image_id long, label int, det_id long, x1 double, y1 double, x2 double, "
+                                      "y2 double, score double")
+    tdf = spark.createDataFrame(truth, "image_id long, label int, gt_id long, x1 double, y1 double, x2 double, "
+                                       "y2 double")
+    res = E.evaluate(pdf, tdf)
+    ap = {(r["label"], r["thr"], r["rng"]): r["ap"] for r in res["ap"].collect()}
+    rec = {(r["label"], r["thr"], r["rng"]): r["recall"]
+           for r in res["recall"].filter("max_dets = 100").collect()}
+    for rng, (lo, hi) in E.AREA_RANGES.items():
+        for pct in (50, 70, 90):
+            exp = _brute_ranges(pred, truth, pct / 100, lo, hi)
+            got_labels = {lab for (lab, t, r) in ap if t == pct / 100 and r == rng}
+            assert got_labels == set(exp), (rng, pct)
+            for lab, (a, r) in exp.items():
+                assert ap[(lab, pct / 100, rng)] == pytest.approx(a, abs=1e-12), (lab, pct, rng)
+                assert rec[(lab, pct / 100, rng)] == pytest.approx(r, abs=1e-12), (lab, pct, rng)
