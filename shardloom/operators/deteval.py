@@ -275,7 +275,8 @@ def evaluate(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[int] =
     grouped = match_by_image(capped, truth, thresholds_pct, ranges, top, capped=True)
     matches = matches_of(grouped)
     flags = flags_of(grouped)
-    npos = truth_counts(truth, ranges)
+    # truths per (class, range): a handful of rows, used by several branches below
+    npos = truth_counts(truth, ranges).checkpoint(eager=True)
     # one range cut of the flags: ranks for AP, and reused as is for recall.  The
     # flags come out of the per-image folds, which the range cut's sampling pass
     # would otherwise run a second time: materialise them first.
