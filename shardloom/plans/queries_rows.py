@@ -4,10 +4,8 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.arrays import softmax
 from ..functions.text import tokens
 from ..operators import model as N
 from ..operators import rows as P
