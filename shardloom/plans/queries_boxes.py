@@ -164,7 +164,7 @@ def boxes_with_class_names(spark, sf):
 
 
 @register("postprocess_detections", sql=W("fx_det") + """
-select image_id, query, label, round(score, 6) as score,
+select image_id, cast(query as integer) as query, label, round(score, 6) as score,
        round((bx[1] - bx[3] / 2) * width, 4) as x1, round((bx[2] - bx[4] / 2) * height, 4) as y1,
        round((bx[1] + bx[3] / 2) * width, 4) as x2, round((bx[2] + bx[4] / 2) * height, 4) as y2
 from (select *, cast(list_position(p, list_max(p)) - 1 as integer) as label, list_max(p) as score from fx_det)
@@ -179,7 +179,7 @@ def postprocess_detections(spark, sf):
 
 
 @register("format_detections", sql=W("fx_det", "fx_classes") + """
-select d.image_id, d.query, c.category_name, round(score, 3) as score_r,
+select d.image_id, cast(d.query as integer) as query, c.category_name, round(score, 3) as score_r,
        round((bx[1] - bx[3] / 2) * width, 2) as bx1, round((bx[2] - bx[4] / 2) * height, 2) as by1,
        round((bx[1] + bx[3] / 2) * width, 2) as bx2, round((bx[2] + bx[4] / 2) * height, 2) as by2
 from (select *, cast(list_position(p, list_max(p)) - 1 as integer) as label, list_max(p) as score from fx_det) d

@@ -186,7 +186,7 @@ def url_prefix_pages(spark, sf):
 
 
 @register("conform_embeddings", sql="""
-select vec_id, cast(label as integer) as label, len(embedding) as n_dims,
+select vec_id, cast(label as integer) as label, cast(len(embedding) as integer) as n_dims,
        round(list_sum(list_transform(embedding, lambda x: cast(x as double))), 6) as total
 from embeddings
 """)
