@@ -268,3 +268,24 @@ def test_area_ranges_match_brute_force(spark):
             for lab, (a, r) in exp.items():
                 assert ap[(lab, pct / 100, rng)] == pytest.approx(a, abs=1e-12), (lab, pct, rng)
                 assert rec[(lab, pct / 100, rng)] == pytest.approx(r, abs=1e-12), (lab, pct, rng)
+
+
+def test_hot_image_caps_are_exact(spark):
+    """One image holding most rows: 150 identical truths and 120 detections
+    of one class.  Only the top 100 detections count, and each detection's
+    100-candidate cap still finds its free truth (at most 99 are taken)."""
+    truth = [(0, 0, g, 10.0, 10.0, 50.0, 50.0) for g in range(1, 151)]
+    truth += [(i, 0, 1, 0.0, 0.0, 20.0, 20.0) for i in range(1, 6)]
+    pred = [(0, 0, d, 10.0, 10.0, 50.0, 50.0, 1.0 - d / 1000.0) for d in range(1, 121)]
+    pred += [(i, 0, 1, 0.0, 0.0, 20.0, 21.0, 0.5) for i in range(1, 6)]
+    pdf = spark.createDataFrame(pred, "image_id long, label int, det_id long, x1 double, y1 double, x2 double, "
+                                      "y2 double, score double")
+    tdf = spark.createDataFrame(truth, "image_id long, label int, gt_id long, x1 double, y1 double, x2 double, "
+                                       "y2 double")
+    m = E.match_greedy(pdf, tdf, [50], {"all": E.AREA_RANGES["all"]})
+    hot = {r["det_id"]: r["gt_id"] for r in m.filter("image_id = 0").collect()}
+    assert len(hot) == 100 and all(hot[d] == d for d in range(1, 101))
+    res = E.evaluate(pdf, tdf, thresholds_pct=[50, 75], ranges={"all": E.AREA_RANGES["all"]})
+    got = {r["thr"]: r["ap"] for r in res["ap"].collect()}
+    for pct in (50, 75):
+        assert got[pct / 100] == pytest.approx(_brute(pred, truth, pct / 100)[0], abs=1e-12)
