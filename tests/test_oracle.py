@@ -34,3 +34,19 @@ def test_entry_contract(spark):
     assert df.count() > 0
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_plan_has_no_cross_join_or_row_funnel(spark, name, capsys):
+    """No query plans a cross join, and a single-partition exchange only ever
+    receives partial aggregates (one row per task) or per-partition counts."""
+    df = registry.QUERIES[name](spark, SF_SMALL)
+    capsys.readouterr()
+    df.explain(mode="simple")
+    plan = capsys.readouterr().out
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    lines = [ln for ln in plan.splitlines() if ln.strip()]
+    for i, ln in enumerate(lines):
+        if "Exchange SinglePartition" in ln:
+            child = lines[i + 1]
+            assert "Aggregate" in child or "_pid" in child, (name, child)
