@@ -81,8 +81,12 @@ def with_parallelism(df: DataFrame, n: int | None = None, floor_factor: int = 10
     parallelism (repartition only when below it)."""
     if n is not None:
         return df.repartition(int(n))
-    target = floor_factor * df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = floor_factor * df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # remote session: no partition count on the client; leave the plan as is
+        return df
+    if current < target:
         return df.repartition(target)
     return df
 

@@ -48,13 +48,24 @@ def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a remote (Spark Connect) session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no local context
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering it with the context.
 
     Reads ``spark.checkpoint.dir`` from the session.  Sets a private one only
-    when it is unset and the master is local (tests, bench).
+    when it is unset and the master is local (tests, bench).  A remote
+    session manages its checkpoint folder on the server side.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current
