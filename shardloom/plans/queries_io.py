@@ -178,3 +178,19 @@ def coco_export_sections(spark, sf):
                                     (F.col("category_id") + F.col("id")).alias("v")))
             .unionByName(cat.select(F.lit("categories").alias("section"), F.col("id").alias("v")))
             .groupBy("section").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("v").cast("bigint").alias("checksum")))
+
+
+@register("sample_shards_head", sql=_DUCK_SHARDS + """
+select part, shard, idx, cast(label as integer) as label,
+       cast(len(input_ids) as integer) as input_ids_len, 'array<int>' as input_ids_type,
+       cast(len(tt) as integer) as token_type_ids_len, 'array<int>' as token_type_ids_type,
+       cast(len(am) as integer) as attention_mask_len, 'array<int>' as attention_mask_type
+from sh order by part, shard, idx limit 5
+""")
+def sample_shards_head(spark, sf):
+    """S9 display: the first five samples read back in shard order, with
+    each array column's length and element type."""
+    p = scratch_path(spark, "shards")
+    S.export_shards(_encoded_sentences(spark, sf), p, SHARD_COLUMNS, "idx", parts=SHARD_PARTS,
+                    size_limit=SHARD_LIMIT)
+    return S.sample_shards(spark, p, SHARD_COLUMNS, "idx", 5)
