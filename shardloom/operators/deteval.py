@@ -110,7 +110,7 @@ _MATCH_TYPE = "array<struct<det_id:bigint,gt_id:bigint,gt_ignored:int>>"
 
 def match_by_image(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[int] = IOU_THRESHOLDS_PCT,
                    ranges: dict[str, tuple[float, float]] | None = None, max_dets: int = 100,
-                   capped: bool = False) -> DataFrame:
+                   capped: bool = False, with_dets: bool = True) -> DataFrame:
     """E2 core: greedy matching for every (threshold, area range) inside one
     row per (image, class).
 
@@ -145,17 +145,23 @@ def match_by_image(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[i
              .filter(F.col("iou") >= F.lit(min(thresholds_pct) / 100.0)))
     wc = Window.partitionBy("image_id", "label", "det_id", "g_mask").orderBy(F.desc("iou"), F.asc("gt_id"))
     pairs = pairs.withColumn("_c", F.row_number().over(wc)).filter(F.col("_c") <= max_dets)
-    # detections and their pairs meet in one row per (image, class): a union
-    # of the two kinds of rows, collected side by side (nulls are skipped)
-    det_item = F.struct("det_rank", "det_id", "score", "d_mask")
     pair_item = F.struct("det_rank", "det_id", "gt_id", "iou", "g_mask")
-    rows = (d.select("image_id", "label", det_item.alias("dd"), F.lit(None).cast(
-                pairs.select(pair_item).schema[0].dataType).alias("pp"))
-            .unionByName(pairs.select("image_id", "label", F.lit(None).cast(
-                d.select(det_item).schema[0].dataType).alias("dd"), pair_item.alias("pp"))))
-    g = rows.groupBy("image_id", "label").agg(F.array_sort(F.collect_list("dd")).alias("ds"),
-                                              F.collect_list("pp").alias("ps"),
-                                              F.max("pp.iou").alias("max_iou"))
+    if with_dets:
+        # detections and their pairs meet in one row per (image, class): a union
+        # of the two kinds of rows, collected side by side (nulls are skipped)
+        det_item = F.struct("det_rank", "det_id", "score", "d_mask")
+        rows = (d.select("image_id", "label", det_item.alias("dd"), F.lit(None).cast(
+                    pairs.select(pair_item).schema[0].dataType).alias("pp"))
+                .unionByName(pairs.select("image_id", "label", F.lit(None).cast(
+                    d.select(det_item).schema[0].dataType).alias("dd"), pair_item.alias("pp"))))
+        g = rows.groupBy("image_id", "label").agg(F.array_sort(F.collect_list("dd")).alias("ds"),
+                                                  F.collect_list("pp").alias("ps"),
+                                                  F.max("pp.iou").alias("max_iou"))
+    else:
+        # matches only: the pairs alone, grouped without a new shuffle
+        g = pairs.groupBy("image_id", "label").agg(
+            F.array().cast("array<struct<det_rank:int,det_id:bigint,score:double,d_mask:int>>").alias("ds"),
+            F.collect_list(pair_item).alias("ps"), F.max("iou").alias("max_iou"))
     combos = F.array(*[F.struct(F.lit(float(pct)) / F.lit(100.0), F.lit(1 << r), F.lit(name))
                        .cast("struct<thr:double,bit:int,rng:string>")
                        for pct in thresholds_pct for r, name in enumerate(ranges)])
@@ -212,7 +218,7 @@ def flags_of(grouped: DataFrame) -> DataFrame:
 def match_greedy(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[int] = IOU_THRESHOLDS_PCT,
                  ranges: dict[str, tuple[float, float]] | None = None, max_dets: int = 100) -> DataFrame:
     """Greedy matches per (image, class, threshold, area range)."""
-    return matches_of(match_by_image(pred, truth, thresholds_pct, ranges, max_dets))
+    return matches_of(match_by_image(pred, truth, thresholds_pct, ranges, max_dets, with_dets=False))
 
 
 def truth_counts(truth: DataFrame, ranges: dict[str, tuple[float, float]] | None = None) -> DataFrame:
