@@ -32,13 +32,6 @@ from ..session import checkpoint_dir
 _LOW_BITS = (1 << 33) - 1
 
 
-def _parts(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-
-
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
@@ -59,9 +52,11 @@ def ranged_checkpoint(df: DataFrame, keys: Sequence[str | Column],
     if materialize:
         df = df.checkpoint(eager=True)
     k = _cols(keys)
-    ranged = (df.repartitionByRange(_parts(df, num_partitions), *k)
-              .sortWithinPartitions(*k)
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    # without an explicit count the range cut uses spark.sql.shuffle.partitions
+    # and AQE may merge neighbouring ranges by size (order is kept); the
+    # checkpoint then fixes whatever partitions ran
+    cut = df.repartitionByRange(int(num_partitions), *k) if num_partitions else df.repartitionByRange(*k)
+    ranged = cut.sortWithinPartitions(*k).withColumn("_mid", F.monotonically_increasing_id())
     return ranged.checkpoint(eager=True)
 
 
