@@ -58,3 +58,16 @@ def test_row_index_plan_has_no_single_partition_on_rows(spark, capsys):
     for block in plan.split("Exchange SinglePartition")[1:]:
         head = block[:400]
         assert "_pid" in head, head
+
+
+def test_running_sum_totals_and_subset_positions(spark):
+    from shardloom.operators.index import subset_positions
+    df = spark.createDataFrame([(g, i, i % 3 == 0) for g in ("a", "b") for i in range(20)],
+                               "g string, i long, hit boolean")
+    r = running_sum(df, ["i"], {"n": F.lit(1).cast("bigint")}, groups=["g"], num_partitions=5, totals=True)
+    rows = r.collect()
+    assert all(x["n"] == x["i"] + 1 and x["n_total"] == 20 for x in rows)
+    pos, ranged = subset_positions(df, ["i"], ["g"], F.col("hit"), num_partitions=4)
+    got = {(x["g"], x["i"]): (x["pos_all"], x["pos_sub"]) for x in pos.collect()}
+    assert got == {(g, i): (i, i // 3) for g in ("a", "b") for i in range(0, 20, 3)}
+    assert ranged.count() == 40
