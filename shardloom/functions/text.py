@@ -17,5 +17,7 @@ def _c(c: str | Column) -> Column:
 
 
 def tokens(text: str | Column) -> Column:
-    """Array of lower-cased word tokens of the whole text, empty strings removed."""
-    return F.filter(F.split(F.lower(_c(text)), TOKEN_SPLIT), lambda t: t != F.lit(""))
+    """Array of lower-cased word tokens of the whole text, empty strings
+    removed (``array_remove`` keeps the expression in generated code, unlike
+    a lambda ``filter``)."""
+    return F.array_remove(F.split(F.lower(_c(text)), TOKEN_SPLIT), "")

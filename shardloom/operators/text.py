@@ -64,7 +64,7 @@ def encode(df: DataFrame, vocab: DataFrame, key: str | Sequence[str], text_col:
     grouped = joined.groupBy(*keys).agg(
         *[F.first(c).alias(c) for c in keep],
         F.array_sort(F.collect_list(item)).alias("_p"))
-    ids = F.transform(F.col("_p"), lambda x: x["id"].cast("int"))
+    ids = F.col("_p.id").cast("array<int>")
     n = F.size(F.col("_p"))
     pad_n = F.lit(body) - n
     input_ids = F.concat(F.array(F.lit(CLS)), ids, F.array(F.lit(SEP)),
