@@ -15,15 +15,18 @@ Plan shape, and why it holds at scale:
   with a partial ``WindowGroupLimit`` before the shuffle, so a hot image
   ships at most 100 rows per map task;
 * pairs come from an equi-join on (image, class) of capped detections and
-  truths, filtered to IoU >= 0.5 once and reused for every threshold;
-* each detection keeps only its best 100 candidates: at most 99 truths can
-  be taken before it, so its best free truth is always among them (exact);
-* matching is a fold (``aggregate``) over one (image, class, threshold,
-  range) group of at most 100 x 100 pairs;
+  truths, filtered to IoU >= 0.5 once and reused for every threshold and
+  area range; the candidate window and the grouping per (image, class)
+  reuse the join's hash partitioning, so the pairs move once;
+* each detection keeps only its best 100 candidates per ignore pattern of
+  the truths: at most 99 truths can be taken before it, so its best free
+  truth is always among them, for every threshold and range (exact);
+* matching is a fold (``aggregate``) per (threshold, range) inside the
+  (image, class) row: at most 100 detections and their capped candidates;
 * precision/recall need ranks in score order per (class, threshold,
-  range): one range cut of the detection flags gives every true positive
-  its rank among detections and among true positives without a window
-  over the whole class;
+  range): one range cut of the (materialised) detection flags gives every
+  true positive its rank among detections and among true positives without
+  a window over the whole class;
 * the 101-point envelope works on at most 101 buckets per class and threshold.
 """
 
