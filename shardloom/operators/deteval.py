@@ -111,9 +111,36 @@ def _bit(mask: Column, bit: Column) -> Column:
 _MATCH_TYPE = "array<struct<det_id:bigint,gt_id:bigint,gt_ignored:int>>"
 
 
+# An (image, class) with more truths than this is split into buckets.
+HOT_ROWS = 1_000_000
+
+
+def salted_join(small: DataFrame, big: DataFrame, keys: Sequence[str], spread_col: str,
+                hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Equi-join where a key of ``big`` may hold a large share of all rows.
+
+    Keys with more than ``hot_rows`` rows on the big side are found by a
+    partial-aggregated count; their big-side rows are spread over
+    ``ceil(count / hot_rows)`` buckets (hash of ``spread_col``) and the
+    small side's rows of those keys are repeated once per bucket.  The hot
+    key list has at most ``rows / hot_rows`` entries, a bound that makes it
+    safe to broadcast; ordinary keys keep bucket 0 and are joined as usual."""
+    counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > hot_rows).select(
+        *keys, F.ceil(F.col("_n") / F.lit(float(hot_rows))).cast("int").alias("_buckets"))
+    b = (big.join(F.broadcast(hot), list(keys), "left")
+         .withColumn("_salt", F.when(F.col("_buckets").isNull(), F.lit(0)).otherwise(
+             F.pmod(F.xxhash64(F.col(spread_col)), F.col("_buckets")).cast("int")))
+         .drop("_buckets"))
+    s = (small.join(F.broadcast(hot), list(keys), "left")
+         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_buckets"), F.lit(1)) - 1)))
+         .drop("_buckets"))
+    return s.join(b, [*keys, "_salt"]).drop("_salt")
+
+
 def match_by_image(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[int] = IOU_THRESHOLDS_PCT,
                    ranges: dict[str, tuple[float, float]] | None = None, max_dets: int = 100,
-                   capped: bool = False, with_dets: bool = True) -> DataFrame:
+                   capped: bool = False, with_dets: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
     """E2 core: greedy matching for every (threshold, area range) inside one
     row per (image, class).
 
@@ -144,7 +171,7 @@ def match_by_image(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[i
                      _mask(t_area, ranges).alias("g_mask"))
     p = d.select("image_id", "label", "det_id", "det_rank",
                  *[F.col(k).alias(f"p_{k}") for k in ("x1", "y1", "x2", "y2")])
-    pairs = (p.join(t, ["image_id", "label"]).withColumn("iou", iou())
+    pairs = (salted_join(p, t, ["image_id", "label"], "gt_id", hot_rows).withColumn("iou", iou())
              .filter(F.col("iou") >= F.lit(min(thresholds_pct) / 100.0)))
     wc = Window.partitionBy("image_id", "label", "det_id", "g_mask").orderBy(F.desc("iou"), F.asc("gt_id"))
     pairs = pairs.withColumn("_c", F.row_number().over(wc)).filter(F.col("_c") <= max_dets)
@@ -219,9 +246,11 @@ def flags_of(grouped: DataFrame) -> DataFrame:
 
 
 def match_greedy(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[int] = IOU_THRESHOLDS_PCT,
-                 ranges: dict[str, tuple[float, float]] | None = None, max_dets: int = 100) -> DataFrame:
+                 ranges: dict[str, tuple[float, float]] | None = None, max_dets: int = 100,
+                 hot_rows: int = HOT_ROWS) -> DataFrame:
     """Greedy matches per (image, class, threshold, area range)."""
-    return matches_of(match_by_image(pred, truth, thresholds_pct, ranges, max_dets, with_dets=False))
+    return matches_of(match_by_image(pred, truth, thresholds_pct, ranges, max_dets, with_dets=False,
+                                     hot_rows=hot_rows))
 
 
 def truth_counts(truth: DataFrame, ranges: dict[str, tuple[float, float]] | None = None) -> DataFrame:
@@ -269,7 +298,7 @@ def average_precision(flags: DataFrame, npos: DataFrame, thresholds_pct: Sequenc
 
 def evaluate(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[int] = IOU_THRESHOLDS_PCT,
              ranges: dict[str, tuple[float, float]] | None = None, max_dets: Sequence[int] = MAX_DETS,
-             num_partitions: int | None = None) -> dict[str, DataFrame]:
+             num_partitions: int | None = None, hot_rows: int = HOT_ROWS) -> dict[str, DataFrame]:
     """E1-E5 in one plan.  Returns frames: ``pairs``, ``matches``, ``flags``,
     ``npos``, ``ap`` (class, thr, rng, ap) and ``recall`` (class, thr, rng,
     max_dets, recall)."""
@@ -281,7 +310,7 @@ def evaluate(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[int] =
     capped = cap_detections(pred, top).select("image_id", "label", "det_id", "det_rank", "score",
                                               "x1", "y1", "x2", "y2")
     pairs = iou_pairs(capped, truth, min(thresholds_pct) / 100.0, top, capped=True)
-    grouped = match_by_image(capped, truth, thresholds_pct, ranges, top, capped=True)
+    grouped = match_by_image(capped, truth, thresholds_pct, ranges, top, capped=True, hot_rows=hot_rows)
     matches = matches_of(grouped)
     flags = flags_of(grouped)
     # truths per (class, range): a handful of rows, used by several branches below

@@ -289,3 +289,25 @@ def test_hot_image_caps_are_exact(spark):
     got = {r["thr"]: r["ap"] for r in res["ap"].collect()}
     for pct in (50, 75):
         assert got[pct / 100] == pytest.approx(_brute(pred, truth, pct / 100)[0], abs=1e-12)
+
+
+def test_hot_image_split_into_buckets_is_exact(spark):
+    """The same hot image with the hot-key threshold set low: its truths are
+    spread over buckets for the IoU join, results are unchanged."""
+    truth = [(0, 0, g, 10.0 + g % 3, 10.0, 50.0 + g % 3, 50.0) for g in range(1, 151)]
+    truth += [(i, 0, 1, 0.0, 0.0, 20.0, 20.0) for i in range(1, 6)]
+    pred = [(0, 0, d, 10.0, 10.0, 50.0, 50.0, 1.0 - d / 1000.0) for d in range(1, 121)]
+    pred += [(i, 0, 1, 0.0, 0.0, 20.0, 21.0, 0.5) for i in range(1, 6)]
+    pdf = spark.createDataFrame(pred, "image_id long, label int, det_id long, x1 double, y1 double, x2 double, "
+                                      "y2 double, score double")
+    tdf = spark.createDataFrame(truth, "image_id long, label int, gt_id long, x1 double, y1 double, x2 double, "
+                                       "y2 double")
+    joined = E.salted_join(pdf, tdf.withColumnRenamed("x1", "t_x1"), ["image_id", "label"], "gt_id", 40)
+    assert joined.count() == 120 * 150 + 5
+    res = E.evaluate(pdf, tdf, thresholds_pct=[50, 75], ranges={"all": E.AREA_RANGES["all"]}, hot_rows=40)
+    got = {r["thr"]: r["ap"] for r in res["ap"].collect()}
+    for pct in (50, 75):
+        assert got[pct / 100] == pytest.approx(_brute(pred, truth, pct / 100)[0], abs=1e-12)
+    plain = E.match_greedy(pdf, tdf, [50, 75], {"all": E.AREA_RANGES["all"]})
+    split = E.match_greedy(pdf, tdf, [50, 75], {"all": E.AREA_RANGES["all"]}, hot_rows=40)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect()))
