@@ -24,9 +24,10 @@ Plan shape, and why it holds at scale:
 * matching is a fold (``aggregate``) per (threshold, range) inside the
   (image, class) row: at most 100 detections and their capped candidates;
 * precision/recall need ranks in score order per (class, threshold,
-  range): one range cut of the (materialised) detection flags gives every
-  true positive its rank among detections and among true positives without
-  a window over the whole class;
+  range), from one range cut and counts only (no window over a whole
+  class): for ranges that ignore nothing, over the true positives (and rare
+  ignored detections) with each detection's position in its class computed
+  once; for area ranges, over the counted detections themselves;
 * the 101-point envelope works on at most 101 buckets per class and threshold.
 """
 
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .index import subset_positions
+from .index import subset_positions, with_row_index
 
 # Fixed values of the public COCO evaluation protocol.
 IOU_THRESHOLDS_PCT = [50, 55, 60, 65, 70, 75, 80, 85, 90, 95]
@@ -164,7 +165,8 @@ def match_by_image(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[i
     ranges = ranges or {"all": AREA_RANGES["all"]}
     d = pred if capped else cap_detections(pred, max_dets)
     d_area = (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))
-    d = d.select("image_id", "label", "det_id", "det_rank", "score", "x1", "y1", "x2", "y2",
+    keep_p = ["p"] if "p" in d.columns else []
+    d = d.select("image_id", "label", "det_id", "det_rank", "score", *keep_p, "x1", "y1", "x2", "y2",
                  _mask(d_area, ranges).alias("d_mask"))
     t_area = (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))
     t = truth.select("image_id", "label", "gt_id", *[F.col(k).alias(f"t_{k}") for k in ("x1", "y1", "x2", "y2")],
@@ -179,7 +181,7 @@ def match_by_image(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[i
     if with_dets:
         # detections and their pairs meet in one row per (image, class): a union
         # of the two kinds of rows, collected side by side (nulls are skipped)
-        det_item = F.struct("det_rank", "det_id", "score", "d_mask")
+        det_item = F.struct("det_rank", "det_id", "score", "d_mask", *keep_p)
         rows = (d.select("image_id", "label", det_item.alias("dd"), F.lit(None).cast(
                     pairs.select(pair_item).schema[0].dataType).alias("pp"))
                 .unionByName(pairs.select("image_id", "label", F.lit(None).cast(
@@ -245,6 +247,27 @@ def flags_of(grouped: DataFrame) -> DataFrame:
     return x.select("image_id", "label", "ff.det_id", "ff.det_rank", "ff.score", "thr", "rng", "ff.tp")
 
 
+def events_of(grouped: DataFrame) -> DataFrame:
+    """Per threshold and range, only the detections that are true positives
+    (``tp`` = 1) or ignored (``tp`` = 0), with ``p`` (their position in the
+    class's score order).  Plain false positives need no row: the position
+    among counted detections is ``p`` minus the ignored ones before."""
+    def ignored(dd):
+        matched = F.array_contains(F.col("res.dets"), dd["det_id"])
+        return F.array_contains(F.col("res.ign"), dd["det_id"]) | (
+            ~matched & (_bit(dd["d_mask"], F.col("bit")) == 1))
+
+    def event(dd):
+        return F.array_contains(F.col("res.dets"), dd["det_id"]) | ignored(dd)
+
+    kept = F.filter("ds", event)
+    f = F.transform(kept, lambda dd: F.struct(
+        dd["det_id"].alias("det_id"), dd["det_rank"].alias("det_rank"), dd["p"].alias("p"),
+        (~ignored(dd)).cast("int").alias("tp")))
+    x = grouped.select("image_id", "label", "thr", "rng", F.explode(f).alias("ff"))
+    return x.select("image_id", "label", "ff.det_id", "ff.det_rank", "ff.p", "thr", "rng", "ff.tp")
+
+
 def match_greedy(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[int] = IOU_THRESHOLDS_PCT,
                  ranges: dict[str, tuple[float, float]] | None = None, max_dets: int = 100,
                  hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -310,17 +333,31 @@ def evaluate(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[int] =
     capped = cap_detections(pred, top).select("image_id", "label", "det_id", "det_rank", "score",
                                               "x1", "y1", "x2", "y2")
     pairs = iou_pairs(capped, truth, min(thresholds_pct) / 100.0, top, capped=True)
-    grouped = match_by_image(capped, truth, thresholds_pct, ranges, top, capped=True, hot_rows=hot_rows)
-    matches = matches_of(grouped)
-    flags = flags_of(grouped)
     # truths per (class, range): a handful of rows, used by several branches below
     npos = truth_counts(truth, ranges).checkpoint(eager=True)
-    # one range cut of the flags: ranks for AP, and reused as is for recall.  The
-    # flags come out of the per-image folds, which the range cut's sampling pass
-    # would otherwise run a second time: materialise them first.
-    pos, flags = subset_positions(flags, _score_order(), ["label", "thr", "rng"], F.col("tp") == 1,
-                                  num_partitions, materialize=True)
-    tps = pos.select("label", "thr", "rng", (F.col("pos_sub") + 1).alias("i"), (F.col("pos_all") + 1).alias("k"))
+    if all(lo <= 0.0 and hi >= AREA_RANGES["all"][1] for lo, hi in ranges.values()):
+        # ranges that ignore (almost) nothing: rank only the true positives and
+        # the rare ignored detections.  p is each detection's position in its
+        # class's score order, computed once rather than per threshold; a true
+        # positive's position among true positives gives i, and the event rows
+        # before it that are not true positives are the ignored detections
+        # before it, so k = p + 1 - ignored-before.
+        capped = with_row_index(capped, _score_order(), "p", groups=["label"], num_partitions=num_partitions)
+        grouped = match_by_image(capped, truth, thresholds_pct, ranges, top, capped=True, hot_rows=hot_rows)
+        pos, flags = subset_positions(events_of(grouped), ["p"], ["label", "thr", "rng"], F.col("tp") == 1,
+                                      num_partitions, materialize=True)
+        tps = pos.select("label", "thr", "rng", (F.col("pos_sub") + 1).alias("i"),
+                         (F.col("p") + 1 - (F.col("pos_all") - F.col("pos_sub"))).alias("k"))
+    else:
+        # area ranges ignore many detections: rank the counted detections
+        # themselves (one range cut of the flags; the per-image folds are
+        # materialised first so the cut's sampling pass does not run them again)
+        grouped = match_by_image(capped, truth, thresholds_pct, ranges, top, capped=True, hot_rows=hot_rows)
+        pos, flags = subset_positions(flags_of(grouped), _score_order(), ["label", "thr", "rng"],
+                                      F.col("tp") == 1, num_partitions, materialize=True)
+        tps = pos.select("label", "thr", "rng", (F.col("pos_sub") + 1).alias("i"),
+                         (F.col("pos_all") + 1).alias("k"))
+    matches = matches_of(grouped)
     ap = _ap_from_positions(tps, npos, thresholds_pct)
     # recall per max_dets: true positives among the first m detections per image and class
     md = F.array(*[F.lit(m) for m in max_dets])
