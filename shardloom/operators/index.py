@@ -15,6 +15,9 @@ every row goes through one task.  Here the order is cut into ranges instead:
    frame has one row per group and is joined without a hint, so AQE decides
    on broadcast by measured size.
 
+The checkpoint is eager: these functions run the range cut when called and
+return frames that read the checkpointed partitions.
+
 Running sums (``running_sum``) use the same range cut, a window per
 (partition, group) that only sees one partition's slice, and a small
 per-(partition, group) totals frame for the carry between partitions.

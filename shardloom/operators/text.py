@@ -27,7 +27,8 @@ def build_vocab(df: DataFrame, text_col: str = "text", size: int = 30000,
     distributed row index over the count table (a range cut), not a global
     top-k: ``limit`` would merge ``size`` rows from every partition in one
     task, which at tens of thousands of words and thousands of partitions is
-    a single-task funnel.
+    a single-task funnel.  The ranking runs when this is called (its range
+    cut is checkpointed); the returned frame reads that checkpoint.
     """
     spark = df.sparkSession
     words = df.select(F.explode(tokens(text_col)).alias("token"))
