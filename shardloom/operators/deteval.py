@@ -129,11 +129,16 @@ def salted_join(small: DataFrame, big: DataFrame, keys: Sequence[str], spread_co
     counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > hot_rows).select(
         *keys, F.ceil(F.col("_n") / F.lit(float(hot_rows))).cast("int").alias("_buckets"))
-    b = (big.join(F.broadcast(hot), list(keys), "left")
+    # at least a million rows per hot key keeps the list small enough to
+    # broadcast at any input size; with a lower threshold the planner decides
+    # from the measured size
+    if hot_rows >= HOT_ROWS:
+        hot = F.broadcast(hot)
+    b = (big.join(hot, list(keys), "left")
          .withColumn("_salt", F.when(F.col("_buckets").isNull(), F.lit(0)).otherwise(
              F.pmod(F.xxhash64(F.col(spread_col)), F.col("_buckets")).cast("int")))
          .drop("_buckets"))
-    s = (small.join(F.broadcast(hot), list(keys), "left")
+    s = (small.join(hot, list(keys), "left")
          .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_buckets"), F.lit(1)) - 1)))
          .drop("_buckets"))
     return s.join(b, [*keys, "_salt"]).drop("_salt")

@@ -41,24 +41,34 @@ def build_vocab(df: DataFrame, text_col: str = "text", size: int = 30000,
     return sp.unionByName(ranked.select("token", F.col("id").cast("int").alias("id"), "count"))
 
 
+# Vocabularies up to this many entries are broadcast (a few MB); larger ones
+# are joined by whatever the planner picks from their measured size.
+BROADCAST_VOCAB_MAX = 1_000_000
+
+
 def encode(df: DataFrame, vocab: DataFrame, key: str | Sequence[str], text_col: str = "text",
-           max_length: int = 256, keep: Sequence[str] = ()) -> DataFrame:
+           max_length: int = 256, keep: Sequence[str] = (), vocab_size: int | None = None) -> DataFrame:
     """Fixed-length encoding: ``[CLS] w1 .. wk [SEP] [PAD]..`` with
     ``k <= max_length - 2`` (truncation), ``attention_mask`` 1 on real tokens,
     ``token_type_ids`` all 0 (single sentence).  Unknown words map to [UNK].
 
     ``key`` must identify a row; ``keep`` columns are carried along.  The
     token list is cut by position *before* exploding, so no row beyond the
-    length is generated; the vocabulary side of the join is bounded by its
-    ``size`` and broadcast.
+    length is generated; the vocabulary side of the join is bounded by the
+    ``size`` it was built with (pass it as ``vocab_size``) and broadcast up to
+    ``BROADCAST_VOCAB_MAX`` entries.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    # the vocabulary's size bound is the ``size`` it was built with
+    broadcast_vocab = vocab_size is not None and vocab_size <= BROADCAST_VOCAB_MAX
     body = max_length - 2
     if body < 0:
         raise ValueError("max_length must be at least 2")
     cut = F.slice(tokens(text_col), 1, body) if body > 0 else F.array().cast("array<string>")
     exploded = df.select(*keys, *keep, F.posexplode_outer(cut).alias("pos", "token"))
-    voc = F.broadcast(vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_id")))
+    voc = vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_id"))
+    if broadcast_vocab:
+        voc = F.broadcast(voc)
     joined = exploded.join(voc, exploded["token"] == voc["_tok"], "left")
     item = F.when(F.col("pos").isNotNull(),
                   F.struct(F.col("pos"), F.coalesce(F.col("_id"), F.lit(UNK)).alias("id")))

@@ -95,7 +95,7 @@ SHARD_SEQ = 32
 def _encoded_sentences(spark, sf):
     s = FX.sentences(spark, sf)
     vocab = T.build_vocab(table(spark, sf, "documents"), "text", VOCAB_SIZE)
-    return T.encode(s, vocab, "idx", "sentence", SHARD_SEQ, keep=["label"])
+    return T.encode(s, vocab, "idx", "sentence", SHARD_SEQ, keep=["label"], vocab_size=VOCAB_SIZE)
 
 
 _DUCK_SHARDS = f"""

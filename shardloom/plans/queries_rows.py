@@ -128,7 +128,7 @@ def collate_sentence_batches(spark, sf):
     batch of 16, arrays stacked in row order, labels kept as a list."""
     s = FX.sentences(spark, sf)
     enc = T.encode(s, T.build_vocab(table(spark, sf, "documents"), "text", VOCAB_SIZE), "idx",
-                   "sentence", 32, keep=["label"])
+                   "sentence", 32, keep=["label"], vocab_size=VOCAB_SIZE)
     bat = B.assign_batches(enc, 16, "idx")
     col = T.collate(bat, "batch", "idx", ["input_ids"], "label")
     return col.select("batch", F.array_join(F.transform("labels", lambda x: x.cast("string")), ",").alias("labels"),
@@ -165,7 +165,7 @@ from enc
 def describe_encoded_docs(spark, sf):
     """T4: first five ids, length and element type of each encoded row."""
     enc = T.encode(table(spark, sf, "documents"), T.build_vocab(table(spark, sf, "documents"), "text", VOCAB_SIZE),
-                   "doc_id", "text", 32)
+                   "doc_id", "text", 32, vocab_size=VOCAB_SIZE)
     d = T.describe_encoded(enc.select("doc_id", "input_ids"), ["input_ids"], head=5, keys=["doc_id"])
     return d.select("doc_id", "column", F.array_join(F.col("first_ids"), ",").alias("first_ids"), "length", "dtype")
 

@@ -46,7 +46,7 @@ def _vocab(spark, sf):
 
 def _encoded(spark, sf, max_length=SEQ_LEN):
     docs = table(spark, sf, "documents")
-    return T.encode(docs, _vocab(spark, sf), "doc_id", "text", max_length, keep=["lang"])
+    return T.encode(docs, _vocab(spark, sf), "doc_id", "text", max_length, keep=["lang"], vocab_size=VOCAB_SIZE)
 
 
 @register("encode_tokens_by_lang", sql=f"""
