@@ -194,3 +194,33 @@ def sample_shards_head(spark, sf):
     S.export_shards(_encoded_sentences(spark, sf), p, SHARD_COLUMNS, "idx", parts=SHARD_PARTS,
                     size_limit=SHARD_LIMIT)
     return S.sample_shards(spark, p, SHARD_COLUMNS, "idx", 5)
+
+
+_DUCK_EXACT = _DUCK_SHARDS.split("cum as (")[0] + f"""ex as (
+  select part, list(idx order by idx) as idxs,
+         list_reduce(list(row_bytes order by idx), lambda acc, b:
+           case when acc.cur > 0 and acc.cur + b > {SHARD_LIMIT}
+                then {{'cur': b::BIGINT, 'sid': acc.sid + 1, 'ids': list_append(acc.ids, acc.sid + 1)}}
+                else {{'cur': acc.cur + b, 'sid': acc.sid, 'ids': list_append(acc.ids, acc.sid)}} end,
+           {{'cur': 0::BIGINT, 'sid': 0::BIGINT, 'ids': []::BIGINT[]}}).ids as sids
+  from parted group by part),
+sx as (select part, unnest(idxs) as idx, unnest(sids) as shard from ex),
+man as (
+  select p.part, cast(x.shard as integer) as shard, count(*) as rows, cast(sum(p.row_bytes) as bigint) as bytes,
+         sha1(string_agg(p.digest, ',' order by p.digest)) as hash
+  from parted p join sx x on p.part = x.part and p.idx = x.idx group by p.part, x.shard)
+"""
+
+
+@register("export_shards_exact_manifest", sql=_DUCK_EXACT + """
+select part, shard, rows, bytes, hash,
+       cast(coalesce(sum(rows) over (order by part, shard rows between unbounded preceding and 1 preceding), 0)
+            as bigint) as start
+from man
+""")
+def export_shards_exact_manifest(spark, sf):
+    """S7 exact mode: the sequential writer's roll-over (a shard closes when
+    the next sample would overflow it), one streaming pass per part."""
+    p = scratch_path(spark, "shards-exact")
+    return S.export_shards(_encoded_sentences(spark, sf), p, SHARD_COLUMNS, "idx",
+                           parts=SHARD_PARTS, size_limit=SHARD_LIMIT, mode="exact")

@@ -17,9 +17,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.index import running_sum
 from ..operators.rows import conform_columns
+from ..operators.splits import assign_groups
 
 # Bytes per element of each declared sample dtype.
 ELEMENT_BYTES = {"int32": 4, "int": 8, "int64": 8, "float32": 4, "float64": 8}
@@ -59,15 +61,52 @@ def row_digest(columns: dict[str, str]) -> Column:
     return F.sha1(F.concat_ws("\u001f", *parts))
 
 
+def _rollover(size_limit: int):
+    """Per-partition pass over rows sorted by (part, key): the sequential
+    writer's rule -- a new shard starts when the next sample would push a
+    non-empty shard past ``size_limit``.  State is carried across batches."""
+    def run(batches):
+        import numpy as np
+        part, cur, sid = None, 0, 0
+        for pdf in batches:
+            parts = pdf["part"].to_numpy()
+            sizes = pdf["row_bytes"].to_numpy()
+            out = np.empty(len(pdf), dtype="int32")
+            for i in range(len(pdf)):
+                if parts[i] != part:
+                    part, cur, sid = parts[i], 0, 0
+                elif cur > 0 and cur + sizes[i] > size_limit:
+                    cur, sid = 0, sid + 1
+                cur += int(sizes[i])
+                out[i] = sid
+            yield pdf.assign(shard=out)
+    return run
+
+
 def assign_shards(df: DataFrame, columns: dict[str, str], key: Sequence[str] | str, parts: int = 4,
-                  size_limit: int = 64 << 20, num_partitions: int | None = None) -> DataFrame:
+                  size_limit: int = 64 << 20, num_partitions: int | None = None,
+                  mode: str = "prefix") -> DataFrame:
     """Add ``part`` (B3 contiguous groups in key order), ``shard`` (dense
     within the part) and ``row_bytes``.
 
-    One range cut in key order gives each row its position and the running
-    byte count; the part follows from the position, and the bytes before a
-    part come from a frame with one row per part."""
+    ``prefix`` (default): one range cut in key order gives each row its
+    position and the running byte count; the part follows from the position,
+    the bytes before a part come from a frame with one row per part, and
+    ``shard = (running_bytes - 1) div size_limit`` renumbered densely.
+
+    ``exact``: the sequential writer's roll-over (a shard closes when the
+    next sample would overflow it), as a streaming pass over each part in
+    key order -- each part is one task's sorted partition, so use many parts
+    for large inputs."""
     keys = [key] if isinstance(key, str) else list(key)
+    if mode == "exact":
+        src = df.withColumn("row_bytes", row_bytes(columns))
+        g = assign_groups(src, parts, keys, "part", num_partitions)
+        x = g.repartition("part").sortWithinPartitions("part", *keys)
+        schema = T.StructType(x.schema.fields + [T.StructField("shard", T.IntegerType(), False)])
+        return x.mapInPandas(_rollover(int(size_limit)), schema)
+    if mode != "prefix":
+        raise ValueError(f"unknown shard mode {mode!r}")
     src = df.withColumn("row_bytes", row_bytes(columns))
     r = running_sum(src, keys, {"_n": F.lit(1).cast("bigint"), "_cb": F.col("row_bytes")},
                     num_partitions=num_partitions, totals=True)
@@ -88,12 +127,12 @@ def assign_shards(df: DataFrame, columns: dict[str, str], key: Sequence[str] | s
 
 def export_shards(df: DataFrame, path: str, columns: dict[str, str], key: Sequence[str] | str,
                   parts: int = 4, size_limit: int = 64 << 20, compression: str = "zstd", level: int = 7,
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None, mode: str = "prefix") -> DataFrame:
     """Write shards and their merged manifest (under ``path/_index``);
     returns the manifest read back from storage.  ``mode=overwrite``
     replaces only this export's own folder."""
     keys = [key] if isinstance(key, str) else list(key)
-    a = assign_shards(df, columns, keys, parts, size_limit, num_partitions)
+    a = assign_shards(df, columns, keys, parts, size_limit, num_partitions, mode)
     a = a.withColumn("_digest", row_digest(columns))
     extra = [k for k in keys if k not in columns]
     typed = a.select(*conform_columns(columns), *extra, "part", "shard")

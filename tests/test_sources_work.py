@@ -143,3 +143,12 @@ def test_coco_frames(spark):
     p = scratch_path(spark, "test-coco")
     WR.write_coco(fr, p)
     assert spark.read.json(f"{p}/images").count() == 1
+
+
+def test_exact_rollover_differs_from_prefix_rule(spark):
+    df = spark.createDataFrame([(i, "x" * 100) for i in range(5)], "idx long, s string")
+    cols = {"s": "str"}
+    prefix = {r["idx"]: r["shard"] for r in S.assign_shards(df, cols, "idx", 1, 250).collect()}
+    exact = {r["idx"]: r["shard"] for r in S.assign_shards(df, cols, "idx", 1, 250, mode="exact").collect()}
+    assert [prefix[i] for i in range(5)] == [0, 0, 1, 1, 1]
+    assert [exact[i] for i in range(5)] == [0, 0, 1, 1, 2]
