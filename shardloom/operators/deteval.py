@@ -340,29 +340,39 @@ def evaluate(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[int] =
     pairs = iou_pairs(capped, truth, min(thresholds_pct) / 100.0, top, capped=True)
     # truths per (class, range): a handful of rows, used by several branches below
     npos = truth_counts(truth, ranges).checkpoint(eager=True)
-    if all(lo <= 0.0 and hi >= AREA_RANGES["all"][1] for lo, hi in ranges.values()):
-        # ranges that ignore (almost) nothing: rank only the true positives and
-        # the rare ignored detections.  p is each detection's position in its
-        # class's score order, computed once rather than per threshold; a true
-        # positive's position among true positives gives i, and the event rows
-        # before it that are not true positives are the ignored detections
-        # before it, so k = p + 1 - ignored-before.
-        capped = with_row_index(capped, _score_order(), "p", groups=["label"], num_partitions=num_partitions)
-        grouped = match_by_image(capped, truth, thresholds_pct, ranges, top, capped=True, hot_rows=hot_rows)
-        pos, flags = subset_positions(events_of(grouped), ["p"], ["label", "thr", "rng"], F.col("tp") == 1,
-                                      num_partitions, materialize=True)
-        tps = pos.select("label", "thr", "rng", (F.col("pos_sub") + 1).alias("i"),
-                         (F.col("p") + 1 - (F.col("pos_all") - F.col("pos_sub"))).alias("k"))
-    else:
-        # area ranges ignore many detections: rank the counted detections
-        # themselves (one range cut of the flags; the per-image folds are
-        # materialised first so the cut's sampling pass does not run them again)
-        grouped = match_by_image(capped, truth, thresholds_pct, ranges, top, capped=True, hot_rows=hot_rows)
-        pos, flags = subset_positions(flags_of(grouped), _score_order(), ["label", "thr", "rng"],
-                                      F.col("tp") == 1, num_partitions, materialize=True)
-        tps = pos.select("label", "thr", "rng", (F.col("pos_sub") + 1).alias("i"),
-                         (F.col("pos_all") + 1).alias("k"))
-    matches = matches_of(grouped)
+    # ranges that ignore (almost) nothing rank only their true positives (and
+    # the rare ignored detections); area ranges rank their counted detections.
+    # Each kind is matched in its own pass, so no fold runs twice.
+    full = {n: r for n, r in ranges.items() if r[0] <= 0.0 and r[1] >= AREA_RANGES["all"][1]}
+    area = {n: r for n, r in ranges.items() if n not in full}
+    ranked, flag_parts, match_parts = [], [], []
+    common = ["image_id", "label", "det_id", "det_rank", "thr", "rng", "tp"]
+    if full:
+        # p is each detection's position in its class's score order, computed
+        # once rather than per threshold; a true positive's position among true
+        # positives gives i, and the event rows before it that are not true
+        # positives are the ignored detections before it: k = p + 1 - those.
+        cp = with_row_index(capped, _score_order(), "p", groups=["label"], num_partitions=num_partitions)
+        g = match_by_image(cp, truth, thresholds_pct, full, top, capped=True, hot_rows=hot_rows)
+        pos, ev = subset_positions(events_of(g), ["p"], ["label", "thr", "rng"], F.col("tp") == 1,
+                                   num_partitions, materialize=True)
+        ranked.append(pos.select("label", "thr", "rng", (F.col("pos_sub") + 1).alias("i"),
+                                 (F.col("p") + 1 - (F.col("pos_all") - F.col("pos_sub"))).alias("k")))
+        flag_parts.append(ev.select(*common))
+        match_parts.append(matches_of(g))
+    if area:
+        # one range cut of the counted detections; the per-image folds are
+        # materialised first so the cut's sampling pass does not run them again
+        g = match_by_image(capped, truth, thresholds_pct, area, top, capped=True, hot_rows=hot_rows)
+        pos, fl = subset_positions(flags_of(g), _score_order(), ["label", "thr", "rng"], F.col("tp") == 1,
+                                   num_partitions, materialize=True)
+        ranked.append(pos.select("label", "thr", "rng", (F.col("pos_sub") + 1).alias("i"),
+                                 (F.col("pos_all") + 1).alias("k")))
+        flag_parts.append(fl.select(*common))
+        match_parts.append(matches_of(g))
+    tps, flags, matches = ranked[0], flag_parts[0], match_parts[0]
+    for x, y, z in zip(ranked[1:], flag_parts[1:], match_parts[1:]):
+        tps, flags, matches = tps.unionByName(x), flags.unionByName(y), matches.unionByName(z)
     ap = _ap_from_positions(tps, npos, thresholds_pct)
     # recall per max_dets: true positives among the first m detections per image and class
     md = F.array(*[F.lit(m) for m in max_dets])
