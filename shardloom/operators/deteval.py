@@ -327,9 +327,12 @@ def average_precision(flags: DataFrame, npos: DataFrame, thresholds_pct: Sequenc
 def evaluate(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[int] = IOU_THRESHOLDS_PCT,
              ranges: dict[str, tuple[float, float]] | None = None, max_dets: Sequence[int] = MAX_DETS,
              num_partitions: int | None = None, hot_rows: int = HOT_ROWS) -> dict[str, DataFrame]:
-    """E1-E5 in one plan.  Returns frames: ``pairs``, ``matches``, ``flags``,
-    ``npos``, ``ap`` (class, thr, rng, ap) and ``recall`` (class, thr, rng,
-    max_dets, recall)."""
+    """E1-E5.  Returns frames: ``pairs``, ``matches``, ``flags`` (per
+    threshold and range with ``tp`` 0/1: for ranges that ignore nothing only
+    true positives and ignored detections, for area ranges every counted
+    detection), ``npos``, ``ap`` (class, thr, rng, ap) and ``recall``
+    (class, thr, rng, max_dets, recall).  A (image, class) with more than
+    ``hot_rows`` truths is split into buckets for the IoU join."""
     ranges = ranges or AREA_RANGES
     top = max(max_dets)
     checkpoint_dir(pred.sparkSession)
