@@ -311,3 +311,32 @@ def test_hot_image_split_into_buckets_is_exact(spark):
     plain = E.match_greedy(pdf, tdf, [50, 75], {"all": E.AREA_RANGES["all"]})
     split = E.match_greedy(pdf, tdf, [50, 75], {"all": E.AREA_RANGES["all"]}, hot_rows=40)
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect()))
+
+
+def test_full_range_with_ignored_giants_matches_brute_force(spark):
+    """Boxes above 1e10 square pixels are ignored even by 'all': the
+    true-positive ranking must subtract the ignored detections before each."""
+    rnd = random.Random(5)
+    truth, pred = [], []
+    for img in range(12):
+        for g in range(4):
+            giant = g == 0 and img % 3 == 0
+            w, h = (2e5, 1e5) if giant else (rnd.uniform(10, 60), rnd.uniform(10, 60))
+            x, y = rnd.uniform(0, 50), rnd.uniform(0, 50)
+            truth.append((img, 0, g + 1, x, y, x + w, y + h))
+            for d in range(2):
+                s = rnd.uniform(0.9, 1.1)
+                pred.append((img, 0, 10 * g + d + 1, x, y, x + w * s, y + h * s, round(rnd.random(), 4)))
+        # an unmatched giant detection: ignored, not a false positive
+        pred.append((img, 0, 999, 0.0, 0.0, 3e5, 3e5, round(rnd.random(), 4)))
+    pdf = spark.createDataFrame(pred, "image_id long, label int, det_id long, x1 double, y1 double, x2 double, "
+                                      "y2 double, score double")
+    tdf = spark.createDataFrame(truth, "image_id long, label int, gt_id long, x1 double, y1 double, x2 double, "
+                                       "y2 double")
+    res = E.evaluate(pdf, tdf, thresholds_pct=[50, 80], ranges={"all": E.AREA_RANGES["all"]})
+    ap = {r["thr"]: r["ap"] for r in res["ap"].collect()}
+    rec = {r["thr"]: r["recall"] for r in res["recall"].filter("max_dets = 100").collect()}
+    for pct in (50, 80):
+        a, r = _brute_ranges(pred, truth, pct / 100, *E.AREA_RANGES["all"])[0]
+        assert ap[pct / 100] == pytest.approx(a, abs=1e-12)
+        assert rec[pct / 100] == pytest.approx(r, abs=1e-12)
