@@ -27,6 +27,14 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver did."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+
+
 def id_bucket(doc_id: str | Column = "doc_id") -> Column:
     """crc32 of the id written as text, mod 5: 0 is the held-out part (a null id counts as '')."""
     return F.crc32(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit(None)).cast("string")) % 5

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from . import packing
-from .common import documents, tokenizer_path
+from . import linededup, packing
+from .common import documents, tokenizer_path, workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -20,6 +20,7 @@ def register(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             checkpoint_dir(spark)
+            workers_find_package(spark)
             return fn(spark, sf_dir)
         run.__name__, run.__doc__ = name, fn.__doc__
         QUERIES[name] = run
@@ -33,3 +34,22 @@ def register(name: str, sql: str | None = None):
 def pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Power-of-two pieces of every document."""
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path())
+
+
+@register("op8_line_dedup", r"""
+with lines as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos
+  from documents),
+keyed as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from lines),
+settled as (select key from keyed where length(key) >= 1 group by key having count(distinct doc_id) >= 10)
+select doc_id, count(*) as n_lines, count(s.key) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where s.key is null), '')) as kept_sha256
+from keyed left join settled s using (key) group by doc_id
+""")
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines found in ten documents or more leave every document."""
+    out = linededup.dedup_lines(documents(spark, sf_dir), min_docs=10, min_chars=1)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
