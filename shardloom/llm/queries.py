@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
-from . import linededup, packing
+from ..session import checkpoint_dir, scratch_path
+from . import linededup, packing, tokenfiles
 from .common import documents, tokenizer_path, workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,15 @@ def pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path())
 
 
+@register("op5_token_files")
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document written to dictionary-compressed token files and read back from them."""
+    path = scratch_path(spark, "token-files")
+    tokenfiles.write_token_files(documents(spark, sf_dir), path, tokenizer_path())
+    back = tokenfiles.read_token_files(spark, path)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @register("op8_line_dedup", r"""
 with lines as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
