@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, scratch_path
-from . import linededup, packing, tokenfiles
-from .common import documents, tokenizer_path, workers_find_package
+from . import langid, linededup, packing, tokenfiles
+from .common import documents, held_out, tokenizer_path, workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -62,3 +62,11 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines found in ten documents or more leave every document."""
     out = linededup.dedup_lines(documents(spark, sf_dir), min_docs=10, min_chars=1)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@register("op10_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from the rows that are not held out."""
+    docs = documents(spark, sf_dir)
+    out = langid.identify(docs, docs.filter(~held_out()))
+    return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
