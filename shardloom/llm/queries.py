@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, scratch_path
-from . import langid, linededup, packing, tokenfiles
+from . import jaccard, langid, linededup, packing, tokenfiles
 from .common import documents, held_out, tokenizer_path, workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,28 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op2_ngram_jaccard_join", r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+         else list_distinct([array_to_string(w[i:i + 2], ' ') for i in range(1, len(w) - 1)]) end as s from words),
+grams as (select doc_id, len(s) as n, unnest(s) as g from sets),
+links as (
+  select a.doc_id as u, b.doc_id as v from grams a join grams b on a.g = b.g and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach(u, v) as (select u, v from links union select r.u, l.v from reach r join links l on r.v = l.u)
+select doc_id, len(s)::bigint as n_shingles,
+       least(doc_id, coalesce((select min(v) from reach where u = doc_id), doc_id)) as component_id
+from sets
+""")
+def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by a 3-word-shingle similarity of 0.9 or more."""
+    out = jaccard.near_duplicates(documents(spark, sf_dir), n=3, num=90, den=100)
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
 @register("op4_pack_power_of_two")
 def pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Power-of-two pieces of every document."""
