@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, scratch_path
-from . import jaccard, langid, linededup, packing, tokenfiles
+from . import jaccard, langid, linededup, packing, quality, tokenfiles
 from .common import documents, held_out, tokenizer_path, workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,17 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Surface counts and the n-gram log-likelihood ratio verdict of every document."""
+    docs = documents(spark, sf_dir)
+    trusted = documents(spark, sf_dir, "labels").filter((F.col("quality") == 1) & ~held_out())
+    model = quality.fit(docs, trusted).checkpoint()
+    out = quality.score(docs, model)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept", "score")
+
+
 @register("op2_ngram_jaccard_join", r"""
 with recursive words as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
