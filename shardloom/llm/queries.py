@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, scratch_path
-from . import jaccard, langid, linededup, packing, quality, tokenfiles
+from . import imatch, jaccard, langid, linededup, packing, quality, tokenfiles
 from .common import documents, held_out, tokenizer_path, workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +97,12 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@register("op9_imatch_fingerprints")
+def imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and their likeness."""
+    return imatch.fingerprint_edits(documents(spark, sf_dir))
+
+
 @register("op10_language_id")
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learnt from the rows that are not held out."""
