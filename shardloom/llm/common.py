@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 WS = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: texts are worked on in slices of about this many bytes, which bounds a task's scratch arrays
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -48,6 +48,7 @@ def as_large(texts: pa.Array | pa.ChunkedArray) -> pa.Array:
     """Texts as one large_string array without nulls."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
+    pa.default_memory_pool().release_unused()  # what the batch before has left
     return pc.fill_null(pc.cast(texts, pa.large_string()), "")
 
 
@@ -101,7 +102,7 @@ class WordEncoder:
     runs lives as long as the Python worker and has a bounded size.  Texts that may spell a
     special token are encoded as they are."""
 
-    RUNS = 1_000_000
+    RUNS = 400_000
 
     def __init__(self, path: str, end_mark: str = "</w>"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -150,7 +151,9 @@ class WordEncoder:
         begin = np.cumsum(size) - size
         length = size[words.codes]
         ends = np.concatenate(([0], np.cumsum(length)))
-        ids = table[np.repeat(begin[words.codes] - ends[:-1], length) + np.arange(ends[-1])]
+        at = np.arange(ends[-1])
+        at += np.repeat(begin[words.codes] - ends[:-1], length)
+        ids = table[at]
         starts = ends[words.starts]
         if not special.any():
             return ids, starts

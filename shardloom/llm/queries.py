@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, scratch_path
-from . import imatch, jaccard, langid, linededup, packing, quality, tokenfiles
+from . import imatch, jaccard, knn, langid, linededup, packing, quality, tokenfiles
 from .common import documents, held_out, tokenizer_path, workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,15 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@register("op7_quality_neighbours")
+def quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of every document from its nearest labelled neighbours."""
+    docs = documents(spark, sf_dir)
+    model = knn.fit(docs, documents(spark, sf_dir, "labels").filter(~held_out()))
+    out = docs.select("doc_id", held_out().alias("held_out"), knn.score_column(spark, model).alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @register("op8_line_dedup", r"""
 with lines as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
