@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, scratch_path
-from . import imatch, jaccard, knn, langid, linededup, packing, quality, tokenfiles
+from . import imatch, jaccard, knn, langid, linededup, packing, quality, tokenfiles, warc
 from .common import documents, held_out, tokenizer_path, workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,35 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@register("op6_warc_merkle_audit", r"""
+with records as (
+  select page_id, url, row_number() over (order by page_id) - 1 as pos,
+         'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: '
+         || coalesce(url, '') || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10)
+         || 'Content-Length: ' as head, coalesce(html, '') as body from pages),
+placed as (
+  select *, head || octet_length(encode(body)) || chr(13) || chr(10) || chr(13) || chr(10) || body
+            || chr(13) || chr(10) || chr(13) || chr(10) as rec,
+         head || octet_length(encode('!' || body)) || chr(13) || chr(10) || chr(13) || chr(10) || '!' || body
+            || chr(13) || chr(10) || chr(13) || chr(10) as bad from records)
+select page_id, lpad((pos // 4096)::varchar, 8, '0') || '.warc' as file, pos % 4096 as seq,
+       "offset", length, sha256(rec) as primary_sha256,
+       case when md5(coalesce(url, '')) like '0%' then sha256(bad) end as replica_sha256,
+       case when md5(coalesce(url, '')) like '0%' then 'altered' else 'missing' end as status
+from (select *, octet_length(encode(rec)) as length,
+             (sum(octet_length(encode(rec))) over (partition by pos // 4096 order by pos)
+              - octet_length(encode(rec)))::bigint as "offset" from placed)
+where md5(coalesce(url, '')) like '0%' or md5(coalesce(url, '')) like '1%'
+""")
+def warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, audited against a replica that lost or altered the records of some urls."""
+    pages = documents(spark, sf_dir, "pages")
+    mark = F.substring(F.md5(F.coalesce("url", F.lit(""))), 1, 1)
+    replica = pages.filter(mark != "1").withColumn(
+        "html", F.when(mark == "0", F.concat(F.lit("!"), F.coalesce("html", F.lit("")))).otherwise(F.col("html")))
+    return warc.audit_tables(pages, replica).withColumnRenamed("id", "page_id")
+
+
 @register("op7_quality_neighbours")
 def quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of every document from its nearest labelled neighbours."""
