@@ -52,13 +52,14 @@ def as_large(texts: pa.Array | pa.ChunkedArray) -> pa.Array:
     return pc.fill_null(pc.cast(texts, pa.large_string()), "")
 
 
-def slices(texts: pa.Array, budget: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """(start, stop) ranges of rows with about ``budget`` bytes each; one long text is a range of its own."""
+def slices(texts: pa.Array, budget: int = SLICE_BYTES, rows: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """(start, stop) ranges of at most ``rows`` rows with about ``budget`` bytes each; one long text is a
+    range of its own."""
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
     start, n = 0, len(texts)
     while start < n:
         done = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, done + budget, side="right")))
+        stop = min(start + rows, max(start + 1, int(np.searchsorted(ends, done + budget, side="right"))))
         yield start, stop
         start = stop
 

@@ -143,7 +143,7 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text, label) -> (label, sparse counts, shape) for the labelled sample."""
     for batch in batches:
         texts = as_large(batch.column(0))
-        for a, b in slices(texts, _SLICE):
+        for a, b in slices(texts, _SLICE, 2 * BLOCK):
             counts, shape = features(texts[a:b])
             at = [np.flatnonzero(x) for x in counts]
             yield pa.RecordBatch.from_pydict({
@@ -173,7 +173,7 @@ def score_column(spark, model: Model, text: str | Column = "text") -> Column:
 
     def run(texts: pa.Array) -> pa.Array:
         texts = as_large(texts)
-        out = [shared.value.score(*features(texts[a:b])) for a, b in slices(texts, _SLICE)]
+        out = [shared.value.score(*features(texts[a:b])) for a, b in slices(texts, _SLICE, 2 * BLOCK)]
         return pa.array(np.concatenate(out) if out else [], pa.float64())
 
     run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
