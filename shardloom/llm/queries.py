@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, scratch_path
-from . import imatch, jaccard, knn, langid, linededup, packing, quality, tokenfiles, warc
+from . import imatch, jaccard, knn, langid, linededup, packing, quality, sentencepieces, tokenfiles, warc
 from .common import documents, held_out, tokenizer_path, workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,16 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id")
 
 
+@register("op3_sentencepiece_dropout")
+def sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded with seeded merge-dropout, and decoded again from its ids."""
+    path = tokenizer_path("piece_bpe_32k.model")
+    coded = sentencepieces.encode_documents(documents(spark, sf_dir), path)
+    out = coded.withColumn("back", sentencepieces.decode_column(path, "ids"))
+    return out.select("doc_id", F.expr("cast(length(ids) div 4 as bigint)").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"),
+                      F.sha2("back", 256).alias("decoded_sha256"), (F.col("back") == F.col("text")).alias("lossless"))
+
+
 @register("op4_pack_power_of_two")
 def pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Power-of-two pieces of every document."""
