@@ -9,7 +9,7 @@ asked to carry, packed in one struct), so further columns of any name cannot cla
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,29 @@ def workers_find_package(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
 
 
+#: key of a document row: id (-1 for null), whether it is null, hash of the text
+KEY = ["_id", "_null", "_h"]
+
+
+def key_columns(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
+    """The columns of KEY, none of them null, so that rows meet in plain equality joins."""
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("_id"),
+            F.col(id_col).isNull().cast("int").alias("_null"),
+            F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_h")]
+
+
+def carry_struct(columns: Sequence[str]) -> list[Column]:
+    """One struct column ``carried`` of further columns, whatever their names (none if there are none)."""
+    return [F.struct(*[F.col(f"`{c}`") for c in columns]).alias("carried")] if columns else []
+
+
+def as_documents(columns: Sequence[str], text: Column, id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
+    """The columns of a documents table again, from doc_id, a new text and ``carried``."""
+    return [F.col("doc_id").alias(c) if c == id_col else text.alias(c) if c == text_col
+            else F.length(text).cast("long").alias(c) if c == "n_chars"
+            else F.col("carried").getField(c).alias(c) for c in columns]
+
+
 def id_bucket(doc_id: str | Column = "doc_id") -> Column:
     """crc32 of the id written as text, mod 5: 0 is the held-out part (a null id counts as '')."""
     return F.crc32(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit(None)).cast("string")) % 5

@@ -30,12 +30,12 @@ from pyspark.sql import functions as F
 
 from ..operators.index import with_row_index
 from ..session import checkpoint_dir, scratch_path
+from .common import KEY, key_columns
 
 LOW, HIGH = 0.001, 0.02
 BROADCAST_TERMS = 1 << 20
 PER_RATE = 16
 RATES = 3
-KEY = ["_id", "_null", "_h"]
 
 
 def term_keys(text: str) -> Column:
@@ -126,10 +126,7 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     checkpoint_dir(spark)
     folder = scratch_path(spark, "imatch")
     terms = lexicon(docs, text_col, low, high)
-    base = (docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("_id"),
-                        F.col(id_col).isNull().cast("int").alias("_null"),
-                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-            .withColumn("_h", F.xxhash64("text")))
+    base = docs.select(*key_columns(id_col, text_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     # the order, on keys and lengths only: each document's donor is the next one, the last one's the first
     keys = base.select(*KEY, F.length("text").cast("long").alias("n")).distinct().checkpoint()

@@ -35,11 +35,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import Words, as_large, slices
+from .common import KEY, Words, as_large, key_columns, slices
 from .components import connected_components
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -163,7 +163,7 @@ def _sketch(n: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, seen = _bands(num, den), {}
         for batch in batches:
-            texts = as_large(batch.column(2))
+            texts = as_large(batch.column(3))
             for a, b in slices(texts):
                 sets, starts = shingle_sets(texts[a:b], n)
                 size = np.diff(starts)
@@ -188,11 +188,11 @@ def _sketch(n: int, num: int, den: int):
                 maps = bitmaps(sets, starts)
                 at = np.concatenate(([0], np.cumsum([len(m) for m in maps]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0)[a:b], batch.column(1)[a:b], pa.array(size, pa.int64()),
+                    *(batch.column(i)[a:b] for i in range(3)), pa.array(size, pa.int64()),
                     pa.array([None if x is None else x - (1 << 63) for x in nodes], pa.int64()),
                     pa.ListArray.from_arrays(at, pa.array(np.concatenate(maps).view(np.int64) if maps else [], pa.int64())),
                     pa.ListArray.from_arrays(cuts, pa.array(keys, pa.int64()))],
-                    names=["doc_id", "h", "n_shingles", "node", "bits", "tiles"])
+                    names=["_id", "_null", "_h", "n_shingles", "node", "bits", "tiles"])
     return run
 
 
@@ -284,11 +284,12 @@ def _across(num: int, den: int):
 
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, h (xxhash64 of the text), n_shingles, node (the document's set), component_id."""
+    """doc_id, n_shingles, component_id, the row's KEY, and ``group``: a number of the group (null for
+    documents without shingles)."""
     spark = docs.sparkSession
     folder = scratch_path(spark, "jaccard")
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
-    kind = "doc_id long, h long, n_shingles long, node long, bits array<long>, tiles array<long>"
+    base = docs.select(*key_columns(id_col, text_col), F.col(text_col).alias("text"))
+    kind = "_id long, _null int, _h long, n_shingles long, node long, bits array<long>, tiles array<long>"
     base.mapInArrow(_sketch(n, num, den), kind).write.parquet(f"{folder}/sketch")
     sketch = spark.read.schema(kind).parquet(f"{folder}/sketch")
 
@@ -299,10 +300,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
 
     # bitmaps and one text of every node that has a candidate
     met = stars.select("node").union(stars.select("centre")).distinct()
-    (sketch.select("doc_id", "h", "n_shingles", "node", "bits").join(met, "node", "left_semi").groupBy("node")
-     .agg(F.min(F.struct("doc_id", "h")).alias("rep"), F.first("n_shingles").alias("size"), F.first("bits").alias("bits"))
+    (sketch.select(*KEY, "n_shingles", "node", "bits").join(met, "node", "left_semi").groupBy("node")
+     .agg(F.min(F.struct(*KEY)).alias("rep"), F.first("n_shingles").alias("size"), F.first("bits").alias("bits"))
      .write.parquet(f"{folder}/met"))
-    met = spark.read.schema("node long, rep struct<doc_id: long, h: long>, size long, bits array<long>").parquet(f"{folder}/met")
+    met = spark.read.schema("node long, rep struct<_id: long, _null: int, _h: long>, size long, bits array<long>").parquet(f"{folder}/met")
 
     def side(name: str) -> DataFrame:
         return met.select(F.col("node").alias(name), F.col("size").alias(f"size_{name}"), F.col("bits").alias(f"bits_{name}"))
@@ -312,9 +313,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
         pairs.write.parquet(f"{folder}/{name}-pairs")
         pairs = spark.read.schema("u long, v long").parquet(f"{folder}/{name}-pairs")
         used = pairs.select("u").union(pairs.select("v")).distinct().withColumnRenamed("u", "node")
-        reps = met.select("node", "rep.*").join(used, "node", "left_semi").select(
-            "node", F.col("doc_id").alias("_d"), F.col("h").alias("_h"))
-        text = (base.join(reps, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("h") == F.col("_h")))
+        reps = met.select("node", "rep.*").join(used, "node", "left_semi")
+        # rows that repeat id and text give one set more than once; one is enough
+        copy = Window.partitionBy(*KEY).orderBy("node")
+        text = (base.join(reps, KEY).withColumn("_copy", F.row_number().over(copy)).filter("_copy = 1")
                 .select("node", _set_arrays(n)("text").alias("elements")))
         text.write.parquet(f"{folder}/{name}-sets")
         sets = spark.read.schema("node long, elements binary").parquet(f"{folder}/{name}-sets")
@@ -354,15 +356,30 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     labels = connected_components(links.union(more))
 
     # the least id of every group, by node first, so copies are aggregated before the shuffle
-    nodes = sketch.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
+    own = F.when(F.col("_null") == 0, F.col("_id"))
+    nodes = sketch.filter("node is not null").groupBy("node").agg(F.min(own).alias("least"))
     nodes = nodes.join(labels, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
     nodes.write.parquet(f"{folder}/nodes")
     nodes = spark.read.schema("node long, least long, label long").parquet(f"{folder}/nodes")
     groups = nodes.groupBy("label").agg(F.min("least").alias("component_id"))
-    of = nodes.join(groups, "label").select("node", "component_id")
-    return (sketch.select("doc_id", "h", "n_shingles", "node").join(of, "node", "left")
-            .select("doc_id", "h", "n_shingles", "node",
-                    F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+    of = nodes.join(groups, "label").select("node", F.col("label").alias("group"), "component_id")
+    return (sketch.select(*KEY, "n_shingles", "node").join(of, "node", "left")
+            .select(own.alias("doc_id"), "n_shingles",
+                    F.when(F.col("node").isNull(), own).otherwise(F.col("component_id")).alias("component_id"), *KEY, "group"))
+
+
+def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """One row of each group (of the least key: non-null ids first, by id), and all rows without
+    shingles, with all columns of ``docs``."""
+    found = near_duplicates(docs, n, num, den, id_col, text_col)
+    first = (found.filter("group is not null").groupBy("group").agg(F.min(F.struct("_null", "_id", "_h")).alias("k"))
+             .select(*[F.col("k").getField(c).alias(c) for c in KEY], F.lit(True).alias("_one")))
+    blank = found.filter("group is null").select(*KEY).distinct().withColumn("_one", F.lit(False))
+    row = docs.select(*key_columns(id_col, text_col), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    copy = Window.partitionBy(*KEY).orderBy("_one")
+    return (row.join(first.unionByName(blank), KEY).withColumn("_copy", F.row_number().over(copy))
+            .filter("not _one or _copy = 1").select("row.*"))
 
 
 def _folded(one: str, other: str):

@@ -231,3 +231,12 @@ def identify(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_
     out = docs.select(F.col(id_col).alias("doc_id"),
                       language_column(docs.sparkSession, model, text_col, switch, spans).alias("r"))
     return out.select("doc_id", "r.*")
+
+
+def filter_documents(docs: DataFrame, labelled: DataFrame, min_score: float = 0.5, text_col: str = "text",
+                     lang_col: str = "lang", switch: float = SWITCH) -> DataFrame:
+    """The rows of ``docs`` with a language: not ``und``, and at least ``min_score`` of the words in it."""
+    model = train(labelled, text_col, lang_col)
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                      language_column(docs.sparkSession, model, text_col, switch).alias("r"))
+    return row.filter((F.col("r.lang_pred") != UNKNOWN) & (F.col("r.score") >= min_score)).select("row.*")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import as_large, slices
+from .common import KEY, as_large, carry_struct, key_columns, slices
 
 
 def _keys(texts: pa.Array, min_chars: int) -> tuple[pa.Array, list[bytes | None], np.ndarray]:
@@ -138,16 +138,14 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches
     """doc_id, n_lines, n_dropped, kept_text (and ``carried``, a struct of the ``carry`` columns)."""
     spark = docs.sparkSession
     folder = scratch_path(spark, "line-dedup")
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-                       *([F.struct(*carry).alias("carried")] if carry else []),
-                       F.xxhash64(text_col).alias("h"))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       *key_columns(id_col, text_col), *carry_struct(carry))
     # one pass over the texts: the distinct keys of every document
-    base.select("doc_id", "h", _distinct_keys(min_chars)("text").alias("keys")).write.parquet(f"{folder}/keys")
-    keyed = spark.read.schema("doc_id bigint, h bigint, keys array<binary>" if dict(base.dtypes)["doc_id"] == "bigint"
-                              else f"doc_id {dict(base.dtypes)['doc_id']}, h bigint, keys array<binary>"
-                              ).parquet(f"{folder}/keys")
+    kind = "_id long, _null int, _h long, keys array<binary>"
+    base.select(*KEY, _distinct_keys(min_chars)("text").alias("keys")).write.parquet(f"{folder}/keys")
+    keyed = spark.read.schema(kind).parquet(f"{folder}/keys")
     # the sorted run of every batch, counted in one job; then the batches enter one after another
-    (keyed.select(F.pmod(F.col("h"), F.lit(batches)).cast("int").alias("batch"), F.explode("keys").alias("key"))
+    (keyed.select(F.pmod(F.col("_h"), F.lit(batches)).cast("int").alias("batch"), F.explode("keys").alias("key"))
      .groupBy("batch", "key").agg(F.count(F.lit(1)).alias("n"))
      .write.partitionBy("batch").parquet(f"{folder}/batches"))
     counted = spark.read.schema("key binary, n bigint, batch int").parquet(f"{folder}/batches")
@@ -156,10 +154,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches
         runs.add(counted.filter(F.col("batch") == b).select("key", "n"))
     settled = runs.finish()
 
-    hits = (keyed.select("doc_id", "h", F.explode("keys").alias("key")).join(settled, "key", "left_semi")
-            .groupBy("doc_id", "h").agg(F.collect_set("key").alias("gone"))
-            .withColumnRenamed("doc_id", "_id").withColumnRenamed("h", "_h"))
-    out = (base.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left")
-           .withColumn("r", _drop(min_chars)("text", "gone")))
+    hits = (keyed.select(*KEY, F.explode("keys").alias("key")).join(settled, "key", "left_semi")
+            .groupBy(*KEY).agg(F.collect_set("key").alias("gone")))
+    out = base.join(hits, KEY, "left").withColumn("r", _drop(min_chars)("text", "gone"))
     return out.select("doc_id", "r.n_lines", "r.n_dropped", F.col("r.text").alias("kept_text"),
                       *(["carried"] if carry else []))

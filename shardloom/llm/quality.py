@@ -13,18 +13,15 @@ per document joined to a broadcast model of ``BUCKETS`` rows.  No text is shuffl
 Defined results: a null or empty text has no words, fails the base rule and is not kept, its score is
 null; a null id is kept; repeated rows are scored one by one; with no trusted document every
 n-gram's ratio is that of the smoothing alone; an empty table gives no rows.  Very long texts are
-arrays of their words inside one row.  Columns other than the id, the text and those in ``carry`` are
-not read.
+arrays of their words inside one row.  Columns other than the id and the text are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WS
+from .common import KEY, WS, key_columns
 
 BUCKETS = 1 << 16
 TRUSTED_DOCS = 20_000
@@ -97,12 +94,11 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
 
 
 def score(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          buckets: int = BUCKETS, threshold: float = THRESHOLD, carry: Sequence[str] = ()) -> DataFrame:
-    """doc_id, the counts, base_failed, score, kept (and ``carried``, a struct of the ``carry`` columns)."""
+          buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, the counts, base_failed, score and kept, and the row's KEY."""
     base = base_counts(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-                                   *([F.struct(*carry).alias("carried")] if carry else []))).drop("text")
-    kept = [c for c in ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "carried")
-            if c in base.columns]
+                                   *key_columns(id_col, text_col))).drop("text")
+    kept = ["doc_id", *KEY, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     # all n-grams of a row are in one task: its partial sum is one row
     each = (base.select(F.monotonically_increasing_id().alias("_row"), *kept, gram_buckets("_hw", buckets).alias("_g"))
             .select("_row", *kept, F.explode_outer("_g").alias("bucket"))
@@ -113,3 +109,11 @@ def score(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text_col: s
     return (out.withColumn("score", mean)
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("score") >= threshold, F.lit(False)))
             .drop("_row", "_sum", "_n"))
+
+
+def filter_documents(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                     buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns."""
+    good = score(docs, model, id_col, text_col, buckets, threshold).filter("kept").select(*KEY).distinct()
+    row = docs.select(*key_columns(id_col, text_col), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return row.join(good, KEY, "left_semi").select("row.*")

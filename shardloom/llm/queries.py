@@ -157,3 +157,10 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     out = langid.identify(docs, docs.filter(~held_out()))
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@register("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training-corpus pipeline over all documents."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
