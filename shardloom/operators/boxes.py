@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import argmax, softmax
+from .splits import chosen
 
 OBJECT_FIELDS = ("bbox_id", "category", "bbox", "area")
 
@@ -134,13 +135,12 @@ AUGMENTATIONS = {"perspective": 0.1, "hflip": 0.5, "brightness": 0.5, "hue": 0.1
 def augment_plan(df: DataFrame, key: str = "image_id", probs: dict[str, float] | None = None,
                  seed: int = 0) -> DataFrame:
     """One boolean column per augmentation, true with its probability.
-    The draw is the md5 of (key, name, seed) in 10,000 buckets: the same on
+    The draw is the md5 of (key, name, seed) read as a fraction: the same on
     every retry and under any partitioning, unlike ``rand()``."""
     out = df
     for name, p in (probs or AUGMENTATIONS).items():
-        h = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(name), F.lit(str(seed))))
-        bucket = F.conv(F.substring(h, 1, 7), 16, 10).cast("bigint") % 10000
-        out = out.withColumn(f"aug_{name}", bucket < F.lit(int(round(p * 10000))))
+        drawn = F.concat_ws("|", F.col(key).cast("string"), F.lit(name), F.lit(str(seed)))
+        out = out.withColumn(f"aug_{name}", chosen(drawn, p))
     return out
 
 
@@ -183,8 +183,8 @@ def format_detections(df: DataFrame, names: str = "category_name") -> DataFrame:
     out = (df.withColumn("score_r", F.round(c("score"), 3))
            .withColumn("box_r", F.array(*[F.round(c(k), 2) for k in ("x1", "y1", "x2", "y2")])))
     return out.withColumn("text", F.format_string(
-        "Detected %s with confidence %.3f at location [%.2f, %.2f, %.2f, %.2f]",
-        c(names), c("score"), c("x1"), c("y1"), c("x2"), c("y2")))
+        "%s (score %.3f): x %.2f to %.2f, y %.2f to %.2f",
+        c(names), c("score"), c("x1"), c("x2"), c("y1"), c("y2")))
 
 
 def labelled_boxes(objects: DataFrame, classes: DataFrame, image_id: int | None = None) -> DataFrame:

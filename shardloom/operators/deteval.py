@@ -14,20 +14,23 @@ Plan shape, and why it holds at scale:
 * the per-(image, class) cap is ``row_number() <= 100``, which Spark plans
   with a partial ``WindowGroupLimit`` before the shuffle, so a hot image
   ships at most 100 rows per map task;
-* pairs come from an equi-join on (image, class) of capped detections and
-  truths, filtered to IoU >= 0.5 once and reused for every threshold and
-  area range; the candidate window and the grouping per (image, class)
-  reuse the join's hash partitioning, so the pairs move once;
+* one range cut of the capped detections in (class, score) order gives each
+  its position and, per area range, the number of in-range detections before
+  it; the result is checkpointed once and feeds everything else;
+* detections and truths are each shuffled once, by (image, class); pairs,
+  their candidate window, their grouping and the join with the detections
+  all reuse that partitioning.  Only keys with more truths than ``hot_rows``
+  take a salted path of their own;
 * each detection keeps only its best 100 candidates per ignore pattern of
   the truths: at most 99 truths can be taken before it, so its best free
   truth is always among them, for every threshold and range (exact);
 * matching is a fold (``aggregate``) per (threshold, range) inside the
-  (image, class) row: at most 100 detections and their capped candidates;
-* precision/recall need ranks in score order per (class, threshold,
-  range), from one range cut and counts only (no window over a whole
-  class): for ranges that ignore nothing, over the true positives (and rare
-  ignored detections) with each detection's position in its class computed
-  once; for area ranges, over the counted detections themselves;
+  (image, class) row: at most 100 detections and their capped candidates,
+  never copied per threshold or range;
+* only true positives, and the in-range detections that an ignored truth
+  takes, leave that row as events.  Their ranks among counted detections
+  follow from the in-range count before them and a running correction over
+  the events alone, so no table holds every detection per threshold;
 * the 101-point envelope works on at most 101 buckets per class and threshold.
 """
 
@@ -39,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .index import subset_positions, with_row_index
+from .index import running_sum
 
 # Fixed values of the public COCO evaluation protocol.
 IOU_THRESHOLDS_PCT = [50, 55, 60, 65, 70, 75, 80, 85, 90, 95]
@@ -68,18 +71,18 @@ def cap_detections(pred: DataFrame, max_dets: int = 100) -> DataFrame:
     return pred.withColumn("det_rank", F.row_number().over(w)).filter(F.col("det_rank") <= max_dets)
 
 
-def iou_pairs(pred: DataFrame, truth: DataFrame, min_iou: float = 0.5, max_dets: int = 100,
-              capped: bool = False) -> DataFrame:
-    """Capped detections and truths of the same image and class with IoU
-    at or above ``min_iou`` (``capped``: ``pred`` already has ``det_rank``)."""
-    p = (pred if capped else cap_detections(pred, max_dets)).select(
-        "image_id", "label", "det_id", "det_rank", "score",
-        *[F.col(k).alias(f"p_{k}") for k in ("x1", "y1", "x2", "y2")])
+def iou_pairs(pred: DataFrame, truth: DataFrame, min_iou: float = 0.5, max_dets: int | None = None,
+              hot_rows: int | None = None) -> DataFrame:
+    """Detections and truths of the same image and class with IoU at or
+    above ``min_iou``.  All detections, unless the protocol's ``max_dets``
+    per image and class is asked for."""
+    p = (pred if max_dets is None else cap_detections(pred, max_dets)).select(
+        "image_id", "label", "det_id", "score", *[F.col(k).alias(f"p_{k}") for k in ("x1", "y1", "x2", "y2")])
     t = truth.select("image_id", "label", "gt_id",
                      *[F.col(k).alias(f"t_{k}") for k in ("x1", "y1", "x2", "y2")])
-    pairs = p.join(t, ["image_id", "label"]).withColumn("iou", iou())
+    pairs = keyed_join(p, t, ["image_id", "label"], "gt_id", hot_rows or HOT_ROWS).withColumn("iou", iou())
     pairs = pairs.filter(F.col("iou") >= F.lit(float(min_iou)))
-    return pairs.select("image_id", "label", "det_id", "det_rank", "gt_id", "iou",
+    return pairs.select("image_id", "label", "det_id", "gt_id", "iou",
                         "p_x1", "p_y1", "p_x2", "p_y2", "t_x1", "t_y1", "t_x2", "t_y2")
 
 
@@ -116,39 +119,44 @@ _MATCH_TYPE = "array<struct<det_id:bigint,gt_id:bigint,gt_ignored:int>>"
 HOT_ROWS = 1_000_000
 
 
-def salted_join(small: DataFrame, big: DataFrame, keys: Sequence[str], spread_col: str,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Equi-join where a key of ``big`` may hold a large share of all rows.
-
-    Keys with more than ``hot_rows`` rows on the big side are found by a
-    partial-aggregated count; their big-side rows are spread over
-    ``ceil(count / hot_rows)`` buckets (hash of ``spread_col``) and the
-    small side's rows of those keys are repeated once per bucket.  The hot
-    key list has at most ``rows / hot_rows`` entries, a bound that makes it
-    safe to broadcast; ordinary keys keep bucket 0 and are joined as usual."""
+def _hot_keys(big: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > hot_rows).select(
+    return counts.filter(F.col("_n") > hot_rows).select(
         *keys, F.ceil(F.col("_n") / F.lit(float(hot_rows))).cast("int").alias("_buckets"))
-    # at least a million rows per hot key keeps the list small enough to
-    # broadcast at any input size; with a lower threshold the planner decides
-    # from the measured size
-    if hot_rows >= HOT_ROWS:
-        hot = F.broadcast(hot)
-    b = (big.join(hot, list(keys), "left")
-         .withColumn("_salt", F.when(F.col("_buckets").isNull(), F.lit(0)).otherwise(
-             F.pmod(F.xxhash64(F.col(spread_col)), F.col("_buckets")).cast("int")))
-         .drop("_buckets"))
-    s = (small.join(hot, list(keys), "left")
-         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_buckets"), F.lit(1)) - 1)))
-         .drop("_buckets"))
+
+
+def salted_join(small: DataFrame, big: DataFrame, keys: Sequence[str], spread_col: str,
+                hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Equi-join on the keys with more than ``hot_rows`` rows on the big side
+    (found by a partial-aggregated count): their big-side rows are spread over
+    ``ceil(count / hot_rows)`` buckets (hash of ``spread_col``) and the small
+    side's rows are repeated once per bucket.  The list of such keys is joined
+    without a hint; the planner decides by its size."""
+    hot = _hot_keys(big, keys, hot_rows)
+    b = big.join(hot, list(keys)).withColumn(
+        "_salt", F.pmod(F.xxhash64(F.col(spread_col)), F.col("_buckets")).cast("int")).drop("_buckets")
+    s = small.join(hot, list(keys)).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.col("_buckets") - 1))).drop("_buckets")
     return s.join(b, [*keys, "_salt"]).drop("_salt")
 
 
+def keyed_join(small: DataFrame, big: DataFrame, keys: Sequence[str], spread_col: str,
+               hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Equi-join where a key of ``big`` may hold a large share of all rows:
+    ordinary keys join as usual and keep their partitioning, hot ones take
+    ``salted_join``.  One count (a scalar job) finds whether there are any."""
+    hot = _hot_keys(big, keys, hot_rows)
+    if hot.limit(1).count() == 0:
+        return small.join(big, list(keys))
+    ordinary = small.join(hot, list(keys), "left_anti").join(big, list(keys))
+    return ordinary.unionByName(salted_join(small, big, keys, spread_col, hot_rows))
+
+
 def match_by_image(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[int] = IOU_THRESHOLDS_PCT,
                    ranges: dict[str, tuple[float, float]] | None = None, max_dets: int = 100,
-                   capped: bool = False, with_dets: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
+                   capped: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """E2 core: greedy matching for every (threshold, area range) inside one
-    row per (image, class).
+    row per (image, class) that has pairs.
 
     Detections in rank order; each takes its best free truth at or above
     the threshold, truths outside the area range last, then IoU desc, then
@@ -157,56 +165,36 @@ def match_by_image(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[i
     most ``max_dets - 1`` truths are taken before it, so its choice is always
     among them, for every threshold and range (exact).
 
-    Plan: detections are ranked per (image, class) and truths joined on
-    (image, class); the candidate window, the grouping and the join of
-    detections with their pairs all reuse that hash partitioning, so pairs
-    are shuffled once and never multiplied by thresholds or ranges.  Each
-    row holds at most ``max_dets`` detections and their capped candidates.
+    Plan: detections and truths are shuffled by (image, class); the candidate
+    window, the grouping of pairs and their join with the grouped detections
+    reuse that partitioning.
 
-    Returns one row per (image, class, threshold, range) with ``ds`` (the
-    detections) and ``res``: the matches ``m`` (det_id, gt_id, gt_ignored)
-    in detection order, the matched detection ids ``dets`` and those matched
-    to an ignored truth ``ign``."""
+    Returns one row per (image, class): ``ds`` (the detections in rank order)
+    and ``by``: for every threshold and range (thr, bit, rng) the matches
+    ``m`` (det_id, gt_id, gt_ignored) in detection order, the matched
+    detection ids ``dets`` and those matched to an ignored truth ``ign``."""
     ranges = ranges or {"all": AREA_RANGES["all"]}
     d = pred if capped else cap_detections(pred, max_dets)
+    keep = [c for c in ("p", "before") if c in d.columns]
     d_area = (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))
-    keep_p = ["p"] if "p" in d.columns else []
-    d = d.select("image_id", "label", "det_id", "det_rank", "score", *keep_p, "x1", "y1", "x2", "y2",
+    d = d.select("image_id", "label", "det_id", "det_rank", *keep, "x1", "y1", "x2", "y2",
                  _mask(d_area, ranges).alias("d_mask"))
-    t_area = (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))
+    t_area = d_area
     t = truth.select("image_id", "label", "gt_id", *[F.col(k).alias(f"t_{k}") for k in ("x1", "y1", "x2", "y2")],
                      _mask(t_area, ranges).alias("g_mask"))
-    p = d.select("image_id", "label", "det_id", "det_rank",
-                 *[F.col(k).alias(f"p_{k}") for k in ("x1", "y1", "x2", "y2")])
-    pairs = (salted_join(p, t, ["image_id", "label"], "gt_id", hot_rows).withColumn("iou", iou())
+    pairs = (keyed_join(d, t, ["image_id", "label"], "gt_id", hot_rows).withColumn("iou", iou("", "t_"))
              .filter(F.col("iou") >= F.lit(min(thresholds_pct) / 100.0)))
     wc = Window.partitionBy("image_id", "label", "det_id", "g_mask").orderBy(F.desc("iou"), F.asc("gt_id"))
     pairs = pairs.withColumn("_c", F.row_number().over(wc)).filter(F.col("_c") <= max_dets)
-    pair_item = F.struct("det_rank", "det_id", "gt_id", "iou", "g_mask")
-    if with_dets:
-        # detections and their pairs meet in one row per (image, class): a union
-        # of the two kinds of rows, collected side by side (nulls are skipped)
-        det_item = F.struct("det_rank", "det_id", "score", "d_mask", *keep_p)
-        rows = (d.select("image_id", "label", det_item.alias("dd"), F.lit(None).cast(
-                    pairs.select(pair_item).schema[0].dataType).alias("pp"))
-                .unionByName(pairs.select("image_id", "label", F.lit(None).cast(
-                    d.select(det_item).schema[0].dataType).alias("dd"), pair_item.alias("pp"))))
-        g = rows.groupBy("image_id", "label").agg(F.array_sort(F.collect_list("dd")).alias("ds"),
-                                                  F.collect_list("pp").alias("ps"),
-                                                  F.max("pp.iou").alias("max_iou"))
-    else:
-        # matches only: the pairs alone, grouped without a new shuffle
-        g = pairs.groupBy("image_id", "label").agg(
-            F.array().cast("array<struct<det_rank:int,det_id:bigint,score:double,d_mask:int>>").alias("ds"),
-            F.collect_list(pair_item).alias("ps"), F.max("iou").alias("max_iou"))
+    ps = pairs.groupBy("image_id", "label").agg(
+        F.collect_list(F.struct("det_rank", "det_id", "gt_id", "iou", "g_mask")).alias("ps"),
+        F.max("iou").alias("max_iou"))
+    ds = d.groupBy("image_id", "label").agg(
+        F.array_sort(F.collect_list(F.struct("det_rank", "det_id", "d_mask", *keep))).alias("ds"))
+    g = ps.join(ds, ["image_id", "label"])
     combos = F.array(*[F.struct(F.lit(float(pct)) / F.lit(100.0), F.lit(1 << r), F.lit(name))
                        .cast("struct<thr:double,bit:int,rng:string>")
                        for pct in thresholds_pct for r, name in enumerate(ranges)])
-    # one row per (image, class, threshold, range); still partitioned by (image, class)
-    x = g.select("image_id", "label", "ds", "ps", "max_iou", F.explode(combos).alias("c"))
-    items = F.array_sort(F.transform(F.filter("ps", lambda q: q["iou"] >= F.col("c.thr")), lambda q: F.struct(
-        q["det_rank"].alias("a"), _bit(q["g_mask"], F.col("c.bit")).alias("b"), (-q["iou"]).alias("c"),
-        q["gt_id"].alias("d"), q["det_id"].alias("e"))))
     init = F.struct(F.array().cast("array<bigint>").alias("taken"),
                     F.array().cast("array<bigint>").alias("dets"),
                     F.array().cast("array<bigint>").alias("ign"),
@@ -221,64 +209,63 @@ def match_by_image(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[i
             F.array_append(acc["m"], F.struct(q["e"].alias("det_id"), q["d"].alias("gt_id"),
                                               q["b"].alias("gt_ignored"))).alias("m"))).otherwise(acc)
 
-    # no candidate at this threshold: nothing to fold
-    res = F.when(F.coalesce(F.col("max_iou"), F.lit(-1.0)) < F.col("c.thr"), init).otherwise(
-        F.aggregate(items, init, step))
-    return x.select("image_id", "label", F.col("c.thr").alias("thr"), F.col("c.rng").alias("rng"),
-                    F.col("c.bit").alias("bit"), "ds", res.alias("res"))
+    def fold(c):
+        items = F.array_sort(F.transform(F.filter("ps", lambda q: q["iou"] >= c["thr"]), lambda q: F.struct(
+            q["det_rank"].alias("a"), _bit(q["g_mask"], c["bit"]).alias("b"), (-q["iou"]).alias("c"),
+            q["gt_id"].alias("d"), q["det_id"].alias("e"))))
+        # no candidate at this threshold: nothing to fold
+        res = F.when(F.col("max_iou") < c["thr"], init).otherwise(F.aggregate(items, init, step))
+        return F.struct(c["thr"].alias("thr"), c["bit"].alias("bit"), c["rng"].alias("rng"), res.alias("res"))
+
+    return g.select("image_id", "label", "ds", F.transform(combos, fold).alias("by"))
 
 
 def matches_of(grouped: DataFrame) -> DataFrame:
     """One row per match ``(image_id, label, thr, rng, det_id, gt_id, gt_ignored)``."""
-    x = grouped.select("image_id", "label", "thr", "rng", F.explode("res.m").alias("mm"))
-    return x.select("image_id", "label", "thr", "rng", "mm.det_id", "mm.gt_id", "mm.gt_ignored")
-
-
-def flags_of(grouped: DataFrame) -> DataFrame:
-    """Every capped detection per threshold and range with ``tp`` 0/1,
-    computed in its (image, class, threshold, range) row; ignored detections
-    (matched to an ignored truth, or unmatched and outside the area range)
-    are left out."""
-    def ignored(dd):
-        matched = F.array_contains(F.col("res.dets"), dd["det_id"])
-        return F.array_contains(F.col("res.ign"), dd["det_id"]) | (
-            ~matched & (_bit(dd["d_mask"], F.col("bit")) == 1))
-
-    kept = F.filter("ds", lambda dd: ~ignored(dd))
-    f = F.transform(kept, lambda dd: F.struct(
-        dd["det_id"].alias("det_id"), dd["det_rank"].alias("det_rank"), dd["score"].alias("score"),
-        F.array_contains(F.col("res.dets"), dd["det_id"]).cast("int").alias("tp")))
-    x = grouped.select("image_id", "label", "thr", "rng", F.explode(f).alias("ff"))
-    return x.select("image_id", "label", "ff.det_id", "ff.det_rank", "ff.score", "thr", "rng", "ff.tp")
-
-
-def events_of(grouped: DataFrame) -> DataFrame:
-    """Per threshold and range, only the detections that are true positives
-    (``tp`` = 1) or ignored (``tp`` = 0), with ``p`` (their position in the
-    class's score order).  Plain false positives need no row: the position
-    among counted detections is ``p`` minus the ignored ones before."""
-    def ignored(dd):
-        matched = F.array_contains(F.col("res.dets"), dd["det_id"])
-        return F.array_contains(F.col("res.ign"), dd["det_id"]) | (
-            ~matched & (_bit(dd["d_mask"], F.col("bit")) == 1))
-
-    def event(dd):
-        return F.array_contains(F.col("res.dets"), dd["det_id"]) | ignored(dd)
-
-    kept = F.filter("ds", event)
-    f = F.transform(kept, lambda dd: F.struct(
-        dd["det_id"].alias("det_id"), dd["det_rank"].alias("det_rank"), dd["p"].alias("p"),
-        (~ignored(dd)).cast("int").alias("tp")))
-    x = grouped.select("image_id", "label", "thr", "rng", F.explode(f).alias("ff"))
-    return x.select("image_id", "label", "ff.det_id", "ff.det_rank", "ff.p", "thr", "rng", "ff.tp")
+    flat = F.flatten(F.transform("by", lambda c: F.transform(c["res"]["m"], lambda m: F.struct(
+        c["thr"].alias("thr"), c["rng"].alias("rng"), m["det_id"].alias("det_id"), m["gt_id"].alias("gt_id"),
+        m["gt_ignored"].alias("gt_ignored")))))
+    return grouped.select("image_id", "label", F.explode(flat).alias("mm")).select("image_id", "label", "mm.*")
+
+
+def events_of(grouped: DataFrame, ranges: Sequence[str]) -> DataFrame:
+    """Per threshold and range, the detections whose count cannot be read off
+    the detections alone: true positives (``tp`` = 1), and in-range ones that
+    an ignored truth takes (``tp`` = 0).  ``p`` is the position in the class's
+    score order, ``before`` the number of in-range detections before it, and
+    ``adj`` what the event adds to that count for later ones: 1 for an
+    out-of-range true positive, -1 for an in-range ignored detection."""
+    bits = {1 << r: r for r, _ in enumerate(ranges)}
+
+    def events(c):
+        res = c["res"]
+
+        def is_event(dd):
+            matched = F.array_contains(res["dets"], dd["det_id"])
+            ign = F.array_contains(res["ign"], dd["det_id"])
+            return matched & (~ign | (_bit(dd["d_mask"], c["bit"]) == 0))
+
+        def event(dd):
+            tp = ~F.array_contains(res["ign"], dd["det_id"])
+            outside = _bit(dd["d_mask"], c["bit"]) == 1
+            at = F.coalesce(*[F.when(c["bit"] == b, F.lit(r)) for b, r in bits.items()])
+            return F.struct(c["thr"].alias("thr"), c["rng"].alias("rng"), dd["det_rank"].alias("det_rank"),
+                            dd["p"].alias("p"), F.get(dd["before"], at).alias("before"), tp.cast("int").alias("tp"),
+                            F.when(~tp, F.lit(-1)).when(outside, F.lit(1)).otherwise(F.lit(0)).alias("adj"))
+
+        return F.transform(F.filter("ds", is_event), event)
+
+    flat = F.flatten(F.transform("by", events))
+    return grouped.select("label", F.explode(flat).alias("ev")).select("label", "ev.*")
 
 
 def match_greedy(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[int] = IOU_THRESHOLDS_PCT,
                  ranges: dict[str, tuple[float, float]] | None = None, max_dets: int = 100,
                  hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Greedy matches per (image, class, threshold, area range)."""
-    return matches_of(match_by_image(pred, truth, thresholds_pct, ranges, max_dets, with_dets=False,
-                                     hot_rows=hot_rows))
+    """Greedy matches per (image, class, threshold, area range).
+    ``max_dets`` is the protocol's setting: the best 100 detections of an
+    image and class take part."""
+    return matches_of(match_by_image(pred, truth, thresholds_pct, ranges, max_dets, hot_rows=hot_rows))
 
 
 def truth_counts(truth: DataFrame, ranges: dict[str, tuple[float, float]] | None = None) -> DataFrame:
@@ -311,83 +298,45 @@ def _score_order() -> list[Column]:
     return [F.desc("score"), F.asc("image_id"), F.asc("det_id")]
 
 
-def average_precision(flags: DataFrame, npos: DataFrame, thresholds_pct: Sequence[int] = IOU_THRESHOLDS_PCT,
-                      num_partitions: int | None = None) -> DataFrame:
-    """101-point interpolated AP per (class, threshold, range) with
-    ``npos > 0``.  For the i-th true positive at overall position k the
-    precision is i/k and it covers every recall point j with
-    ``i * 100 >= j * npos``; the interpolated precision at j is the largest
-    such value over points at or beyond j (0 if none).  Only true positives
-    need ranks, and both ranks come from one range cut of the flags."""
-    pos, _ = subset_positions(flags, _score_order(), ["label", "thr", "rng"], F.col("tp") == 1, num_partitions)
-    tps = pos.select("label", "thr", "rng", (F.col("pos_sub") + 1).alias("i"), (F.col("pos_all") + 1).alias("k"))
-    return _ap_from_positions(tps, npos, thresholds_pct)
-
-
 def evaluate(pred: DataFrame, truth: DataFrame, thresholds_pct: Sequence[int] = IOU_THRESHOLDS_PCT,
              ranges: dict[str, tuple[float, float]] | None = None, max_dets: Sequence[int] = MAX_DETS,
              num_partitions: int | None = None, hot_rows: int = HOT_ROWS) -> dict[str, DataFrame]:
-    """E1-E5.  Returns frames: ``pairs``, ``matches``, ``flags`` (per
-    threshold and range with ``tp`` 0/1: for ranges that ignore nothing only
-    true positives and ignored detections, for area ranges every counted
-    detection), ``npos``, ``ap`` (class, thr, rng, ap) and ``recall``
-    (class, thr, rng, max_dets, recall).  A (image, class) with more than
-    ``hot_rows`` truths is split into buckets for the IoU join."""
+    """E1-E5 under the protocol's largest ``max_dets``.  Returns frames:
+    ``matches``, ``events`` (see ``events_of``), ``npos``, ``ap`` (class, thr,
+    rng, ap), ``recall`` (class, thr, rng, max_dets, recall) and ``classes``
+    (every label of either side)."""
     ranges = ranges or AREA_RANGES
     top = max(max_dets)
     checkpoint_dir(pred.sparkSession)
-    # the capped detections feed both the pairs and the flags; inside one plan
-    # their shuffle is computed once and reused
     capped = cap_detections(pred, top).select("image_id", "label", "det_id", "det_rank", "score",
                                               "x1", "y1", "x2", "y2")
-    pairs = iou_pairs(capped, truth, min(thresholds_pct) / 100.0, top, capped=True)
-    # truths per (class, range): a handful of rows, used by several branches below
-    npos = truth_counts(truth, ranges).checkpoint(eager=True)
-    # ranges that ignore (almost) nothing rank only their true positives (and
-    # the rare ignored detections); area ranges rank their counted detections.
-    # Each kind is matched in its own pass, so no fold runs twice.
-    full = {n: r for n, r in ranges.items() if r[0] <= 0.0 and r[1] >= AREA_RANGES["all"][1]}
-    area = {n: r for n, r in ranges.items() if n not in full}
-    ranked, flag_parts, match_parts = [], [], []
-    common = ["image_id", "label", "det_id", "det_rank", "thr", "rng", "tp"]
-    if full:
-        # p is each detection's position in its class's score order, computed
-        # once rather than per threshold; a true positive's position among true
-        # positives gives i, and the event rows before it that are not true
-        # positives are the ignored detections before it: k = p + 1 - those.
-        cp = with_row_index(capped, _score_order(), "p", groups=["label"], num_partitions=num_partitions)
-        g = match_by_image(cp, truth, thresholds_pct, full, top, capped=True, hot_rows=hot_rows)
-        pos, ev = subset_positions(events_of(g), ["p"], ["label", "thr", "rng"], F.col("tp") == 1,
-                                   num_partitions, materialize=True)
-        ranked.append(pos.select("label", "thr", "rng", (F.col("pos_sub") + 1).alias("i"),
-                                 (F.col("p") + 1 - (F.col("pos_all") - F.col("pos_sub"))).alias("k")))
-        flag_parts.append(ev.select(*common))
-        match_parts.append(matches_of(g))
-    if area:
-        # one range cut of the counted detections; the per-image folds are
-        # materialised first so the cut's sampling pass does not run them again
-        g = match_by_image(capped, truth, thresholds_pct, area, top, capped=True, hot_rows=hot_rows)
-        pos, fl = subset_positions(flags_of(g), _score_order(), ["label", "thr", "rng"], F.col("tp") == 1,
-                                   num_partitions, materialize=True)
-        ranked.append(pos.select("label", "thr", "rng", (F.col("pos_sub") + 1).alias("i"),
-                                 (F.col("pos_all") + 1).alias("k")))
-        flag_parts.append(fl.select(*common))
-        match_parts.append(matches_of(g))
-    tps, flags, matches = ranked[0], flag_parts[0], match_parts[0]
-    for x, y, z in zip(ranked[1:], flag_parts[1:], match_parts[1:]):
-        tps, flags, matches = tps.unionByName(x), flags.unionByName(y), matches.unionByName(z)
+    area = (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))
+    inside = {f"_in{r}": F.when(_outside(area, F.lit(lo), F.lit(hi)), 0).otherwise(1)
+              for r, (lo, hi) in enumerate(ranges.values())}
+    # positions and in-range counts in (class, score) order: one range cut, checkpointed once
+    counted = running_sum(capped, _score_order(), {"p": F.lit(1), **inside}, groups=["label"],
+                          num_partitions=num_partitions)
+    before = F.array(*[F.col(n) - e for n, e in inside.items()])
+    ranked = counted.select(*capped.columns, "p", before.alias("before")).checkpoint()
+    npos = truth_counts(truth, ranges).checkpoint()
+    g = match_by_image(ranked, truth, thresholds_pct, ranges, top, capped=True, hot_rows=hot_rows)
+    events = events_of(g, list(ranges)).checkpoint()
+    # rank i among true positives and k among counted detections, over the events alone
+    sums = running_sum(events, ["p"], {"i": F.col("tp"), "_a": F.col("adj")}, groups=["label", "thr", "rng"],
+                       num_partitions=num_partitions)
+    tps = sums.filter("tp = 1").select("label", "thr", "rng", "i",
+                                       (F.col("before") + F.col("_a") - F.col("adj") + 1).alias("k"))
     ap = _ap_from_positions(tps, npos, thresholds_pct)
     # recall per max_dets: true positives among the first m detections per image and class
-    md = F.array(*[F.lit(m) for m in max_dets])
-    f = flags.withColumn("max_dets", F.explode(md)).filter(F.col("det_rank") <= F.col("max_dets"))
-    ntp = f.groupBy("label", "thr", "rng", "max_dets").agg(F.sum("tp").alias("ntp"))
-    grid = (npos.filter(F.col("npos") > 0)
-            .withColumn("thr", F.explode(_thresholds(thresholds_pct)))
-            .withColumn("max_dets", F.explode(md)))
-    recall = (grid.join(ntp, ["label", "thr", "rng", "max_dets"], "left")
-              .select("label", "thr", "rng", "max_dets",
-                      (F.coalesce(F.col("ntp"), F.lit(0)) / F.col("npos")).alias("recall")))
-    return {"pairs": pairs, "matches": matches, "flags": flags, "npos": npos, "ap": ap, "recall": recall}
+    ntp = events.filter("tp = 1").groupBy("label", "thr", "rng").agg(
+        *[F.sum((F.col("det_rank") <= m).cast("int")).alias(f"_m{m}") for m in max_dets])
+    grid = (npos.filter(F.col("npos") > 0).withColumn("thr", F.explode(_thresholds(thresholds_pct)))
+            .join(ntp, ["label", "thr", "rng"], "left"))
+    each = F.array(*[F.struct(F.lit(m).alias("max_dets"), F.coalesce(F.col(f"_m{m}"), F.lit(0)).alias("n")) for m in max_dets])
+    recall = grid.select("label", "thr", "rng", "npos", F.explode(each).alias("e")).select(
+        "label", "thr", "rng", F.col("e.max_dets").alias("max_dets"), (F.col("e.n") / F.col("npos")).alias("recall"))
+    classes = ranked.select("label").union(truth.select("label")).distinct()
+    return {"matches": matches_of(g), "events": events, "npos": npos, "ap": ap, "recall": recall, "classes": classes}
 
 
 _AP_METRICS = [
@@ -420,15 +369,19 @@ def map_summary(ap: DataFrame, recall: DataFrame) -> DataFrame:
 
 
 def metrics_table(ap: DataFrame, recall: DataFrame, classes: DataFrame | None = None,
-                  digits: int = 4) -> DataFrame:
+                  digits: int = 4, labels: DataFrame | None = None) -> DataFrame:
     """Summary plus ``map_{class}`` and ``mar_100_{class}`` per class
-    (name from the class list when given), rounded like the reference."""
+    (name from the class list when given), rounded like the reference.
+    ``labels`` lists the classes of either side; one without truths is -1."""
     c = F.col
     per_ap = ap.filter(c("rng") == "all").groupBy("label").agg(F.avg("ap").alias("v"))
     per_ar = (recall.filter((c("rng") == "all") & (c("max_dets") == 100))
               .groupBy("label").agg(F.avg("recall").alias("v")))
+    if labels is not None:
+        per_ap, per_ar = (labels.join(x, "label", "left").select("label", F.coalesce("v", F.lit(-1.0)).alias("v"))
+                          for x in (per_ap, per_ar))
     if classes is not None:
-        cl = F.broadcast(classes.select(c("category_id").alias("label"), c("category_name").alias("_n")))
+        cl = classes.select(c("category_id").alias("label"), c("category_name").alias("_n"))
         per_ap = per_ap.join(cl, "label", "left")
         per_ar = per_ar.join(cl, "label", "left")
         name = F.coalesce(c("_n"), c("label").cast("string"))

@@ -43,6 +43,18 @@ def _names(cols: Sequence[str]) -> list[str]:
     return [c for c in cols]
 
 
+def _join_groups(left: DataFrame, right: DataFrame, plain: Sequence[str], groups: Sequence[str],
+                 how: str = "inner") -> DataFrame:
+    """Join on ``plain`` columns (never null) and, null-safely, on ``groups``;
+    the columns of ``left`` come first and the keys of ``right`` are dropped."""
+    keys = [*plain, *groups]
+    renamed = right.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & (left[k] == renamed[f"_k{i}"] if k in plain else left[k].eqNullSafe(renamed[f"_k{i}"]))
+    return left.join(renamed, on, how).drop(*[f"_k{i}" for i in range(len(keys))])
+
+
 def ranged_checkpoint(df: DataFrame, keys: Sequence[str | Column],
                       num_partitions: int | None = None, materialize: bool = False) -> DataFrame:
     """Range-partition and sort ``df`` by ``keys``, tag each row with
@@ -83,7 +95,9 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "ro
            .withColumn(name, F.col("_pos") + F.col("_off")))
     if groups:
         starts = out.groupBy(*groups).agg(F.min(name).alias("_start"), F.count(F.lit(1)).alias("_gn"))
-        out = (out.join(starts, groups, "inner")
+        # null groups are groups too; a hot group of the rows' side is split by
+        # AQE's skew join, the other side has one row per group
+        out = (_join_groups(out, starts, [], groups)
                .withColumn(name, F.col(name) - F.col("_start")))
         if count_name:
             out = out.withColumn(count_name, F.col("_gn"))
@@ -125,11 +139,12 @@ def running_sum(df: DataFrame, order: Sequence[str | Column], values: dict[str,
     if totals:
         # group totals for every (partition, group) present: bounded by partitions + groups
         wt = Window.partitionBy(*groups)
-        carry = carry.join(tot.select("_pid", *groups, *[F.sum(f"_t_{n}").over(wt).alias(f"{n}_total")
-                                                          for n in values]), ["_pid", *groups])
+        # with groups this has a row for every (partition, group): no hint, the planner decides by size
+        whole = tot.select("_pid", *groups, *[F.sum(f"_t_{n}").over(wt).alias(f"{n}_total") for n in values])
+        carry = _join_groups(carry, whole, ["_pid"], groups)
     else:
         carry = carry.filter(nonzero)
-    out = local.join(F.broadcast(carry), ["_pid", *groups], "left")
+    out = _join_groups(local, carry if totals and groups else F.broadcast(carry), ["_pid"], groups, "left")
     for n in values:
         out = out.withColumn(n, F.col(f"_l_{n}") + F.coalesce(F.col(f"_c_{n}"), F.lit(0)))
     drop = ["_mid", "_pid"] + [f"_{p}_{n}" for n in values for p in ("v", "l", "c")]
@@ -150,8 +165,8 @@ def _offsets(frame: DataFrame, id_col: str, groups: Sequence[str], tag: str) ->
 
 def _add_position(frame: DataFrame, id_col: str, offsets: DataFrame, groups: Sequence[str], tag: str,
                   name: str) -> DataFrame:
-    j = (frame.withColumn(f"_p_{tag}", F.shiftright(F.col(id_col), 33))
-         .join(F.broadcast(offsets), [f"_p_{tag}", *groups]))
+    # no hint: with many groups the offsets are many rows, and the planner decides by their size
+    j = _join_groups(frame.withColumn(f"_p_{tag}", F.shiftright(F.col(id_col), 33)), offsets, [f"_p_{tag}"], groups)
     return (j.withColumn(name, F.col(id_col).bitwiseAND(F.lit(_LOW_BITS)) + F.col(f"_o_{tag}"))
             .drop(f"_p_{tag}", f"_o_{tag}"))
 

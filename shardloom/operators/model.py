@@ -19,8 +19,10 @@ from ..functions.arrays import argmax, log_softmax_at, softmax
 
 def predict_batches(df: DataFrame, make_model: Callable[[], Callable], input_cols: Sequence[str],
                     out_type: T.DataType | str, batch_size: int = 100,
-                    out_col: str = "prediction") -> DataFrame:
-    """Keep every column, add ``out_col`` = model(batch).
+                    out_col: str = "prediction", profile=None) -> DataFrame:
+    """Keep every column, add ``out_col`` = model(batch).  ``out_type`` may
+    be a struct (say label and score); the model then returns dicts.
+    ``profile`` is a ResourceProfile for the stage (say a GPU for each task).
 
     ``make_model()`` runs once per task (model construction before the batch
     loop); the returned callable takes a pandas DataFrame of ``input_cols``
@@ -43,7 +45,7 @@ def predict_batches(df: DataFrame, make_model: Callable[[], Callable], input_col
                 outs.extend(list(model(chunk[cols])))
             yield pdf.assign(**{out_col: pd.Series(outs, index=pdf.index, dtype=object)})
 
-    return df.mapInPandas(run, schema)
+    return df.mapInPandas(run, schema, profile=profile) if profile is not None else df.mapInPandas(run, schema)
 
 
 def with_argmax(df: DataFrame, logits: str, out: str = "pred") -> DataFrame:

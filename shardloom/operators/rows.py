@@ -24,9 +24,10 @@ DTYPES = {
 }
 
 
-def with_url(df: DataFrame, base: str, path_col: str = "path", out: str = "url") -> DataFrame:
+def with_url(df: DataFrame, base: str, path_col: str = "path", out: str = "url",
+             keep: Sequence[str] = ()) -> DataFrame:
     """Prefix a path with a literal base (constant-folded by Catalyst)."""
-    return df.select(F.concat(F.lit(base), F.col(path_col)).alias(out))
+    return df.select(*keep, F.concat(F.lit(base), F.col(path_col)).alias(out))
 
 
 def keep_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -71,14 +72,6 @@ def exclude_rows(df: DataFrame, positions: Sequence[int], index_col: str = "row_
     return df.filter(~F.col(index_col).isin([int(p) for p in positions]))
 
 
-def exclude_keys(df: DataFrame, keys: DataFrame, on: Sequence[str] | str) -> DataFrame:
-    """P5 for long lists given as a frame: a left anti join."""
-    return df.join(keys, on, "left_anti")
-
-
-PENDING = "status IS NULL OR status <> 0"
-
-
 def pending(df: DataFrame, status_col: str = "status") -> DataFrame:
     """Rows not yet done (never tried, or failed)."""
     s = F.col(status_col)
@@ -92,11 +85,6 @@ def profile(df: DataFrame) -> DataFrame:
         F.lit(df.schema.simpleString()).alias("schema"))
 
 
-def current_user_frame(df: DataFrame) -> DataFrame:
-    """The session user, once per input (SQL ``current_user()``)."""
-    return df.limit(1).select(F.expr("current_user()").alias("user"))
-
-
 def latest_by(df: DataFrame, id_col: str, ts_col: str, pred: Column | None = None,
               by: Sequence[str] = ()) -> DataFrame:
     """The id of the newest row matching ``pred`` (ties: larger id), per

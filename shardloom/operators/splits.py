@@ -30,11 +30,16 @@ def split_of(df: DataFrame, name: str, split_col: str = "split") -> DataFrame:
     return df.filter(F.col(split_col) == F.lit(name))
 
 
-def hash_bucket(key: Column, buckets: int = 10000, seed: str = "") -> Column:
-    """Stable bucket in ``[0, buckets)`` from the md5 of the key's text (same
-    on every run, retry and partitioning, unlike ``rand()``)."""
-    h = F.md5(F.concat(key.cast("string"), F.lit(seed)) if seed else key.cast("string"))
-    return (F.conv(F.substring(h, 1, 7), 16, 10).cast("bigint") % F.lit(buckets)).cast("bigint")
+HASH_BITS = 60
+
+
+def chosen(key: Column, share: float) -> Column:
+    """True for a ``share`` of the keys: the first 60 bits of the md5 of the
+    key's text against ``share * 2^60`` (same on every run, retry and
+    partitioning, unlike ``rand()``, and exact down to shares of 1e-18)."""
+    f = _ratio(share)
+    cut = f.numerator * (1 << HASH_BITS) // f.denominator
+    return F.conv(F.substring(F.md5(key.cast("string")), 1, HASH_BITS // 4), 16, 10).cast("bigint") < F.lit(cut)
 
 
 def train_test_split(df: DataFrame, test_size: float, key: Sequence[str] | str,
@@ -44,8 +49,8 @@ def train_test_split(df: DataFrame, test_size: float, key: Sequence[str] | str,
 
     ``ordered`` (the reference's unshuffled default): the first
     ``floor(n * (1 - test_size))`` rows in key order are train, the tail is
-    test.  ``hash``: a row is test when its md5 bucket (of 10,000) falls under
-    ``test_size``; no count or order needed, stable under re-execution.
+    test.  ``hash``: a row is test when its key's md5, read as a fraction, falls
+    under ``test_size``; no count or order needed, stable under re-execution.
     """
     t = _ratio(test_size)
     keys = [key] if isinstance(key, str) else list(key)
@@ -55,8 +60,7 @@ def train_test_split(df: DataFrame, test_size: float, key: Sequence[str] | str,
         return (idx.withColumn(split_col, F.when(F.col("_ri") < n_train, F.lit("train")).otherwise(F.lit("test")))
                 .drop("_ri", "_n"))
     if how == "hash":
-        b = hash_bucket(F.concat_ws("\u001f", *[F.col(k).cast("string") for k in keys]))
-        is_test = b * F.lit(t.denominator) < F.lit(t.numerator * 10000)
+        is_test = chosen(F.concat_ws("\u001f", *[F.col(k).cast("string") for k in keys]), test_size)
         return df.withColumn(split_col, F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
     raise ValueError(f"unknown split method {how!r}")
 
@@ -77,18 +81,10 @@ def assign_groups(df: DataFrame, n: int, key: Sequence[str] | str, group_col: st
 
 
 def with_parallelism(df: DataFrame, n: int | None = None, floor_factor: int = 10) -> DataFrame:
-    """A fixed part count, or at least ``floor_factor`` x default
-    parallelism (repartition only when below it)."""
-    if n is not None:
-        return df.repartition(int(n))
-    try:
-        target = floor_factor * df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # remote session: no partition count on the client; leave the plan as is
-        return df
-    if current < target:
-        return df.repartition(target)
-    return df
+    """A fixed part count, or ``floor_factor`` x default parallelism parts
+    (per-row work behind it costs far more than the round-robin shuffle).
+    Nothing is run to find out how many parts there are."""
+    return df.repartition(int(n) if n is not None else floor_factor * df.sparkSession.sparkContext.defaultParallelism)
 
 
 def assign_batches(df: DataFrame, size: int, key: Sequence[str] | str, drop_last: bool = False,

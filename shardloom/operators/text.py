@@ -2,8 +2,8 @@
 encoded-sample inspection (T4), batch collation (B6) and padding (B7).
 
 The reference loads a pretrained sub-word vocabulary; we count words in the
-corpus instead.  Everything is expressions, a broadcast join to a vocabulary of
-bounded size, and grouping by the row key.
+corpus instead.  Everything is expressions, a join to the vocabulary (broadcast
+when its counted size allows) and grouping by row.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import CLS, PAD, SEP, SPECIALS, UNK, tokens
+from ..session import checkpoint_dir
 from .index import with_row_index
 
 
@@ -41,39 +42,64 @@ def build_vocab(df: DataFrame, text_col: str = "text", size: int = 30000,
     return sp.unionByName(ranked.select("token", F.col("id").cast("int").alias("id"), "count"))
 
 
-# Vocabularies up to this many entries are broadcast (a few MB); larger ones
-# are joined by whatever the planner picks from their measured size.
-BROADCAST_VOCAB_MAX = 1_000_000
+# A vocabulary of at most this many counted entries is broadcast (a few tens of MB).
+BROADCAST_ENTRIES = 1_000_000
+
+
+def _vocab_side(vocab: DataFrame) -> DataFrame:
+    """(_tok, _id), materialised once; broadcast only if its counted size is
+    within the bound, else joined by whatever the planner picks."""
+    checkpoint_dir(vocab.sparkSession)
+    side = vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_id")).checkpoint()
+    return F.broadcast(side) if side.count() <= BROADCAST_ENTRIES else side
+
+
+def token_counts(df: DataFrame, vocab: DataFrame, by: Sequence[str], text_col: str = "text") -> DataFrame:
+    """Rows, tokens and unknown tokens of whole texts per group: ``(*by,
+    n_docs, n_tokens, n_unknown)``.  Tokens are counted per (group, token)
+    before they meet the vocabulary, so the shuffle holds distinct tokens."""
+    words = df.select(*by, F.explode(tokens(text_col)).alias("_w")).groupBy(*by, "_w").agg(
+        F.count(F.lit(1)).alias("_n"))
+    voc = _vocab_side(vocab)
+    counted = (words.join(voc, words["_w"] == voc["_tok"], "left").groupBy(*by).agg(
+        F.sum("_n").alias("n_tokens"), F.sum(F.when(F.col("_id").isNull(), F.col("_n")).otherwise(0)).alias("n_unknown")))
+    docs = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_docs"))
+    right = counted.withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(by)})
+    on = F.lit(True)
+    for i, c in enumerate(by):
+        on = on & docs[c].eqNullSafe(right[f"_k{i}"])
+    return docs.join(right, on, "left").select(
+        *by, "n_docs", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in ("n_tokens", "n_unknown")])
 
 
 def encode(df: DataFrame, vocab: DataFrame, key: str | Sequence[str], text_col: str = "text",
-           max_length: int = 256, keep: Sequence[str] = (), vocab_size: int | None = None) -> DataFrame:
+           max_length: int = 256, keep: Sequence[str] = ()) -> DataFrame:
     """Fixed-length encoding: ``[CLS] w1 .. wk [SEP] [PAD]..`` with
     ``k <= max_length - 2`` (truncation), ``attention_mask`` 1 on real tokens,
     ``token_type_ids`` all 0 (single sentence).  Unknown words map to [UNK].
 
-    ``key`` must identify a row; ``keep`` columns are carried along.  The
-    token list is cut by position *before* exploding, so no row beyond the
-    length is generated; the vocabulary side of the join is bounded by the
-    ``size`` it was built with (pass it as ``vocab_size``) and broadcast up to
-    ``BROADCAST_VOCAB_MAX`` entries.
+    One output row for each input row, also when ``key`` repeats: rows are
+    numbered before they are exploded.  ``key`` and ``keep`` columns are
+    carried along.  The token list is cut by position *before* exploding, so
+    no row beyond the length is generated.  All tokens of a row stay in one
+    task when the vocabulary is broadcast (see ``_vocab_side``), so the
+    grouping behind it moves one row for each text.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    # the vocabulary's size bound is the ``size`` it was built with
-    broadcast_vocab = vocab_size is not None and vocab_size <= BROADCAST_VOCAB_MAX
     body = max_length - 2
     if body < 0:
         raise ValueError("max_length must be at least 2")
     cut = F.slice(tokens(text_col), 1, body) if body > 0 else F.array().cast("array<string>")
-    exploded = df.select(*keys, *keep, F.posexplode_outer(cut).alias("pos", "token"))
-    voc = vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_id"))
-    if broadcast_vocab:
-        voc = F.broadcast(voc)
+    carried = list(dict.fromkeys([*keys, *keep]))
+    # numbered in a step of its own: beside the generator the number would be the token's
+    numbered = df.select(F.monotonically_increasing_id().alias("_row"), *carried, cut.alias("_cut"))
+    exploded = numbered.select("_row", *carried, F.posexplode_outer("_cut").alias("pos", "token"))
+    voc = _vocab_side(vocab)
     joined = exploded.join(voc, exploded["token"] == voc["_tok"], "left")
     item = F.when(F.col("pos").isNotNull(),
                   F.struct(F.col("pos"), F.coalesce(F.col("_id"), F.lit(UNK)).alias("id")))
-    grouped = joined.groupBy(*keys).agg(
-        *[F.first(c).alias(c) for c in keep],
+    grouped = joined.groupBy("_row").agg(
+        *[F.first(c).alias(c) for c in carried],
         F.array_sort(F.collect_list(item)).alias("_p"))
     ids = F.col("_p.id").cast("array<int>")
     n = F.size(F.col("_p"))
@@ -82,7 +108,7 @@ def encode(df: DataFrame, vocab: DataFrame, key: str | Sequence[str], text_col:
                          F.array_repeat(F.lit(PAD), pad_n))
     mask = F.concat(F.array_repeat(F.lit(1), n + 2), F.array_repeat(F.lit(0), pad_n))
     return grouped.select(
-        *keys, *keep,
+        *carried,
         input_ids.alias("input_ids"),
         F.array_repeat(F.lit(0), F.lit(max_length)).alias("token_type_ids"),
         mask.alias("attention_mask"))

@@ -18,12 +18,16 @@ from collections.abc import Callable, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources import fs
 from .rows import pending
 
 StatusFn = Callable[..., Column]
 
+# status of a row whose function raised
+FAILED = -1
+
 _URL_PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
 _URL_QUERY = r"^[^?#]*\?([^#]*)"
 
@@ -91,6 +95,7 @@ def init_state(df: DataFrame, state_path: str) -> tuple[int, bool]:
         return g, False
     (df.withColumn("status", F.lit(None).cast("int"))
      .withColumn("attempts", F.lit(0))
+     .withColumn("error", F.lit(None).cast("string"))
      .write.mode("overwrite").parquet(_gen_dir(state_path, 0)))
     _commit(spark, state_path, 0)
     return 0, True
@@ -107,8 +112,11 @@ def run_round(spark: SparkSession, state_path: str, fn: StatusFn, input_cols: Se
     if parallelism:
         todo = todo.repartition(parallelism)
     done = state.filter(F.col("status") == 0)
-    tried = (todo.withColumn("status", fn(*[F.col(c) for c in input_cols], F.lit(attempt)).cast("int"))
-             .withColumn("attempts", F.col("attempts") + 1))
+    tried = todo.withColumn("_r", fn(*[F.col(c) for c in input_cols], F.lit(attempt)))
+    told = isinstance(tried.schema["_r"].dataType, T.StructType)  # a status alone, or with a message
+    tried = (tried.withColumn("status", (F.col("_r.status") if told else F.col("_r")).cast("int"))
+             .withColumn("error", F.col("_r.error") if told else F.lit(None).cast("string"))
+             .withColumn("attempts", F.col("attempts") + 1).drop("_r"))
     nxt = done.unionByName(tried)
     nxt.write.mode("overwrite").parquet(_gen_dir(state_path, attempt))
     _commit(spark, state_path, attempt)
@@ -117,18 +125,20 @@ def run_round(spark: SparkSession, state_path: str, fn: StatusFn, input_cols: Se
 
 def run_until_done(df: DataFrame, fn: StatusFn, state_path: str, input_cols: Sequence[str] = ("url",),
                    max_rounds: int = 10, parallelism_floor: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Rounds until nothing is pending or ``max_rounds`` rounds were run
-    in total (the reference loops forever on a row that always fails).
-    Returns ``(state, leftover)``; only a scalar count reaches the driver."""
+    """Rounds until nothing is pending or this call has run ``max_rounds``
+    of them (the reference loops forever on a row that always fails); a later
+    call goes on where this one stopped.  Returns ``(state, leftover)``; only
+    a scalar count reaches the driver."""
     spark = df.sparkSession
     init_state(df, state_path)
     par = None
     if parallelism_floor:
         par = parallelism_floor * spark.sparkContext.defaultParallelism
+    first = current_generation(spark, state_path)
     while True:
         g = current_generation(spark, state_path)
         state = read_state(spark, state_path, g)
-        if g >= max_rounds or pending(state).limit(1).count() == 0:
+        if g - first >= max_rounds or pending(state).limit(1).count() == 0:
             return state, pending(state)
         run_round(spark, state_path, fn, input_cols, par)
 
@@ -154,10 +164,19 @@ def skip_existing(df: DataFrame, listing: DataFrame, on: str = "target", listing
 def row_function(pyfunc: Callable[[str, int], int]) -> StatusFn:
     """Wrap a per-row Python function ``f(value, attempt) -> int`` (a
     download, a copy) as an Arrow-batched, non-deterministic column
-    function for ``run_round``."""
-    @F.pandas_udf("int")
-    def _apply(values: pd.Series, attempt: pd.Series) -> pd.Series:
-        return pd.Series([int(pyfunc(v, int(a))) for v, a in zip(values, attempt)], dtype="int32")
+    function for ``run_round``.  A row whose function raises gets the status
+    ``FAILED`` and the exception's text; the round goes on."""
+    def one(value, attempt) -> tuple[int, str | None]:
+        try:
+            return int(pyfunc(value, int(attempt))), None
+        except Exception as e:  # recorded in the row's state
+            return FAILED, f"{type(e).__name__}: {e}"
+
+    @F.pandas_udf("status int, error string")
+    def _apply(values: pd.Series, attempt: pd.Series) -> pd.DataFrame:
+        out = [one(v, a) for v, a in zip(values, attempt)]
+        return pd.DataFrame({"status": pd.Series([s for s, _ in out], dtype="int32"),
+                             "error": pd.Series([e for _, e in out], dtype=object)})
 
     udf = _apply.asNondeterministic()
     return lambda value, attempt: udf(value, attempt)

@@ -3,8 +3,8 @@ DataFrames and as DuckDB common table expressions for the oracle SQL.
 
 The derivations are arithmetic only, so both engines agree: sentences are
 labelled documents, images are orders, boxes are line items, predictions are
-shifted boxes with some classes changed, logits are the first ten embedding
-values, URLs are page addresses.
+shifted boxes with some classes changed, logits and detector outputs are fixed
+small-integer projections of the whole embedding, URLs are page addresses.
 """
 
 from __future__ import annotations
@@ -77,9 +77,21 @@ def pred(spark, sf):
         (((i * 7919 + b * 104729) % 1000003).cast("double") / 1000003).alias("score"))
 
 
+def _projected(mult, modulus: int, scale: float):
+    """sum over the whole vector of ``x[i] * (i * mult mod modulus - modulus // 2)`` / scale."""
+    terms = F.transform("embedding", lambda x, i: x.cast("double") * ((i * mult) % modulus - modulus // 2))
+    return F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / scale
+
+
+def _duck_projected(mult: str, modulus: int, scale: float) -> str:
+    return (f"list_sum(list_transform(embedding, lambda x, i: cast(x as double) * "
+            f"(((i - 1) * {mult}) % {modulus} - {modulus // 2}))) / {scale}")
+
+
 def logits(spark, sf):
+    """Ten logits of every vector, each a projection of all its values."""
     e = table(spark, sf, "embeddings")
-    return e.select("vec_id", F.slice("embedding", 1, 10).alias("logits"), "label")
+    return e.select("vec_id", F.array(*[_projected(c + 2, 7, 4.0) for c in range(10)]).alias("logits"), "label")
 
 
 def urls(spark, sf):
@@ -131,11 +143,14 @@ DUCK = {
     x + (image_id % 7) * w / 20 + w as x2, y + (bbox_id % 5) * h / 20 + h as y2,
     cast((image_id * 7919 + bbox_id * 104729) % 1000003 as double) / 1000003 as score
   from fx_objects where (image_id * 3 + bbox_id) % 9 <> 0)""",
+    "fx_logits": f"""fx_logits as (
+  select vec_id, label, [{", ".join(_duck_projected(str(c + 2), 7, 4.0) for c in range(10))}] as logits
+  from embeddings)""",
     "fx_urls": """fx_urls as (select page_id, url from pages)""",
-    "fx_det": """fx_det_q as (
+    "fx_det": f"""fx_det_q as (
   select vec_id as image_id, q,
-    list_transform(embedding[q * 6 + 1: q * 6 + 6], lambda v: cast(v as double)) as lg,
-    list_transform(embedding[q * 4 + 25: q * 4 + 28], lambda v: 1.0 / (1.0 + exp(-cast(v as double)))) as bx,
+    [{", ".join(_duck_projected(f"(6 * q + {k + 2})", 11, 4.0) for k in range(6))}] as lg,
+    list_transform([{", ".join(_duck_projected(f"(4 * q + {j + 3})", 13, 8.0) for j in range(4))}], lambda v: 1.0 / (1.0 + exp(-v))) as bx,
     cast(320 + vec_id % 5 * 80 as int) as width, cast(240 + vec_id % 4 * 80 as int) as height
   from embeddings, (select unnest(range(0, 4)) as q) qs),
 fx_det as (
@@ -185,13 +200,12 @@ def objects_nested(spark, sf):
 
 def detector_outputs(spark, sf):
     """Raw detector outputs derived from ``embeddings``: per row four queries
-    of six logits (five classes and "no object") and four normalised
-    centre boxes (sigmoid of the next sixteen values)."""
+    of six logits (five classes and "no object") and four normalised centre
+    boxes (sigmoids), each value a projection of the whole vector."""
     e = table(spark, sf, "embeddings")
-    q = F.sequence(F.lit(0), F.lit(3))
-    lg = F.transform(q, lambda i: F.slice("embedding", i * 6 + 1, 6))
-    bx = F.transform(q, lambda i: F.transform(F.slice("embedding", i * 4 + 25, 4),
-                                              lambda v: F.lit(1.0) / (F.lit(1.0) + F.exp(-v.cast("double")))))
+    lg = F.array(*[F.array(*[_projected(6 * q + k + 2, 11, 4.0) for k in range(6)]) for q in range(4)])
+    bx = F.array(*[F.array(*[F.lit(1.0) / (F.lit(1.0) + F.exp(-_projected(4 * q + j + 3, 13, 8.0)))
+                             for j in range(4)]) for q in range(4)])
     k = F.col("vec_id")
     return e.select(k.alias("image_id"), lg.alias("logits"), bx.alias("pred_boxes"),
                     (F.lit(320) + k % 5 * 80).cast("int").alias("width"),

@@ -111,12 +111,12 @@ def center_to_corners(spark, sf):
     return c.select("image_id", "bbox_id", *[F.round(k, 6).alias(k) for k in ("x1", "y1", "x2", "y2")])
 
 
-_DUCK_FLAG = ("(('0x' || substr(md5(concat_ws('|', cast(image_id as varchar), '{name}', '0')), 1, 7))::BIGINT "
-              "% 10000) < {cut}")
+_DUCK_FLAG = ("('0x' || substr(md5(concat_ws('|', cast(image_id as varchar), '{name}', '0')), 1, 15))::BIGINT "
+              "< (1::BIGINT << 60) // {one_in}")
 
 
 @register("flip_boxes_planned", sql=W("fx_objects") + f"""
-select image_id, bbox_id, case when {_DUCK_FLAG.format(name='hflip', cut=5000)} then width - x - w else x end as x
+select image_id, bbox_id, case when {_DUCK_FLAG.format(name='hflip', one_in=2)} then width - x - w else x end as x
 from fx_objects
 """)
 def flip_boxes_planned(spark, sf):
@@ -140,10 +140,10 @@ def resize_boxes_480(spark, sf):
 
 @register("augment_plan_images", sql=W("fx_images") + f"""
 select image_id,
-       {_DUCK_FLAG.format(name='perspective', cut=1000)} as aug_perspective,
-       {_DUCK_FLAG.format(name='hflip', cut=5000)} as aug_hflip,
-       {_DUCK_FLAG.format(name='brightness', cut=5000)} as aug_brightness,
-       {_DUCK_FLAG.format(name='hue', cut=1000)} as aug_hue
+       {_DUCK_FLAG.format(name='perspective', one_in=10)} as aug_perspective,
+       {_DUCK_FLAG.format(name='hflip', one_in=2)} as aug_hflip,
+       {_DUCK_FLAG.format(name='brightness', one_in=2)} as aug_brightness,
+       {_DUCK_FLAG.format(name='hue', one_in=10)} as aug_hue
 from fx_images
 """)
 def augment_plan_images(spark, sf):

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import boxes as X
 from ..operators import deteval as E
 from . import fixtures as FX
 from .registry import register, table
@@ -14,10 +15,11 @@ from .registry import register, table
 ALL = {"all": E.AREA_RANGES["all"]}
 
 
-def duck_eval(ranges: dict[str, tuple[float, float]]) -> str:
-    """CTEs ending in ``m`` (matches), ``flags``, ``npos``, ``ap`` and ``rec``."""
+def duck_eval(ranges: dict[str, tuple[float, float]], source: str | None = None) -> str:
+    """CTEs ending in ``m`` (matches), ``flags``, ``npos``, ``ap`` and ``rec``,
+    from a with clause that defines fx_truth and fx_pred."""
     rv = ", ".join(f"('{n}', cast({lo} as double), cast({hi} as double))" for n, (lo, hi) in ranges.items())
-    return FX.duck_with("fx_truth", "fx_pred") + f""",
+    return (source or FX.duck_with("fx_truth", "fx_pred")) + f""",
 thr as (select cast(p as double) / cast(100 as double) as thr from (select unnest(range(50, 100, 5)) as p)),
 rng as (select * from (values {rv}) as t(rng, lo, hi)),
 cap as (select *, row_number() over (partition by image_id, label order by score desc, det_id) as det_rank
@@ -108,11 +110,18 @@ def _eval(spark, sf, ranges=None):
     return E.evaluate(FX.pred(spark, sf), FX.truth(spark, sf), ranges=ranges or E.AREA_RANGES)
 
 
-@register("iou_pairs_50", sql=duck_eval(ALL) + """
-select image_id, label, det_id, gt_id, round(iou, 9) as iou from pairs where iou >= 0.5
+@register("iou_pairs_50", sql=FX.duck_with("fx_truth", "fx_pred") + """,
+pairs as (
+  select p.image_id, p.label, p.det_id, t.gt_id,
+         greatest(least(p.x2, t.x2) - greatest(p.x1, t.x1), 0.0)
+         * greatest(least(p.y2, t.y2) - greatest(p.y1, t.y1), 0.0) as both_area,
+         (p.x2 - p.x1) * (p.y2 - p.y1) + (t.x2 - t.x1) * (t.y2 - t.y1) as areas
+  from fx_pred p join fx_truth t on p.image_id = t.image_id and p.label = t.label)
+select image_id, label, det_id, gt_id, round(both_area / (areas - both_area), 9) as iou
+from pairs where areas > both_area and both_area / (areas - both_area) >= 0.5
 """)
 def iou_pairs_50(spark, sf):
-    """Same-image, same-class pairs with IoU >= 0.5."""
+    """Same-image, same-class pairs with IoU >= 0.5, all detections."""
     p = E.iou_pairs(FX.pred(spark, sf), FX.truth(spark, sf), 0.5)
     return p.select("image_id", "label", "det_id", "gt_id", F.round("iou", 9).alias("iou"))
 
@@ -152,19 +161,60 @@ def recall_by_class(spark, sf):
     return (r["recall"].groupBy("label", "max_dets").agg(F.round(F.avg("recall"), 6).alias("recall")))
 
 
-@register("detection_metrics_table", sql=duck_eval(E.AREA_RANGES) + ",\n" + FX.DUCK["fx_classes"] + "\n" +
-          _duck_summary(4) + """
-union all select 'map_' || coalesce(c.category_name, cast(a.label as varchar)), round(avg(a.ap), 4)
-  from ap a left join fx_classes c on a.label = c.category_id where a.rng = 'all'
-  group by a.label, c.category_name
-union all select 'mar_100_' || coalesce(c.category_name, cast(r.label as varchar)), round(avg(r.recall), 4)
-  from rec r left join fx_classes c on r.label = c.category_id where r.rng = 'all' and r.max_dets = 100
-  group by r.label, c.category_name
-""")
+def _duck_table(digits: int) -> str:
+    """Summary and per-class rows, classes of either side, -1 without truths."""
+    return f"""{_duck_summary(digits)}
+union all select 'map_' || coalesce(c.category_name, cast(l.label as varchar)),
+                 round(coalesce(avg(a.ap), -1.0), {digits})
+  from labels_any l left join ap a on a.label = l.label and a.rng = 'all'
+  left join fx_classes c on l.label = c.category_id group by l.label, c.category_name
+union all select 'mar_100_' || coalesce(c.category_name, cast(l.label as varchar)),
+                 round(coalesce(avg(r.recall), -1.0), {digits})
+  from labels_any l left join rec r on r.label = l.label and r.rng = 'all' and r.max_dets = 100
+  left join fx_classes c on l.label = c.category_id group by l.label, c.category_name
+"""
+
+
+_DUCK_LABELS = "labels_any as (select label from fx_truth union select label from fx_pred)"
+
+
+@register("detection_metrics_table", sql=duck_eval(E.AREA_RANGES) + ",\n" + FX.DUCK["fx_classes"] + ",\n" + _DUCK_LABELS
+          + "\n" + _duck_table(4))
 def detection_metrics_table(spark, sf):
     """The reference's metric dictionary as a long frame, rounded to 4."""
     r = _eval(spark, sf)
-    return E.metrics_table(r["ap"], r["recall"], FX.classes(spark, sf), 4)
+    return E.metrics_table(r["ap"], r["recall"], FX.classes(spark, sf), 4, r["classes"])
+
+
+# From raw outputs to metrics: the detector's queries, kept at any score, against normalised centre
+# boxes of the same images (every second query's box, shifted, of a class drawn from the image).
+_DUCK_CHAIN = FX.duck_with("fx_det", "fx_classes") + """,
+fx_pred as (
+  select image_id, cast(query as bigint) as det_id, cast(list_position(p, list_max(p)) - 1 as integer) as label,
+         list_max(p) as score, (bx[1] - bx[3] / 2) * width as x1, (bx[2] - bx[4] / 2) * height as y1,
+         (bx[1] + bx[3] / 2) * width as x2, (bx[2] + bx[4] / 2) * height as y2
+  from fx_det where list_max(p) > 0.0),
+fx_truth as (
+  select image_id, cast(query as bigint) as gt_id, cast(image_id % 6 as integer) as label,
+         (bx[1] + 0.01 - bx[3] / 2) * width as x1, (bx[2] - bx[4] / 2) * height as y1,
+         (bx[1] + 0.01 + bx[3] / 2) * width as x2, (bx[2] + bx[4] / 2) * height as y2
+  from fx_det where query % 2 = 0)"""
+
+
+@register("detection_chain_metrics", sql=duck_eval(E.AREA_RANGES, _DUCK_CHAIN) + ",\n" + _DUCK_LABELS + "\n" + _duck_table(6))
+def detection_chain_metrics(spark, sf):
+    """X11 at threshold 0, X6, E1-E6 in one chain: raw logits and normalised
+    boxes to named metrics."""
+    raw = FX.detector_outputs(spark, sf)
+    pred = X.postprocess_detections(raw, threshold=0.0).select(
+        "image_id", F.col("query").cast("bigint").alias("det_id"), "label", "score", "x1", "y1", "x2", "y2")
+    boxes = raw.select("image_id", "width", "height", F.posexplode("pred_boxes").alias("query", "b")).filter("query % 2 = 0")
+    truth = X.center_to_corners(boxes.select(
+        "image_id", F.col("query").cast("bigint").alias("gt_id"), (F.col("image_id") % 6).cast("int").alias("label"),
+        "width", "height", (F.get("b", 0) + 0.01).alias("cx"), F.get("b", 1).alias("cy"),
+        F.get("b", 2).alias("bw"), F.get("b", 3).alias("bh")))
+    r = E.evaluate(pred, truth)
+    return E.metrics_table(r["ap"], r["recall"], FX.classes(spark, sf), 6, r["classes"])
 
 
 @register("best_checkpoint_per_run", sql="""

@@ -15,7 +15,7 @@ from ..sources import readers as R
 from ..sources import shards as S
 from ..sources import writers as WR
 from . import fixtures as FX
-from .queries_text import _DUCK_VOCAB, VOCAB_SIZE, duck_encoded
+from .queries_text import _DUCK_VOCAB, SEQ_LEN, VOCAB_SIZE, duck_encoded
 from .registry import register, table
 
 
@@ -29,7 +29,7 @@ def read_lines_urls(spark, sf):
     return R.read_lines(spark, p)
 
 
-_DUCK_HASH_TEST = ("case when (('0x' || substr(md5(cast({k} as varchar)), 1, 7))::BIGINT % 10000) * 5 < 10000 "
+_DUCK_HASH_TEST = ("case when ('0x' || substr(md5(cast({k} as varchar)), 1, 15))::BIGINT < (1::BIGINT << 60) // 5 "
                    "then 'test' else 'train' end")
 
 
@@ -56,9 +56,12 @@ def split_tables_roundtrip(spark, sf):
     """One catalog table per split, then the train table read by name."""
     prefix = f"docs_{uuid.uuid4().hex[:8]}"
     d = B.train_test_split(table(spark, sf, "documents").select("doc_id", "lang"), 0.2, "doc_id", "hash")
-    WR.write_splits(d, "split", prefix, scratch_path(spark, "tables"), splits=["train", "test"])
+    names = WR.write_splits(d, "split", prefix, scratch_path(spark, "tables"), splits=["train", "test"])
     t = R.read_table(spark, f"{prefix}_train")
-    return t.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"))
+    out = t.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs")).checkpoint()
+    for n in names:  # external tables: their files stay until the folder goes
+        spark.sql(f"DROP TABLE {n}")
+    return out
 
 
 INFO_KEY = "dataset--info"
@@ -89,95 +92,145 @@ SHARD_COLUMNS = {"label": "int32", "input_ids": "ndarray:int32", "token_type_ids
                  "attention_mask": "ndarray:int32"}
 SHARD_PARTS = 10
 SHARD_LIMIT = 8192
-SHARD_SEQ = 32
+SHARD_SEQ = SEQ_LEN
 
 
 def _encoded_sentences(spark, sf):
     s = FX.sentences(spark, sf)
     vocab = T.build_vocab(table(spark, sf, "documents"), "text", VOCAB_SIZE)
-    return T.encode(s, vocab, "idx", "sentence", SHARD_SEQ, keep=["label"], vocab_size=VOCAB_SIZE)
+    return T.encode(s, vocab, "idx", "sentence", SHARD_SEQ, keep=["label"])
 
 
-_DUCK_SHARDS = f"""
+def _duck_rolled(rows: str, parts: int, limit: int) -> str:
+    """CTEs from ``rows`` (idx, row_bytes, digest, ...) to ``sh`` (with part and
+    shard by the sequential rule) and ``man`` (manifest without start)."""
+    words = " || ".join(f"format('{{:08x}}', (sum(('0x' || substr(p.digest, {8 * i + 1}, 8))::BIGINT) % 4294967296)::BIGINT)"
+                        for i in range(5))
+    return f"""{rows},
+parted as (
+  select *, cast(case when n // {parts} = 0 then {parts - 1}
+                      else least(ri // greatest(n // {parts}, 1), {parts - 1}) end as integer) as part
+  from (select *, row_number() over (order by idx) - 1 as ri, count(*) over () as n from rows) q),
+ex as (
+  select part, list(idx order by idx) as idxs,
+         list_reduce(list(row_bytes order by idx), lambda acc, b:
+           case when acc.cur > 0 and acc.cur + b > {limit}
+                then {{'cur': b::BIGINT, 'sid': acc.sid + 1, 'ids': list_append(acc.ids, acc.sid + 1)}}
+                else {{'cur': acc.cur + b, 'sid': acc.sid, 'ids': list_append(acc.ids, acc.sid)}} end,
+           {{'cur': 0::BIGINT, 'sid': 0::BIGINT, 'ids': []::BIGINT[]}}).ids as sids
+  from parted group by part),
+sx as (select part, unnest(idxs) as idx, unnest(sids) as shard from ex),
+sh as (select p.*, cast(x.shard as integer) as shard from parted p join sx x on p.part = x.part and p.idx = x.idx),
+man as (
+  select part, shard, count(*) as rows, cast(sum(row_bytes) as bigint) as bytes, {words} as hash
+  from sh p group by part, shard)
+"""
+
+
+_DUCK_ENCODED_ROWS = f"""
 with {_DUCK_VOCAB},
 {FX.DUCK["fx_sentences"]},
 {duck_encoded("fx_sentences", "idx", "sentence", SHARD_SEQ)},
 rows as (
-  select e.idx, s.label, e.input_ids,
-         list_transform(range({SHARD_SEQ}), lambda x: 0) as tt,
-         list_transform(range({SHARD_SEQ}), lambda x: case when x < e.n_real then 1 else 0 end) as am,
-         row_number() over (order by e.idx) - 1 as ri, count(*) over () as n
-  from enc e join fx_sentences s using (idx)),
-parted as (
-  select *, cast(case when n // {SHARD_PARTS} = 0 then {SHARD_PARTS - 1}
-                      else least(ri // greatest(n // {SHARD_PARTS}, 1), {SHARD_PARTS - 1}) end as integer) as part,
-         4 + 4 * len(input_ids) + 4 * len(tt) + 4 * len(am) as row_bytes,
+  select *, 4 + 4 * len(input_ids) + 4 * len(tt) + 4 * len(am) as row_bytes,
          sha1(concat_ws(chr(31), cast(label as varchar), array_to_string(input_ids, ','),
                         array_to_string(tt, ','), array_to_string(am, ','))) as digest
-  from rows),
-cum as (select *, (sum(row_bytes) over (partition by part order by idx) - 1) // {SHARD_LIMIT} as raw from parted),
-sh as (select *, cast(dense_rank() over (partition by part order by raw) - 1 as integer) as shard from cum),
-man as (
-  select part, shard, count(*) as rows, cast(sum(row_bytes) as bigint) as bytes,
-         sha1(string_agg(digest, ',' order by digest)) as hash
-  from sh group by part, shard)
-"""
-
-
-@register("export_shards_manifest", sql=_DUCK_SHARDS + """
+  from (select e.idx, s.label, e.input_ids,
+               list_transform(range({SHARD_SEQ}), lambda x: 0) as tt,
+               list_transform(range({SHARD_SEQ}), lambda x: case when x < e.n_real then 1 else 0 end) as am
+        from enc e join fx_sentences s using (idx)) q)"""
+_DUCK_SHARDS = _duck_rolled(_DUCK_ENCODED_ROWS, SHARD_PARTS, SHARD_LIMIT)
+_DUCK_START = """
 select part, shard, rows, bytes, hash,
        cast(coalesce(sum(rows) over (order by part, shard rows between unbounded preceding and 1 preceding), 0)
             as bigint) as start
 from man
-""")
+"""
+
+
+@register("export_shards_manifest", sql=_DUCK_SHARDS + _DUCK_START)
 def export_shards_manifest(spark, sf):
     """Encoded sentences exported as 10 parts of zstd shards rolled
-    at 8,192 bytes, with the merged manifest (rows, bytes, start, sha1)."""
+    at 8,192 bytes, with the merged manifest (rows, bytes, start, hash)."""
     p = scratch_path(spark, "shards")
     return S.export_shards(_encoded_sentences(spark, sf), p, SHARD_COLUMNS, "idx",
                            parts=SHARD_PARTS, size_limit=SHARD_LIMIT)
 
 
+TEXT_COLUMNS = {"sentence": "str", "label": "int", "idx": "int"}
+TEXT_LIMIT = 1 << 16
+
+
+@register("export_text_shards_manifest", sql=_duck_rolled(f"""
+with {FX.DUCK["fx_sentences"]},
+rows as (select idx, octet_length(encode(sentence)) + 16 as row_bytes,
+                sha1(concat_ws(chr(31), sentence, cast(label as varchar), cast(idx as varchar))) as digest
+         from fx_sentences)""", 4, TEXT_LIMIT) + _DUCK_START)
+def export_text_shards_manifest(spark, sf):
+    """S7 on raw text and mixed types: sentence, label and number, rolled at
+    64 KiB."""
+    p = scratch_path(spark, "text-shards")
+    return S.export_shards(FX.sentences(spark, sf), p, TEXT_COLUMNS, "idx", parts=4, size_limit=TEXT_LIMIT)
+
+
 @register("verify_shards", sql=_DUCK_SHARDS + """
 select part, shard, rows, true as rows_ok, true as hash_ok from man
+union all select -1, -1, count(*), true, true from rows
 """)
 def verify_shards(spark, sf):
-    """Shards read back and checked shard by shard against the manifest."""
+    """Shards read back and checked shard by shard against the manifest,
+    and all together against the source frame."""
     p = scratch_path(spark, "shards")
-    S.export_shards(_encoded_sentences(spark, sf), p, SHARD_COLUMNS, "idx", parts=SHARD_PARTS,
-                    size_limit=SHARD_LIMIT)
-    return S.verify_export(spark, p, SHARD_COLUMNS)
+    src = _encoded_sentences(spark, sf).checkpoint()
+    S.export_shards(src, p, SHARD_COLUMNS, "idx", parts=SHARD_PARTS, size_limit=SHARD_LIMIT)
+    return S.verify_export(spark, p, SHARD_COLUMNS, src)
 
 
-@register("list_shard_files")
+@register("list_shard_files", sql=_DUCK_SHARDS + """
+select part, shard, 1 as n_files, true as has_bytes from man
+""")
 def list_shard_files(spark, sf):
-    """Files of an export matching ``*.parquet`` with sizes (GB)."""
+    """The ``*.parquet`` files of an export, per shard folder."""
     p = scratch_path(spark, "shards")
     S.export_shards(_encoded_sentences(spark, sf), p, SHARD_COLUMNS, "idx", parts=SHARD_PARTS,
                     size_limit=SHARD_LIMIT)
-    return R.list_artifacts(spark, p, "*.parquet")
+    files = R.list_artifacts(spark, p, "*.parquet")
+    return (files.select(F.regexp_extract("path", r"/part=(\d+)/", 1).cast("int").alias("part"),
+                         F.regexp_extract("path", r"/shard=(\d+)/", 1).cast("int").alias("shard"), "bytes")
+            .groupBy("part", "shard").agg(F.count(F.lit(1)).alias("n_files"), (F.min("bytes") > 0).alias("has_bytes")))
 
 
 @register("coco_export_sections", sql=FX.duck_with("fx_objects", "fx_classes") + """
-select 'images' as section, count(*) as n_rows, cast(sum(width) as bigint) as checksum from fx_images
+select 'images' as section, image_id as id, cast(null as bigint) as image_id, cast(null as bigint) as category_id,
+       cast(null as bigint) as iscrowd, cast(null as double) as area,
+       width || 'x' || height || ' ' || image_id || '.png' as detail
+from fx_images
 union all
-select 'annotations', count(*), cast(sum(category) + sum(bbox_id) as bigint) from fx_objects
+select 'annotations', row_number() over (order by image_id, bbox_id), image_id, category, 0, round(w * h, 6),
+       array_to_string([round(x, 3), round(y, 3), round(w, 3), round(h, 3)], ' ')
+from fx_objects
 union all
-select 'categories', count(*), cast(sum(category_id) as bigint) from fx_classes
+select 'categories', category_id, null, null, null, null, category_name || ' none' from fx_classes
 """)
 def coco_export_sections(spark, sf):
-    """COCO sections written as JSON-lines folders and read back."""
+    """COCO sections written as JSON-lines folders and read back, every
+    row and column of them."""
     p = scratch_path(spark, "coco")
     frames = WR.coco_frames(FX.images(spark, sf), FX.objects(spark, sf), FX.classes(spark, sf))
     WR.write_coco(frames, p)
     img = spark.read.json(f"{p}/images")
     ann = spark.read.json(f"{p}/annotations")
     cat = spark.read.json(f"{p}/categories")
-    return (img.select(F.lit("images").alias("section"), F.col("width").alias("v"))
-            .unionByName(ann.select(F.lit("annotations").alias("section"),
-                                    (F.col("category_id") + F.col("id")).alias("v")))
-            .unionByName(cat.select(F.lit("categories").alias("section"), F.col("id").alias("v")))
-            .groupBy("section").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("v").cast("bigint").alias("checksum")))
+    none = {k: F.lit(None).cast(t).alias(k) for k, t in
+            (("image_id", "bigint"), ("category_id", "bigint"), ("iscrowd", "bigint"), ("area", "double"))}
+    box = F.array_join(F.transform("bbox", lambda x: F.round(x, 3).cast("string")), " ")
+    return (img.select(F.lit("images").alias("section"), "id", *none.values(),
+                       F.concat(F.col("width").cast("string"), F.lit("x"), F.col("height").cast("string"), F.lit(" "),
+                                "file_name").alias("detail"))
+            .unionByName(ann.select(F.lit("annotations").alias("section"), "id", "image_id", "category_id", "iscrowd",
+                                    F.round("area", 6).alias("area"), box.alias("detail")))
+            .unionByName(cat.select(F.lit("categories").alias("section"), "id", *none.values(),
+                                    F.concat("name", F.lit(" "), "supercategory").alias("detail"))))
 
 
 @register("sample_shards_head", sql=_DUCK_SHARDS + """
@@ -196,31 +249,8 @@ def sample_shards_head(spark, sf):
     return S.sample_shards(spark, p, SHARD_COLUMNS, "idx", 5)
 
 
-_DUCK_EXACT = _DUCK_SHARDS.split("cum as (")[0] + f"""ex as (
-  select part, list(idx order by idx) as idxs,
-         list_reduce(list(row_bytes order by idx), lambda acc, b:
-           case when acc.cur > 0 and acc.cur + b > {SHARD_LIMIT}
-                then {{'cur': b::BIGINT, 'sid': acc.sid + 1, 'ids': list_append(acc.ids, acc.sid + 1)}}
-                else {{'cur': acc.cur + b, 'sid': acc.sid, 'ids': list_append(acc.ids, acc.sid)}} end,
-           {{'cur': 0::BIGINT, 'sid': 0::BIGINT, 'ids': []::BIGINT[]}}).ids as sids
-  from parted group by part),
-sx as (select part, unnest(idxs) as idx, unnest(sids) as shard from ex),
-man as (
-  select p.part, cast(x.shard as integer) as shard, count(*) as rows, cast(sum(p.row_bytes) as bigint) as bytes,
-         sha1(string_agg(p.digest, ',' order by p.digest)) as hash
-  from parted p join sx x on p.part = x.part and p.idx = x.idx group by p.part, x.shard)
-"""
-
-
-@register("export_shards_exact_manifest", sql=_DUCK_EXACT + """
-select part, shard, rows, bytes, hash,
-       cast(coalesce(sum(rows) over (order by part, shard rows between unbounded preceding and 1 preceding), 0)
-            as bigint) as start
-from man
-""")
+@register("export_shards_exact_manifest", sql=_duck_rolled(_DUCK_ENCODED_ROWS, 3, 5 * SHARD_LIMIT) + _DUCK_START)
 def export_shards_exact_manifest(spark, sf):
-    """S7 exact mode: the sequential writer's roll-over (a shard closes when
-    the next sample would overflow it), one streaming pass per part."""
+    """S7 with fewer, larger shards: three parts rolled at 40,960 bytes."""
     p = scratch_path(spark, "shards-exact")
-    return S.export_shards(_encoded_sentences(spark, sf), p, SHARD_COLUMNS, "idx",
-                           parts=SHARD_PARTS, size_limit=SHARD_LIMIT, mode="exact")
+    return S.export_shards(_encoded_sentences(spark, sf), p, SHARD_COLUMNS, "idx", parts=3, size_limit=5 * SHARD_LIMIT)

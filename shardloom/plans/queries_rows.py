@@ -11,10 +11,10 @@ from ..operators import model as N
 from ..operators import rows as P
 from ..operators import splits as B
 from ..operators import text as T
-from ..operators.index import with_row_index
+from ..operators.index import running_sum, with_row_index
 from ..session import scratch_path
 from . import fixtures as FX
-from .queries_text import _DUCK_TOKENS, _DUCK_VOCAB, VOCAB_SIZE, duck_encoded
+from .queries_text import _DUCK_TOKENS, _DUCK_VOCAB, SEQ_LEN, VOCAB_SIZE, duck_encoded
 from .registry import register, table
 
 # ---------------------------------------------------------------- B: positions
@@ -36,6 +36,35 @@ def row_index_by_lang(spark, sf):
     return with_row_index(table(spark, sf, "documents").select("doc_id", "lang"), ["doc_id"], groups=["lang"])
 
 
+_NULLED = "case when source in ('src0', 'src1') then null else lang end"
+
+
+def _nulled(spark, sf):
+    lang = F.when(~F.col("source").isin("src0", "src1"), F.col("lang"))
+    return table(spark, sf, "documents").select("doc_id", lang.alias("lang"), F.length("text").alias("n"))
+
+
+@register("row_index_null_groups", sql=f"""
+select doc_id, lang, row_number() over (partition by lang order by doc_id) - 1 as row_idx,
+       count(*) over (partition by lang) as n
+from (select doc_id, {_NULLED} as lang from documents)
+""")
+def row_index_null_groups(spark, sf):
+    """Index per group where null is a group too."""
+    return with_row_index(_nulled(spark, sf).select("doc_id", "lang"), ["doc_id"], groups=["lang"], count_name="n")
+
+
+@register("running_chars_null_groups", sql=f"""
+select doc_id, lang, cast(sum(n) over (partition by lang order by doc_id) as bigint) as chars,
+       cast(sum(n) over (partition by lang) as bigint) as chars_total
+from (select doc_id, {_NULLED} as lang, length(text) as n from documents)
+""")
+def running_chars_null_groups(spark, sf):
+    """Running sum and total per group where null is a group too."""
+    r = running_sum(_nulled(spark, sf), ["doc_id"], {"chars": F.col("n")}, groups=["lang"], totals=True)
+    return r.select("doc_id", "lang", "chars", "chars_total")
+
+
 @register("split_ordered_docs", sql="""
 select doc_id, case when row_number() over (order by doc_id) - 1 < (count(*) over () * 4) // 5
                     then 'train' else 'test' end as split
@@ -48,12 +77,12 @@ def split_ordered_docs(spark, sf):
 
 @register("split_hashed_docs", sql="""
 select doc_id,
-       case when (('0x' || substr(md5(cast(doc_id as varchar)), 1, 7))::BIGINT % 10000) * 5 < 10000
+       case when ('0x' || substr(md5(cast(doc_id as varchar)), 1, 15))::BIGINT < (1::BIGINT << 60) // 5
             then 'test' else 'train' end as split
 from documents
 """)
 def split_hashed_docs(spark, sf):
-    """B2 hash: md5 bucket under the test fraction."""
+    """B2 hash: the key's md5, as a fraction, under the test fraction."""
     return B.train_test_split(table(spark, sf, "documents").select("doc_id"), 0.2, "doc_id", "hash")
 
 
@@ -116,7 +145,7 @@ def workers_docs(spark, sf):
 @register("collate_sentence_batches", sql=f"""
 with {_DUCK_VOCAB},
 {FX.DUCK["fx_sentences"]},
-{duck_encoded("fx_sentences", "idx", "sentence", 32)},
+{duck_encoded("fx_sentences", "idx", "sentence", SEQ_LEN)},
 b as (select e.idx, s.label, e.input_ids, (row_number() over (order by e.idx) - 1) // 16 as batch
       from enc e join fx_sentences s using (idx))
 select batch, string_agg(cast(label as varchar), ',' order by idx) as labels,
@@ -128,7 +157,7 @@ def collate_sentence_batches(spark, sf):
     batch of 16, arrays stacked in row order, labels kept as a list."""
     s = FX.sentences(spark, sf)
     enc = T.encode(s, T.build_vocab(table(spark, sf, "documents"), "text", VOCAB_SIZE), "idx",
-                   "sentence", 32, keep=["label"], vocab_size=VOCAB_SIZE)
+                   "sentence", SEQ_LEN, keep=["label"])
     bat = B.assign_batches(enc, 16, "idx")
     col = T.collate(bat, "batch", "idx", ["input_ids"], "label")
     return col.select("batch", F.array_join(F.transform("labels", lambda x: x.cast("string")), ",").alias("labels"),
@@ -157,7 +186,7 @@ def pad_word_lengths(spark, sf):
 
 @register("describe_encoded_docs", sql=f"""
 with {_DUCK_VOCAB},
-{duck_encoded("documents", "doc_id", "text", 32)}
+{duck_encoded("documents", "doc_id", "text", SEQ_LEN)}
 select doc_id, 'input_ids' as "column", array_to_string(input_ids[1:5], ',') as first_ids,
        cast(len(input_ids) as integer) as length, 'array<int>' as dtype
 from enc
@@ -165,7 +194,7 @@ from enc
 def describe_encoded_docs(spark, sf):
     """T4: first five ids, length and element type of each encoded row."""
     enc = T.encode(table(spark, sf, "documents"), T.build_vocab(table(spark, sf, "documents"), "text", VOCAB_SIZE),
-                   "doc_id", "text", 32, vocab_size=VOCAB_SIZE)
+                   "doc_id", "text", SEQ_LEN)
     d = T.describe_encoded(enc.select("doc_id", "input_ids"), ["input_ids"], head=5, keys=["doc_id"])
     return d.select("doc_id", "column", F.array_join(F.col("first_ids"), ",").alias("first_ids"), "length", "dtype")
 
@@ -182,7 +211,7 @@ def url_prefix_pages(spark, sf):
     """A literal base before each page's path."""
     pages = table(spark, sf, "pages").select(
         "page_id", F.regexp_extract("url", r"^[a-z]+://[^/]+/(.*)$", 1).alias("path"))
-    return pages.select("page_id", F.concat(F.lit(BASE_URL), F.col("path")).alias("url"))
+    return P.with_url(pages, BASE_URL, "path", "url", keep=["page_id"])
 
 
 @register("conform_embeddings", sql="""
@@ -233,11 +262,15 @@ def pending_after_round_one(spark, sf):
 
 
 @register("profile_lineitem", sql="""
-select count(*) as n_rows, 11 as n_columns from lineitem
+select (select count(*) from lineitem) as n_rows, cast(count(*) as integer) as n_columns,
+       string_agg(column_name, ',' order by column_name) as columns
+from (describe select * from lineitem)
 """)
 def profile_lineitem(spark, sf):
-    """Row and column count of a table."""
-    return P.profile(table(spark, sf, "lineitem")).select("n_rows", F.col("n_columns").cast("int"))
+    """Row count, column count and the column names of the schema text."""
+    p = P.profile(table(spark, sf, "lineitem"))
+    names = F.regexp_extract_all("schema", F.lit(r"[<,](\w+):"), 1)
+    return p.select("n_rows", F.col("n_columns").cast("int"), F.array_join(F.array_sort(names), ",").alias("columns"))
 
 
 @register("latest_event_per_user", sql="""
@@ -282,7 +315,7 @@ def validate_boxes(spark, sf):
 # ---------------------------------------------------------------- N: scoring
 
 CLASS_NAMES = ["zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"]
-_DUCK_LOGITS = "embedding[1:10]"
+_DUCK_LOGITS = "logits"
 
 
 def _logits(spark, sf):
@@ -290,19 +323,21 @@ def _logits(spark, sf):
 
 
 @register("argmax_logits", sql=f"""
+{FX.duck_with("fx_logits")}
 select vec_id, cast(list_position({_DUCK_LOGITS}, list_max({_DUCK_LOGITS})) - 1 as integer) as pred
-from embeddings
+from fx_logits
 """)
 def argmax_logits(spark, sf):
-    """Argmax of ten logits."""
+    """Argmax of ten logits of the whole vector."""
     return N.with_argmax(_logits(spark, sf), "logits").select("vec_id", "pred")
 
 
 @register("decode_class_names", sql=f"""
+{FX.duck_with("fx_logits")}
 select vec_id,
        {[n for n in CLASS_NAMES]}[list_position({_DUCK_LOGITS}, list_max({_DUCK_LOGITS}))] as pred_name,
        {[n for n in CLASS_NAMES]}[label + 1] as true_name
-from embeddings
+from fx_logits
 """)
 def decode_class_names(spark, sf):
     """Class ids decoded by list position, truth beside prediction."""
@@ -317,10 +352,11 @@ _DUCK_LSE = (f"(cast(list_max({_DUCK_LOGITS}) as double) + ln(list_sum(list_tran
 
 
 @register("classify_softmax", sql=f"""
+{FX.duck_with("fx_logits")}
 select vec_id, {[n for n in CLASS_NAMES]}[list_position({_DUCK_LOGITS}, list_max({_DUCK_LOGITS}))] as label,
        round(1.0 / list_sum(list_transform({_DUCK_LOGITS},
              lambda x: exp(cast(x as double) - cast(list_max({_DUCK_LOGITS}) as double)))), 6) as score
-from embeddings
+from fx_logits
 """)
 def classify_softmax(spark, sf):
     """Best class name and its softmax probability."""
@@ -329,9 +365,10 @@ def classify_softmax(spark, sf):
 
 
 @register("cross_entropy_by_label", sql=f"""
+{FX.duck_with("fx_logits")}
 select label, round(avg({_DUCK_LSE} - cast({_DUCK_LOGITS}[label + 1] as double)), 6) as cross_entropy,
        count(*) as n
-from embeddings group by label
+from fx_logits group by label
 """)
 def cross_entropy_by_label(spark, sf):
     """Mean cross-entropy per true class."""
@@ -340,9 +377,10 @@ def cross_entropy_by_label(spark, sf):
 
 
 @register("accuracy_overall", sql=f"""
+{FX.duck_with("fx_logits")}
 select round(avg(case when list_position({_DUCK_LOGITS}, list_max({_DUCK_LOGITS})) - 1 = label
                       then 1.0 else 0.0 end), 6) as accuracy, count(*) as n
-from embeddings
+from fx_logits
 """)
 def accuracy_overall(spark, sf):
     """Micro-averaged accuracy of the argmax."""
@@ -357,7 +395,17 @@ def _centroids(emb):
             .groupBy("label", "d").agg(F.avg("x").alias("m")))
 
 
-@register("predict_centroid_batches")
+@register("predict_centroid_batches", sql="""
+with m as (
+  select label, d, avg(cast(x as double)) as m
+  from (select label, unnest(embedding) as x, generate_subscripts(embedding, 1) as d from embeddings) group by label, d),
+c as (select label as k, list(m order by d) as c from m group by label)
+select vec_id, label, cast(arg_min(k, (dist, k)) as integer) as prediction
+from (select e.vec_id, e.label, c.k,
+             list_sum(list_transform(list_zip(e.embedding, c.c), lambda z: (cast(z[1] as double) - z[2]) ** 2)) as dist
+      from embeddings e, c)
+group by vec_id, label
+""")
 def predict_centroid_batches(spark, sf):
     """A model built once per task (nearest class centroid, fitted by a
     Spark aggregation) called on batches of 100 rows inside ``mapInPandas``."""
@@ -381,6 +429,32 @@ def predict_centroid_batches(spark, sf):
     return N.predict_batches(emb, make_model, ["embedding"], "int", batch_size=100).drop("embedding")
 
 
+SYMBOLS = "#*$%&|<>"
+
+
+@register("predict_text_label_score", sql="""
+select doc_id, case when s.n * 20 > length(text) then 'markup' else 'prose' end as label,
+       round(abs(least(1.0, s.n * 20.0 / greatest(length(text), 1)) - 0.5) + 0.5, 6) as score
+from (select doc_id, text, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n from documents) s
+""")
+def predict_text_label_score(spark, sf):
+    """N1 on whole texts with a struct answer (label, score): a model object
+    built once per task, called on batches of 100."""
+    def make_model():
+        def predict(pdf):
+            out = []
+            for text in pdf["text"]:
+                n = sum(text.count(c) for c in SYMBOLS)
+                share = min(1.0, n * 20.0 / max(len(text), 1))
+                out.append({"label": "markup" if n * 20 > len(text) else "prose", "score": abs(share - 0.5) + 0.5})
+            return out
+        return predict
+
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    out = N.predict_batches(docs, make_model, ["text"], "struct<label: string, score: double>", out_col="answer")
+    return out.select("doc_id", "answer.label", F.round("answer.score", 6).alias("score"))
+
+
 def _sentence_split(spark, sf):
     return B.train_test_split(FX.sentences(spark, sf), 0.2, "idx", "hash")
 
@@ -400,14 +474,19 @@ def fit_text_classifier(spark, sf):
 
 @register("score_saved_classifier")
 def score_saved_classifier(spark, sf):
-    """Save the fitted pipeline to the shared folder, load and score."""
+    """Save the fitted pipeline to the shared folder, load it, score, and
+    hold the scores against those of the fitted model itself."""
     s = _sentence_split(spark, sf)
     model = N.fit_classifier(B.split_of(s, "train"), "sentence", "label")
     path = scratch_path(spark, "text-classifier")
     model.write().overwrite().save(path)
-    scored = N.score_saved(B.split_of(s, "test"), path)
-    return scored.select("idx", "label", F.col("prediction").cast("int").alias("prediction"),
-                         F.round("score", 6).alias("score"))
+    test = B.split_of(s, "test")
+    scored = N.score_saved(test, path)
+    from pyspark.ml.functions import vector_to_array
+    own = model.transform(test).select("idx", F.array_max(vector_to_array("probability")).alias("_own"))
+    return scored.join(own, "idx").select(
+        "idx", "label", F.col("prediction").cast("int").alias("prediction"), F.round("score", 6).alias("score"),
+        (F.abs(F.col("score") - F.col("_own")) < 1e-9).alias("same_as_fitted"))
 
 
 @register("keep_drop_columns", sql="""
@@ -420,12 +499,6 @@ def keep_drop_columns(spark, sf):
     return P.drop_columns(kept, ["l_discount"])
 
 
-@register("session_user_for_table")
-def session_user_for_table(spark, sf):
-    """The session user next to a table (value depends on the session)."""
-    return P.current_user_frame(table(spark, sf, "region"))
-
-
 @register("image_bytes_pages", sql="""
 select page_id, cast(octet_length(encode(html)) as integer) as n_bytes from pages
 """)

@@ -8,7 +8,8 @@ from ..operators import text as T
 from .registry import register, table
 
 VOCAB_SIZE = 1000
-SEQ_LEN = 32
+# Fixed value: the sequence length of the encoded samples.
+SEQ_LEN = 256
 
 # DuckDB pieces shared by the oracle SQL below.
 def duck_tokens(text: str = "text") -> str:
@@ -46,32 +47,27 @@ def _vocab(spark, sf):
 
 def _encoded(spark, sf, max_length=SEQ_LEN):
     docs = table(spark, sf, "documents")
-    return T.encode(docs, _vocab(spark, sf), "doc_id", "text", max_length, keep=["lang"], vocab_size=VOCAB_SIZE)
+    return T.encode(docs, _vocab(spark, sf), "doc_id", "text", max_length, keep=["lang"])
 
 
 @register("encode_tokens_by_lang", sql=f"""
 with {_DUCK_VOCAB},
-cut as (select doc_id, lang, ({_DUCK_TOKENS})[1:{SEQ_LEN - 2}] as toks from documents),
-tok as (select doc_id, lang, unnest(toks) as token from cut)
-select c.lang,
-       count(*) as n_docs,
-       cast(sum(len(c.toks) + 2) as bigint) as real_tokens,
-       cast(sum(coalesce(u.n_unk, 0)) as bigint) as unk_tokens
-from cut c left join (
-  select doc_id, count(*) as n_unk from tok left join vocab v using (token)
-  where v.id is null group by doc_id) u using (doc_id)
-group by c.lang
+tok as (select lang, unnest({_DUCK_TOKENS}) as token from documents),
+counted as (select lang, count(*) as n, count(*) filter (where v.id is null) as unk
+            from tok left join vocab v using (token) group by lang)
+select d.lang, d.n_docs, cast(coalesce(c.n, 0) + 2 * d.n_docs as bigint) as real_tokens,
+       cast(coalesce(c.unk, 0) as bigint) as unk_tokens
+from (select lang, count(*) as n_docs from documents group by lang) d
+left join counted c on d.lang is not distinct from c.lang
 """)
 def encode_tokens_by_lang(spark, sf):
-    """Flagship: vocabulary of the whole corpus, fixed-length encoding, real
-    and unknown tokens per language, read off the encoded arrays."""
-    enc = _encoded(spark, sf)
-    real = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    unk = F.size(F.filter("input_ids", lambda x: x == F.lit(1)))
-    return (enc.groupBy("lang")
-            .agg(F.count(F.lit(1)).alias("n_docs"),
-                 F.sum(real).cast("bigint").alias("real_tokens"),
-                 F.sum(unk).cast("bigint").alias("unk_tokens")))
+    """Flagship: vocabulary of the whole corpus, then real tokens (with the
+    two markers of each text) and unknown tokens of the whole texts, per
+    language."""
+    docs = table(spark, sf, "documents")
+    c = T.token_counts(docs, _vocab(spark, sf), ["lang"])
+    return c.select("lang", "n_docs", (F.col("n_tokens") + 2 * F.col("n_docs")).alias("real_tokens"),
+                    F.col("n_unknown").alias("unk_tokens"))
 
 
 @register("vocab_top_words", sql=f"""

@@ -120,3 +120,53 @@ def skip_fetched_targets(spark, sf):
     if not fs.exists(spark, state_path):
         raise RuntimeError("state folder missing")
     return out.select("page_id", "target")
+
+
+@register("work_row_function", sql="""
+select page_id, case when length(url) % 4 = 0 then -1 else 0 end as status, 1 as attempts,
+       case when length(url) % 4 = 0 then 'ValueError: refused ' || url end as error
+from pages
+""")
+def work_row_function(spark, sf):
+    """W3 with a real per-row Python function over the addresses: a row whose
+    function raises is recorded (status -1 and the message), the round goes on."""
+    def visit(url, attempt):
+        if len(url) % 4 == 0:
+            raise ValueError(f"refused {url}")
+        return 0
+
+    state_path = scratch_path(spark, "work-state")
+    state, _ = WQ.run_until_done(FX.urls(spark, sf), WQ.row_function(visit), state_path, ["url"], max_rounds=1)
+    return state.select("page_id", "status", "attempts", "error")
+
+
+@register("work_resumes_after_cap", sql=FX.duck_with("fx_attempts") + "," + _DUCK_FIRST_OK + """
+select p.page_id, case when f.ok_at is not null then 0 else f.last_status end as status,
+       cast(coalesce(f.ok_at, 4) as integer) as attempts
+from pages p join first_ok f using (page_id)
+""")
+def work_resumes_after_cap(spark, sf):
+    """Two calls of at most two rounds each; the second goes on where the
+    first stopped."""
+    state_path = scratch_path(spark, "work-state")
+    for _ in range(2):
+        state, _left = WQ.run_until_done(FX.urls(spark, sf), _status, state_path, ["page_id"], max_rounds=2)
+    return state.select("page_id", "status", "attempts")
+
+
+@register("work_cleanup", sql="""
+select 'complete' as state, true as removed, false as still_there, cast(0 as bigint) as pending
+union all
+select 'pending', false, true, count(*) filter (where page_id % 50 = 7) from pages
+""")
+def work_cleanup(spark, sf):
+    """State goes once all rows are done, and stays while rows are pending."""
+    u = FX.urls(spark, sf)
+    out = []
+    for name, rows in (("complete", u.filter(F.col("page_id") % 50 != 7)), ("pending", u)):
+        path = scratch_path(spark, f"work-{name}")
+        _, left = WQ.run_until_done(rows, _status, path, ["page_id"], MAX_ROUNDS)
+        n = left.count()
+        removed = WQ.cleanup(spark, path, created=True)
+        out.append((name, removed, fs.exists(spark, path), n))
+    return spark.createDataFrame(out, "state string, removed boolean, still_there boolean, pending bigint")

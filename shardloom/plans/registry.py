@@ -34,21 +34,12 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table.  When the scan yields fewer partitions than the
-    cluster has cores (a single-row-group file), it is spread round-robin
-    so the per-row work after the scan runs on every core; a large input
-    already has more partitions and is left as it is (no extra shuffle)."""
-    from ..operators.splits import with_parallelism
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return with_parallelism(df, floor_factor=1)
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def load_all() -> None:
     """Import the modules that register queries."""
     import importlib
     for m in ("queries_text", "queries_rows", "queries_boxes", "queries_eval", "queries_work", "queries_io"):
-        try:
-            importlib.import_module(f"{__package__}.{m}")
-        except ModuleNotFoundError as e:
-            if m not in str(e):
-                raise
+        importlib.import_module(f"{__package__}.{m}")

@@ -35,7 +35,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """A local session for tests and the bench (never used on a cluster)."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", "16g"))
+         .config("spark.driver.memory", "12g"))
     for k, v in {**_LOCAL_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -45,7 +45,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One JVM; ``local-cluster[...]`` has executors of its own."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def _context(spark: SparkSession):
@@ -81,6 +83,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
+    if not base:
+        raise RuntimeError("this session names no shared folder (spark.checkpoint.dir)")
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")

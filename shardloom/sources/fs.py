@@ -25,10 +25,6 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p))
 
 
-def has_content(spark: SparkSession, path: str) -> bool:
-    return len(list_names(spark, path)) > 0
-
-
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs_path(spark, path)
     return bool(fs.delete(p, True))
@@ -54,8 +50,3 @@ def read_text(spark: SparkSession, path: str) -> str | None:
     finally:
         stream.close()
 
-
-def rename(spark: SparkSession, src: str, dst: str) -> bool:
-    fs, p = _fs_path(spark, src)
-    jvm = spark.sparkContext._jvm
-    return bool(fs.rename(p, jvm.org.apache.hadoop.fs.Path(dst)))

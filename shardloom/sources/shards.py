@@ -1,21 +1,25 @@
 """Sharded training-data export (S7), manifest merge (S8) and read-back
 verification (S9).
 
-Rows are spread over ``parts`` contiguous groups in key order (B3); inside
-a part, a new shard starts when the running byte count passes
-``size_limit`` (``shard = (running_bytes - 1) div limit``, renumbered
-densely).  The running count is a distributed prefix sum, so no part is
-funnelled through one task.  Every shard is one zstd parquet file under
-``part=P/shard=S``; its manifest row holds the row count, bytes, start
-offset and a sha1 over the sorted row digests, so a shard can be checked
-without reading any other.
+Rows are spread over contiguous groups in key order (B3), the parts; inside
+a part the sequential writer's rule holds: a shard closes when the next
+sample would push it past ``size_limit``.  Without a stated number of parts
+there are as many as the total bytes need at ``part_bytes`` each, so a part
+is one task's work at any input size.  Positions and cut points are computed
+on (key, bytes) rows only; samples are moved once, to their shard.  A sample
+counts one byte at least, so a shard's rows are bounded too.
+
+Every shard is a zstd parquet file under ``part=P/shard=S``.  Its manifest
+row, taken from the written files, holds the row count, bytes, start offset
+and a hash: the sums (mod 2^32) of the five words of the rows' sha1, which
+partial aggregation can build in any order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,13 +29,17 @@ from ..operators.splits import assign_groups
 
 # Bytes per element of each declared sample dtype.
 ELEMENT_BYTES = {"int32": 4, "int": 8, "int64": 8, "float32": 4, "float64": 8}
+_WIDTH = {"tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8}
 
 INDEX_DIR = "_index"
+_NULL = "\u001e"
 
 
-def row_bytes(columns: dict[str, str]) -> Column:
+def row_bytes(columns: dict[str, str], schema: T.StructType | None = None) -> Column:
     """Stored size of one sample by declared dtypes (strings and bytes by
-    their UTF-8 / raw length, arrays by element count)."""
+    their UTF-8 / raw length, arrays by element count), one byte at least.
+    Arrays without a stated dtype have the width of ``schema``'s element
+    type (8 bytes if it is not given)."""
     total = F.lit(0).cast("bigint")
     for name, dt in columns.items():
         c = F.col(name)
@@ -39,116 +47,120 @@ def row_bytes(columns: dict[str, str]) -> Column:
             size = F.lit(ELEMENT_BYTES[dt])
         elif dt in ("str", "bytes"):
             size = F.coalesce(F.octet_length(c), F.lit(0))
-        elif dt.startswith("ndarray"):
-            el = ELEMENT_BYTES.get(dt.split(":", 1)[1], 8) if ":" in dt else 8
-            size = F.coalesce(F.size(c), F.lit(0)) * F.lit(el)
+        elif dt.startswith("ndarray:"):
+            size = F.coalesce(F.size(c), F.lit(0)) * F.lit(ELEMENT_BYTES[dt.split(":", 1)[1]])
+        elif dt == "ndarray":
+            el = schema[name].dataType.elementType.simpleString() if schema is not None else ""
+            size = F.coalesce(F.size(c), F.lit(0)) * F.lit(_WIDTH.get(el, 8))
         else:
             raise ValueError(f"unknown dtype {dt!r}")
         total = total + size.cast("bigint")
-    return total
+    return F.greatest(total, F.lit(1).cast("bigint"))
 
 
 def row_digest(columns: dict[str, str]) -> Column:
-    """sha1 of the row's values as text in declared column order
-    (arrays comma-joined, fields separated by 0x1f)."""
+    """sha1 of the row's values as text in declared column order (arrays
+    comma-joined, fields separated by 0x1f, a null field or element is 0x1e)."""
     parts = []
     for name, dt in columns.items():
         c = F.col(name)
         if dt.startswith("ndarray"):
-            parts.append(F.array_join(F.transform(c, lambda x: x.cast("string")), ","))
-        else:
-            parts.append(c.cast("string"))
+            c = F.array_join(F.transform(c, lambda x: x.cast("string")), ",", _NULL)
+        parts.append(F.coalesce(c.cast("string"), F.lit(_NULL)))
     return F.sha1(F.concat_ws("\u001f", *parts))
 
 
+def combined_digest(digest: str = "_digest") -> Column:
+    """Aggregate: the five 32-bit words of the rows' sha1, summed mod 2^32."""
+    words = [F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("bigint") for i in range(5)]
+    return F.concat(*[F.lower(F.lpad(F.hex(F.sum(w) % (1 << 32)), 8, "0")) for w in words])
+
+
 def _rollover(size_limit: int):
-    """Per-partition pass over rows sorted by (part, key): the sequential
-    writer's rule -- a new shard starts when the next sample would push a
-    non-empty shard past ``size_limit``.  State is carried across batches."""
+    """Shard numbers of rows sorted by (part, key), found by a jump for each
+    shard (a search in the running byte count).  State is carried across
+    batches."""
     def run(batches):
         import numpy as np
-        part, cur, sid = None, 0, 0
+        part, used, shard = None, 0, 0
         for pdf in batches:
-            parts = pdf["part"].to_numpy()
-            sizes = pdf["row_bytes"].to_numpy()
+            parts, sizes = pdf["part"].to_numpy(), pdf["row_bytes"].to_numpy()
             out = np.empty(len(pdf), dtype="int32")
-            for i in range(len(pdf)):
-                if parts[i] != part:
-                    part, cur, sid = parts[i], 0, 0
-                elif cur > 0 and cur + sizes[i] > size_limit:
-                    cur, sid = 0, sid + 1
-                cur += int(sizes[i])
-                out[i] = sid
+            edges = np.flatnonzero(np.diff(parts, prepend=parts[0])).tolist() if len(pdf) else []
+            for a, b in zip([0, *edges], [*edges, len(pdf)]):
+                if a == b:
+                    continue
+                if parts[a] != part:
+                    part, used, shard = parts[a], 0, 0
+                total = np.concatenate(([0], np.cumsum(sizes[a:b])))
+                at = 0
+                while at < b - a:
+                    stop = int(np.searchsorted(total, total[at] + size_limit - used, side="right")) - 1
+                    if used == 0:
+                        stop = max(stop, at + 1)  # a sample larger than the limit has a shard of its own
+                    out[a + at:a + stop] = shard
+                    used += int(total[stop] - total[at])
+                    at = stop
+                    if at < b - a:
+                        used, shard = 0, shard + 1
             yield pdf.assign(shard=out)
     return run
 
 
-def assign_shards(df: DataFrame, columns: dict[str, str], key: Sequence[str] | str, parts: int = 4,
+def assign_shards(df: DataFrame, columns: dict[str, str], key: Sequence[str] | str, parts: int | None = None,
                   size_limit: int = 64 << 20, num_partitions: int | None = None,
-                  mode: str = "prefix") -> DataFrame:
-    """Add ``part`` (B3 contiguous groups in key order), ``shard`` (dense
-    within the part) and ``row_bytes``.
-
-    ``prefix`` (default): one range cut in key order gives each row its
-    position and the running byte count; the part follows from the position,
-    the bytes before a part come from a frame with one row per part, and
-    ``shard = (running_bytes - 1) div size_limit`` renumbered densely.
-
-    ``exact``: the sequential writer's roll-over (a shard closes when the
-    next sample would overflow it), as a streaming pass over each part in
-    key order -- each part is one task's sorted partition, so use many parts
-    for large inputs."""
+                  part_bytes: int = 4 << 30) -> DataFrame:
+    """``(key, part, shard, row_bytes)`` for every row: contiguous parts in
+    key order (B3), shards within a part numbered from 0 by the sequential
+    writer's rule.  ``key`` must identify a row."""
     keys = [key] if isinstance(key, str) else list(key)
-    if mode == "exact":
-        src = df.withColumn("row_bytes", row_bytes(columns))
-        g = assign_groups(src, parts, keys, "part", num_partitions)
-        x = g.repartition("part").sortWithinPartitions("part", *keys)
-        schema = T.StructType(x.schema.fields + [T.StructField("shard", T.IntegerType(), False)])
-        return x.mapInPandas(_rollover(int(size_limit)), schema)
-    if mode != "prefix":
-        raise ValueError(f"unknown shard mode {mode!r}")
-    src = df.withColumn("row_bytes", row_bytes(columns))
-    r = running_sum(src, keys, {"_n": F.lit(1).cast("bigint"), "_cb": F.col("row_bytes")},
-                    num_partitions=num_partitions, totals=True)
-    size = F.expr(f"_n_total div {parts}")
-    part = F.when(size == 0, F.lit(parts - 1)).otherwise(
-        F.least(F.expr(f"(_n - 1) div greatest(_n_total div {parts}, 1)"), F.lit(parts - 1)))
-    r = r.withColumn("part", part.cast("int")).drop("_n", "_n_total", "_cb_total")
-    # bytes before each part: one row per part
-    starts = r.groupBy("part").agg(F.min(F.col("_cb") - F.col("row_bytes")).alias("_before"))
-    r = r.join(F.broadcast(starts), "part").withColumn(
-        "_raw", F.expr(f"(_cb - _before - 1) div {int(size_limit)}")).drop("_before", "_cb")
-    # one row per shard: renumbering works on the shard list, not on the rows
-    shards = r.select("part", "_raw").distinct()
-    shards = shards.withColumn("shard", (F.row_number().over(Window.partitionBy("part").orderBy("_raw")) - 1)
-                               .cast("int"))
-    return r.join(shards, ["part", "_raw"]).drop("_raw")
+    narrow = df.select(*keys, row_bytes(columns, df.schema).alias("row_bytes"))
+    if parts is None:
+        total = narrow.agg(F.sum("row_bytes")).first()[0] or 0
+        parts = max(1, -(-total // part_bytes))
+    grouped = assign_groups(narrow, parts, keys, "part", num_partitions)
+    ordered = grouped.repartition("part").sortWithinPartitions("part", *keys)
+    schema = T.StructType(ordered.schema.fields + [T.StructField("shard", T.IntegerType(), False)])
+    return ordered.mapInPandas(_rollover(int(size_limit)), schema)
+
+
+def _no_repeated_keys(placed: DataFrame, keys: Sequence[str]) -> None:
+    twice = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").limit(1).count()
+    missing = placed.filter(" or ".join(f"`{k}` is null" for k in keys)).limit(1).count()
+    if twice or missing:
+        raise ValueError(f"{list(keys)} does not identify the rows to export")
 
 
 def export_shards(df: DataFrame, path: str, columns: dict[str, str], key: Sequence[str] | str,
-                  parts: int = 4, size_limit: int = 64 << 20, compression: str = "zstd", level: int = 7,
-                  num_partitions: int | None = None, mode: str = "prefix") -> DataFrame:
+                  parts: int | None = None, size_limit: int = 64 << 20, compression: str = "zstd", level: int = 7,
+                  num_partitions: int | None = None, part_bytes: int = 4 << 30) -> DataFrame:
     """Write shards and their merged manifest (under ``path/_index``);
     returns the manifest read back from storage.  ``mode=overwrite``
     replaces only this export's own folder."""
     keys = [key] if isinstance(key, str) else list(key)
-    a = assign_shards(df, columns, keys, parts, size_limit, num_partitions, mode)
-    a = a.withColumn("_digest", row_digest(columns))
+    placed = assign_shards(df, columns, keys, parts, size_limit, num_partitions, part_bytes).checkpoint()
+    _no_repeated_keys(placed, keys)
     extra = [k for k in keys if k not in columns]
-    typed = a.select(*conform_columns(columns), *extra, "part", "shard")
+    sized = placed.select(*keys, "part", "shard")
+    typed = df.join(sized, keys).select(*conform_columns(columns), *extra, "part", "shard")
     (typed.repartition("part", "shard").sortWithinPartitions("part", "shard", *keys)
      .write.mode("overwrite").option("compression", compression)
      .option("parquet.compression.codec.zstd.level", str(level))
      .partitionBy("part", "shard").parquet(path))
-    manifest = (a.groupBy("part", "shard").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("row_bytes").cast("bigint").alias("bytes"),
-        F.sha1(F.concat_ws(",", F.sort_array(F.collect_list("_digest")))).alias("hash")))
-    manifest = merge_manifest([manifest])
+    manifest = merge_manifest([_scan(df.sparkSession, path, columns)])
     idx = f"{path.rstrip('/')}/{INDEX_DIR}"
     manifest.write.mode("overwrite").json(idx)
     return read_manifest(df.sparkSession, path)
 
 
+def _scan(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    """Rows, bytes and hash of every shard, from its file."""
+    back = spark.read.parquet(path)
+    return (back.withColumn("_digest", row_digest(columns)).withColumn("_bytes", row_bytes(columns, back.schema))
+            .groupBy("part", "shard").agg(F.count(F.lit(1)).alias("rows"), F.sum("_bytes").cast("bigint").alias("bytes"),
+                                          combined_digest().alias("hash")))
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(
         "part int, shard int, rows long, bytes long, hash string, start long").json(
@@ -167,18 +179,28 @@ def merge_manifest(manifests: Sequence[DataFrame], order: Sequence[str] = ("part
     return r.withColumn("start", (F.col("_end") - F.col("rows")).cast("bigint")).drop("_end")
 
 
-def verify_export(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+def verify_export(spark: SparkSession, path: str, columns: dict[str, str], source: DataFrame | None = None) -> DataFrame:
     """Read the shards back and compare every shard's row count and hash
-    with the manifest: ``(part, shard, rows, rows_ok, hash_ok)``."""
-    back = spark.read.parquet(path)
-    got = (back.withColumn("_digest", row_digest(columns)).groupBy("part", "shard").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.sha1(F.concat_ws(",", F.sort_array(F.collect_list("_digest")))).alias("_hash")))
-    man = read_manifest(spark, path)
-    j = man.join(got, ["part", "shard"], "full_outer")
-    return j.select("part", "shard", F.coalesce("rows", "_rows").alias("rows"),
-                    F.coalesce(F.col("rows") == F.col("_rows"), F.lit(False)).alias("rows_ok"),
-                    F.coalesce(F.col("hash") == F.col("_hash"), F.lit(False)).alias("hash_ok"))
+    with the manifest: ``(part, shard, rows, rows_ok, hash_ok)``.  With the
+    ``source`` frame, one more row (part and shard -1) compares the rows and
+    the hash of all shards together with those of the source."""
+    got = _scan(spark, path, columns).select("part", "shard", F.col("rows").alias("_rows"), F.col("hash").alias("_hash"))
+    j = read_manifest(spark, path).join(got, ["part", "shard"], "full_outer")
+    out = j.select("part", "shard", F.coalesce("rows", "_rows").alias("rows"),
+                   F.coalesce(F.col("rows") == F.col("_rows"), F.lit(False)).alias("rows_ok"),
+                   F.coalesce(F.col("hash") == F.col("_hash"), F.lit(False)).alias("hash_ok"))
+    if source is None:
+        return out
+
+    def whole(df: DataFrame, side: str) -> DataFrame:
+        return df.withColumn("_digest", row_digest(columns)).agg(
+            F.lit(side).alias("side"), F.count(F.lit(1)).alias("n"), F.coalesce(combined_digest(), F.lit("")).alias("h"))
+
+    # the written types, so that both sides print their values alike
+    both = whole(source.select(*conform_columns(columns)), "src").unionByName(whole(spark.read.parquet(path), "out"))
+    return out.unionByName(both.agg(
+        F.lit(-1).alias("part"), F.lit(-1).alias("shard"), F.max(F.when(F.col("side") == "src", F.col("n"))).alias("rows"),
+        (F.min("n") == F.max("n")).alias("rows_ok"), (F.min("h") == F.max("h")).alias("hash_ok")))
 
 
 def sample_shards(spark: SparkSession, path: str, columns: dict[str, str], key: str, n: int = 5) -> DataFrame:

@@ -7,19 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.index import with_row_index
+from . import fs
+
 
 def write_splits(df: DataFrame, split_col: str, prefix: str, base_path: str,
                  splits: Sequence[str] | None = None) -> list[str]:
-    """One table per split (``{prefix}_{split}``), overwritten, stored
-    under ``base_path``.  Split names come from the caller or a distinct
-    scan of the split column (a handful of values)."""
-    names = list(splits) if splits is not None else sorted(
-        r[0] for r in df.select(split_col).distinct().collect())
+    """One external table per split (``{prefix}_{split}``), stored under
+    ``base_path``.  All splits are written in one pass over ``df``,
+    partitioned by split; the tables name the folders.  Without ``splits``
+    the names are those of the folders written."""
+    spark = df.sparkSession
+    base = f"{base_path.rstrip('/')}/{prefix}"
+    kept = df if splits is None else df.filter(F.col(split_col).isin(list(splits)))
+    kept.write.mode("overwrite").partitionBy(split_col).parquet(base)
+    lead = f"{split_col}="
+    names = [n[len(lead):] for n in fs.list_names(spark, base) if n.startswith(lead)]
+    rest = df.drop(split_col).schema
     out = []
-    for s in names:
-        t = f"{prefix}_{s}"
-        (df.filter(F.col(split_col) == F.lit(s)).drop(split_col)
-         .write.mode("overwrite").option("path", f"{base_path.rstrip('/')}/{t}").saveAsTable(t))
+    for s in sorted(set(names) | set(splits or ())):
+        t, path = f"{prefix}_{s}", f"{base}/{lead}{s}"
+        if s not in names:  # a stated split without rows is an empty table
+            spark.createDataFrame([], rest).write.parquet(path)
+        spark.sql(f"DROP TABLE IF EXISTS `{t}`")
+        spark.catalog.createTable(t, path=path, source="parquet", schema=rest)
         out.append(t)
     return out
 
@@ -37,13 +48,17 @@ def coco_frames(images: DataFrame, objects: DataFrame, classes: DataFrame) -> di
     """The three sections of a COCO document as frames: ``images``
     (id, width, height, file_name), ``annotations`` (id, image_id,
     category_id, iscrowd 0, area, bbox) and ``categories`` (id, name,
-    supercategory "none")."""
+    supercategory "none").  Annotation ids are unique over all images: the
+    box's place in (image, box) order, from 1.  The area is the one given
+    with the objects, or width times height without one."""
     img = images.select(F.col("image_id").alias("id"), "width", "height",
                         F.concat(F.col("image_id").cast("string"), F.lit(".png")).alias("file_name"))
-    ann = objects.select(
-        F.col("bbox_id").alias("id"), "image_id", F.col("category").alias("category_id"),
-        F.lit(0).alias("iscrowd"), (F.col("w") * F.col("h")).alias("area"),
-        F.array("x", "y", "w", "h").alias("bbox"))
+    area = F.col("area") if "area" in objects.columns else F.col("w") * F.col("h")
+    numbered = with_row_index(objects.select("image_id", "bbox_id", "category", area.alias("area"), "x", "y", "w", "h"),
+                              ["image_id", "bbox_id"], "_at")
+    ann = numbered.select(
+        (F.col("_at") + 1).alias("id"), "image_id", F.col("category").alias("category_id"),
+        F.lit(0).alias("iscrowd"), "area", F.array("x", "y", "w", "h").alias("bbox"))
     cat = classes.select(F.col("category_id").alias("id"), F.col("category_name").alias("name"),
                          F.lit("none").alias("supercategory"))
     return {"images": img, "annotations": ann, "categories": cat}

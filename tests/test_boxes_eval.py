@@ -302,7 +302,7 @@ def test_hot_image_split_into_buckets_is_exact(spark):
                                       "y2 double, score double")
     tdf = spark.createDataFrame(truth, "image_id long, label int, gt_id long, x1 double, y1 double, x2 double, "
                                        "y2 double")
-    joined = E.salted_join(pdf, tdf.withColumnRenamed("x1", "t_x1"), ["image_id", "label"], "gt_id", 40)
+    joined = E.keyed_join(pdf, tdf.select("image_id", "label", "gt_id"), ["image_id", "label"], "gt_id", 40)
     assert joined.count() == 120 * 150 + 5
     res = E.evaluate(pdf, tdf, thresholds_pct=[50, 75], ranges={"all": E.AREA_RANGES["all"]}, hot_rows=40)
     got = {r["thr"]: r["ap"] for r in res["ap"].collect()}

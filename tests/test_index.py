@@ -71,3 +71,16 @@ def test_running_sum_totals_and_subset_positions(spark):
     got = {(x["g"], x["i"]): (x["pos_all"], x["pos_sub"]) for x in pos.collect()}
     assert got == {(g, i): (i, i // 3) for g in ("a", "b") for i in range(0, 20, 3)}
     assert ranged.count() == 40
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_null_groups_are_groups(spark, parts):
+    df = spark.createDataFrame([(i, None if i % 3 == 0 else i % 3) for i in range(90)], "k long, g int")
+    got = with_row_index(df, ["k"], groups=["g"], num_partitions=parts, count_name="n").collect()
+    assert len(got) == 90 and all(r["n"] == 30 for r in got)
+    for g in (None, 1, 2):
+        assert sorted(r["row_idx"] for r in got if r["g"] == g) == list(range(30))
+    sums = running_sum(df, ["k"], {"s": F.lit(1)}, groups=["g"], num_partitions=parts, totals=True).collect()
+    assert len(sums) == 90 and all(r["s_total"] == 30 for r in sums)
+    for g in (None, 1, 2):
+        assert [r["s"] for r in sorted(sums, key=lambda r: r["k"]) if r["g"] == g] == list(range(1, 31))

@@ -80,4 +80,3 @@ def test_take_n_is_top_k(spark, capsys):
 def test_latest_by_no_match_gives_no_row(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     assert P.latest_by(ev, "event_id", "ts", pred=F.col("event_type") == "none").count() == 0
-    assert P.current_user_frame(ev).count() == 1

@@ -66,8 +66,8 @@ def test_verify_detects_a_changed_shard(spark):
     target = f"{p}/part=0/shard=0"
     df = spark.read.parquet(target).withColumn("label", F.lit(9))
     df.write.mode("overwrite").parquet(target + "_tmp")
-    fs.delete(spark, target)
-    fs.rename(spark, target + "_tmp", target)
+    spark.read.parquet(target + "_tmp").write.mode("overwrite").parquet(target)
+    fs.delete(spark, target + "_tmp")
     bad = [r for r in S.verify_export(spark, p, COLS).collect() if not r["hash_ok"]]
     assert [(r["part"], r["shard"]) for r in bad] == [(0, 0)]
 
@@ -145,10 +145,64 @@ def test_coco_frames(spark):
     assert spark.read.json(f"{p}/images").count() == 1
 
 
-def test_exact_rollover_differs_from_prefix_rule(spark):
+def test_shards_close_before_they_overflow(spark):
     df = spark.createDataFrame([(i, "x" * 100) for i in range(5)], "idx long, s string")
-    cols = {"s": "str"}
-    prefix = {r["idx"]: r["shard"] for r in S.assign_shards(df, cols, "idx", 1, 250).collect()}
-    exact = {r["idx"]: r["shard"] for r in S.assign_shards(df, cols, "idx", 1, 250, mode="exact").collect()}
-    assert [prefix[i] for i in range(5)] == [0, 0, 1, 1, 1]
-    assert [exact[i] for i in range(5)] == [0, 0, 1, 1, 2]
+    got = {r["idx"]: r["shard"] for r in S.assign_shards(df, {"s": "str"}, "idx", 1, 250).collect()}
+    assert got == {0: 0, 1: 0, 2: 1, 3: 1, 4: 2}
+
+
+def test_digest_tells_moved_nulls_apart(spark):
+    df = spark.createDataFrame([("x", None), (None, "x")], "a string, b string")
+    d = [r[0] for r in df.select(S.row_digest({"a": "str", "b": "str"})).collect()]
+    assert d[0] != d[1]
+
+
+def _sequential(sizes, limit):
+    out, cur, shard = [], 0, 0
+    for s in sizes:
+        if cur > 0 and cur + s > limit:
+            cur, shard = 0, shard + 1
+        cur += s
+        out.append(shard)
+    return out
+
+
+@pytest.mark.parametrize("limit", [1, 10, 57, 1000])
+def test_rollover_is_the_sequential_rule(spark, limit):
+    import random
+    rnd = random.Random(limit)
+    texts = ["x" * rnd.choice([0, 0, 1, 3, 9, 10, 11, 700]) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "idx int, t string")
+    got = S.assign_shards(df, {"t": "str"}, "idx", parts=1, size_limit=limit).orderBy("idx").collect()
+    assert [r["shard"] for r in got] == _sequential([max(len(t), 1) for t in texts], limit)
+
+
+def test_export_compares_with_its_source(spark):
+    p = scratch_path(spark, "test-source")
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(30)], "idx int, t string")
+    S.export_shards(df, p, {"idx": "int32", "t": "str"}, "idx", parts=2, size_limit=20)
+    ok = S.verify_export(spark, p, {"idx": "int32", "t": "str"}, df).collect()
+    assert all(r["rows_ok"] and r["hash_ok"] for r in ok)
+    changed = df.withColumn("t", F.when(F.col("idx") == 3, F.lit("other")).otherwise(F.col("t")))
+    bad = [r for r in S.verify_export(spark, p, {"idx": "int32", "t": "str"}, changed).collect() if not r["hash_ok"]]
+    assert [(r["part"], r["rows_ok"]) for r in bad] == [(-1, True)]
+    with pytest.raises(ValueError):
+        S.export_shards(df.union(df), scratch_path(spark, "test-twice"), {"t": "str"}, "idx", parts=1)
+
+
+def test_rounds_go_on_after_the_cap_and_failures_are_recorded(spark):
+    path = scratch_path(spark, "test-resume")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, url string")
+
+    def third_time(value, attempt):
+        if value == "b":
+            raise OSError("no such host")
+        return 0 if attempt >= 3 else 8
+
+    fn = WQ.row_function(third_time)
+    state, left = WQ.run_until_done(df, fn, path, ["url"], max_rounds=2)
+    assert left.count() == 2
+    state, left = WQ.run_until_done(df, fn, path, ["url"], max_rounds=2)
+    rows = {r["id"]: r for r in state.collect()}
+    assert rows[1]["status"] == 0 and rows[1]["attempts"] == 3
+    assert rows[2]["status"] == WQ.FAILED and rows[2]["error"] == "OSError: no such host"

@@ -93,3 +93,25 @@ def test_describe_encoded(spark):
     assert r["first_ids"] == [5, 6] and r["length"] == 3 and r["dtype"] == "array<int>"
     m = T.map_columns(df, {"n": F.size("ids")}, remove=["ids"])
     assert m.columns == ["k", "n"]
+
+
+def test_encode_keeps_rows_of_a_repeated_key(spark):
+    df = spark.createDataFrame([(1, "aa bb"), (1, "bb cc dd ee")], "id long, text string")
+    vocab = T.build_vocab(df, "text", 100)
+    rows = T.encode(df, vocab, "id", "text", 5).collect()
+    assert len(rows) == 2 and all(len(r["input_ids"]) == 5 and r["id"] == 1 for r in rows)
+
+
+def test_token_counts_read_whole_texts(spark):
+    df = spark.createDataFrame([("x", "aa " * 500), (None, "bb"), (None, None)], "g string, text string")
+    vocab = T.build_vocab(df.limit(1), "text", 100)
+    got = {r["g"]: (r["n_docs"], r["n_tokens"], r["n_unknown"]) for r in T.token_counts(df, vocab, ["g"]).collect()}
+    assert got == {"x": (1, 500, 0), None: (2, 1, 1)}
+
+
+def test_small_shares_are_exact(spark):
+    df = spark.range(200_000).withColumnRenamed("id", "k")
+    n = B.train_test_split(df, 0.00001, "k", "hash").filter("split = 'test'").count()
+    assert n <= 10  # 2 expected
+    n = B.train_test_split(df, 0.001, "k", "hash").filter("split = 'test'").count()
+    assert 130 <= n <= 270  # 200 expected
