@@ -107,6 +107,8 @@ class Words:
             at = np.repeat(np.arange(len(counts)), counts)
             counts = counts - np.bincount(at[self.codes == blank], minlength=len(counts))
             self.codes = self.codes[self.codes != blank]
+            self.codes = self.codes - (self.codes > blank)
+            del self.distinct[blank]
         self.counts = counts
         self.starts = np.concatenate(([0], np.cumsum(counts)))
 
