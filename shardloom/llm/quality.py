@@ -4,8 +4,11 @@ Words and word pairs are hashed into ``BUCKETS`` buckets.  Two multinomials over
 counted: the trusted target (documents labelled good; at most ``TRUSTED_DOCS`` of them, those with the
 smallest hashes, so their ids may be broadcast) and the raw corpus (every document).  A document's
 score is the mean over its n-grams of ``ln p_target - ln p_raw``, so length does not matter; it is
-kept if it passes the base rule and scores ``THRESHOLD`` or more.  Ratios are rounded to integers
-(millionths) before they are summed, so scores do not depend on the order of rows.
+kept if it passes the base rule and scores the threshold or more.  The threshold is
+``THRESHOLD - SPARSE * buckets / (trusted n-grams)``: the fewer trusted n-grams there are for a bucket,
+the more n-grams of a clean document they lack by chance; with a large trusted sample it is
+``THRESHOLD``.  Ratios are rounded to integers (millionths) before they are summed, so scores and
+verdicts do not depend on the order of rows.
 
 Both passes are scans with a bounded aggregation: counts per bucket (partial in each task), and sums
 per document joined to a broadcast model of ``BUCKETS`` rows.  No text is shuffled.
@@ -18,14 +21,18 @@ arrays of their words inside one row.  Columns other than the id and the text ar
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
 from .common import KEY, WS, key_columns
 
 BUCKETS = 1 << 16
 TRUSTED_DOCS = 20_000
-THRESHOLD = -0.1
+THRESHOLD = -0.08
+SPARSE = 0.8
 #: fixed values of the base rule
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -33,6 +40,11 @@ SYMBOLS = r"[#*$%&|<>]+"
 _BLANKS = " \t\n\x0b\x0c\r"
 
 
+class Model(NamedTuple):
+    ratios: DataFrame  # (bucket, ratio in millionths), at most ``buckets`` rows
+    threshold: float
+
+
 def words_of(text: Column) -> Column:
     """The words of a text as an array (empty without words)."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(_BLANKS))
@@ -79,22 +91,25 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        buckets: int = BUCKETS, trusted_docs: int = TRUSTED_DOCS) -> DataFrame:
-    """(bucket, ratio in millionths) for every bucket that occurs; ``trusted`` has the good ids."""
+        buckets: int = BUCKETS, trusted_docs: int = TRUSTED_DOCS) -> Model:
+    """The ratio of every bucket that occurs, and the threshold; ``trusted`` has the good ids."""
+    checkpoint_dir(docs.sparkSession)
     ids = (trusted.select(F.col(id_col).alias("_t")).filter("_t is not null").distinct()
            .orderBy(F.xxhash64("_t"), "_t").limit(trusted_docs))
     marked = (docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("_w"))
               .join(F.broadcast(ids), F.col("doc_id") == F.col("_t"), "left")
               .select(F.col("_t").isNotNull().cast("int").alias("good"), hashed("_w").alias("_hw"))
               .select("good", F.explode(gram_buckets("_hw", buckets)).alias("bucket")))
-    counts = marked.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("good"))
+    counts = marked.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("good")).checkpoint()
+    n_good = counts.agg(F.sum("good")).first()[0] or 0
     whole = Window.partitionBy()  # over at most ``buckets`` rows
     share = lambda c: (F.col(c) + 1) / (F.sum(c).over(whole) + buckets)
-    return counts.select("bucket", F.round(1e6 * F.log(share("good") / share("raw"))).cast("long").alias("ratio"))
+    ratios = counts.select("bucket", F.round(1e6 * F.log(share("good") / share("raw"))).cast("long").alias("ratio"))
+    return Model(ratios, THRESHOLD - SPARSE * buckets / max(n_good, 1))
 
 
-def score(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
+          buckets: int = BUCKETS) -> DataFrame:
     """doc_id, the counts, base_failed, score and kept, and the row's KEY."""
     base = base_counts(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                                    *key_columns(id_col, text_col))).drop("text")
@@ -102,18 +117,18 @@ def score(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text_col: s
     # all n-grams of a row are in one task: its partial sum is one row
     each = (base.select(F.monotonically_increasing_id().alias("_row"), *kept, gram_buckets("_hw", buckets).alias("_g"))
             .select("_row", *kept, F.explode_outer("_g").alias("bucket"))
-            .join(F.broadcast(model), "bucket", "left"))
+            .join(F.broadcast(model.ratios), "bucket", "left"))
     out = each.groupBy("_row").agg(*[F.first(c).alias(c) for c in kept], F.sum("ratio").alias("_sum"),
                                    F.count("bucket").alias("_n"))
     mean = F.when(F.col("_n") > 0, F.coalesce("_sum", F.lit(0)) / (1e6 * F.col("_n")))
     return (out.withColumn("score", mean)
-            .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("score") >= threshold, F.lit(False)))
+            .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("score") >= model.threshold, F.lit(False)))
             .drop("_row", "_sum", "_n"))
 
 
-def filter_documents(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
+def filter_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
+                     buckets: int = BUCKETS) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
-    good = score(docs, model, id_col, text_col, buckets, threshold).filter("kept").select(*KEY).distinct()
+    good = score(docs, model, id_col, text_col, buckets).filter("kept").select(*KEY).distinct()
     row = docs.select(*key_columns(id_col, text_col), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     return row.join(good, KEY, "left_semi").select("row.*")

@@ -35,8 +35,7 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Surface counts and the n-gram log-likelihood ratio verdict of every document."""
     docs = documents(spark, sf_dir)
     trusted = documents(spark, sf_dir, "labels").filter((F.col("quality") == 1) & ~held_out())
-    model = quality.fit(docs, trusted).checkpoint()
-    out = quality.score(docs, model)
+    out = quality.score(docs, quality.fit(docs, trusted))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept", "score")
 
