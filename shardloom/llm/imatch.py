@@ -137,7 +137,9 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     donor = order.select("at", *KEY).join(taker, "at").drop("at").checkpoint()
 
     # texts meet on one exchange by key, used twice: to give their beginnings and to take them
-    copies = base.withColumn("_copy", F.row_number().over(Window.partitionBy(*KEY).orderBy("_h")))
+    # (a running count: row_number() with a filter would be pushed below one of the two exchanges)
+    so_far = Window.partitionBy(*KEY).orderBy("_h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    copies = base.withColumn("_copy", F.count(F.lit(1)).over(so_far).cast("int"))
     given = (copies.filter("_copy = 1").drop("_copy").join(donor, KEY)
              .select(*[F.col(f"to{k}").alias(k) for k in KEY], "need", F.expr("substring(text, 1, need)").alias("end")))
     edited = (copies.join(given, KEY)
