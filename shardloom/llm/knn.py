@@ -13,7 +13,8 @@ with their similarity as weight (its cube, so that close ones prevail).
 
 Defined results: a null text is the empty text, which has a score like any other; a document with no
 direction in the latent space gets the sample's share of label 1; without labelled rows all scores
-are 0.5; repeated rows get equal scores; a null id is kept; an empty table gives no rows.  Only the
+are 0.5; an id labelled twice has its larger label; repeated rows get equal scores; a null id is kept; an empty
+table gives no rows.  Only the
 text is an input of a score.
 """
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, as_large, slices
+from .common import Words, as_large, hashed_sample, slices
 
 BUCKETS = 1 << 12
 SAMPLE = 6000
@@ -154,9 +155,9 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", sample: int = SAMPLE) -> Model:
     """The model of at most ``sample`` labelled rows; ``labels`` has the ids and 0/1 labels to learn from."""
-    chosen = (labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"))
-              .filter("_id is not null and label is not null").dropDuplicates(["_id"])
-              .orderBy(F.xxhash64("_id"), "_id").limit(sample))
+    known = (labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"))
+             .filter("_id is not null and label is not null").groupBy("_id").agg(F.max("label").alias("label")))
+    chosen = hashed_sample(known, ["_id"], sample)
     rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "_id")
             .select("text", "label", "_id").sortWithinPartitions("_id").select("text", "label")
             .mapInArrow(_vectors, "label int, at binary, n binary, shape binary").toArrow())

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .common import KEY, WS, key_columns
+from .common import KEY, WS, hashed_sample, key_columns
 
 BUCKETS = 1 << 16
 TRUSTED_DOCS = 20_000
@@ -94,8 +94,7 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
         buckets: int = BUCKETS, trusted_docs: int = TRUSTED_DOCS) -> Model:
     """The ratio of every bucket that occurs, and the threshold; ``trusted`` has the good ids."""
     checkpoint_dir(docs.sparkSession)
-    ids = (trusted.select(F.col(id_col).alias("_t")).filter("_t is not null").distinct()
-           .orderBy(F.xxhash64("_t"), "_t").limit(trusted_docs))
+    ids = hashed_sample(trusted.select(F.col(id_col).alias("_t")).filter("_t is not null").distinct(), ["_t"], trusted_docs)
     marked = (docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("_w"))
               .join(F.broadcast(ids), F.col("doc_id") == F.col("_t"), "left")
               .select(F.col("_t").isNotNull().cast("int").alias("good"), hashed("_w").alias("_hw"))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .common import as_large, encoder, slices
+from .common import as_large, encoder, hashed_sample, slices
 
 MAGIC = b"TOKF1\n"
 SHARD = "shard int, path string, n_docs long, n_tokens long, n_bytes long, dictionary string"
@@ -61,8 +61,8 @@ def train_dictionary(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
                      end_id: int = 1, sample_docs: int = 2000, sample_chars: int = 8192,
                      size: int = 64 << 10, width: int = 2) -> bytes:
     """The shared dictionary, from at most ``sample_docs * sample_chars`` characters on the driver."""
-    rows = (docs.select(F.col(text_col).alias("t"), F.xxhash64(id_col, text_col).alias("h"))
-            .filter(F.length("t").between(1, sample_chars)).orderBy("h", "t").limit(sample_docs).collect())
+    short = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).filter(F.length("t").between(1, sample_chars))
+    rows = hashed_sample(short, ["i", "t"], sample_docs).collect()
     texts = as_large(pa.array([r["t"] for r in rows], pa.string()))
     samples = [d.astype(f"<u{width}").tobytes() for d in _documents(texts, tokenizer, end_id)] if rows else []
     if sum(map(len, samples)) >= 16 * size:
