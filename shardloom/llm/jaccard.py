@@ -16,9 +16,10 @@ other.  Work is tiled so that no link is lost and no all-pairs join is made:
    ``(|A| + |B| - popcount(a xor b)) / 2``; only pairs that could reach the ratio are checked, by
    intersecting their sorted arrays.
 3. Connected components of those links.  Tiles that still hold more than one component are cut into
-   blocks of bounded size, and within each pair of blocks all pairs across components pass the
-   same bit count bound and exact check; components are then formed again.  Every pair that shares
-   a tile is thereby joined by verified links or tested itself.
+   blocks of bounded size.  Within each pair of blocks the pairs across components pass the same bit
+   count bound and exact check: in a first round the likeliest pair of each node, which joins most
+   components that belong together (as in Boruvka's algorithm), then all pairs that are left.  Every pair that shares a tile is thereby joined by verified links or
+   tested itself.
 
 Defined results: null or empty texts and texts without words have an empty set, are linked with
 nothing and are their own group; texts of fewer words than n have one shingle, the whole sequence;
@@ -64,7 +65,7 @@ def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         chain = np.zeros(max(len(w) - n + 1, 0), np.uint64) + np.uint64(n)
         for i in range(n):
-            chain = _mix(chain) * _C + w[i:len(w) - n + 1 + i]
+            chain = _mix(chain) * _C + w[i:i + len(chain)]
         chain = _mix(chain)
     size = np.where(counts >= n, counts - n + 1, (counts > 0).astype(np.int64))
     ends = np.concatenate(([0], np.cumsum(size)))
@@ -88,9 +89,9 @@ def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bitmap_words(size: int) -> int:
-    """64-bit words of the bitmap of a set: about four bits an element, 8 to 64 words; sets that may
-    be linked can have different lengths, so the shorter is compared folded (see ``overlap_bound``)."""
-    return min(64, max(8, 1 << max(0, (size // 16 - 1)).bit_length()))
+    """64-bit words of the bitmap of a set: eight bits an element or more, 8 to 128 words; sets that may
+    be linked can have different lengths, so the longer is folded to the shorter."""
+    return min(128, max(8, 1 << max(0, size // 8 - 1).bit_length()))
 
 
 class Bands:
@@ -243,9 +244,10 @@ def _linked(num: int, den: int):
     return F.arrow_udf(run, "boolean")
 
 
-def _across(num: int, den: int):
+def _across(num: int, den: int, most_likely: int | None):
     """Rows (block pair, side, node, size, label, bits), one block pair after another -> pairs of
-    nodes of different components whose bit counts leave the ratio possible."""
+    nodes of different components whose bit counts leave the ratio possible; with ``most_likely``,
+    for each node only that many, those of the highest bounds."""
     def pairs(rows: list[tuple]) -> tuple[list[int], list[int]]:
         ua, ub = [], []
         sides = [np.array([r[1] for r in rows]) == s for s in (0, 1)]
@@ -261,11 +263,21 @@ def _across(num: int, den: int):
             js = js[(label[js] != label[i]) & (den * small >= num * large)]
             if len(js):
                 most = overlap_bound(size[js], size[i], bits[js], bits[i][None, :])
-                js = js[den * most >= num * (size[js] + size[i] - most)]
-                ua += [int(node[i])] * len(js)
-                ub += node[js].tolist()
+                able = den * most >= num * (size[js] + size[i] - most)
+                js, most = js[able], most[able]
+                if most_likely and len(js) > most_likely:
+                    js = js[np.argsort(-most / (size[js] + size[i]), kind="stable")[:most_likely]]
+                # tiles repeat the pairs of one another; a pair is sent once while it is remembered
+                new = [p for p in ((int(node[i]), x) for x in node[js].tolist()) if p not in sent]
+                if len(sent) + len(new) > _SEEN:
+                    sent.clear()
+                sent.update(new)
+                ua += [p[0] for p in new]
+                ub += [p[1] for p in new]
         return ua, ub
 
+    sent: set[tuple[int, int]] = set()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         for batch in batches:
@@ -339,21 +351,25 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     labels.write.parquet(f"{folder}/labels")
     labels = spark.read.schema("node long, label long").parquet(f"{folder}/labels")
 
-    # tiles with more than one component: bounded blocks, all pairs across components
-    member = stars.select("tile", "node").union(stars.select("tile", "centre")).distinct()
-    member = member.join(labels, "node", "left").select("tile", "node", F.coalesce("label", "node").alias("label"))
-    split = (member.groupBy("tile").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m"))
-             .filter("lo <> hi").select("tile", F.ceil(F.col("m") / BLOCK).alias("g")))
-    blocks = member.join(split, "tile").select(
-        "tile", "node", "label", F.pmod(F.xxhash64("node"), F.col("g")).alias("c"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("o"))
-    across = (blocks.join(met.select("node", "size", "bits"), "node")
-              .select(F.xxhash64("tile", F.least("c", "o"), F.greatest("c", "o")).alias("block"),
-                      F.when(F.col("c") > F.col("o"), 1).otherwise(0).alias("side"), "node", "size", "label", "bits")
-              .repartition("block").sortWithinPartitions("block")
-              .mapInArrow(_across(num, den), "u long, v long").distinct())
-    more = verified(across, "across")
-    labels = connected_components(links.union(more))
+    # tiles with more than one component: bounded blocks, pairs across components; the likeliest
+    # of each node first (no more pairs than members), then, components formed anew, all that are left
+    everyone = stars.select("tile", "node").union(stars.select("tile", "centre")).distinct()
+    for name, most_likely in (("likely", 1), ("rest", None)):
+        member = everyone.join(labels, "node", "left").select("tile", "node", F.coalesce("label", "node").alias("label"))
+        split = (member.groupBy("tile").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m"))
+                 .filter("lo <> hi").select("tile", F.ceil(F.col("m") / BLOCK).alias("g")))
+        blocks = member.join(split, "tile").select(
+            "tile", "node", "label", F.pmod(F.xxhash64("node"), F.col("g")).alias("c"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("o"))
+        across = (blocks.join(met.select("node", "size", "bits"), "node")
+                  .select(F.xxhash64("tile", F.least("c", "o"), F.greatest("c", "o")).alias("block"),
+                          F.when(F.col("c") > F.col("o"), 1).otherwise(0).alias("side"), "node", "size", "label", "bits")
+                  .repartition("block").sortWithinPartitions("block", "node")
+                  .mapInArrow(_across(num, den, most_likely), "u long, v long").distinct())
+        links = links.union(verified(across, name))
+        labels = connected_components(links)
+        labels.write.parquet(f"{folder}/labels-{name}")
+        labels = spark.read.schema("node long, label long").parquet(f"{folder}/labels-{name}")
 
     # the least id of every group, by node first, so copies are aggregated before the shuffle
     own = F.when(F.col("_null") == 0, F.col("_id"))
