@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import normalize_channels
 from ..operators import boxes as X
+from ..operators import splits as B
+from ..operators import text as T
 from . import fixtures as FX
 from .registry import register, table
 
@@ -225,3 +227,42 @@ def normalize_embedding_channels(spark, sf):
     n = e.select("vec_id", normalize_channels("embedding", IMAGE_MEAN, IMAGE_STD).alias("n"))
     return n.select("vec_id", F.round(F.aggregate("n", F.lit(0.0), lambda a, x: a + x), 6).alias("total"),
                     F.round(F.get("n", 1), 6).alias("second"))
+
+
+@register("training_input_batches", sql=W("fx_objects") + f""",
+clipped as (
+  select image_id, bbox_id, width, height, greatest(x, 0.0) as x, greatest(y, 0.0) as y,
+         greatest(least(x + w, cast(width as double)) - greatest(x, 0.0), 0.0) as w,
+         greatest(least(y + h, cast(height as double)) - greatest(y, 0.0), 0.0) as h
+  from fx_objects),
+flipped as (
+  select *, case when {_DUCK_FLAG.format(name='hflip', one_in=2)} then width - x - w else x end as fx
+  from clipped where w * h >= 25.0),
+per as (
+  select image_id, count(*) as n, sum(fx * (480.0 / width)) as sx, sum(h * (480.0 / height)) as sh
+  from flipped group by image_id),
+placed as (select *, row_number() over (order by image_id) - 1 as ri, count(*) over () as n_all from per)
+select ri // 8 as batch, cast(count(*) as integer) as n_images, cast(sum(n) as integer) as n_boxes,
+       string_agg(cast(image_id as varchar), ' ' order by image_id) as images,
+       round(sum(sx), 3) as sum_x, round(sum(sh), 3) as sum_h
+from placed where ri < (n_all * 4) // 5 group by ri // 8
+""")
+def training_input_batches(spark, sf):
+    """X4, X9, X7, X8, B2, B5, B6 in a row: clipped, flipped and resized boxes of
+    each image, the train split in batches of 8, box lists of any length
+    collated side by side."""
+    boxes = X.clip_boxes(FX.objects(spark, sf), 25.0)
+    boxes = X.resize_boxes(X.flip_boxes(X.augment_plan(boxes, "image_id"), "aug_hflip"), 480, 480)
+    images = boxes.groupBy("image_id").agg(F.array_sort(F.collect_list(
+        F.struct("bbox_id", "category", "x", "y", "w", "h"))).alias("boxes"))
+    train = B.split_of(B.train_test_split(images, 0.2, "image_id", "ordered"), "train").drop("split")
+    batches = T.collate(B.assign_batches(train, 8, "image_id").withColumn("image", F.col("image_id")), "batch", "image_id",
+                        ["image", "boxes"], label_col=None)
+    flat = F.flatten("boxes")
+
+    def total(name):
+        return F.round(F.aggregate(flat, F.lit(0.0), lambda a, b: a + b[name]), 3)
+
+    return batches.select("batch", F.size("image").alias("n_images"), F.size(flat).alias("n_boxes"),
+                          F.array_join(F.transform("image", lambda i: i.cast("string")), " ").alias("images"),
+                          total("x").alias("sum_x"), total("h").alias("sum_h"))
