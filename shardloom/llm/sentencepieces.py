@@ -1,8 +1,8 @@
 """SentencePiece BPE encoding with seeded merge-dropout, and decoding.
 
-A text is cut before each run of spaces (no piece spans such a cut; the model is checked for that),
-and each chunk's characters are merged by an agenda: the best-scored pair of neighbours first, the
-leftmost on ties.  A candidate merge is skipped for good when the keyed hash of (seed, variant, chunk,
+A space is put before a text, which is then cut between any two characters that are neighbours in no
+piece of the vocabulary: no merge can span such a place.  Each chunk's characters are merged by an
+agenda: the best-scored pair of neighbours first, the leftmost on ties.  A candidate merge is skipped for good when the keyed hash of (seed, variant, chunk,
 place, merged piece) falls below ``dropout``; the variant of a chunk's occurrence is drawn by a keyed
 hash of the document's key and the occurrence's number, so the same word is cut in up to ``variants``
 ways across a corpus, and every run with one seed gives the same ids.  Characters outside the
@@ -32,6 +32,8 @@ from .common import as_large, slices
 
 SPACE = "▁"
 SLICE = 6 << 20
+#: merged (chunk, variant) pairs that a Python worker remembers across slices
+REMEMBERED = 400_000
 LONGEST = 48  # characters of a chunk that is merged in step with others
 _A, _B, _C = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 _FULL = (1 << 64) - 1
@@ -49,6 +51,7 @@ class Pieces:
 
     def __init__(self, path: str):
         import sentencepiece
+        self.merged_before: dict[tuple, list[dict[str, bytes]]] = {}  # settings -> variant -> chunk -> ids
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.get_piece_size()
         names = [sp.id_to_piece(i) for i in range(n)]
@@ -66,8 +69,6 @@ class Pieces:
                 raw.append(name.replace(SPACE, " ").encode())
         if (self.byte_id < 0).any():
             raise ValueError("the model has no byte pieces")
-        if any(SPACE in name.lstrip(SPACE) for name in self.id):
-            raise ValueError("a piece spans the end of a word; texts cannot be cut at spaces")
         self.size = n
         # the order of merges: best score first (equal scores share a rank)
         score = np.array([sp.get_score(i) for i in range(n)])
@@ -89,8 +90,21 @@ class Pieces:
             self.slots[at[free & first]] = left[free & first]
             left = left[~(free & first)]
             self.probes += 1
-        chars = sorted((ord(p.replace(SPACE, " ")), i) for p, i in self.id.items() if len(p) == 1)
-        self.chars, self.char_ids = (np.array(x, np.int64) for x in zip(*chars, strict=True))
+        # characters of pieces, numbered from 1; the pairs of them that some piece holds side by side
+        spelt = [p.replace(SPACE, " ") for p in self.id]
+        letters = sorted({c for p in spelt for c in p})
+        self.letter = np.zeros(0x110000, np.int32)
+        self.letter[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.letter_id = np.full(len(letters) + 1, -1, np.int64)
+        for p, i in zip(spelt, self.id.values(), strict=True):
+            if len(p) == 1:
+                self.letter_id[self.letter[ord(p)]] = i
+        self.n_letters = len(letters) + 1
+        beside = np.array(sorted({(int(self.letter[ord(a)]), int(self.letter[ord(b)])) for p in spelt for a, b in zip(p, p[1:])}
+                                 or [(0, 0)]), np.int64)
+        at = beside[:, 0] * self.n_letters + beside[:, 1]
+        self.beside = np.zeros(self.n_letters * self.n_letters // 8 + 1, np.uint8)
+        np.bitwise_or.at(self.beside, at >> 3, (1 << (at & 7)).astype(np.uint8))
         self.raw = np.frombuffer(b"".join(raw), np.uint8)
         self.raw_size = np.array([len(r) for r in raw], np.int64)
         self.raw_start = np.cumsum(self.raw_size) - self.raw_size
@@ -112,8 +126,13 @@ class Pieces:
         return out
 
     def of_chars(self, cp: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.chars, cp), len(self.chars) - 1)
-        return np.where(self.chars[at] == cp, self.char_ids[at], -1)
+        return self.letter_id[self.letter[cp]]
+
+    def joined(self, cp: np.ndarray) -> np.ndarray:
+        """For each character but the first, whether some piece holds it after the one before."""
+        at = self.letter[cp].astype(np.int64)
+        at = at[:-1] * self.n_letters + at[1:]
+        return (self.beside[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
 @lru_cache(maxsize=2)
@@ -170,6 +189,22 @@ def merge_chunk(vocabulary: Pieces, chunk: str, variant: int, seed: int, dropout
     return out
 
 
+def merge_remembered(vocabulary: Pieces, distinct: list[str], which: np.ndarray, variants: np.ndarray, seed: int,
+                     dropout: float) -> list[bytes]:
+    """``merge_chunks`` of the pairs that this worker has not merged lately."""
+    known = vocabulary.merged_before.setdefault((seed, dropout), [])
+    known += [{} for _ in range(int(variants.max(initial=-1)) + 1 - len(known))]
+    names = [distinct[i] for i in which.tolist()]
+    out = [known[v].get(w) for w, v in zip(names, variants.tolist(), strict=True)]
+    new = np.array([i for i, x in enumerate(out) if x is None], np.int64)
+    if sum(map(len, known)) + len(new) > REMEMBERED:
+        for one in known:
+            one.clear()
+    for i, blob in zip(new.tolist(), merge_chunks(vocabulary, distinct, which[new], variants[new], seed, dropout), strict=True):
+        out[i] = known[variants[i]][names[i]] = blob
+    return out
+
+
 def merge_chunks(vocabulary: Pieces, distinct: list[str], which: np.ndarray, variants: np.ndarray, seed: int,
                  dropout: float) -> list[bytes]:
     """The ids (uint32 bytes) of every (distinct[which], variant); chunks of one length are merged in step."""
@@ -261,24 +296,33 @@ def _emit(vocabulary: Pieces, out: list[bytes], rows: np.ndarray, ids: np.ndarra
 def encode_texts(vocabulary: Pieces, texts: pa.Array, keys: np.ndarray, seed: int, dropout: float,
                  variants: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, start of each text's with the total appended); ``keys``: one for each document."""
-    # a mark that no text of the slice has is set before every run of spaces
-    mark = next(c for c in map(chr, range(0xE000, 0x10FFFE)) if not pc.any(pc.match_substring(texts, c)).as_py())
-    filled = pc.binary_length(texts).to_numpy(zero_copy_only=False) > 0
-    spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), texts, pa.scalar("", pa.large_string()))
-    lists = pc.split_pattern(pc.replace_substring_regex(spaced, "( +)", mark + r"\1"), mark)
-    flat, counts = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-    real = np.ones(len(flat), bool)
-    real[np.cumsum(counts) - counts] = False  # before the first mark there is nothing
-    real &= np.repeat(filled, counts)
+    filled = pc.not_equal(texts, "")
+    spaced = pc.if_else(filled, pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), texts,
+                                                            pa.scalar("", pa.large_string())), "")
+    spaced = pa.concat_arrays([spaced])  # offsets from 0
+    where = np.frombuffer(spaced.buffers()[1], np.int64, len(spaced) + 1, 8 * spaced.offset)
+    raw = spaced.buffers()[2].slice(int(where[0]), int(where[-1] - where[0])) if spaced.buffers()[2] else pa.py_buffer(b"")
+    where = where - where[0]
+    cp = np.frombuffer(raw.to_pybytes().decode().encode("utf-32-le"), "<u4")
+    # place of each character in the bytes; chunks start at texts and between strangers
+    place = np.cumsum(1 + (cp >= 0x80).astype(np.int8) + (cp >= 0x800) + (cp >= 0x10000), dtype=np.int64)
+    place = np.concatenate(([0], place))
+    first = np.zeros(len(cp), bool)
+    if len(cp):
+        first[1:] = ~vocabulary.joined(cp)
+        first[np.searchsorted(place, where[:-1][np.diff(where) > 0])] = True
+    cuts = place[:-1][first]
+    flat = pa.LargeStringArray.from_buffers(len(cuts), pa.py_buffer(np.concatenate((cuts, place[-1:])).tobytes()), raw)
+    starts = np.searchsorted(cuts, where)
+    counts = np.diff(starts)
     coded = pc.dictionary_encode(flat)
-    codes, counts = coded.indices.to_numpy(zero_copy_only=False)[real].astype(np.int64), np.where(filled, counts - 1, 0)
-    starts = np.concatenate(([0], np.cumsum(counts)))
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     number = np.arange(len(codes)) - np.repeat(starts[:-1], counts)
     with np.errstate(over="ignore"):
         draw = _mix(np.repeat(keys.view(np.uint64), counts) + number.astype(np.uint64) * np.uint64(_C) + np.uint64(seed & _FULL))
     variant = (draw % np.uint64(variants)).astype(np.int64) if dropout else np.zeros(len(codes), np.int64)
     pair, at = np.unique(codes * variants + variant, return_inverse=True)
-    blobs = merge_chunks(vocabulary, coded.dictionary.to_pylist(), pair // variants, pair % variants, seed, dropout)
+    blobs = merge_remembered(vocabulary, coded.dictionary.to_pylist(), pair // variants, pair % variants, seed, dropout)
     size = np.array([len(b) for b in blobs], np.int64) // 4
     table = np.frombuffer(b"".join(blobs), "<u4")
     begin, length = np.cumsum(size) - size, size[at]
