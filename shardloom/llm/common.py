@@ -69,7 +69,8 @@ def hashed_sample(rows: DataFrame, keys: Sequence[str], limit: int) -> DataFrame
     n = rows.count()
     h = F.xxhash64(*keys)
     share = min(1.0, (2 * limit + 100) / max(n, 1))
-    return rows.filter(h <= F.lit(-(1 << 63) + int(share * ((1 << 64) - 1)))).orderBy(h, *keys).limit(limit)
+    most = min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))
+    return rows.filter(h <= F.lit(most)).orderBy(h, *keys).limit(limit)
 
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:
