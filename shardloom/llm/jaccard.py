@@ -84,8 +84,8 @@ def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
         part = out[a:b]
         part.sort()
         keep[a + 1:b] = part[1:] != part[:-1]
-    size = np.add.reduceat(keep, ends[:-1]) * (size > 0) if len(out) else size
-    return out[keep], np.concatenate(([0], np.cumsum(size)))
+    kept = np.concatenate(([0], np.cumsum(keep)))
+    return out[keep], kept[ends]
 
 
 def bitmap_words(size: int) -> int:

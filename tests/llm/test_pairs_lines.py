@@ -9,6 +9,7 @@ import pytest
 from conftest import ODD, rows
 
 from shardloom.llm import jaccard, linededup
+from shardloom.llm.common import as_large
 from shardloom.llm.components import connected_components
 
 
@@ -116,6 +117,13 @@ def test_linked_sets_share_a_segment():
             assert keys[0] & keys[1]
 
 
+def test_sets_of_slices_that_end_in_texts_without_words():
+    for texts in (["a b c d", "", " "], ["", "a b"], [""], [" ", "x", "a b c a b c"], ["a b c d e", "b"]):
+        sets, starts = jaccard.shingle_sets(as_large(pa.array(texts)), 3)
+        assert np.diff(starts).tolist() == [len(brute.shingles(t, 3)) for t in texts]
+        assert starts[-1] == len(sets)
+
+
 def test_components(spark):
     rnd = random.Random(5)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(60)]
