@@ -34,6 +34,7 @@ SPACE = "▁"
 SLICE = 6 << 20
 #: merged (chunk, variant) pairs that a Python worker remembers across slices
 REMEMBERED = 400_000
+FREQUENT = 3
 LONGEST = 48  # characters of a chunk that is merged in step with others
 _A, _B, _C = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 _FULL = (1 << 64) - 1
@@ -73,11 +74,16 @@ class Pieces:
         # the order of merges: best score first (equal scores share a rank)
         score = np.array([sp.get_score(i) for i in range(n)])
         self.rank = np.searchsorted(np.sort(np.unique(-score)), -score).astype(np.int32)
+        # the piece of a rank, or -1 where several share it
+        count = np.bincount(self.rank)
+        self.piece_of_rank = np.full(len(count), -1, np.int32)
+        self.piece_of_rank[self.rank] = np.arange(n)
+        self.piece_of_rank[count > 1] = -1
         pairs = [(self.id[p[:k]], self.id[p[k:]], i) for p, i in self.id.items() for k in range(1, len(p))
                  if p[:k] in self.id and p[k:] in self.id]
         keys = np.array([a * n + b for a, b, _ in pairs] or [-1], np.int64)
         order = np.argsort(keys)
-        self.keys, self.merged = keys[order], np.array([i for *_, i in pairs] or [-1], np.int64)[order]
+        self.keys, self.merged = keys[order], np.array([i for *_, i in pairs] or [-1], np.int32)[order]
         # pair -> place in keys, by open addressing with few probes
         self.bits = max(4, int(2 * len(keys)).bit_length() + 1)
         self.slots = np.full(1 << self.bits, -1, np.int64)
@@ -95,7 +101,7 @@ class Pieces:
         letters = sorted({c for p in spelt for c in p})
         self.letter = np.zeros(0x110000, np.int32)
         self.letter[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
-        self.letter_id = np.full(len(letters) + 1, -1, np.int64)
+        self.letter_id = np.full(len(letters) + 1, -1, np.int32)
         for p, i in zip(spelt, self.id.values(), strict=True):
             if len(p) == 1:
                 self.letter_id[self.letter[ord(p)]] = i
@@ -114,8 +120,8 @@ class Pieces:
 
     def pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Id of the piece that neighbours a and b merge into, or -1."""
-        keys = np.where((a < 0) | (b < 0), -2, a * self.size + b)
-        out = np.full(keys.shape, -1, np.int64)
+        keys = np.where((a < 0) | (b < 0), -2, a.astype(np.int64) * self.size + b)
+        out = np.full(keys.shape, -1, np.int32)
         open_, probe = np.flatnonzero(keys >= 0), 0
         while len(open_) and probe < self.probes:
             at = self.slots[self._slot(keys[open_], probe)]
@@ -190,18 +196,23 @@ def merge_chunk(vocabulary: Pieces, chunk: str, variant: int, seed: int, dropout
 
 
 def merge_remembered(vocabulary: Pieces, distinct: list[str], which: np.ndarray, variants: np.ndarray, seed: int,
-                     dropout: float) -> list[bytes]:
-    """``merge_chunks`` of the pairs that this worker has not merged lately."""
+                     dropout: float, frequent: np.ndarray) -> list[bytes]:
+    """``merge_chunks`` of the pairs that this worker has not merged lately.  Only chunks that are
+    ``frequent`` in the slice are looked up and remembered."""
     known = vocabulary.merged_before.setdefault((seed, dropout), [])
     known += [{} for _ in range(int(variants.max(initial=-1)) + 1 - len(known))]
-    names = [distinct[i] for i in which.tolist()]
-    out = [known[v].get(w) for w, v in zip(names, variants.tolist(), strict=True)]
+    out: list[bytes | None] = [None] * len(which)
+    often = np.flatnonzero(frequent[which]).tolist()
+    for i, w, v in zip(often, which[often].tolist(), variants[often].tolist(), strict=True):
+        out[i] = known[v].get(distinct[w])
     new = np.array([i for i, x in enumerate(out) if x is None], np.int64)
-    if sum(map(len, known)) + len(new) > REMEMBERED:
+    if sum(map(len, known)) + len(often) > REMEMBERED:
         for one in known:
             one.clear()
     for i, blob in zip(new.tolist(), merge_chunks(vocabulary, distinct, which[new], variants[new], seed, dropout), strict=True):
-        out[i] = known[variants[i]][names[i]] = blob
+        out[i] = blob
+    for i, w, v in zip(often, which[often].tolist(), variants[often].tolist(), strict=True):
+        known[v][distinct[w]] = out[i]
     return out
 
 
@@ -217,12 +228,13 @@ def merge_chunks(vocabulary: Pieces, distinct: list[str], which: np.ndarray, var
         keys += variants.astype(np.uint64) * np.uint64(_C)
     far = np.int32(1 << 30)
 
-    def rank(ids_a: np.ndarray, ids_b: np.ndarray, start: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def rank(ids_a: np.ndarray, ids_b: np.ndarray, start: np.ndarray, key: np.ndarray) -> np.ndarray:
         m = vocabulary.pair(ids_a, ids_b)
-        r = np.where(m >= 0, vocabulary.rank[np.maximum(m, 0)], far)
+        r = np.where(m >= 0, vocabulary.rank[m], far)
         if limit:
-            r[(m >= 0) & _skips(key, start, m, limit)] = far
-        return m, r
+            some = np.flatnonzero(m >= 0)
+            r[some[_skips(key[some], start[some], m[some], limit)]] = far
+        return r
 
     for length in np.unique(lengths).tolist():
         rows = np.flatnonzero(lengths == length)
@@ -233,37 +245,46 @@ def merge_chunks(vocabulary: Pieces, distinct: list[str], which: np.ndarray, var
                 out[i] = np.array(merge_chunk(vocabulary, distinct[which[i]], int(variants[i]), seed, dropout), "<u4").tobytes()
             continue
         cp = np.frombuffer("".join([distinct[i] for i in which[rows].tolist()]).encode("utf-32-le", "surrogatepass"), "<u4")
-        cp = cp.astype(np.int64).reshape(-1, length)
-        ids, start = vocabulary.of_chars(cp), np.broadcast_to(np.arange(length), cp.shape).copy()
-        key = keys[rows]
-        m, r = rank(ids[:, :-1].ravel(), ids[:, 1:].ravel(), start[:, :-1].ravel(), np.repeat(key, length - 1))
-        m, r = m.reshape(len(rows), length - 1), r.reshape(len(rows), length - 1)
+        # symbol j of all chunks is row j: steps are passes over contiguous arrays
+        cp = np.ascontiguousarray(cp.astype(np.int32).reshape(-1, length).T)
+        ids, key = vocabulary.of_chars(cp), keys[rows]
+        start = np.repeat(np.arange(length, dtype=np.int32)[:, None], len(rows), axis=1)
+        r = rank(ids[:-1].ravel(), ids[1:].ravel(), start[:-1].ravel(), np.tile(key, length - 1)).reshape(length - 1, len(rows))
+        width = length
         while len(rows):
-            width = ids.shape[1]
-            best = r.argmin(1) if width > 1 else np.zeros(len(rows), np.int64)
-            each = np.arange(len(rows))
-            done = r[each, best] >= far if width > 1 else np.ones(len(rows), bool)
-            if done.any():
-                _emit(vocabulary, out, rows[done], ids[done], np.take_along_axis(cp[done], start[done], axis=1))
+            best, low = np.zeros(len(rows), np.int32), np.full(len(rows), far, np.int32)
+            for j in range(width - 1):  # the first of the least ranks
+                less = r[j] < low
+                np.copyto(low, r[j], where=less)
+                np.copyto(best, j, where=less)
+            done = low >= far
+            n_done = int(done.sum())
+            if n_done:
+                _emit(vocabulary, out, rows[done], ids[:width, done].T, np.take_along_axis(cp[:, done], start[:width, done], axis=0).T)
                 keep = ~done
-                rows, ids, start, cp, key, best = (x[keep] for x in (rows, ids, start, cp, key, best))
-                m, r = m[keep], r[keep]
-                each = np.arange(len(rows))
-            if not len(rows):
-                break
-            ids[each, best] = m[each, best]
-            left = np.ones(ids.shape, bool)
-            left[each, best + 1] = False
-            ids, start = ids[left].reshape(len(rows), width - 1), start[left].reshape(len(rows), width - 1)
-            pair_left = np.ones(m.shape, bool)
-            pair_left[each, best] = False
-            m, r = m[pair_left].reshape(len(rows), width - 2), r[pair_left].reshape(len(rows), width - 2)
+                rows, key, best, low = rows[keep], key[keep], best[keep], low[keep]
+                if not len(rows):
+                    break
+                ids, start, cp, r = ids[:width, keep], start[:width, keep], cp[:, keep], r[:width - 1, keep]
+            each = np.arange(len(rows))
+            merged = vocabulary.piece_of_rank[low]
+            shared = np.flatnonzero(merged < 0)  # a score that several pieces have
+            if len(shared):
+                merged[shared] = vocabulary.pair(ids[best[shared], shared], ids[best[shared] + 1, shared])
+            ids[best, each] = merged
+            for j in range(width - 1):  # what lies behind the merged pair moves up
+                after = best < j
+                if j < width - 2:
+                    np.copyto(r[j], r[j + 1], where=best <= j)
+                np.copyto(ids[j], ids[j + 1], where=after)
+                np.copyto(start[j], start[j + 1], where=after)
+            width -= 1
             for shift in (-1, 0):  # the merged symbol's pairs with its neighbours
                 at = best + shift
-                ok = (at >= 0) & (at < m.shape[1])
-                i, j = each[ok], at[ok]
+                i = np.flatnonzero((at >= 0) & (at < width - 1))
                 if len(i):
-                    m[i, j], r[i, j] = rank(ids[i, j], ids[i, j + 1], start[i, j], key[i])
+                    j = at[i]
+                    r[j, i] = rank(ids[j, i], ids[j + 1, i], start[j, i], key[i])
     return out
 
 
@@ -321,8 +342,14 @@ def encode_texts(vocabulary: Pieces, texts: pa.Array, keys: np.ndarray, seed: in
     with np.errstate(over="ignore"):
         draw = _mix(np.repeat(keys.view(np.uint64), counts) + number.astype(np.uint64) * np.uint64(_C) + np.uint64(seed & _FULL))
     variant = (draw % np.uint64(variants)).astype(np.int64) if dropout else np.zeros(len(codes), np.int64)
-    pair, at = np.unique(codes * variants + variant, return_inverse=True)
-    blobs = merge_remembered(vocabulary, coded.dictionary.to_pylist(), pair // variants, pair % variants, seed, dropout)
+    drawn = codes * variants + variant
+    place = np.zeros(len(coded.dictionary) * variants + 1, np.int64)
+    place[drawn] = 1
+    pair = np.flatnonzero(place)
+    place[pair] = np.arange(len(pair))
+    at = place[drawn]
+    frequent = np.bincount(codes, minlength=len(coded.dictionary)) >= FREQUENT
+    blobs = merge_remembered(vocabulary, coded.dictionary.to_pylist(), pair // variants, pair % variants, seed, dropout, frequent)
     size = np.array([len(b) for b in blobs], np.int64) // 4
     table = np.frombuffer(b"".join(blobs), "<u4")
     begin, length = np.cumsum(size) - size, size[at]
