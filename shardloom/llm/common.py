@@ -8,6 +8,7 @@ asked to carry, packed in one struct), so further columns of any name cannot cla
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Iterator, Sequence
 
@@ -35,6 +36,13 @@ def workers_find_package(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of frames that are no longer used: it acts when the
+    driver's garbage is collected, which by itself may come long after the disk is needed again."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 #: key of a document row: id (-1 for null), whether it is null, hash of the text
 KEY = ["_id", "_null", "_h"]
 

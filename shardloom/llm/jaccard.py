@@ -40,7 +40,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import KEY, Words, as_large, key_columns, slices
+from ..sources import fs
+from .common import KEY, Words, as_large, key_columns, release, slices
 from .components import connected_components
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -309,6 +310,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     (sketch.select(F.explode("tiles").alias("tile"), "node").repartition("tile").sortWithinPartitions("tile", "node")
      .mapInArrow(_stars, "tile long, centre long, node long").write.parquet(f"{folder}/stars"))
     stars = spark.read.schema("tile long, centre long, node long").parquet(f"{folder}/stars")
+    # the tiles of all sets, by far the largest part, have done their work
+    kind = kind.replace(", tiles array<long>", "")
+    sketch.drop("tiles").write.parquet(f"{folder}/nodes-of-rows")
+    sketch = spark.read.schema(kind).parquet(f"{folder}/nodes-of-rows")
+    fs.delete(spark, f"{folder}/sketch")
+    release(spark)
 
     # bitmaps and one text of every node that has a candidate
     met = stars.select("node").union(stars.select("centre")).distinct()
@@ -336,6 +343,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
                .join(sets.select(F.col("node").alias("v"), F.col("elements").alias("b")), "v")
                .filter(_linked(num, den)("a", "b")).select("u", "v").distinct())
         out.write.parquet(f"{folder}/{name}-links")
+        del pairs, used, reps, text, sets, out
+        release(spark)
         return spark.read.schema("u long, v long").parquet(f"{folder}/{name}-links")
 
     differ = F.aggregate(F.zip_with(_folded("bits_u", "bits_v"), _folded("bits_v", "bits_u"),
