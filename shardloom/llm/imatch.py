@@ -10,7 +10,16 @@ The bits of a term's hash assign it to random subsets of the lexicon at three ra
 64th, a 512th; ``PER_RATE`` subsets each), so that short and long texts both have subsets with one or
 two of their terms.  A fingerprint is the list of the hashes of a text's sorted distinct terms in
 each subset (nothing for a subset without terms), and last the hash of all its lexicon terms, or of
-the text itself if it has none.  The likeness of two fingerprints is 1 if they are equal, else the
+the text itself if it has none.
+
+With ``wide`` (a share; the registered query sets ``WIDE``) document frequency counts distinct texts, so
+exact copies count once, and texts with fewer than ``FEW`` lexicon terms, such as those of a large group
+of near copies, whose terms are all too frequent, are fingerprinted by a second band: all their terms
+but those in more than ``wide`` of the distinct texts (at most mean distinct terms / ``wide`` of them).
+Two texts are compared by the second band if either has too few lexicon terms; only documents that need
+it are read again.  Without ``wide`` every row counts and there is one band.
+
+The likeness of two fingerprints is 1 if they are equal, else the
 best rate's share of equal subsets among those that either text has terms of (with one added to the
 count, so that a single subset proves little).
 
@@ -30,24 +39,50 @@ from pyspark.sql import functions as F
 
 from ..operators.index import with_row_index
 from ..session import checkpoint_dir, scratch_path
-from .common import KEY, key_columns
+from .common import KEY, key_columns, release
 
 LOW, HIGH = 0.001, 0.02
 BROADCAST_TERMS = 1 << 20
 PER_RATE = 16
 RATES = 3
+FEW, WIDE = 8, 0.5
+
+
+def term_keys_sql(text: str) -> str:
+    return (rf"array_distinct(transform(filter(split(lower({text}), r'[^\p{{L}}\p{{N}}]+'), w -> w <> ''), "
+            "w -> xxhash64(w) & -2L))")
 
 
 def term_keys(text: str) -> Column:
     """Distinct terms of a text as even 64-bit hashes."""
-    return F.expr(rf"array_distinct(transform(filter(split(lower({text}), r'[^\p{{L}}\p{{N}}]+'), w -> w <> ''), "
-                  "w -> xxhash64(w) & -2L))")
+    return F.expr(term_keys_sql(text))
 
 
-def lexicon(docs: DataFrame, text_col: str = "text", low: float = LOW, high: float = HIGH) -> DataFrame:
-    """Keys of the terms with a document frequency between ``low`` and ``high`` of all documents."""
+def _distinct_texts(docs: DataFrame, text_col: str) -> tuple[DataFrame, int]:
+    """The distinct texts and their number.  Only texts that occur again are shuffled."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, "repeated-texts")
+    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("_h", F.xxhash64("text"))
+    texts.groupBy("_h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").write.parquet(path)
+    repeated = spark.read.schema("_h bigint, n bigint").parquet(path)
+    found, more = repeated.agg(F.count("n"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).first()
+    keys = F.broadcast(repeated.select("_h")) if found <= BROADCAST_TERMS else repeated.select("_h")
+    once = texts.join(keys, "_h", "left_semi").dropDuplicates(["_h"])
+    return texts.join(keys, "_h", "left_anti").select("text").union(once.select("text")), docs.count() - more
+
+
+def lexicon(docs: DataFrame, text_col: str = "text", low: float = LOW, high: float = HIGH,
+            wide: float | None = None) -> DataFrame:
+    """Keys of the terms with a document frequency between ``low`` and ``high`` of all documents; with
+    ``wide``, of all distinct texts, and also (``common``) those above ``wide``."""
     spark = docs.sparkSession
     path = scratch_path(spark, "lexicon")
+    if wide is not None:
+        texts, n = _distinct_texts(docs, text_col)
+        band, common = F.col("df").between(low * n, high * n), F.col("df") > wide * n
+        (texts.select(F.explode(term_keys("text")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("df"))
+         .filter(band | common).select("key", (~band).alias("common")).write.parquet(path))
+        return spark.read.schema("key bigint, common boolean").parquet(path)
     keys = docs.select(F.explode(term_keys(f"coalesce(`{text_col}`, '')")).alias("key"))
     n = docs.count()
     (keys.groupBy("key").agg(F.count(F.lit(1)).alias("df"))
@@ -110,22 +145,35 @@ def _lexicon_terms(rows: DataFrame, terms: DataFrame, texts: list[str], keep: li
     return each.join(marked, "key").groupBy(*keep).agg(*lists)
 
 
+def _wide_hashes(terms: DataFrame):
+    """(text, its hash) -> fingerprint by the second band."""
+    common = ", ".join(f"{r['key']}L" for r in terms.filter("common").select("key").collect())
+    return lambda text, text_hash: subset_hashes(
+        f"sort_array(array_except({term_keys_sql(text)}, cast(array({common}) as array<bigint>)))", text_hash)
+
+
 def fingerprint(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and fingerprint of every document."""
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("_h", F.xxhash64("text"))
-    found = _lexicon_terms(rows, terms, ["text"], ["_row", "doc_id", "_h"])
+    keep = ["_row", "doc_id", "_h"]
+    if "common" in terms.columns:
+        rows = rows.withColumn("_w", _wide_hashes(terms)("text", "_h"))
+        found = _lexicon_terms(rows, terms.filter("not common"), ["text"], [*keep, "_w"])
+        found = found.withColumn("p", F.when(F.size("_t0") < FEW, F.col("_w")).otherwise(subset_hashes("sort_array(_t0)", "_h")))
+        return found.select("doc_id", printed("p").alias("fingerprint"))
+    found = _lexicon_terms(rows, terms, ["text"], keep)
     return (found.select("doc_id", subset_hashes("sort_array(_t0)", "_h").alias("p"))
             .select("doc_id", printed("p").alias("fingerprint")))
 
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      low: float = LOW, high: float = HIGH) -> DataFrame:
+                      low: float = LOW, high: float = HIGH, wide: float | None = None) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     spark = docs.sparkSession
     checkpoint_dir(spark)
     folder = scratch_path(spark, "imatch")
-    terms = lexicon(docs, text_col, low, high)
+    terms = lexicon(docs, text_col, low, high, wide)
     base = docs.select(*key_columns(id_col, text_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     # the order, on keys and lengths only: each document's donor is the next one, the last one's the first
@@ -136,25 +184,61 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                          F.expr("cast(n div 3 as int)").alias("need"))
     donor = order.select("at", *KEY).join(taker, "at").drop("at").checkpoint()
 
+    prints = edited_texts(base, donor)
+    keep = [*KEY, "_copy", "n_chars", "_e", "edited_sha256"]
+    (_lexicon_terms(prints, terms.filter("not common") if wide is not None else terms, ["text", "edited"], keep)
+     .select(*keep, subset_hashes("sort_array(_t0)", "_h").alias("p"), subset_hashes("sort_array(_t1)", "_e").alias("e"),
+             (F.size("_t0") < FEW).alias("p_few"), (F.size("_t1") < FEW).alias("e_few"))
+     .write.parquet(f"{folder}/prints"))
+    rows = spark.read.schema("_id long, _null int, _h long, _copy int, n_chars long, _e long, edited_sha256 string, "
+                             "p array<int>, e array<int>, p_few boolean, e_few boolean").parquet(f"{folder}/prints")
+    to = [F.col(f"to{k}").alias(k) for k in KEY]
+    following = (rows.filter("_copy = 1").select(*KEY, F.col("p").alias("q"), F.col("p_few").alias("q_few"))
+                 .join(donor.drop("need"), KEY))
+    if wide is None:
+        return rows.join(following.select(*to, "q"), KEY).select(
+            *_edit_columns(), printed("p").alias("fingerprint"), printed("e").alias("edited_fingerprint"),
+            likeness("p", "e").alias("near_edited"), likeness("p", "q").alias("near_next"))
+
+    # the second band, for texts with too few lexicon terms and those they are compared with
+    del prints
+    release(spark)
+    few = rows.filter("_copy = 1 and p_few").select(*KEY)
+    needed = (rows.filter("_copy = 1 and (p_few or e_few)").select(*KEY)
+              .union(donor.join(few, KEY).select(*to))
+              .union(donor.join(few.select(*[F.col(k).alias(f"to{k}") for k in KEY]), [f"to{k}" for k in KEY]).select(*KEY))
+              .distinct().checkpoint())
+    given = donor.join(needed.select(*[F.col(k).alias(f"to{k}") for k in KEY]), [f"to{k}" for k in KEY], "left_semi").checkpoint()
+    read = needed.union(given.select(*KEY)).distinct().checkpoint()
+    if read.count() <= BROADCAST_TERMS:
+        read = F.broadcast(read)
+    second = _wide_hashes(terms)
+    (edited_texts(base.join(read, KEY, "left_semi"), given).filter("_copy = 1")
+     .select(*KEY, second("text", "_h").alias("pw"), second("edited", "_e").alias("ew")).write.parquet(f"{folder}/wide"))
+    both = spark.read.schema("_id long, _null int, _h long, pw array<int>, ew array<int>").parquet(f"{folder}/wide")
+    following = following.join(both.select(*KEY, F.col("pw").alias("qw")), KEY, "left").select(*to, "q", "q_few", "qw")
+
+    def near(x: str) -> Column:
+        return F.when(F.col("p_few") | F.col(f"{x}_few"), likeness("pw", f"{x}w")).otherwise(likeness("p", x))
+
+    return rows.join(following, KEY).join(both, KEY, "left").select(
+        *_edit_columns(), printed("if(p_few, pw, p)").alias("fingerprint"), printed("if(e_few, ew, e)").alias("edited_fingerprint"),
+        near("e").alias("near_edited"), near("q").alias("near_next"))
+
+
+def _edit_columns() -> list[Column]:
+    return [F.when(F.col("_null") == 0, F.col("_id")).alias("doc_id"), F.col("n_chars"), F.col("edited_sha256")]
+
+
+def edited_texts(base: DataFrame, donor: DataFrame) -> DataFrame:
+    """KEY, _copy, text, edited and their figures of the rows of ``base`` that ``donor`` gives a beginning to."""
     # texts meet on one exchange by key, used twice: to give their beginnings and to take them
     # (a running count: row_number() with a filter would be pushed below one of the two exchanges)
     so_far = Window.partitionBy(*KEY).orderBy("_h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     copies = base.withColumn("_copy", F.count(F.lit(1)).over(so_far).cast("int"))
     given = (copies.filter("_copy = 1").drop("_copy").join(donor, KEY)
              .select(*[F.col(f"to{k}").alias(k) for k in KEY], "need", F.expr("substring(text, 1, need)").alias("end")))
-    edited = (copies.join(given, KEY)
-              .select(*KEY, "_copy", "text", F.length("text").cast("long").alias("n_chars"),
-                      F.expr("concat(substring(text, 1, char_length(text) - need), end)").alias("edited"))
-              .withColumn("_e", F.xxhash64("edited")).withColumn("edited_sha256", F.sha2("edited", 256)))
-    keep = [*KEY, "_copy", "n_chars", "_e", "edited_sha256"]
-    (_lexicon_terms(edited, terms, ["text", "edited"], keep)
-     .select(*keep, subset_hashes("sort_array(_t0)", "_h").alias("p"), subset_hashes("sort_array(_t1)", "_e").alias("e"))
-     .write.parquet(f"{folder}/prints"))
-    rows = spark.read.schema("_id long, _null int, _h long, _copy int, n_chars long, _e long, edited_sha256 string, "
-                             "p array<int>, e array<int>").parquet(f"{folder}/prints")
-    following = (rows.filter("_copy = 1").select(*KEY, F.col("p").alias("q")).join(donor.drop("need"), KEY)
-                 .select(*[F.col(f"to{k}").alias(k) for k in KEY], "q"))
-    return rows.join(following, KEY).select(
-        F.when(F.col("_null") == 0, F.col("_id")).alias("doc_id"), "n_chars", "edited_sha256",
-        printed("p").alias("fingerprint"), printed("e").alias("edited_fingerprint"),
-        likeness("p", "e").alias("near_edited"), likeness("p", "q").alias("near_next"))
+    return (copies.join(given, KEY)
+            .select(*KEY, "_copy", "text", F.length("text").cast("long").alias("n_chars"),
+                    F.expr("concat(substring(text, 1, char_length(text) - need), end)").alias("edited"))
+            .withColumn("_e", F.xxhash64("edited")).withColumn("edited_sha256", F.sha2("edited", 256)))

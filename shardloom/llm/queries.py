@@ -147,7 +147,7 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_imatch_fingerprints")
 def imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text, and their likeness."""
-    return imatch.fingerprint_edits(documents(spark, sf_dir))
+    return imatch.fingerprint_edits(documents(spark, sf_dir), wide=imatch.WIDE)
 
 
 @register("op10_language_id")

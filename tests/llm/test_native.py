@@ -113,3 +113,25 @@ def test_equal_texts_have_equal_fingerprints(spark):
     prints = {r["doc_id"]: r["fingerprint"] for r in got}
     assert len(prints) == 2 * docs.count()
     assert all(prints[i] == prints[i + 100_000] for i in prints if i < 100_000)
+
+
+def test_large_groups_of_copies_keep_evidence(spark):
+    """A third of all rows are near copies of one text, and a fifth are exact copies of another one."""
+    docs = documents(spark, SF_SMALL).select("doc_id", "text")
+    long = [r["text"] for r in docs.orderBy(F.length("text").desc(), "doc_id").limit(2).collect()]
+    at = len(long[0]) // 2
+    near = [(100_000 + k, f"{long[0][:at]} changed{k} {long[0][at:]}") for k in range(130)]
+    copies = [(200_000 + k, long[1]) for k in range(80)]
+    many = docs.union(spark.createDataFrame(near + copies, "doc_id long, text string"))
+    got = {r["doc_id"]: r for r in imatch.fingerprint_edits(many, wide=imatch.WIDE).collect()}
+    assert len(got) == docs.count() + 210
+    # the edits share the texts' terms; a group's next document is one of the group, but for the last one's
+    assert all(got[i]["near_edited"] > 0.1 for i, _ in near + copies)
+    assert all(got[i]["near_next"] > 0.5 for i, _ in near[1:])
+    # exact copies do not crowd their terms out of the lexicon
+    with_copies, without = (imatch.lexicon(d, wide=imatch.WIDE).filter("not common")
+                            for d in (docs.union(spark.createDataFrame(copies, "doc_id long, text string")), docs))
+    assert {r["key"] for r in with_copies.collect()} == {r["key"] for r in without.collect()}
+    # unrelated documents are not alike by the second band
+    others = sorted(r["near_next"] for i, r in got.items() if i < 100_000)
+    assert others[len(others) // 2] < 0.2
