@@ -151,13 +151,15 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     return manifest
 
 
-def scan_warc(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    """Leaves (file, seq, length, digest) of WARC files, each record hashed as it is read.  Where a header
-    does not parse, the rest of the file is one record."""
+def scan_warc(spark: SparkSession, path: str, names: list[str], manifest: DataFrame | None = None) -> DataFrame:
+    """Leaves (file, seq, length, digest) of WARC files, each record hashed as it is read.  With the
+    ``manifest`` of ``write_warc``, a record whose header does not parse, or whose length leads neither to
+    the next record nor to the end of the file, has the length that it has there, so the scan goes on
+    behind it.  Without a manifest, or past its records, the rest of the file is then one record."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = _open_fs(path)
         for batch in batches:
-            for name in batch.column(0).to_pylist():
+            for name, known in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 leaves = []
                 with files.open_input_file(f"{base}/{name}") as f:
                     at, size = 0, f.size()
@@ -167,7 +169,12 @@ def scan_warc(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
                         sizes = [x.split(b":", 1)[1] for x in head[:max(end, 0)].split(b"\r\n")
                                  if x.lower().startswith(b"content-length:")]
                         ok = head.startswith(b"WARC/") and sizes and sizes[0].strip().isdigit()
-                        length = min(end + 8 + int(sizes[0]), size - at) if ok else size - at
+                        length = end + 8 + int(sizes[0]) if ok else size - at
+                        own = known[len(leaves)] if known and len(leaves) < len(known) else None
+                        if own is not None and own != length and not (
+                                ok and (at + length == size or at + length < size and f.read_at(min(5, size - at - length), at + length) == b"WARC/")):
+                            length = own
+                        length = min(length, size - at)
                         digest, left = hashlib.sha256(), length
                         while left:
                             part = f.read_at(min(left, 1 << 20), at + length - left)
@@ -181,4 +188,9 @@ def scan_warc(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
                                                 "length": pa.array([], pa.int64()), "digest": pa.array([], pa.string())})
 
     listed = spark.createDataFrame([(n,) for n in names], "file string")
+    if manifest is None:
+        listed = listed.withColumn("known", F.lit(None).cast("array<long>"))
+    else:  # a file has at most ``PER_FILE`` records
+        known = manifest.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("seq", "length"))).alias("k"))
+        listed = listed.join(known.select("file", F.col("k.length").alias("known")), "file", "left")
     return listed.repartition(max(1, len(names)), "file").mapInArrow(scan, LEAF)

@@ -80,6 +80,28 @@ def test_files_are_scanned_where_they_lie(spark):
     assert [(r["file"], r["seq"], r["status"]) for r in bad] == [(names[2], hit["seq"], "altered")]
 
 
+def test_damaged_headers_are_located(spark):
+    """A bad header byte, a changed length, a long url and a longer record do not hide the records behind them."""
+    pages = spark.createDataFrame([(i, "u" * 70_000 if i == 9 else f"http://x/{i}", "b" * (200 + i)) for i in range(16)],
+                                  "page_id long, url string, html string")
+    path = scratch_path(spark, "test-warc-headers")
+    manifest = warc.write_warc(pages, path, per_file=16)
+    at = {r["seq"]: (r["offset"], r["length"]) for r in manifest.collect()}
+    name = f"{path.removeprefix('file://').removeprefix('file:')}/00000000.warc"
+    with open(name, "rb") as f:
+        whole = f.read()
+    parts = [whole[a:a + n] for a, n in (at[k] for k in range(16))]
+    parts[2] = b"X" + parts[2][1:]
+    parts[5] = parts[5].replace(b"Content-Length: 205", b"Content-Length: 905")
+    parts[7] = parts[7].replace(b"Content-Length: 207", b"Content-Length: 208").replace(b"\r\n\r\nb", b"\r\n\r\nbb")
+    parts[15] = parts[15].replace(b"Content-Length: 215", b"Content-Length: 915")
+    with open(name, "wb") as f:
+        f.write(b"".join(parts))
+    leaves = manifest.select("file", "seq", "length", "digest")
+    bad = warc.audit(leaves, warc.scan_warc(spark, path, ["00000000.warc"], manifest)).collect()
+    assert sorted((r["seq"], r["status"]) for r in bad) == [(k, "altered") for k in (2, 5, 7, 15)]
+
+
 # ---- quality classifier
 
 def test_votes_match_a_plain_search(spark):
