@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, scratch_path
-from . import imatch, jaccard, knn, langid, linededup, packing, quality, sentencepieces, tokenfiles, warc
+from . import (imatch, jaccard, knn, langid, linededup, packing, prefixtrie, quality, sentencepieces, tokenfiles, toxicity,
+               warc, whitening)
 from .common import documents, held_out, tokenizer_path, workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,6 +159,64 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+@register("op11_prefix_trie", r"""
+with recursive turns as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first,
+           sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 as pos,
+         sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as d,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as w
+  from conversations where conv_id is not null),
+heads as (
+  select *, conv_id - conv_id % 20 as base, xor(list_reduce(list_prepend(4294967295::bigint,
+           list_transform(string_split(conv_id::varchar, ''), lambda s: ascii(s)::bigint)), lambda c, b:
+           list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 4 as h
+  from (select distinct conv_id from turns)),
+rebuilt as (
+  select c.conv_id, t.pos, t.d, t.w from heads c join turns t on t.conv_id = c.base and t.pos < c.h
+  union all
+  select c.conv_id, t.pos + 10, t.d, t.w from heads c join turns t on t.conv_id = c.conv_id and t.pos >= c.h),
+prefixes as (
+  select conv_id, row_number() over conv as depth, string_agg(d, '') over conv as key, w,
+         count(*) over (partition by conv_id) as n_turns
+  from rebuilt window conv as (partition by conv_id order by pos rows unbounded preceding)
+  union all
+  select h.conv_id, 0, '', 0, (select count(*) from rebuilt r where r.conv_id = h.conv_id) from heads h),
+nodes as (
+  select depth, key, min(conv_id) as conv_id, count(*) as n_convs, any_value(w) as w,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where n_turns = depth), '')) as ends_sha256
+  from prefixes group by depth, key),
+kids as (select left(key, (64 * (depth - 1))::bigint) as key, count(*) as n from nodes where depth > 0 group by 1),
+sums as (
+  select left(n.key, (64 * a.depth)::bigint) as key, sum((n.n_convs - 1) * n.w)::bigint as saved,
+         count(*) filter (where k.n is null) as leaves
+  from nodes n left join kids k on k.key = n.key, lateral (select unnest(range(n.depth + 1)) as depth) a group by 1)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(k.n, 0) as n_children, s.leaves as n_leaves,
+       s.saved as saved_tokens, n.ends_sha256
+from nodes n join sums s on s.key = n.key left join kids k on k.key = n.key
+left join nodes p on p.depth = n.depth - 1 and p.key = left(n.key, (64 * (n.depth - 1))::bigint)
+""")
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all rebuilt conversations."""
+    return prefixtrie.trie(prefixtrie.rebuild(documents(spark, sf_dir, "conversations")))
+
+
+@register("op12_embedding_whitening")
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the eight components of largest variance, whitened."""
+    out = whitening.whiten(documents(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "n", "deviation", "identity_error", F.posexplode(F.arrays_zip("whitened", "explained"))).select(
+        "vec_id", F.expr("cast(pos + 1 as int)").alias("component"), "n", "deviation", "col.whitened", "col.explained", "identity_error")
+
+
+@register("op13_subword_toxicity")
+def subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of every document from its character n-gram vectors."""
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, documents(spark, sf_dir, "labels").filter(~held_out()))
+    out = docs.select("doc_id", held_out().alias("held_out"), toxicity.score_column(spark, model).alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 @register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training-corpus pipeline over all documents."""
