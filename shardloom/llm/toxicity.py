@@ -14,8 +14,8 @@ Every passage of a document has the document's label, in equal shares, so what i
 undecided and what only toxic documents hold stands out.  Since the softmax is linear, a step needs
 the class scores of the buckets only, summed over words and passages.  A quarter of the sample (every
 fourth by hash) is kept out of the training; on it, a scale and a shift of the most toxic passage's margin are
-fitted, so that the threshold of one half holds for documents, not for passages.  Executors number the
-sample's distinct words; what the driver gathers is bounded by ``SAMPLE`` documents a class.  The trained
+fitted, so that the threshold of one half holds for documents, not for passages.  The training is one task
+over the sample, bounded by ``SAMPLE`` documents a class; the driver receives the model only.  The trained
 scores (``BUCKETS`` x classes) are broadcast; every document is scored in one scan.
 
 Defined results: case is ignored for A-Z; a null text is the empty text, one passage without words, which has a
@@ -44,7 +44,7 @@ PASSAGE, LEAST = 4, 2
 LONGEST = 64
 STEPS, RATE, DECAY = 60, 0.1, 3e-6
 KEPT, MIN_PAIRS = 0.3, 4
-_SLICE = 1 << 20
+_SLICE, _WORDS = 1 << 20, 1 << 14
 _M = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
 
@@ -92,7 +92,7 @@ def pieces(words: list[str]) -> tuple[list[str], np.ndarray]:
 
 def word_scores(words: list[str], table: np.ndarray) -> np.ndarray:
     """[word, class] mean score of each word's subwords."""
-    out, step = [], 1 << 14
+    out, step = [], _WORDS
     for a in range(0, len(words), step):
         some, n = pieces(words[a:a + step])
         for b in range(0, len(some), step):
@@ -138,6 +138,15 @@ def _means(rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return (total[ends] - total[ends - sizes]) / np.maximum(sizes, LEAST)[:, None]
 
 
+def _entries(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(bucket, word, share of the word's mean) of every subword, some words at a time."""
+    for a in range(0, len(words), _WORDS):
+        some, n = pieces(words[a:a + _WORDS])
+        at, size = subwords(some)
+        of = np.repeat(np.arange(len(n)), n)
+        yield at.astype(np.int32), np.repeat(a + of, size).astype(np.int32), np.repeat(1 / (size * n[of]), size).astype(np.float32)
+
+
 def train(words: list[str], codes: np.ndarray, counts: np.ndarray, labels: np.ndarray,
           weights: np.ndarray | None = None, seed: int = 11) -> Model:
     """Fit on documents of ``counts`` words each (``codes`` into the distinct ``words``) with 0/1 ``labels`` and
@@ -148,21 +157,17 @@ def train(words: list[str], codes: np.ndarray, counts: np.ndarray, labels: np.nd
     weights = np.ones(len(labels)) if weights is None else weights
     weights = weights / max(weights.sum(), 1e-300)
     share = float(labels @ weights)
-    if not 0 < labels.mean() < 1 or not words:
+    if not len(labels) or not 0 < labels.mean() < 1 or not words:
         return Model(np.zeros((BUCKETS, DIM)), np.zeros((DIM, 2)), np.log(np.maximum([1 - share, share], 1e-300)))
     sizes, n_pass = passages(counts)
     pass_doc = np.repeat(np.arange(len(counts)), n_pass)
     word_pass = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     pairs = np.unique(pass_doc[word_pass].astype(np.int64) * len(words) + codes) % len(words)
     in_docs = np.bincount(pairs, minlength=len(words))
-    some, n_pieces = pieces(words)
-    at, size = subwords(some)
-    piece_word = np.repeat(np.arange(len(words)), n_pieces)
-    of = np.repeat(piece_word, size)
-    weight_of = np.repeat(1 / (size * n_pieces[piece_word]), size).astype(np.float32)
+    at, of, weight_of = (np.concatenate(x) for x in zip(*_entries(words), strict=True))
     known = np.bincount(at, in_docs[of], BUCKETS)[at] >= MIN_PAIRS
     used, at = np.unique(at[known], return_inverse=True)
-    at, of, weight_of = at.astype(np.int32), of[known].astype(np.int32), weight_of[known]
+    at, of, weight_of = at.astype(np.int32), of[known], weight_of[known]
     even = np.repeat(weights / n_pass, n_pass)
     goal = labels.astype(float)[pass_doc]
     e = rng.normal(0, 0.1, (len(used), DIM))
@@ -212,19 +217,6 @@ def calibrate(margin: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tu
     return float(c[0] / spread), float(c[1] - c[0] * middle / spread)
 
 
-def _sample_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, label) -> (label, number of words, codes, distinct words) of each slice of the sample."""
-    for batch in batches:
-        texts, labels = as_large(batch.column(0)), batch.column(1)
-        for a, b in slices(texts, _SLICE):
-            words = Words(texts[a:b], lower=True)
-            yield pa.RecordBatch.from_pydict({
-                "labels": pa.array([labels[a:b].to_pylist()], pa.list_(pa.int32())),
-                "counts": pa.array([words.counts], pa.list_(pa.int64())),
-                "codes": pa.array([words.codes], pa.list_(pa.int32())),
-                "words": pa.array([words.distinct], pa.list_(pa.string()))})
-
-
 def learn(words: list[str], codes: np.ndarray, counts: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> Model:
     """Train on three documents of four and calibrate on the others."""
     out = np.arange(len(counts)) % 4 == 3
@@ -246,20 +238,31 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = hashed_sample(known.filter("label = 1"), ["_id"], sample).union(hashed_sample(known.filter("label = 0"), ["_id"], sample))
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(chosen), "_id")
     rows = hashed_sample(rows.select("_id", "text", "label"), ["_id", "text"], 2 * sample)  # an id may stand for many rows
-    got = rows.select("text", "label").mapInArrow(
-        _sample_words, "labels array<int>, counts array<long>, codes array<int>, words array<string>").toArrow()
-    number: dict[str, int] = {}
-    codes, counts, known = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for r in range(got.num_rows):
-        own = np.array([number.setdefault(w, len(number)) for w in got["words"][r].as_py()], dtype=np.int64)
-        at = got["codes"][r].values.to_numpy()
-        codes.append(own[at] if len(at) else np.zeros(0, np.int64))
-        counts.append(got["counts"][r].values.to_numpy())
-        known.append(got["labels"][r].values.to_numpy())
-    y = np.concatenate(known)
-    here = np.bincount(y, minlength=2)
-    each = np.array([share.get(k, 0) / max(here[k], 1) for k in range(2)])
-    return learn(list(number), np.concatenate(codes), np.concatenate(counts), y, each[y])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number: dict[str, int] = {}
+        codes, counts, known = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for batch in batches:
+            texts = as_large(batch.column(0))
+            for a, b in slices(texts, _SLICE):
+                words = Words(texts[a:b], lower=True)
+                own = np.array([number.setdefault(w, len(number)) for w in words.distinct], dtype=np.int32)
+                codes.append(own[words.codes])
+                counts.append(words.counts)
+            known.append(batch.column(1).to_numpy(zero_copy_only=False))
+        y = np.concatenate(known).astype(np.int64)
+        here = np.bincount(y, minlength=2)
+        each = np.array([share.get(k, 0) / max(here[k], 1) for k in range(2)])
+        m = learn(list(number), np.concatenate(codes), np.concatenate(counts), y, each[y])
+        yield pa.RecordBatch.from_pydict({"embeddings": [m.embeddings.astype(np.float32).tobytes()], "weights": [m.weights.tolist()],
+                                          "bias": [m.bias.tolist()], "scale": [m.scale], "shift": [m.shift]})
+
+    got = rows.select("text", "label").repartition(1).mapInArrow(
+        task, "embeddings binary, weights array<array<double>>, bias array<double>, scale double, shift double").collect()
+    if not got:  # no partition at all
+        return train([], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    r = got[0]
+    return Model(np.frombuffer(r["embeddings"], np.float32).reshape(BUCKETS, DIM), np.array(r["weights"]), np.array(r["bias"]), r["scale"], r["shift"])
 
 
 def _margins(rows: np.ndarray, counts: np.ndarray, bias: np.ndarray) -> np.ndarray:

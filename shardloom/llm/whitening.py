@@ -47,11 +47,11 @@ _EPS = np.finfo(float).eps
 
 # ---- rank-one updates of many spectra at once: lam [B, d], u [B, d, d], z [B, d], rho [B]
 
-def _rotate_equal(lam: np.ndarray, u: np.ndarray, z: np.ndarray, tol: np.ndarray) -> None:
-    """Turn eigenvectors of equal eigenvalues (ascending) until only one of them has a weight; in place."""
-    low = lam <= lam[:, :1] + tol
+def _rotate_equal(lam: np.ndarray, u: np.ndarray, z: np.ndarray, tol: np.ndarray, live: np.ndarray) -> None:
+    """Turn eigenvectors of equal eigenvalues (live ones first, ascending) until one of them has all weight; in place."""
+    low = (lam <= lam[:, :1] + tol) & live
     if (low.sum(1) > 1).any():  # the cluster at the lower end, by one reflection
-        last = low.sum(1) - 1
+        last = np.maximum(low.sum(1) - 1, 0)
         v = np.where(low, z, 0.0)
         size = np.linalg.norm(v, axis=1)
         rows = np.arange(len(lam))
@@ -67,11 +67,11 @@ def _rotate_equal(lam: np.ndarray, u: np.ndarray, z: np.ndarray, tol: np.ndarray
             turned = np.where(low, 0.0, z)
             turned[rows, last] = to
             z[on] = turned[on]
-    close = (np.diff(lam, axis=1) <= tol) & (z[:, :-1] != 0) & (z[:, 1:] != 0)
+    close = (np.diff(lam, axis=1) <= tol) & live[:, 1:] & (z[:, :-1] != 0)
     for i in np.flatnonzero(close.any(0)).tolist():  # other pairs, one after another
         a, b = z[:, i], z[:, i + 1]
         r = np.hypot(a, b)
-        on = (lam[:, i + 1] - lam[:, i] <= tol[:, 0]) & (a != 0) & (r > 0)
+        on = close[:, i] & (a != 0)
         c, s = np.where(on, b / np.where(r > 0, r, 1), 1.0), np.where(on, a / np.where(r > 0, r, 1), 0.0)
         first, second = u[:, :, i].copy(), u[:, :, i + 1].copy()
         u[:, :, i] = c[:, None] * first - s[:, None] * second
@@ -79,6 +79,14 @@ def _rotate_equal(lam: np.ndarray, u: np.ndarray, z: np.ndarray, tol: np.ndarray
         z[:, i], z[:, i + 1] = np.where(on, 0.0, a), np.where(on, r, b)
 
 
+def _live_first(lam: np.ndarray, u: np.ndarray, z: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Pairs with a weight, ascending, then the deflated ones; and which have one."""
+    live = np.abs(z) > least
+    order = np.argsort(np.where(live, lam, np.inf), axis=1, kind="stable")
+    lam, z, live = (np.take_along_axis(x, order, axis=1) for x in (lam, z, live))
+    return lam, np.take_along_axis(u, order[:, None, :], axis=2), z, live
+
+
 def rank_one(lam: np.ndarray, u: np.ndarray, v: np.ndarray, rho: np.ndarray, steps: int = ROOT_STEPS) -> tuple[np.ndarray, np.ndarray]:
     """Spectra of u diag(lam) u' + rho v v' (rho >= 0), eigenvalues ascending; ``steps`` root steps at most."""
     b, d = lam.shape
@@ -86,13 +94,11 @@ def rank_one(lam: np.ndarray, u: np.ndarray, v: np.ndarray, rho: np.ndarray, ste
     grown = (z * z).sum(1)
     scale = np.maximum(lam[:, -1], grown)[:, None]
     tol = 8 * _EPS * scale
-    u = u.copy()
-    _rotate_equal(lam, u, z, tol)
-    keep = np.abs(z) <= 8 * _EPS * np.sqrt(scale)  # deflated: the pair stays as it is
-    order = np.argsort(np.where(keep, np.inf, lam), axis=1, kind="stable")
-    lam, z, keep = (np.take_along_axis(x, order, axis=1) for x in (lam, z, keep))
-    u = np.take_along_axis(u, order[:, None, :], axis=2)
-    live = ~keep
+    least = 8 * _EPS * np.sqrt(scale)  # pairs of smaller weight are deflated: they stay as they are
+    lam, u, z, live = _live_first(lam, u, z, least)
+    if ((np.diff(lam, axis=1) <= tol) & live[:, 1:]).any():
+        _rotate_equal(lam, u, z, tol, live)
+        lam, u, z, live = _live_first(lam, u, z, least)
     n = live.sum(1)
     if not n.any():
         return _sorted(lam, u)
