@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..operators import text as T
 from .registry import register, table
 
-VOCAB_SIZE = 1000
+# the operator's own default
+VOCAB_SIZE = 30000
 # Fixed value: the sequence length of the encoded samples.
 SEQ_LEN = 256
 

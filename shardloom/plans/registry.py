@@ -41,5 +41,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def load_all() -> None:
     """Import the modules that register queries."""
     import importlib
-    for m in ("queries_text", "queries_rows", "queries_boxes", "queries_eval", "queries_work", "queries_io"):
+    for m in ("queries_text", "queries_subwords", "queries_rows", "queries_boxes", "queries_eval", "queries_work", "queries_io"):
         importlib.import_module(f"{__package__}.{m}")
