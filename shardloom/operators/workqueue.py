@@ -1,18 +1,27 @@
 """Restartable per-row work (W1-W6), re-aimed from the parallel downloader.
 
 State is a table of rows with ``status`` (null = never tried, 0 = done,
-else an error code) and ``attempts``.  Plain Spark has no in-place update,
-so every round reads generation *n* and writes generation *n+1* in full
-(``gen=000001``, ...), and only then moves the ``_CURRENT`` pointer; the
-generation being read is never overwritten.  A stopped job restarts from the
-pointer and redoes no finished row.  The written generation also cuts the
-lineage, so a lost executor recomputes at most one round.
+else an error code) and ``attempts``.  Plain Spark has no in-place update, so
+state is append-only: generation 0 (``gen=000000``) holds every row, and round
+*n* writes generation *n* with the rows it tried and nothing else, and only then
+moves the ``_CURRENT`` pointer.  A round tries every pending row, so a row's last
+word is where it finished, or the newest generation: reading the state is a
+union of scans without a join, and finished rows are never written again.  A
+stopped job restarts from the pointer and redoes no finished row.  The written
+generation also cuts the lineage, so a lost executor recomputes one round at most.
+
+After many rounds the finished rows lie in many small generations; ``compact_state``
+merges neighbours of similar size into one part (``done=...``), so each row is
+copied a logarithmic number of times, and moves the pointer in the same way:
+a compaction that is killed loses nothing, and folders that the pointer no
+longer names are removed by the next one.
 
 The per-row function must be idempotent: a task retry runs it again.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 import pandas as pd
@@ -62,28 +71,45 @@ def _gen_dir(state_path: str, gen: int) -> str:
     return f"{state_path.rstrip('/')}/gen={gen:06d}"
 
 
-def current_generation(spark: SparkSession, state_path: str) -> int | None:
-    """The newest complete generation: the pointer, or else the highest
-    generation folder holding a ``_SUCCESS`` marker."""
-    ptr = fs.read_text(spark, f"{state_path.rstrip('/')}/_CURRENT")
-    if ptr and ptr.strip().isdigit():
-        return int(ptr.strip())
+def _pointer(spark: SparkSession, state_path: str) -> tuple[int, list[dict]] | None:
+    """(newest generation, parts with finished rows): the pointer, or else the
+    highest generation folder with a ``_SUCCESS`` marker and all before it."""
+    text = fs.read_text(spark, f"{state_path.rstrip('/')}/_CURRENT")
+    if text and text.strip():
+        found = json.loads(text)
+        return found["gen"], found["parts"]
     gens = sorted(int(n.split("=")[1]) for n in fs.list_names(spark, state_path) if n.startswith("gen="))
     for g in reversed(gens):
         if fs.exists(spark, f"{_gen_dir(state_path, g)}/_SUCCESS"):
-            return g
+            return g, [{"path": f"gen={k:06d}", "rows": None} for k in gens if k <= g]
     return None
 
 
-def _commit(spark: SparkSession, state_path: str, gen: int) -> None:
-    fs.write_text(spark, f"{state_path.rstrip('/')}/_CURRENT", str(gen))
+def current_generation(spark: SparkSession, state_path: str) -> int | None:
+    """The newest complete generation."""
+    found = _pointer(spark, state_path)
+    return None if found is None else found[0]
+
+
+def _commit(spark: SparkSession, state_path: str, gen: int, parts: list[dict]) -> None:
+    fs.write_text(spark, f"{state_path.rstrip('/')}/_CURRENT", json.dumps({"gen": gen, "parts": parts}))
+
+
+def _read(spark: SparkSession, state_path: str, names: Sequence[str]) -> DataFrame:
+    return spark.read.parquet(*[f"{state_path.rstrip('/')}/{n}" for n in names])
 
 
 def read_state(spark: SparkSession, state_path: str, gen: int | None = None) -> DataFrame:
-    g = current_generation(spark, state_path) if gen is None else gen
-    if g is None:
+    """Every row once, as it is now: finished rows from where they finished, pending ones from the newest generation.
+    With ``gen``, as it was after that generation (as long as none up to it has been compacted)."""
+    found = _pointer(spark, state_path)
+    if found is None:
         raise FileNotFoundError(f"no state under {state_path}")
-    return spark.read.parquet(_gen_dir(state_path, g))
+    g, names = found[0], [p["path"] for p in found[1]]
+    if gen is not None:
+        g, names = gen, [f"gen={k:06d}" for k in range(1, gen + 1)]
+    left = pending(_read(spark, state_path, [f"gen={g:06d}"]))
+    return left.unionByName(_read(spark, state_path, names).filter(F.col("status") == 0)) if names else left
 
 
 def init_state(df: DataFrame, state_path: str) -> tuple[int, bool]:
@@ -97,32 +123,56 @@ def init_state(df: DataFrame, state_path: str) -> tuple[int, bool]:
      .withColumn("attempts", F.lit(0))
      .withColumn("error", F.lit(None).cast("string"))
      .write.mode("overwrite").parquet(_gen_dir(state_path, 0)))
-    _commit(spark, state_path, 0)
+    _commit(spark, state_path, 0, [])
     return 0, True
 
 
 def run_round(spark: SparkSession, state_path: str, fn: StatusFn, input_cols: Sequence[str],
               parallelism: int | None = None) -> int:
-    """Apply ``fn(*input_cols, attempt)`` to pending rows only, keep
-    finished rows, write the next generation.  Returns its number."""
-    g = current_generation(spark, state_path)
-    state = read_state(spark, state_path, g)
+    """Apply ``fn(*input_cols, attempt)`` to the pending rows and write them
+    as the next generation; finished rows are neither read nor written.  Returns its number."""
+    g, parts = _pointer(spark, state_path)
     attempt = g + 1
-    todo = pending(state)
+    todo = pending(_read(spark, state_path, [f"gen={g:06d}"]))
     if parallelism:
         todo = todo.repartition(parallelism)
-    done = state.filter(F.col("status") == 0)
     tried = todo.withColumn("_r", fn(*[F.col(c) for c in input_cols], F.lit(attempt)))
     told = isinstance(tried.schema["_r"].dataType, T.StructType)  # a status alone, or with a message
     tried = (tried.withColumn("status", (F.col("_r.status") if told else F.col("_r")).cast("int"))
              .withColumn("error", F.col("_r.error") if told else F.lit(None).cast("string"))
              .withColumn("attempts", F.col("attempts") + 1).drop("_r"))
-    nxt = done.unionByName(tried)
-    nxt.write.mode("overwrite").parquet(_gen_dir(state_path, attempt))
-    _commit(spark, state_path, attempt)
+    tried.write.mode("overwrite").parquet(_gen_dir(state_path, attempt))
+    done = _read(spark, state_path, [f"gen={attempt:06d}"]).filter(F.col("status") == 0).count()
+    _commit(spark, state_path, attempt, [*parts, {"path": f"gen={attempt:06d}", "rows": done}])
     return attempt
 
 
+def compact_state(spark: SparkSession, state_path: str, most_parts: int = 8, ratio: int = 2) -> bool:
+    """Merge the newest parts of finished rows once there are more than ``most_parts``: backwards, as long as a
+    part has at most ``ratio`` times the rows behind it, two parts at least.  True if anything was merged."""
+    g, parts = _pointer(spark, state_path)
+    base = state_path.rstrip("/")
+    if len(parts) > most_parts:
+        rows = [p["rows"] if p["rows"] is not None else
+                _read(spark, state_path, [p["path"]]).filter(F.col("status") == 0).count() for p in parts]
+        first, behind = len(parts) - 2, rows[-1] + rows[-2]
+        while first > 0 and rows[first - 1] <= ratio * behind:
+            first -= 1
+            behind += rows[first]
+        merged = _read(spark, state_path, [p["path"] for p in parts[first:]]).filter(F.col("status") == 0)
+        name = f"done={first:06d}-{g:06d}"
+        merged.coalesce(max(1, merged.rdd.getNumPartitions() // 4)).write.mode("overwrite").parquet(f"{base}/{name}")
+        parts = [*parts[:first], {"path": name, "rows": behind}]
+        _commit(spark, state_path, g, parts)
+    else:
+        return False
+    named = {p["path"] for p in parts} | {f"gen={g:06d}"}
+    for n in fs.list_names(spark, state_path):
+        if n not in named and n.split("=")[0] in ("gen", "done"):
+            fs.delete(spark, f"{base}/{n}")
+    return True
+
+
 def run_until_done(df: DataFrame, fn: StatusFn, state_path: str, input_cols: Sequence[str] = ("url",),
                    max_rounds: int = 10, parallelism_floor: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Rounds until nothing is pending or this call has run ``max_rounds``
@@ -137,10 +187,11 @@ def run_until_done(df: DataFrame, fn: StatusFn, state_path: str, input_cols: Seq
     first = current_generation(spark, state_path)
     while True:
         g = current_generation(spark, state_path)
-        state = read_state(spark, state_path, g)
-        if g - first >= max_rounds or pending(state).limit(1).count() == 0:
-            return state, pending(state)
+        left = pending(_read(spark, state_path, [f"gen={g:06d}"]))
+        if g - first >= max_rounds or left.limit(1).count() == 0:
+            return read_state(spark, state_path), left
         run_round(spark, state_path, fn, input_cols, par)
+        compact_state(spark, state_path)
 
 
 def cleanup(spark: SparkSession, state_path: str, created: bool, force: bool = False) -> bool:
@@ -149,8 +200,7 @@ def cleanup(spark: SparkSession, state_path: str, created: bool, force: bool = F
     if not created:
         return False
     if not force:
-        g = current_generation(spark, state_path)
-        if g is not None and pending(read_state(spark, state_path, g)).limit(1).count() > 0:
+        if current_generation(spark, state_path) is not None and pending(read_state(spark, state_path)).limit(1).count() > 0:
             return False
     return fs.delete(spark, state_path)
 

@@ -388,6 +388,10 @@ def accuracy_overall(spark, sf):
     return a.select(F.round("accuracy", 6).alias("accuracy"), "n")
 
 
+# a fitted model of at most this many numbers is gathered and broadcast
+MODEL_CELLS = 4_000_000
+
+
 def _centroids(emb):
     """Per-class mean vector, computed by Spark: one row per (class, dim),
     bounded by classes x dims."""
@@ -407,18 +411,21 @@ from (select e.vec_id, e.label, c.k,
 group by vec_id, label
 """)
 def predict_centroid_batches(spark, sf):
-    """A model built once per task (nearest class centroid, fitted by a
-    Spark aggregation) called on batches of 100 rows inside ``mapInPandas``."""
+    """A model built once per worker (nearest class centroid, fitted by a
+    Spark aggregation, broadcast) called on full batches of 100 rows inside ``mapInPandas``."""
     emb = table(spark, sf, "embeddings")
-    cent = _centroids(emb).collect()  # classes x dims rows: a small fitted model
+    fitted = _centroids(emb).checkpoint()  # classes x dims rows: a small model, if it is one
+    if fitted.count() > MODEL_CELLS:
+        raise ValueError(f"the centroids have more than {MODEL_CELLS} cells")
+    cent = fitted.collect()
     labels = sorted({r["label"] for r in cent})
     dims = 1 + max(r["d"] for r in cent)
     mat = np.zeros((len(labels), dims))
     for r in cent:
         mat[labels.index(r["label"]), r["d"]] = r["m"]
 
-    def make_model():
-        m, lab = mat, np.array(labels)
+    def make_model(weights):
+        m, lab = weights
 
         def predict(pdf):
             x = np.stack(pdf["embedding"].to_numpy()).astype(float)
@@ -426,7 +433,27 @@ def predict_centroid_batches(spark, sf):
             return lab[d.argmin(axis=1)].astype(int).tolist()
         return predict
 
-    return N.predict_batches(emb, make_model, ["embedding"], "int", batch_size=100).drop("embedding")
+    return N.predict_batches(emb, make_model, ["embedding"], "int", batch_size=100, weights=(mat, np.array(labels))).drop("embedding")
+
+
+@register("isolate_failing_rows", sql="""
+select page_id, case when length(url) % 7 <> 0 then length(url) end as result,
+       case when length(url) % 7 = 0 then 'ValueError: refused ' || url end as error
+from pages
+""")
+def isolate_failing_rows(spark, sf):
+    """A batch function that raises for some rows; the batch is halved until those are alone, all others
+    have their result."""
+    def measure(pdf):
+        n = pdf["url"].str.len()
+        if (n % 7 == 0).any():
+            raise ValueError(f"refused {pdf['url'][n % 7 == 0].iloc[0]}")
+        return n.tolist()
+
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    good, failed = N.isolate_failures(pages, measure, ["url"], "bigint", batch_size=64)
+    return (good.select("page_id", "result", F.lit(None).cast("string").alias("error"))
+            .unionByName(failed.select("page_id", F.lit(None).cast("bigint").alias("result"), "error")))
 
 
 SYMBOLS = "#*$%&|<>"

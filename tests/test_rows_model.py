@@ -29,7 +29,7 @@ def test_cross_entropy_and_accuracy(spark):
     assert acc == 0.5
 
 
-def test_predict_batches_batch_size_and_model_per_task(spark):
+def test_predict_batches_batch_size_and_model_per_worker(spark):
     calls = spark.sparkContext.accumulator(0)
 
     def make_model():
@@ -40,7 +40,7 @@ def test_predict_batches_batch_size_and_model_per_task(spark):
     out = N.predict_batches(df, make_model, ["id"], "long", batch_size=100)
     sizes = [r["prediction"] for r in out.collect()]
     assert max(sizes) <= 100 and len(sizes) == 1000
-    assert calls.value == 3
+    assert 1 <= calls.value <= 3  # three tasks, and no worker builds it twice
 
 
 def test_pending_and_split_valid(spark):
