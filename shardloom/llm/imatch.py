@@ -13,14 +13,13 @@ each subset (nothing for a subset without terms), and last the hash of all its l
 the text itself if it has none.
 
 With ``wide`` (a share; the registered query sets ``WIDE``) document frequency counts distinct texts, so
-exact copies count once, and texts with fewer than ``FEW`` lexicon terms, such as those of a large group
-of near copies, whose terms are all too frequent, are fingerprinted by a second band: all their terms
-but those in more than ``wide`` of the distinct texts (at most mean distinct terms / ``wide`` of them).
-Two texts are compared by the second band if either has too few lexicon terms; only documents that need
-it are read again.  Without ``wide`` every row counts and there is one band.
-
-The likeness of two fingerprints is 1 if they are equal, else the
-best rate's share of equal subsets among those that either text has terms of (with one added to the
+exact copies count once, and every fingerprint has a second band: all terms of the text but those in more than
+``wide`` of the distinct texts (at most mean distinct terms / ``wide`` of them).  It stands behind a bar, or behind
+a tilde where the text has fewer than ``FEW`` lexicon terms, such as the texts of a large group of near copies,
+whose terms are all too frequent.  Without ``wide`` every row counts and there is one band.
+
+The likeness of two fingerprints is a function of what they print.  It looks at the second bands if either text
+has too few lexicon terms, else at the first ones: 1 if they are equal, else the best rate's share of equal subsets among those that either text has terms of (with one added to the
 count, so that a single subset proves little).
 
 ``fingerprint_edits`` compares each document with an edited text of its own and with the next
@@ -120,6 +119,11 @@ def printed(prints: str) -> Column:
     return F.expr(f"array_join(transform({prints}, x -> if(x is null, '-', lower(lpad(hex(x), 8, '0')))), '.')")
 
 
+def printed_bands(first: str, second: str, few: str) -> Column:
+    """Both bands as text, with the mark of texts with too few lexicon terms between them."""
+    return F.concat(printed(first), F.expr(f"if({few}, '~', '|')"), printed(second))
+
+
 def likeness(a: str, b: str) -> Column:
     def rate(i: int) -> str:
         x, y = (f"slice({c}, {i * PER_RATE + 1}, {PER_RATE})" for c in (a, b))
@@ -137,12 +141,14 @@ def _lexicon_terms(rows: DataFrame, terms: DataFrame, texts: list[str], keep: li
     # key 0 stands in every document, so documents without lexicon terms stay
     each = (rows.select(*keep, F.explode(F.expr(f"concat(array(0L), {codes})")).alias("_c"))
             .withColumn("key", F.expr("_c & -2L")))
-    marked = terms.select("key").union(terms.sparkSession.range(1).select(F.lit(0).cast("long").alias("key")))
     if terms.count() <= BROADCAST_TERMS:
-        marked = F.broadcast(marked)
+        marked = terms.select("key").union(terms.sparkSession.range(1).select(F.lit(0).cast("long").alias("key")))
+        each = each.join(F.broadcast(marked), "key")
+    else:  # key 0, of every document, takes no part in a shuffle by key
+        each = each.filter("key <> 0").join(terms.select("key"), "key", "left_semi").unionByName(each.filter("key = 0").select("key", *keep, "_c"))
     lists = [F.collect_list(F.when((F.col("key") != 0) & (F.expr("_c & 1L") == i), F.col("key"))).alias(f"_t{i}")
              for i in range(len(texts))]
-    return each.join(marked, "key").groupBy(*keep).agg(*lists)
+    return each.groupBy(*keep).agg(*lists)
 
 
 def _wide_hashes(terms: DataFrame):
@@ -160,8 +166,8 @@ def fingerprint(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_
     if "common" in terms.columns:
         rows = rows.withColumn("_w", _wide_hashes(terms)("text", "_h"))
         found = _lexicon_terms(rows, terms.filter("not common"), ["text"], [*keep, "_w"])
-        found = found.withColumn("p", F.when(F.size("_t0") < FEW, F.col("_w")).otherwise(subset_hashes("sort_array(_t0)", "_h")))
-        return found.select("doc_id", printed("p").alias("fingerprint"))
+        found = found.select("doc_id", subset_hashes("sort_array(_t0)", "_h").alias("p"), "_w", (F.size("_t0") < FEW).alias("few"))
+        return found.select("doc_id", printed_bands("p", "_w", "few").alias("fingerprint"))
     found = _lexicon_terms(rows, terms, ["text"], keep)
     return (found.select("doc_id", subset_hashes("sort_array(_t0)", "_h").alias("p"))
             .select("doc_id", printed("p").alias("fingerprint")))
@@ -200,29 +206,20 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             *_edit_columns(), printed("p").alias("fingerprint"), printed("e").alias("edited_fingerprint"),
             likeness("p", "e").alias("near_edited"), likeness("p", "q").alias("near_next"))
 
-    # the second band, for texts with too few lexicon terms and those they are compared with
+    # the second band: the texts meet their beginnings once more, when the files of the first time are gone
     del prints
     release(spark)
-    few = rows.filter("_copy = 1 and p_few").select(*KEY)
-    needed = (rows.filter("_copy = 1 and (p_few or e_few)").select(*KEY)
-              .union(donor.join(few, KEY).select(*to))
-              .union(donor.join(few.select(*[F.col(k).alias(f"to{k}") for k in KEY]), [f"to{k}" for k in KEY]).select(*KEY))
-              .distinct().checkpoint())
-    given = donor.join(needed.select(*[F.col(k).alias(f"to{k}") for k in KEY]), [f"to{k}" for k in KEY], "left_semi").checkpoint()
-    read = needed.union(given.select(*KEY)).distinct().checkpoint()
-    if read.count() <= BROADCAST_TERMS:
-        read = F.broadcast(read)
     second = _wide_hashes(terms)
-    (edited_texts(base.join(read, KEY, "left_semi"), given).filter("_copy = 1")
+    (edited_texts(base, donor).filter("_copy = 1")
      .select(*KEY, second("text", "_h").alias("pw"), second("edited", "_e").alias("ew")).write.parquet(f"{folder}/wide"))
     both = spark.read.schema("_id long, _null int, _h long, pw array<int>, ew array<int>").parquet(f"{folder}/wide")
-    following = following.join(both.select(*KEY, F.col("pw").alias("qw")), KEY, "left").select(*to, "q", "q_few", "qw")
+    following = following.join(both.select(*KEY, F.col("pw").alias("qw")), KEY).select(*to, "q", "q_few", "qw")
 
     def near(x: str) -> Column:
         return F.when(F.col("p_few") | F.col(f"{x}_few"), likeness("pw", f"{x}w")).otherwise(likeness("p", x))
 
-    return rows.join(following, KEY).join(both, KEY, "left").select(
-        *_edit_columns(), printed("if(p_few, pw, p)").alias("fingerprint"), printed("if(e_few, ew, e)").alias("edited_fingerprint"),
+    return rows.join(following, KEY).join(both, KEY).select(
+        *_edit_columns(), printed_bands("p", "pw", "p_few").alias("fingerprint"), printed_bands("e", "ew", "e_few").alias("edited_fingerprint"),
         near("e").alias("near_edited"), near("q").alias("near_next"))
 
 

@@ -1,5 +1,6 @@
 """Quality rules (1) and fingerprints (9) against plain versions."""
 
+import re
 import brute
 import pytest
 from conftest import ODD, SF_SMALL, rows
@@ -86,6 +87,49 @@ def test_fingerprints_match_the_plain_version(spark):
         assert g["near_edited"] == pytest.approx(brute.likeness(p, q)) and g["near_next"] == pytest.approx(brute.likeness(p, r))
 
 
+def test_registered_fingerprints_match_the_plain_version(spark):
+    """Two bands, as the registered query has them: document frequency over distinct texts, both likenesses from
+    what the fingerprints print."""
+    docs = documents(spark, SF_SMALL)
+    low, high = 0.01, 0.2
+    ordered = sorted(((r["doc_id"], r["text"]) for r in docs.collect()), reverse=True)
+    texts = [t for _, t in ordered]
+    df = {}
+    for t in set(texts):
+        for x in brute.terms(t):
+            df[x] = df.get(x, 0) + 1
+    n = len(set(texts))
+    lexicon, common = {x for x, k in df.items() if low * n <= k <= high * n}, {x for x, k in df.items() if k > imatch.WIDE * n}
+    assert common
+    edited, following = _edits(texts)
+
+    def printed(text):
+        mark = "~" if len(brute.terms(text) & lexicon) < imatch.FEW else "|"
+        return mark.join(".".join("-" if x is None else f"{x:08x}" for x in brute.fingerprint(text, words))
+                         for words in (lexicon, brute.terms(text) - common))
+
+    def like(a, b):  # from the printed texts alone
+        band = 1 if "~" in a + b else 0
+        return brute.likeness(*([None if x == "-" else x for x in re.split("[|~]", t)[band].split(".")] for t in (a, b)))
+
+    got = {r["doc_id"]: r for r in imatch.fingerprint_edits(docs, low=low, high=high, wide=imatch.WIDE).collect()}
+    kinds = set()
+    for (i, text), e, f in zip(ordered, edited, following):
+        g = got[i]
+        p, q, r = (printed(x) for x in (text, e, f))
+        assert (g["fingerprint"], g["edited_fingerprint"]) == (p, q)
+        assert g["near_edited"] == pytest.approx(like(p, q)) and g["near_next"] == pytest.approx(like(p, r))
+        kinds.add(("~" in p, "~" in q))
+    assert len(kinds) > 2  # also pairs of which one has too few lexicon terms
+
+
+def test_fingerprints_beyond_the_broadcast_bounds(spark, monkeypatch):
+    docs = documents(spark, SF_SMALL)
+    want = sorted(map(tuple, imatch.fingerprint_edits(docs, wide=imatch.WIDE).collect()))
+    monkeypatch.setattr(imatch, "BROADCAST_TERMS", 0)
+    assert sorted(map(tuple, imatch.fingerprint_edits(docs, wide=imatch.WIDE).collect())) == want
+
+
 def test_fingerprints_of_odd_rows(spark, odd):
     """Ids in descending order, null ids last; rows that repeat id and text are one place in the order."""
     got = imatch.fingerprint_edits(odd, low=0.05, high=0.9).collect()
