@@ -2,20 +2,21 @@
 
 Words and word pairs are hashed into ``BUCKETS`` buckets.  Two multinomials over the buckets are
 counted: the trusted target (documents labelled good; at most ``TRUSTED_DOCS`` of them, those with the
-smallest hashes, so their ids may be broadcast) and the raw corpus (every document).  A document's
-score is the mean over its n-grams of ``ln p_target - ln p_raw``, so length does not matter; it is
-kept if it passes the base rule and scores the threshold or more.  The threshold is
-``THRESHOLD - SPARSE * buckets / (trusted n-grams)``: the fewer trusted n-grams there are for a bucket,
-the more n-grams of a clean document they lack by chance; with a large trusted sample it is
-``THRESHOLD``.  Ratios are rounded to integers (millionths) before they are summed, so scores and
-verdicts do not depend on the order of rows.
+smallest hashes, so their ids may be broadcast) and the raw corpus (every document).  Were they one
+multinomial, the trusted target would hold a bucket's share of the raw corpus times its own number of n-grams.
+A document's score is the mean over its n-grams of ``ln((found + PRIOR) / (expected + PRIOR))``, so length does
+not matter; it is kept if it passes the base rule and scores ``THRESHOLD`` or more, one value at every size.  The
+prior draws a bucket towards the raw corpus that the trusted target is too small to say anything about:
+where little is expected, finding nothing weighs little.  A corpus joined by copies of itself keeps every verdict.
+Ratios are rounded to integers (millionths) before they are summed, so scores and verdicts do not depend on
+the order of rows.
 
 Both passes are scans with a bounded aggregation: counts per bucket (partial in each task), and sums
 per document joined to a broadcast model of ``BUCKETS`` rows.  No text is shuffled.
 
 Defined results: a null or empty text has no words, fails the base rule and is not kept, its score is
-null; a null id is kept; repeated rows are scored one by one; with no trusted document every
-n-gram's ratio is that of the smoothing alone; an empty table gives no rows.  Very long texts are
+null; a null id is kept and never trusted; repeated rows are scored one by one; ties with the threshold are kept;
+with no trusted document every score is 0 and nothing is kept; an empty table gives no rows.  Very long texts are
 arrays of their words inside one row.  Columns other than the id and the text are not read.
 """
 
@@ -31,8 +32,8 @@ from .common import KEY, WS, hashed_sample, key_columns
 
 BUCKETS = 1 << 16
 TRUSTED_DOCS = 20_000
-THRESHOLD = -0.08
-SPARSE = 0.8
+PRIOR = 20.0
+THRESHOLD = -0.09
 #: fixed values of the base rule
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -92,7 +93,8 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         buckets: int = BUCKETS, trusted_docs: int = TRUSTED_DOCS) -> Model:
-    """The ratio of every bucket that occurs, and the threshold; ``trusted`` has the good ids."""
+    """The ratio of every bucket that occurs, and the threshold (none can pass without trusted n-grams); ``trusted``
+    has the good ids."""
     checkpoint_dir(docs.sparkSession)
     ids = hashed_sample(trusted.select(F.col(id_col).alias("_t")).filter("_t is not null").distinct(), ["_t"], trusted_docs)
     marked = (docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("_w"))
@@ -102,9 +104,9 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
     counts = marked.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("good")).checkpoint()
     n_good = counts.agg(F.sum("good")).first()[0] or 0
     whole = Window.partitionBy()  # over at most ``buckets`` rows
-    share = lambda c: (F.col(c) + 1) / (F.sum(c).over(whole) + buckets)
-    ratios = counts.select("bucket", F.round(1e6 * F.log(share("good") / share("raw"))).cast("long").alias("ratio"))
-    return Model(ratios, THRESHOLD - SPARSE * buckets / max(n_good, 1))
+    expected = n_good * (F.col("raw") / F.sum("raw").over(whole))
+    ratios = counts.select("bucket", F.round(1e6 * F.log((F.col("good") + PRIOR) / (expected + PRIOR))).cast("long").alias("ratio"))
+    return Model(ratios, THRESHOLD if n_good else float("inf"))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",

@@ -51,15 +51,15 @@ def grams(text, buckets):
     return [x % buckets for x in h] + [hash_longs(p) % buckets for p in zip(h, h[1:])]
 
 
-def ratios(docs, good, buckets):
+def ratios(docs, good, buckets, prior):
     raw, trusted = Counter(), Counter()
     for i, text in docs:
         g = grams(text, buckets)
         raw.update(g)
         if i in good:
             trusted.update(g)
-    n_raw, n_good = sum(raw.values()) + buckets, sum(trusted.values()) + buckets
-    return {b: round(1e6 * math.log(((trusted[b] + 1) / n_good) / ((raw[b] + 1) / n_raw))) for b in raw}
+    n_raw, n_good = sum(raw.values()), sum(trusted.values())
+    return {b: round(1e6 * math.log((trusted[b] + prior) / (n_good * (raw[b] / n_raw) + prior))) for b in raw}
 
 
 def quality_score(text, model, buckets):

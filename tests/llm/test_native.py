@@ -24,11 +24,9 @@ def test_scores_and_verdicts_match_the_plain_version(spark):
     trusted = documents(spark, SF_SMALL, "labels").filter((F.col("quality") == 1) & ~held_out())
     good = {r[0] for r in trusted.select("doc_id").collect()}
     texts = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    model = brute.ratios(texts, good, quality.BUCKETS)
-    n_good = sum(len(brute.grams(t, quality.BUCKETS)) for i, t in texts if i in good)
-    threshold = quality.THRESHOLD - quality.SPARSE * quality.BUCKETS / n_good
+    model, threshold = brute.ratios(texts, good, quality.BUCKETS, quality.PRIOR), quality.THRESHOLD
     fitted = quality.fit(docs, trusted)
-    assert fitted.threshold == pytest.approx(threshold)
+    assert fitted.threshold == threshold
     got = {r["doc_id"]: r for r in quality.score(docs, fitted).collect()}
     assert len(got) == len(texts)
     for i, text in texts:
@@ -50,6 +48,25 @@ def test_quality_labels_of_held_out_rows(spark, sf_dir, least):
     assert sum(not r["kept"] for r in junk) >= 0.9 * len(junk)
 
 
+def test_verdicts_do_not_move_with_the_size_of_the_corpus(spark):
+    """A corpus joined by three copies of itself, under other ids, keeps every score and verdict."""
+    docs = documents(spark, SF_SMALL).select("doc_id", "text")
+    trusted = documents(spark, SF_SMALL, "labels").filter((F.col("quality") == 1) & ~held_out())
+    many = docs
+    for k in (1, 2, 3):
+        many = many.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 1_000_000 * k))
+    alone, grown = ({r["doc_id"]: (r["kept"], r["score"]) for r in quality.score(docs, quality.fit(d, trusted)).collect()} for d in (docs, many))
+    assert alone == grown and len({k for k, _ in alone.values()}) == 2
+
+
+def test_nothing_is_kept_without_trusted_documents(spark):
+    docs = documents(spark, SF_SMALL)
+    model = quality.fit(docs, docs.limit(0))
+    got = quality.score(docs, model).collect()
+    assert len(got) == docs.count() and not any(r["kept"] for r in got) and {r["score"] for r in got} <= {0.0, None}
+    assert quality.filter_documents(docs, model).count() == 0
+
+
 def test_empty_tables(spark, none):
     assert quality.score(none, quality.fit(none, none)).count() == 0
     assert imatch.fingerprint_edits(none).count() == 0

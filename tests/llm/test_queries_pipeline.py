@@ -22,7 +22,7 @@ def test_query(spark, monkeypatch, name):
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = set(queries.QUERIES)
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "quality_rules", "line_dedup", "ngram_jaccard_join", "packing"]
 
 
@@ -55,10 +55,8 @@ def test_pipeline_matches_the_plain_versions(spark):
     docs = [(i, t) for i, t in docs if (r := _language(t, model))[0] != "und" and r[1] >= 0.5]
 
     good = {r[0] for r in documents(spark, SF_SMALL, "labels").filter((F.col("quality") == 1) & ~held_out()).select("doc_id").collect()}
-    ratio = brute.ratios(docs, good, quality.BUCKETS)
-    n_good = sum(len(brute.grams(t, quality.BUCKETS)) for i, t in docs if i in good)
-    least = quality.THRESHOLD - quality.SPARSE * quality.BUCKETS / n_good
-    docs = [(i, t) for i, t in docs if not brute.base(t)["base_failed"] and brute.quality_score(t, ratio, quality.BUCKETS) >= least]
+    ratio = brute.ratios(docs, good, quality.BUCKETS, quality.PRIOR)
+    docs = [(i, t) for i, t in docs if not brute.base(t)["base_failed"] and brute.quality_score(t, ratio, quality.BUCKETS) >= quality.THRESHOLD]
 
     docs = [(i, x[2]) for (i, _), x in zip(docs, brute.drop_lines([t for _, t in docs], 10))]
 
