@@ -8,6 +8,7 @@ asked to carry, packed in one struct), so further columns of any name cannot cla
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 from collections.abc import Iterator, Sequence
@@ -222,17 +223,32 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def give_back() -> None:
+    """Hand memory that a task no longer uses back to the system: workers outlive their tasks and stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def token_binary(path: str, end_id: int | None = 1):
-    """Arrow UDF: text -> its ids as little-endian unsigned 32-bit integers, the end id appended."""
+    """Arrow UDF: text -> its ids as little-endian unsigned 32-bit integers, the end id appended.  The encoder and the
+    runs it remembers live as long as the task."""
     tail = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
 
-    def run(texts: pa.Array) -> pa.Array:
-        texts, out = as_large(texts), []
-        for a, b in slices(texts):
-            ids, at = encoder(path).ids(texts[a:b])
-            raw = memoryview(ids.tobytes())
-            out += [raw[4 * s:4 * e].tobytes() + tail for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-        return pa.array(out, type=pa.binary())
-
-    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = WordEncoder(path)
+        for texts in parts:
+            texts, out = as_large(texts), []
+            for a, b in slices(texts):
+                ids, at = own.ids(texts[a:b])
+                raw = memoryview(ids.tobytes())
+                out += [raw[4 * s:4 * e].tobytes() + tail for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            yield pa.array(out, type=pa.binary())
+        del own
+        give_back()
+
+    run.__annotations__ = {"parts": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "binary")

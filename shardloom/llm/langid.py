@@ -36,6 +36,8 @@ MAX_LANGUAGES = 512
 SCRIPT_SHARE = 0.001
 SWITCH = 8.0
 UNKNOWN = "und"
+#: bytes of text at a time: a character's features take about fifty times its size
+SLICE = 1 << 20
 #: fixed values: first and last code point of the blocks of each script
 SCRIPTS = (
     ("latin", ((0x41, 0x5A), (0x61, 0x7A), (0xAA, 0xAA), (0xB5, 0xB5), (0xBA, 0xBA), (0xC0, 0x24F), (0x1E00, 0x1EFF))),
@@ -106,7 +108,7 @@ def train(labelled: DataFrame, text: str | Column = "text", lang: str | Column =
         for batch in batches:
             texts, names = as_large(batch.column(0)), pc.dictionary_encode(batch.column(1))
             codes, known = names.indices.to_numpy(zero_copy_only=False), names.dictionary.to_pylist()
-            for a, b in slices(texts):
+            for a, b in slices(texts, SLICE):
                 words = Words(texts[a:b])
                 if not len(words.codes):
                     continue
@@ -190,7 +192,7 @@ def _predict(model, switch: float, spans: bool):
     def run(texts: pa.Array) -> pa.Array:
         names, logs, allowed = model.value
         texts, langs, scores, found = as_large(texts), [], [], []
-        for a, b in slices(texts):
+        for a, b in slices(texts, SLICE):
             words = Words(texts[a:b])
             each, lettered = word_scores(words.distinct, logs, allowed)
             letter = lettered[words.codes]
