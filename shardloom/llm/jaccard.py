@@ -16,7 +16,7 @@ other.  Work is tiled so that no link is lost and no all-pairs join is made:
    ``(|A| + |B| - popcount(a xor b)) / 2``; only pairs that could reach the ratio are checked, by
    intersecting their sorted arrays.
 3. Connected components of those links.  Tiles that still hold more than one component are cut into
-   blocks of bounded size.  Within each pair of blocks the pairs across components pass the same bit
+   blocks of bounded size, in which members show a folded bitmap (a bound as well, if a looser one).  Within each pair of blocks the pairs across components pass the same bit
    count bound and exact check: in a first round the likeliest pair of each node, which joins most
    components that belong together (as in Boruvka's algorithm), then all pairs that are left.  Every pair that shares a tile is thereby joined by verified links or
    tested itself.
@@ -319,10 +319,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
 
     # bitmaps and one text of every node that has a candidate
     met = stars.select("node").union(stars.select("centre")).distinct()
-    (sketch.select(*KEY, "n_shingles", "node", "bits").join(met, "node", "left_semi").groupBy("node")
+    # (copies are aggregated before they are shuffled, so a large group of them is a row a task)
+    (sketch.filter("node is not null").groupBy("node")
      .agg(F.min(F.struct(*KEY)).alias("rep"), F.first("n_shingles").alias("size"), F.first("bits").alias("bits"))
-     .write.parquet(f"{folder}/met"))
-    met = spark.read.schema("node long, rep struct<_id: long, _null: int, _h: long>, size long, bits array<long>").parquet(f"{folder}/met")
+     .join(met, "node", "left_semi").withColumn("coarse", _coarse("bits", "size")).write.parquet(f"{folder}/met"))
+    met = spark.read.schema("node long, rep struct<_id: long, _null: int, _h: long>, size long, bits array<long>, "
+                            "coarse array<long>").parquet(f"{folder}/met")
 
     def side(name: str) -> DataFrame:
         return met.select(F.col("node").alias(name), F.col("size").alias(f"size_{name}"), F.col("bits").alias(f"bits_{name}"))
@@ -351,10 +353,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
                                     lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     total = F.col("size_u") + F.col("size_v")
     most = F.least("size_u", "size_v", F.floor((total - differ) / 2))
-    first = (stars.select(F.col("centre").alias("u"), F.col("node").alias("v")).distinct()
-             .join(side("u"), "u").join(side("v"), "v")
-             .filter(den * F.least("size_u", "size_v") >= num * F.greatest("size_u", "size_v"))
-             .filter(den * most >= num * (total - most)).select("u", "v"))
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        """Pairs that sizes and the bit counts of whole bitmaps leave possible."""
+        return (pairs.join(side("u"), "u").join(side("v"), "v")
+                .filter(den * F.least("size_u", "size_v") >= num * F.greatest("size_u", "size_v"))
+                .filter(den * most >= num * (total - most)).select("u", "v"))
+
+    first = possible(stars.select(F.col("centre").alias("u"), F.col("node").alias("v")).distinct())
     links = verified(first, "stars")
     labels = connected_components(links)
     labels.write.parquet(f"{folder}/labels")
@@ -370,12 +376,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
         blocks = member.join(split, "tile").select(
             "tile", "node", "label", F.pmod(F.xxhash64("node"), F.col("g")).alias("c"),
             F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("o"))
-        across = (blocks.join(met.select("node", "size", "bits"), "node")
+        # a node meets others in many tiles: there it shows a bitmap folded to two bits an element or so, and
+        # the pairs that this leaves possible meet their whole bitmaps afterwards
+        across = (blocks.join(met.select("node", "size", F.col("coarse").alias("bits")), "node")
                   .select(F.xxhash64("tile", F.least("c", "o"), F.greatest("c", "o")).alias("block"),
                           F.when(F.col("c") > F.col("o"), 1).otherwise(0).alias("side"), "node", "size", "label", "bits")
                   .repartition("block").sortWithinPartitions("block", "node")
                   .mapInArrow(_across(num, den, most_likely), "u long, v long").distinct())
-        links = links.union(verified(across, name))
+        links = links.union(verified(possible(across), name))
         labels = connected_components(links)
         labels.write.parquet(f"{folder}/labels-{name}")
         labels = spark.read.schema("node long, label long").parquet(f"{folder}/labels-{name}")
@@ -407,6 +415,13 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col:
             .filter("not _one or _copy = 1").select("row.*"))
 
 
+def _coarse(bits: str, size: str):
+    """A bitmap folded to 1.5 bits an element or more, eight words at least."""
+    words = f"cast(least(size({bits}), greatest(8, pow(2, ceil(log2(greatest({size}, 1) * 3 / 128.0))))) as int)"
+    return F.expr(f"transform(array({words}), w -> transform(sequence(0, w - 1), i -> aggregate("
+                  f"sequence(0, size({bits}) div w - 1), 0L, (s, j) -> s | {bits}[i + j * w])))[0]")
+
+
 def _folded(one: str, other: str):
     """``one`` at the length of the shorter of two bitmaps (lengths are powers of two)."""
     return F.expr(f"if(size({one}) <= size({other}), {one}, transform(sequence(0, size({other}) - 1), i -> aggregate("
