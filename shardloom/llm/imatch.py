@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ..operators.index import with_row_index
 from ..session import checkpoint_dir, scratch_path
-from .common import KEY, key_columns, release
+from .common import KEY, key_columns
 
 LOW, HIGH = 0.001, 0.02
 BROADCAST_TERMS = 1 << 20
@@ -190,14 +190,21 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                          F.expr("cast(n div 3 as int)").alias("need"))
     donor = order.select("at", *KEY).join(taker, "at").drop("at").checkpoint()
 
+    # both bands in one query, so the texts are shuffled once and that exchange is read again for the second band
     prints = edited_texts(base, donor)
     keep = [*KEY, "_copy", "n_chars", "_e", "edited_sha256"]
-    (_lexicon_terms(prints, terms.filter("not common") if wide is not None else terms, ["text", "edited"], keep)
-     .select(*keep, subset_hashes("sort_array(_t0)", "_h").alias("p"), subset_hashes("sort_array(_t1)", "_e").alias("e"),
-             (F.size("_t0") < FEW).alias("p_few"), (F.size("_t1") < FEW).alias("e_few"))
-     .write.parquet(f"{folder}/prints"))
-    rows = spark.read.schema("_id long, _null int, _h long, _copy int, n_chars long, _e long, edited_sha256 string, "
-                             "p array<int>, e array<int>, p_few boolean, e_few boolean").parquet(f"{folder}/prints")
+    out = (_lexicon_terms(prints, terms.filter("not common") if wide is not None else terms, ["text", "edited"], keep)
+           .select(*keep, subset_hashes("sort_array(_t0)", "_h").alias("p"), subset_hashes("sort_array(_t1)", "_e").alias("e"),
+                   (F.size("_t0") < FEW).alias("p_few"), (F.size("_t1") < FEW).alias("e_few"), F.lit(1).alias("band")))
+    if wide is not None:
+        second = _wide_hashes(terms)
+        out = out.unionByName(prints.filter("_copy = 1").select(*KEY, second("text", "_h").alias("pw"), second("edited", "_e").alias("ew"),
+                                                                F.lit(2).alias("band")), allowMissingColumns=True)
+    out.write.partitionBy("band").parquet(f"{folder}/prints")
+    kinds = "_id long, _null int, _h long, _copy int, n_chars long, _e long, edited_sha256 string, p array<int>, e array<int>, p_few boolean, e_few boolean"
+    more = ", pw array<int>, ew array<int>" if wide is not None else ""
+    written = spark.read.schema(f"{kinds}{more}, band int").parquet(f"{folder}/prints")
+    rows = written.filter("band = 1").select(*keep, "p", "e", "p_few", "e_few")
     to = [F.col(f"to{k}").alias(k) for k in KEY]
     following = (rows.filter("_copy = 1").select(*KEY, F.col("p").alias("q"), F.col("p_few").alias("q_few"))
                  .join(donor.drop("need"), KEY))
@@ -206,13 +213,7 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             *_edit_columns(), printed("p").alias("fingerprint"), printed("e").alias("edited_fingerprint"),
             likeness("p", "e").alias("near_edited"), likeness("p", "q").alias("near_next"))
 
-    # the second band: the texts meet their beginnings once more, when the files of the first time are gone
-    del prints
-    release(spark)
-    second = _wide_hashes(terms)
-    (edited_texts(base, donor).filter("_copy = 1")
-     .select(*KEY, second("text", "_h").alias("pw"), second("edited", "_e").alias("ew")).write.parquet(f"{folder}/wide"))
-    both = spark.read.schema("_id long, _null int, _h long, pw array<int>, ew array<int>").parquet(f"{folder}/wide")
+    both = written.filter("band = 2").select(*KEY, "pw", "ew")
     following = following.join(both.select(*KEY, F.col("pw").alias("qw")), KEY).select(*to, "q", "q_few", "qw")
 
     def near(x: str) -> Column:
