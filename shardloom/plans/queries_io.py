@@ -254,3 +254,25 @@ def export_shards_exact_manifest(spark, sf):
     """S7 with fewer, larger shards: three parts rolled at 40,960 bytes."""
     p = scratch_path(spark, "shards-exact")
     return S.export_shards(_encoded_sentences(spark, sf), p, SHARD_COLUMNS, "idx", parts=3, size_limit=5 * SHARD_LIMIT)
+
+
+@register("read_shard_positions", sql=_duck_rolled(f"""
+with {FX.DUCK["fx_sentences"]},
+rows as (select idx, sentence, label, octet_length(encode(sentence)) + 16 as row_bytes, '' as digest
+         from fx_sentences)""", 4, TEXT_LIMIT).replace("man as (", "unused as (") + """
+, man as (select part, shard, count(*) as n,
+                 sum(count(*)) over (order by part, shard) - count(*) as start from sh group by part, shard),
+asked as (select cast(o_orderkey % (select count(*) from sh) as bigint) as position from orders)
+select a.position, s.part, s.shard, cast(a.position - m.start as bigint) as "offset",
+       s.idx, s.sentence, s.label
+from asked a
+join (select *, row_number() over (order by part, shard, idx) - 1 as pos from sh) s on s.pos = a.position
+join man m on m.part = s.part and m.shard = s.shard
+""")
+def read_shard_positions(spark, sf):
+    """Samples read by position, one for every order, whose key picks it."""
+    p = scratch_path(spark, "text-shards")
+    man = S.export_shards(FX.sentences(spark, sf), p, TEXT_COLUMNS, "idx", parts=4, size_limit=TEXT_LIMIT)
+    n = man.agg(F.sum("rows")).first()[0]
+    asked = table(spark, sf, "orders").select((F.col("o_orderkey") % F.lit(n)).alias("position"))
+    return S.read_positions(spark, p, asked)

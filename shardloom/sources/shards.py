@@ -10,9 +10,10 @@ on (key, bytes) rows only; samples are moved once, to their shard.  A sample
 counts one byte at least, so a shard's rows are bounded too.
 
 Every shard is a zstd parquet file under ``part=P/shard=S``.  Its manifest
-row, taken from the written files, holds the row count, bytes, start offset
-and a hash: the sums (mod 2^32) of the five words of the rows' sha1, which
-partial aggregation can build in any order.
+row, aggregated from the rows that were placed and not read back from the
+files, holds the row count, bytes, start offset and a hash: the sums (mod
+2^32) of the five words of the rows' sha1, which partial aggregation can
+build in any order.  ``verify_export`` is the pass that reads the files.
 """
 
 from __future__ import annotations
@@ -114,7 +115,13 @@ def assign_shards(df: DataFrame, columns: dict[str, str], key: Sequence[str] | s
     key order (B3), shards within a part numbered from 0 by the sequential
     writer's rule.  ``key`` must identify a row."""
     keys = [key] if isinstance(key, str) else list(key)
-    narrow = df.select(*keys, row_bytes(columns, df.schema).alias("row_bytes"))
+    return _placed(df.select(*keys, row_bytes(columns, df.schema).alias("row_bytes")), keys, parts, size_limit,
+                   num_partitions, part_bytes)
+
+
+def _placed(narrow: DataFrame, keys: Sequence[str], parts: int | None, size_limit: int, num_partitions: int | None,
+            part_bytes: int) -> DataFrame:
+    """``narrow`` (keys, row_bytes, further columns) with each row's part and shard."""
     if parts is None:
         total = narrow.agg(F.sum("row_bytes")).first()[0] or 0
         parts = max(1, -(-total // part_bytes))
@@ -137,28 +144,42 @@ def export_shards(df: DataFrame, path: str, columns: dict[str, str], key: Sequen
     """Write shards and their merged manifest (under ``path/_index``);
     returns the manifest read back from storage.  ``mode=overwrite``
     replaces only this export's own folder."""
+    spark = df.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
-    placed = assign_shards(df, columns, keys, parts, size_limit, num_partitions, part_bytes).checkpoint()
-    _no_repeated_keys(placed, keys)
     extra = [k for k in keys if k not in columns]
+    typed = df.select(*conform_columns(columns), *extra)
+    # the digest and the stored size of the written types travel with the key, so the manifest needs no second read
+    facts = df.select(*keys, row_bytes(columns, df.schema).alias("row_bytes"),
+                      F.struct(*conform_columns(columns)).alias("_typed"))
+    inner = [F.col(f"_typed.{c}").alias(c) for c in columns]
+    outer = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
+    facts = (facts.select(*outer, "row_bytes", *inner)
+             .select(*[f"_key{i}" for i in range(len(keys))], "row_bytes",
+                     row_bytes(columns, typed.schema).alias("_bytes"), row_digest(columns).alias("_digest")))
+    renamed = {f"_key{i}": k for i, k in enumerate(keys)}
+    placed = _placed(facts.withColumnsRenamed(renamed), keys, parts, size_limit, num_partitions, part_bytes).checkpoint()
+    _no_repeated_keys(placed, keys)
     sized = placed.select(*keys, "part", "shard")
-    typed = df.join(sized, keys).select(*conform_columns(columns), *extra, "part", "shard")
-    (typed.repartition("part", "shard").sortWithinPartitions("part", "shard", *keys)
+    (df.join(sized, keys).select(*conform_columns(columns), *extra, "part", "shard")
+     .repartition("part", "shard").sortWithinPartitions("part", "shard", *keys)
      .write.mode("overwrite").option("compression", compression)
      .option("parquet.compression.codec.zstd.level", str(level))
      .partitionBy("part", "shard").parquet(path))
-    manifest = merge_manifest([_scan(df.sparkSession, path, columns)])
-    idx = f"{path.rstrip('/')}/{INDEX_DIR}"
-    manifest.write.mode("overwrite").json(idx)
-    return read_manifest(df.sparkSession, path)
+    manifest = merge_manifest([_shard_facts(placed)])
+    manifest.write.mode("overwrite").json(f"{path.rstrip('/')}/{INDEX_DIR}")
+    return read_manifest(spark, path)
+
+
+def _shard_facts(rows: DataFrame) -> DataFrame:
+    """Rows, bytes and hash of every shard from (part, shard, _bytes, _digest)."""
+    return rows.groupBy("part", "shard").agg(F.count(F.lit(1)).alias("rows"), F.sum("_bytes").cast("bigint").alias("bytes"),
+                                             combined_digest().alias("hash"))
 
 
 def _scan(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
     """Rows, bytes and hash of every shard, from its file."""
     back = spark.read.parquet(path)
-    return (back.withColumn("_digest", row_digest(columns)).withColumn("_bytes", row_bytes(columns, back.schema))
-            .groupBy("part", "shard").agg(F.count(F.lit(1)).alias("rows"), F.sum("_bytes").cast("bigint").alias("bytes"),
-                                          combined_digest().alias("hash")))
+    return _shard_facts(back.withColumn("_digest", row_digest(columns)).withColumn("_bytes", row_bytes(columns, back.schema)))
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -203,6 +224,50 @@ def verify_export(spark: SparkSession, path: str, columns: dict[str, str], sourc
         (F.min("n") == F.max("n")).alias("rows_ok"), (F.min("h") == F.max("h")).alias("hash_ok")))
 
 
+def locate_positions(manifest: DataFrame, positions: DataFrame, name: str = "position") -> DataFrame:
+    """``(position, part, shard, offset)`` for every asked 0-based position of the whole export.
+
+    The interval search is an equi-join: positions and shards meet in blocks as wide as the average shard, so a shard
+    lies in two blocks on average and a position meets the few shards of its block.  A position asked twice comes
+    twice; null, negative and too large positions are in no shard and come back with null part, shard and offset."""
+    size = manifest.agg(F.sum("rows").alias("n"), F.count(F.lit(1)).alias("k")).first()
+    width = max(1, (size["n"] or 0) // max(1, size["k"]))
+    first, last = (F.floor(c / F.lit(width)).cast("bigint") for c in (F.col("start"), F.col("start") + F.col("rows") - 1))
+    spans = (manifest.filter("rows > 0").select("part", "shard", "start", "rows", F.explode(F.sequence(first, last)).alias("_block")))
+    asked = positions.select(F.col(name).cast("bigint").alias("_position"))
+    asked = asked.withColumn("_block", F.floor(F.col("_position") / F.lit(width)).cast("bigint"))
+    inside = ((asked["_block"] == spans["_block"]) & (F.col("_position") >= F.col("start"))
+              & (F.col("_position") < F.col("start") + F.col("rows")))
+    return asked.join(spans, inside, "left").select(F.col("_position").alias(name), "part", "shard",
+                                                    (F.col("_position") - F.col("start")).alias("offset"))
+
+
+def read_positions(spark: SparkSession, path: str, positions: DataFrame, name: str = "position",
+                   columns: Sequence[str] | None = None, most_listed: int = 10_000) -> DataFrame:
+    """The samples at the asked positions, as ``(position, part, shard, offset, sample columns)``.
+
+    A sample's place in its shard is the row index that the file itself gives, so a file may be split between tasks.
+    Up to ``most_listed`` shards are named to the reader, which then lists and opens only their folders; a request
+    that touches more reads the export and leaves the pruning of shards to the join.  Positions outside the export
+    give no row; ask ``locate_positions`` for them."""
+    places = locate_positions(read_manifest(spark, path), positions, name).filter("shard is not null").checkpoint()
+    needed = places.select("part", "shard").distinct()
+    listed = needed.limit(most_listed + 1).collect()
+    base = path.rstrip("/")
+    if not listed:
+        schema = spark.read.parquet(base).schema
+        files = spark.createDataFrame([], schema).withColumn("_offset", F.lit(0).cast("bigint"))
+    else:
+        folders = [f"{base}/part={r['part']}/shard={r['shard']}" for r in listed] if len(listed) <= most_listed else [base]
+        files = spark.read.option("basePath", base).parquet(*folders).select("*", F.col("_metadata.row_index").alias("_offset"))
+    samples = [c for c in (columns or files.columns) if c not in ("part", "shard", "_offset")]
+    taken = files.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(samples)], F.col("part").alias("_part"),
+                         F.col("shard").alias("_shard"), "_offset")
+    on = ((F.col("part") == F.col("_part")) & (F.col("shard") == F.col("_shard")) & (F.col("offset") == F.col("_offset")))
+    return places.join(taken, on).select(name, "part", "shard", "offset",
+                                         *[F.col(f"_s{i}").alias(c) for i, c in enumerate(samples)])
+
+
 def sample_shards(spark: SparkSession, path: str, columns: dict[str, str], key: str, n: int = 5) -> DataFrame:
     """S9 display: the first ``n`` samples in (part, shard, key) order with
     each array column's length and element type."""

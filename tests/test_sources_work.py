@@ -206,3 +206,40 @@ def test_rounds_go_on_after_the_cap_and_failures_are_recorded(spark):
     rows = {r["id"]: r for r in state.collect()}
     assert rows[1]["status"] == 0 and rows[1]["attempts"] == 3
     assert rows[2]["status"] == WQ.FAILED and rows[2]["error"] == "OSError: no such host"
+
+
+def test_samples_are_read_by_position(spark):
+    p = scratch_path(spark, "test-shards")
+    man = S.export_shards(_encoded(spark, 200), p, COLS, "idx", parts=3, size_limit=1100)
+    written = {(r["part"], r["shard"]): r for r in man.collect()}
+    full = [r["idx"] for r in spark.read.parquet(p).orderBy("part", "shard", "idx").collect()]
+    wanted = [0, 199, 57, 57, 10, 11, 120, -1, 200, None]
+    asked = spark.createDataFrame([(w,) for w in wanted], "position long")
+    got = S.read_positions(spark, p, asked).collect()
+    assert sorted(r["position"] for r in got) == sorted([0, 199, 57, 57, 10, 11, 120])
+    for r in got:
+        assert r["idx"] == full[r["position"]] and r["input_ids"] == [r["idx"]] * 8
+        assert r["position"] == written[r["part"], r["shard"]]["start"] + r["offset"]
+    outside = S.locate_positions(man, asked).filter("shard is null").collect()
+    assert sorted((r["position"] is None, r["position"] or 0) for r in outside) == [(False, -1), (False, 200), (True, 0)]
+    everything = S.read_positions(spark, p, spark.range(200).withColumnRenamed("id", "position"), most_listed=3)
+    assert [r["idx"] for r in everything.orderBy("position").collect()] == full
+
+
+def test_a_positional_read_opens_the_needed_shards_only(spark):
+    p = scratch_path(spark, "test-shards")
+    S.export_shards(_encoded(spark, 200), p, COLS, "idx", parts=3, size_limit=1100)
+    got = S.read_positions(spark, p, spark.createDataFrame([(0,), (3,)], "position long"), columns=["label"])
+    assert got.columns == ["position", "part", "shard", "offset", "label"] and got.count() == 2
+    files = [f for f in got.inputFiles() if "/part=" in f]
+    assert len(files) == 1 and "/part=0/shard=0/" in files[0]
+    assert S.read_positions(spark, p, spark.createDataFrame([(999,)], "position long")).count() == 0
+
+
+def test_the_manifest_is_that_of_the_files(spark):
+    p = scratch_path(spark, "test-shards")
+    src = _encoded(spark, 50).withColumn("label", F.col("label").cast("long"))  # written as int32
+    man = S.export_shards(src, p, COLS, "idx", parts=2, size_limit=700)
+    read = S._scan(spark, p, COLS)
+    columns = ["part", "shard", "rows", "bytes", "hash"]
+    assert sorted(map(tuple, man.select(columns).collect())) == sorted(map(tuple, read.select(columns).collect()))
