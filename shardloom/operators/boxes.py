@@ -144,6 +144,58 @@ def augment_plan(df: DataFrame, key: str = "image_id", probs: dict[str, float] |
     return out
 
 
+def _corner_draw(key: str, i: int, seed: int) -> Column:
+    """The ``i``-th fraction in [0, 1) of an image: 52 bits of the md5 of (key, name, i, seed)."""
+    drawn = F.concat_ws("|", F.col(key).cast("string"), F.lit("perspective_corner"), F.lit(str(i)), F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(drawn), 1, 13), 16, 10).cast("bigint").cast("double") / F.lit(float(1 << 52))
+
+
+def perspective_boxes(df: DataFrame, key: str = "image_id", flag_col: str | None = None, strength: float = 0.1,
+                      seed: int = 0, min_area: float | None = None) -> DataFrame:
+    """The geometry of the perspective augmentation on corner+size boxes.
+
+    Each image's four corners move inwards by reproducible draws below ``strength`` (of width and height; under 0.5,
+    so that the quadrilateral stays convex).  The homography that takes the image to it maps the corners of each box,
+    cut to the image before, and the box becomes their bounding box.  With ``flag_col`` only rows whose flag is true
+    move.  Strength 0 changes nothing but the cut.  Boxes without area, or below ``min_area``, follow X4: they are
+    dropped only if ``min_area`` is given."""
+    if not 0 <= strength < 0.5:
+        raise ValueError("strength must be at least 0 and below 0.5")
+    c = F.col
+    d = [c(f"_d{i}") for i in range(8)]
+    out = clip_boxes(df, None)
+    if "area" not in df.columns:
+        out = out.drop("area")
+    columns = out.columns
+    out = out.withColumns({f"_d{i}": _corner_draw(key, i, seed) * F.lit(float(strength)) for i in range(8)})
+    # targets of the unit square's corners (0, 0), (1, 0), (1, 1), (0, 1)
+    xs, ys = [d[0], 1.0 - d[2], 1.0 - d[4], d[6]], [d[1], d[3], 1.0 - d[5], 1.0 - d[7]]
+    out = out.withColumns({**{f"_px{i}": x for i, x in enumerate(xs)}, **{f"_py{i}": y for i, y in enumerate(ys)}})
+    px, py = [c(f"_px{i}") for i in range(4)], [c(f"_py{i}") for i in range(4)]
+    out = out.withColumns({"_sx": px[0] - px[1] + px[2] - px[3], "_sy": py[0] - py[1] + py[2] - py[3],
+                           "_ax": px[1] - px[2], "_ay": py[1] - py[2], "_bx": px[3] - px[2], "_by": py[3] - py[2]})
+    det = c("_ax") * c("_by") - c("_bx") * c("_ay")
+    out = out.withColumns({"_g": (c("_sx") * c("_by") - c("_bx") * c("_sy")) / det,
+                           "_h": (c("_ax") * c("_sy") - c("_sx") * c("_ay")) / det})
+    W, H = c("width").cast("double"), c("height").cast("double")
+    mapped = {}
+    for name, u, v in (("0", c("x"), c("y")), ("1", c("x") + c("w"), c("y")), ("2", c("x") + c("w"), c("y") + c("h")),
+                       ("3", c("x"), c("y") + c("h"))):
+        u, v = u / W, v / H
+        below = c("_g") * u + c("_h") * v + 1.0
+        mapped[f"_mx{name}"] = ((px[1] - px[0] + c("_g") * px[1]) * u + (px[3] - px[0] + c("_h") * px[3]) * v + px[0]) / below * W
+        mapped[f"_my{name}"] = ((py[1] - py[0] + c("_g") * py[1]) * u + (py[3] - py[0] + c("_h") * py[3]) * v + py[0]) / below * H
+    out = out.withColumns(mapped)
+    mx, my = [c(f"_mx{i}") for i in range(4)], [c(f"_my{i}") for i in range(4)]
+    moved = {"x": F.least(*mx), "y": F.least(*my), "w": F.greatest(*mx) - F.least(*mx), "h": F.greatest(*my) - F.least(*my)}
+    if flag_col:
+        moved = {k: F.when(c(flag_col), v).otherwise(c(k)) for k, v in moved.items()}
+    if "area" in columns:
+        moved["area"] = moved["w"] * moved["h"]
+    out = out.withColumns(moved).select(*columns)
+    return out if min_area is None else clip_boxes(out, min_area).select(*columns)
+
+
 def with_class_name(df: DataFrame, classes: DataFrame, id_col: str = "category",
                     class_id: str = "category_id", class_name: str = "category_name") -> DataFrame:
     """Attach class names (the class list is bounded by the number of

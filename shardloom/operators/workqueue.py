@@ -25,7 +25,7 @@ import json
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,9 @@ StatusFn = Callable[..., Column]
 # status of a row whose function raised
 FAILED = -1
 
+# seconds before a row of this status is tried again (doubled with every attempt); any other failure is final
+RETRY_SECONDS = {FAILED: 60, 408: 30, 429: 300, 500: 60, 502: 30, 503: 60, 504: 60}
+
 _URL_PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
 _URL_QUERY = r"^[^?#]*\?([^#]*)"
 
@@ -211,6 +214,79 @@ def skip_existing(df: DataFrame, listing: DataFrame, on: str = "target", listing
     return df.join(right, on, "left_anti")
 
 
+def host_of(url: str | Column) -> Column:
+    """Lower-case host (with its port) of an address; empty if it has none."""
+    u = F.col(url) if isinstance(url, str) else url
+    return F.lower(F.regexp_extract(u, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
+
+
+def with_next_try(df: DataFrame, retry: dict[int, int] | None = None, longest: int = 86_400) -> DataFrame:
+    """Add ``final`` and ``next_try`` (unix seconds) from ``status``, ``attempts`` and ``last_try`` (unix seconds).
+
+    A row never tried (null status) is due at once (0); a done row (0) and a failure outside ``retry`` are final and
+    have no next try; the others wait the seconds of their status, doubled with every attempt, ``longest`` at most."""
+    retry = RETRY_SECONDS if retry is None else retry
+    wait = F.lit(None).cast("bigint")
+    for status, seconds in retry.items():
+        wait = F.when(F.col("status") == status, F.lit(int(seconds)).cast("bigint")).otherwise(wait)
+    doubled = F.least(wait * F.pow(F.lit(2.0), F.least(F.greatest(F.col("attempts") - 1, F.lit(0)), F.lit(30))),
+                      F.lit(float(longest))).cast("bigint")
+    return (df.withColumn("final", F.col("status").isNotNull() & wait.isNull())
+            .withColumn("next_try", F.when(F.col("status").isNull(), F.lit(0).cast("bigint"))
+                        .when(wait.isNotNull(), F.coalesce("last_try", F.lit(0).cast("bigint")) + doubled)))
+
+
+def due_rows(df: DataFrame, now: int, key: str, per_host: int | None = None, host: str = "host",
+             retry: dict[int, int] | None = None, longest: int = 86_400) -> DataFrame:
+    """The rows to try at ``now`` (unix seconds), longest due first and at most ``per_host`` of each host (a null
+    host is a host), ties by ``key``.  The bound is a row number below a constant, which is cut inside each task before
+    the shuffle, so a host with a third of all rows sends ``per_host`` rows a task."""
+    out = with_next_try(df, retry, longest).filter(~F.col("final") & (F.col("next_try") <= F.lit(int(now))))
+    if per_host is not None:
+        w = Window.partitionBy(host).orderBy("next_try", key)
+        out = out.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= int(per_host)).drop("_n")
+    return out
+
+
+def run_due_round(spark: SparkSession, state_path: str, fn: StatusFn, input_cols: Sequence[str], now: int, key: str,
+                  per_host: int | None = None, host: str = "host", retry: dict[int, int] | None = None,
+                  longest: int = 86_400) -> tuple[int, int]:
+    """W3 with W6: a round at ``now`` that tries the due rows only; returns (generation, rows tried).
+
+    The state's rows need a ``last_try`` column (null at first) and a ``key`` that identifies them.  Rows that wait,
+    and final failures, go to the new generation as they are; done rows are neither read nor written.  The function's
+    ``attempt`` is the row's own.  With nothing due no generation is written."""
+    g, parts = _pointer(spark, state_path)
+    todo = pending(_read(spark, state_path, [f"gen={g:06d}"]))
+    chosen = due_rows(todo, now, key, per_host, host, retry, longest).drop("final", "next_try")
+    attempt = F.col("attempts") + 1
+    tried = chosen.withColumn("_r", fn(*[F.col(c) for c in input_cols], attempt))
+    told = isinstance(tried.schema["_r"].dataType, T.StructType)
+    tried = (tried.withColumn("status", (F.col("_r.status") if told else F.col("_r")).cast("int"))
+             .withColumn("error", F.col("_r.error") if told else F.lit(None).cast("string"))
+             .withColumn("attempts", attempt).withColumn("last_try", F.lit(int(now)).cast("bigint")).drop("_r"))
+    name = f"gen={g + 1:06d}"
+    folder = _gen_dir(state_path, g + 1)
+    tried.write.mode("overwrite").parquet(folder)
+    written = spark.read.schema(tried.schema).parquet(folder)  # what was tried is what was written
+    counts = written.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("status") == 0, 1)).alias("done")).first()
+    if not counts["n"]:
+        return g, 0
+    waiting = todo.join(written.select(key).checkpoint(), key, "left_anti").select(*todo.columns)
+    waiting.write.mode("append").parquet(folder)
+    _commit(spark, state_path, g + 1, [*parts, {"path": name, "rows": counts["done"]}])
+    return g + 1, counts["n"]
+
+
+def skip_fresh(df: DataFrame, listing: DataFrame, on: str = "target", size: str = "bytes", time: str = "modified") -> DataFrame:
+    """W6 with freshness: drop rows whose copy in ``listing`` (``on``, ``size``, ``time``) has their size and is not
+    older than they are; a row or copy without size or time is not fresh.  Of several copies one fresh one is enough."""
+    copies = listing.filter(F.col(size).isNotNull()).groupBy(F.col(on).alias("_on"), F.col(size).alias("_size")).agg(
+        F.max(time).alias("_time"))
+    fresh = (df[on] == copies["_on"]) & (df[size] == copies["_size"]) & (copies["_time"] >= df[time])
+    return df.join(copies, fresh, "left_anti")
+
+
 def row_function(pyfunc: Callable[[str, int], int]) -> StatusFn:
     """Wrap a per-row Python function ``f(value, attempt) -> int`` (a
     download, a copy) as an Arrow-batched, non-deterministic column

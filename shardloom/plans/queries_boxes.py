@@ -153,6 +153,49 @@ def augment_plan_images(spark, sf):
     return X.augment_plan(FX.images(spark, sf).select("image_id"), "image_id")
 
 
+_DUCK_DRAWS = ", ".join(
+    f"cast(('0x' || substr(md5(concat_ws('|', cast(image_id as varchar), 'perspective_corner', '{i}', '0')), 1, 13))::BIGINT "
+    f"as double) / 4503599627370496::double * 0.1::double as d{i}" for i in range(8))
+
+
+def _duck_mapped(axis: str, u: str, v: str) -> str:
+    p, size = f"p{axis}", {"x": "width", "y": "height"}[axis]
+    return (f"(({p}1 - {p}0 + g * {p}1) * ({u} / width::double) + ({p}3 - {p}0 + hh * {p}3) * ({v} / height::double) + {p}0) "
+            f"/ (g * ({u} / width::double) + hh * ({v} / height::double) + 1::double) * {size}::double")
+
+
+_DUCK_CORNERS = ", ".join(f"{_duck_mapped(axis, u, v)} as m{axis}{i}" for axis in "xy" for i, (u, v) in enumerate(
+    [("cx", "cy"), ("(cx + cw)", "cy"), ("(cx + cw)", "(cy + ch)"), ("cx", "(cy + ch)")]))
+
+
+@register("perspective_boxes_planned", sql=W("fx_objects") + f""",
+cut as (
+  select *, greatest(x, 0.0) as cx, greatest(y, 0.0) as cy,
+         greatest(least(x + w, width::double) - greatest(x, 0.0), 0.0) as cw,
+         greatest(least(y + h, height::double) - greatest(y, 0.0), 0.0) as ch from fx_objects),
+drawn as (select *, {_DUCK_DRAWS} from cut),
+quad as (select *, d0 as px0, 1::double - d2 as px1, 1::double - d4 as px2, d6 as px3,
+                d1 as py0, d3 as py1, 1::double - d5 as py2, 1::double - d7 as py3 from drawn),
+sums as (select *, px0 - px1 + px2 - px3 as sx, py0 - py1 + py2 - py3 as sy, px1 - px2 as ax, py1 - py2 as ay,
+                px3 - px2 as bx, py3 - py2 as "by" from quad),
+hom as (select *, (sx * "by" - bx * sy) / (ax * "by" - bx * ay) as g, (ax * sy - sx * ay) / (ax * "by" - bx * ay) as hh from sums),
+mapped as (select *, {_DUCK_CORNERS} from hom),
+moved as (
+  select image_id, bbox_id, category % 2 = 0 as moved, width, height,
+         case when category % 2 = 0 then least(mx0, mx1, mx2, mx3) else cx end as x,
+         case when category % 2 = 0 then least(my0, my1, my2, my3) else cy end as y,
+         case when category % 2 = 0 then greatest(mx0, mx1, mx2, mx3) - least(mx0, mx1, mx2, mx3) else cw end as w,
+         case when category % 2 = 0 then greatest(my0, my1, my2, my3) - least(my0, my1, my2, my3) else ch end as h
+  from mapped)
+select image_id, bbox_id, moved, round(x, 4) as x, round(y, 4) as y, round(w, 4) as w, round(h, 4) as h from moved
+""")
+def perspective_boxes_planned(spark, sf):
+    """Boxes of even categories under their image's perspective, the others cut to the image only."""
+    o = FX.objects(spark, sf).withColumn("moved", F.col("category") % 2 == 0)
+    m = X.perspective_boxes(o, "image_id", "moved", 0.1)
+    return m.select("image_id", "bbox_id", "moved", *[F.round(k, 4).alias(k) for k in ("x", "y", "w", "h")])
+
+
 @register("boxes_with_class_names", sql=W("fx_objects", "fx_classes") + """
 select o.image_id, o.bbox_id, c.category_name, c.category_id
 from fx_objects o left join fx_classes c on o.category = c.category_id

@@ -10,7 +10,7 @@ from ..operators import workqueue as WQ
 from ..session import scratch_path
 from ..sources import fs
 from . import fixtures as FX
-from .registry import register
+from .registry import register, table
 
 MAX_ROUNDS = 4
 
@@ -170,3 +170,65 @@ def work_cleanup(spark, sf):
         removed = WQ.cleanup(spark, path, created=True)
         out.append((name, removed, fs.exists(spark, path), n))
     return spark.createDataFrame(out, "state string, removed boolean, still_there boolean, pending bigint")
+
+
+CLOCK = 10_000
+HOST_LIMIT = 5
+
+
+@register("work_due_schedule", sql=f"""
+with st as (
+  select page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) as host,
+         case page_id % 6 when 0 then null when 1 then 0 when 2 then 503 when 3 then 404 when 4 then 429 else -1 end as status,
+         page_id % 5 as attempts, {CLOCK} - (page_id * 37) % 4000 as last_try from pages),
+w as (select *, case status when -1 then 60 when 429 then 300 when 503 then 60 end as base from st),
+n as (select *, case when status is null then 0
+                     when base is not null then last_try + least(base * power(2, greatest(attempts - 1, 0)), 86400)::bigint
+                end as next_try from w),
+r as (select *, row_number() over (partition by host order by next_try, page_id) as k from n
+      where next_try <= {CLOCK})
+select page_id, host, status, cast(next_try as bigint) as next_try from r where k <= {HOST_LIMIT}
+""")
+def work_due_schedule(spark, sf):
+    """The addresses due at a fixed clock, by status class and attempts, five a host at most."""
+    p = F.col("page_id")
+    status = (F.when(p % 6 == 1, 0).when(p % 6 == 2, 503).when(p % 6 == 3, 404).when(p % 6 == 4, 429).when(p % 6 == 5, -1))
+    st = FX.urls(spark, sf).select("page_id", WQ.host_of("url").alias("host"), status.alias("status"),
+                                   (p % 5).cast("int").alias("attempts"), (F.lit(CLOCK) - (p * 37) % 4000).alias("last_try"))
+    return WQ.due_rows(st, CLOCK, "page_id", HOST_LIMIT).select("page_id", "host", "status", "next_try")
+
+
+@register("work_due_rounds", sql="""
+select page_id, case when page_id % 4 = 1 then 404 else 0 end as status,
+       case when page_id % 8 = 0 then 3 when page_id % 4 = 0 then 2 else 1 end as attempts,
+       cast(case when page_id % 8 = 0 then 180 when page_id % 4 = 0 then 60 else 0 end as bigint) as last_try
+from pages
+""")
+def work_due_rounds(spark, sf):
+    """W3 with W6: rounds at 0, 30, 60, 120 and 180 seconds.  404 is final; 503 waits 60 seconds, then 120."""
+    def visit(page_id, attempt):
+        return (F.when((page_id % 4 == 0) & (attempt == 1), 503).when((page_id % 8 == 0) & (attempt == 2), 503)
+                .when(page_id % 4 == 1, 404).otherwise(0))
+
+    state_path = scratch_path(spark, "work-state")
+    rows = FX.urls(spark, sf).select("page_id", F.lit(None).cast("bigint").alias("last_try"))
+    WQ.init_state(rows, state_path)
+    for now in (0, 30, 60, 120, 180):
+        WQ.run_due_round(spark, state_path, visit, ["page_id"], now, "page_id")
+    return WQ.read_state(spark, state_path).select("page_id", "status", "attempts", "last_try")
+
+
+@register("skip_fresh_targets", sql="""
+select page_id, octet_length(encode(coalesce(html, ''))) as bytes from pages
+where not (page_id % 3 = 0 or page_id % 5 = 0)
+""")
+def skip_fresh_targets(spark, sf):
+    """W6 with freshness: pages whose copy is missing, of another size or older stay."""
+    pages = table(spark, sf, "pages").select("page_id", F.octet_length(F.coalesce("html", F.lit(""))).cast("bigint").alias("bytes"),
+                                             F.lit(1000).alias("modified"))
+    p = F.col("page_id")
+    copies = pages.filter((p % 3 == 0) | (p % 5 == 0) | (p % 7 == 0)).select(
+        "page_id", F.when((p % 3 == 0) | (p % 5 == 0), F.col("bytes")).otherwise(F.col("bytes") + 1).alias("bytes"),
+        F.lit(1000).alias("modified"))
+    older = pages.filter(p % 11 == 0).select("page_id", "bytes", F.lit(999).alias("modified"))
+    return WQ.skip_fresh(pages, copies.unionByName(older), "page_id").select("page_id", "bytes")

@@ -61,6 +61,42 @@ def test_corners_scale_only_normalised(spark):
     assert r[1] == (20, 20, 120, 45) and r[2] == (10, 5, 14, 6)
 
 
+def test_perspective_is_the_homography_of_the_drawn_corners(spark):
+    rng = random.Random(5)
+    rows = [(i % 7, i, rng.uniform(0, 60), rng.uniform(0, 40), rng.uniform(0, 39), rng.uniform(0, 39), 100, 80) for i in range(60)]
+    df = spark.createDataFrame(rows, BOX_SCHEMA)
+    draws = {r["image_id"]: [r[f"d{i}"] for i in range(8)] for r in df.select("image_id", *[
+        X._corner_draw("image_id", i, 3).alias(f"d{i}") for i in range(8)]).collect()}
+    assert len({tuple(d) for d in draws.values()}) == 7
+    got = {r["bbox_id"]: r for r in X.perspective_boxes(df, strength=0.2, seed=3).collect()}
+    for image, box, x, y, w, h, width, height in rows:
+        d = [0.2 * v for v in draws[image]]
+        target = [(d[0], d[1]), (1 - d[2], d[3]), (1 - d[4], 1 - d[5]), (d[6], 1 - d[7])]
+        eqs, rhs = [], []
+        for (u, v), (tx, ty) in zip([(0, 0), (1, 0), (1, 1), (0, 1)], target):
+            eqs += [[u, v, 1, 0, 0, 0, -tx * u, -tx * v], [0, 0, 0, u, v, 1, -ty * u, -ty * v]]
+            rhs += [tx, ty]
+        m = np.append(np.linalg.solve(np.array(eqs, float), rhs), 1).reshape(3, 3)
+        ends = [m @ [a / width, b / height, 1] for a in (x, x + w) for b in (y, y + h)]
+        px, py = [e[0] / e[2] * width for e in ends], [e[1] / e[2] * height for e in ends]
+        r = got[box]
+        assert [r["x"], r["y"], r["w"], r["h"]] == pytest.approx(
+            [min(px), min(py), max(px) - min(px), max(py) - min(py)], abs=1e-9)
+
+
+def test_perspective_of_no_strength_or_flag_changes_nothing(spark):
+    df = spark.createDataFrame([(1, 1, 10.0, 5.0, 30.0, 20.0, 100, 80), (2, 2, -5.0, 0.0, 10.0, 6.0, 100, 80),
+                                (3, 3, None, 5.0, 30.0, 20.0, 100, 80)], BOX_SCHEMA)
+    flat = {r["bbox_id"]: r for r in X.perspective_boxes(df, strength=0.0).collect()}
+    assert [flat[1][k] for k in "xywh"] == pytest.approx([10, 5, 30, 20])
+    assert [flat[2][k] for k in "xywh"] == pytest.approx([0, 0, 5, 6])
+    unflagged = X.perspective_boxes(df.withColumn("f", F.lit(None).cast("boolean")), flag_col="f", strength=0.3)
+    assert [unflagged.filter("bbox_id = 1").first()[k] for k in "xywh"] == [10, 5, 30, 20]
+    assert X.perspective_boxes(df, strength=0.3, min_area=200.0).filter("bbox_id = 2").count() == 0
+    with pytest.raises(ValueError):
+        X.perspective_boxes(df, strength=0.5)
+
+
 def test_augment_plan_is_stable(spark):
     df = spark.range(2000).withColumnRenamed("id", "image_id")
     a = X.augment_plan(df, seed=3).orderBy("image_id").collect()

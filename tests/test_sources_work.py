@@ -243,3 +243,34 @@ def test_the_manifest_is_that_of_the_files(spark):
     read = S._scan(spark, p, COLS)
     columns = ["part", "shard", "rows", "bytes", "hash"]
     assert sorted(map(tuple, man.select(columns).collect())) == sorted(map(tuple, read.select(columns).collect()))
+
+
+def test_due_rows_by_status_class_and_host(spark):
+    rows = [(1, "a", None, 0, None), (2, "a", 503, 1, 100), (3, "a", 503, 3, 100), (4, "a", 404, 1, 0), (5, "a", 0, 1, 0),
+            (6, None, WQ.FAILED, 1, 0), (7, None, None, 0, None), (8, "b", 503, 60, 0), (9, "b", 503, 1, None)]
+    df = spark.createDataFrame(rows, "k long, host string, status int, attempts int, last_try long")
+    nxt = {r["k"]: (r["final"], r["next_try"]) for r in WQ.with_next_try(df).collect()}
+    assert nxt == {1: (False, 0), 2: (False, 160), 3: (False, 340), 4: (True, None), 5: (True, None), 6: (False, 60),
+                   7: (False, 0), 8: (False, 86_400), 9: (False, 60)}
+    assert sorted(r["k"] for r in WQ.due_rows(df, 160, "k").collect()) == [1, 2, 6, 7, 9]
+    assert sorted(r["k"] for r in WQ.due_rows(df, 160, "k", per_host=1).collect()) == [1, 7, 9]
+    assert WQ.due_rows(df.limit(0), 160, "k", per_host=1).count() == 0
+
+
+def test_due_rounds_try_each_host_a_bounded_number_of_times(spark):
+    state = scratch_path(spark, "test-due")
+    df = spark.range(25).select(F.col("id").alias("k"), F.when(F.col("id") < 20, "hot").otherwise("b").alias("host"),
+                                F.lit(None).cast("bigint").alias("last_try"))
+    WQ.init_state(df, state)
+    tried = [WQ.run_due_round(spark, state, lambda k, n: F.lit(0), ["k"], now, "k", per_host=8)[1] for now in range(4)]
+    assert tried == [13, 8, 4, 0]  # 8 + 5, 8, 4, nothing left
+    done = WQ.read_state(spark, state)
+    assert done.filter("status = 0 and attempts = 1").count() == 25
+    assert WQ.current_generation(spark, state) == 3  # an idle round writes no generation
+
+
+def test_fresh_copies_are_skipped(spark):
+    df = spark.createDataFrame([("a", 5, 10), ("b", 5, 10), ("c", 5, 10), ("d", None, 10), ("e", 5, 10)],
+                               "target string, bytes long, modified long")
+    have = spark.createDataFrame([("a", 5, 10), ("a", 5, 3), ("b", 6, 99), ("c", 5, 9), ("d", None, 99)], df.schema)
+    assert sorted(r[0] for r in WQ.skip_fresh(df, have).select("target").collect()) == ["b", "c", "d", "e"]
