@@ -2,18 +2,24 @@
 
 A line's key is the line without white space at its ends, A-Z lower-cased; 128 bits of its hash
 stand for it.  ``LineRuns`` counts in how many documents each key occurs, as an LSM tree would: a
-batch of documents becomes one run (key, number of documents), sorted by key; when a level holds
-``fanout`` runs they are merged into one run of the next level.  Keys that have reached
-``min_docs`` move to the settled runs, and each new batch is first merge-anti-joined with those, so
-a settled key (the hot boilerplate lines) is never carried or merged again.  Runs are tables in the
-shared checkpoint folder; a lost executor costs no more than the tasks it ran.
+batch of documents becomes one run (key, number of documents); when a level holds ``fanout`` runs
+they are merged into one run of the next level.  Keys that have reached ``min_docs`` lie in the
+settled part of their run, and each new batch is first merge-anti-joined with the settled parts of
+all runs, so later batches never add to a settled key (the hot boilerplate lines).
+
+A run is a table bucketed and sorted by key, all with one number of buckets, one file a bucket: the
+anti-join is a sort-merge join in which only the batch is shuffled (once, to count it), and a merge
+of runs shuffles nothing.  Runs lie in the shared checkpoint folder; a run is written in full before
+those it replaces are deleted, and a lost executor costs no more than the tasks it ran.
 
 ``dedup_lines`` then drops, in every document, all lines whose key is settled.
 
 Defined results: a null or empty text is one empty line; keys of fewer than ``min_chars`` code
 points are never dropped; a document without lines left has the empty text; repeated rows count as
 documents of their own and get equal results; a null id is kept; an empty table gives no rows.
-Columns other than the id, the text and those in ``carry`` are not read.
+A key found in exactly ``min_docs`` documents is settled.  A very long text is read whole; its keys
+are one row's list of 16 bytes a distinct line.  Columns other than the id, the text and those in
+``carry`` are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from ..sources import fs
 from .common import KEY, as_large, carry_struct, key_columns, slices
 
 
@@ -86,51 +93,68 @@ def _drop(min_chars: int):
 
 
 class LineRuns:
-    """Levelled sorted runs (key binary, n long) in ``folder``; ``settled`` are the keys found in
-    ``min_docs`` documents or more."""
+    """Levelled runs (key binary, n long, done boolean) under ``folder``; ``done`` keys are the settled
+    ones, found in ``min_docs`` documents or more."""
 
-    def __init__(self, spark: SparkSession, min_docs: int, fanout: int = 3, folder: str | None = None):
+    def __init__(self, spark: SparkSession, min_docs: int, fanout: int = 3, folder: str | None = None,
+                 buckets: int | None = None):
         self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
         self.folder = folder or scratch_path(spark, "line-runs")
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = [[]]
-        self.settled: list[str] = []
-
-    def _write(self, df: DataFrame, name: str) -> str:
-        path = f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
-        # sorted by key inside each hash part; readers that merge runs only repeat a cheap sort
-        df.sortWithinPartitions("key").write.parquet(path)
-        return path
-
-    def _read(self, paths: Sequence[str]) -> DataFrame:
-        return (self.spark.read.schema("key binary, n bigint").parquet(*paths) if paths
-                else self.spark.createDataFrame([], "key binary, n bigint"))
-
-    def _merge(self, df: DataFrame, level: int) -> None:
-        """Sum the counts of each key and write one run, settled keys apart."""
-        total = self._write(df.groupBy("key").agg(F.sum("n").alias("n")), f"level{level}")
-        merged = self._read([total])
-        self.settled.append(self._write(merged.filter(F.col("n") >= self.min_docs), "settled"))
-        while len(self.levels) <= level:
-            self.levels.append([])
-        self.levels[level].append(self._write(merged.filter(F.col("n") < self.min_docs), f"level{level}"))
+
+    def _write(self, df: DataFrame) -> str:
+        """One run from (key, n), its settled keys apart: the name of its table."""
+        name = f"line_run_{uuid.uuid4().hex}"
+        (df.withColumn("done", F.col("n") >= self.min_docs).write.partitionBy("done").bucketBy(self.buckets, "key")
+         .sortBy("key").format("parquet").option("path", f"{self.folder}/{name}").saveAsTable(name))
+        return name
+
+    def _delete(self, names: Sequence[str]) -> None:
+        for name in names:
+            self.spark.sql(f"drop table {name}")
+            fs.delete(self.spark, f"{self.folder}/{name}")
+
+    def unsettled(self, batch: DataFrame) -> DataFrame:
+        """``batch``, a frame with one row for each document and key, counted, without the settled keys."""
+        counted = batch.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        for name in (name for runs in self.levels for name in runs):
+            settled = self.spark.table(name).filter("done").select("key")
+            counted = counted.join(settled.hint("merge"), "key", "left_anti")
+        return counted
+
+    def merged(self, names: Sequence[str]) -> DataFrame:
+        """(key, n) of several runs; a settled key stays settled, as its count only grows."""
+        union = self.spark.table(names[0])
+        for name in names[1:]:  # whole tables: the union then keeps their buckets
+            union = union.unionByName(self.spark.table(name))
+        return union.groupBy("key").agg(F.sum("n").alias("n"))
 
     def add(self, batch: DataFrame) -> None:
-        """``batch``: (key, n), n documents of a new batch that hold the key."""
-        if self.settled:
-            batch = batch.join(self._read(self.settled).select("key"), "key", "left_anti")
-        self._merge(batch, 0)
-        for level, runs in enumerate(self.levels):
+        """Enter a new batch of documents: one row for each document and key."""
+        self.levels[0].append(self._write(self.unsettled(batch)))
+        for level in range(len(self.levels)):
+            runs = self.levels[level]
             if len(runs) >= self.fanout:
+                run = self._write(self.merged(runs))
                 self.levels[level] = []
-                self._merge(self._read(runs), level + 1)
+                if level + 1 == len(self.levels):
+                    self.levels.append([])
+                self.levels[level + 1].append(run)
+                self._delete(runs)
 
     def finish(self) -> DataFrame:
-        """Merge all that is left; all settled keys."""
-        left = [p for runs in self.levels for p in runs]
-        self.levels = [[]]
+        """Merge all that is left; all settled keys.  Nothing can be added afterwards."""
+        left = [name for runs in self.levels for name in runs]
+        self.levels = []
+        if not left:
+            return self.spark.createDataFrame([], "key binary")
+        last = left[0] if len(left) == 1 else self._write(self.merged(left))
         if len(left) > 1:
-            self._merge(self._read(left), 0)
-        return self._read(self.settled).select("key")
+            self._delete(left)
+        self.spark.sql(f"drop table {last}")  # its files stay
+        return (self.spark.read.schema("key binary, n bigint, done boolean").parquet(f"{self.folder}/{last}")
+                .filter("done").select("key"))
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = 4, fanout: int = 3,
@@ -140,18 +164,15 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches
     folder = scratch_path(spark, "line-dedup")
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        *key_columns(id_col, text_col), *carry_struct(carry))
-    # one pass over the texts: the distinct keys of every document
-    kind = "_id long, _null int, _h long, keys array<binary>"
-    base.select(*KEY, _distinct_keys(min_chars)("text").alias("keys")).write.parquet(f"{folder}/keys")
+    # one pass over the texts: the distinct keys of every document, apart for every batch
+    kind = "_id long, _null int, _h long, keys array<binary>, batch int"
+    (base.select(*KEY, _distinct_keys(min_chars)("text").alias("keys"),
+                 F.pmod(F.col("_h"), F.lit(batches)).cast("int").alias("batch"))
+     .write.partitionBy("batch").parquet(f"{folder}/keys"))
     keyed = spark.read.schema(kind).parquet(f"{folder}/keys")
-    # the sorted run of every batch, counted in one job; then the batches enter one after another
-    (keyed.select(F.pmod(F.col("_h"), F.lit(batches)).cast("int").alias("batch"), F.explode("keys").alias("key"))
-     .groupBy("batch", "key").agg(F.count(F.lit(1)).alias("n"))
-     .write.partitionBy("batch").parquet(f"{folder}/batches"))
-    counted = spark.read.schema("key binary, n bigint, batch int").parquet(f"{folder}/batches")
     runs = LineRuns(spark, min_docs, fanout, f"{folder}/runs")
     for b in range(batches):
-        runs.add(counted.filter(F.col("batch") == b).select("key", "n"))
+        runs.add(keyed.filter(F.col("batch") == b).select(F.explode("keys").alias("key")))
     settled = runs.finish()
 
     hits = (keyed.select(*KEY, F.explode("keys").alias("key")).join(settled, "key", "left_semi")

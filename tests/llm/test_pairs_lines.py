@@ -162,6 +162,27 @@ def test_line_runs_do_not_depend_on_batches(spark, batches, fanout):
     assert got == [(i, *x) for i, x in enumerate(brute.drop_lines(texts, 10))]
 
 
+def test_batches_meet_sorted_runs_by_merge(spark, capsys):
+    runs = linededup.LineRuns(spark, 3, fanout=3, buckets=8)
+
+    def batch(keys):
+        return spark.createDataFrame([(k.encode(),) for k in keys], "key binary")
+
+    runs.add(batch(["a"] * 3 + ["b"] * 2 + ["c"]))
+    runs.add(batch(["a"] * 5 + ["b", "d"]))
+    runs.unsettled(batch(["a", "b"])).explain()
+    plan = capsys.readouterr().out
+    # two runs, two merge anti-joins; only the batch is shuffled, to be counted
+    assert plan.count("SortMergeJoin") == 2 and "LeftAnti" in plan and "Broadcast" not in plan
+    assert plan.count("Exchange") == 1 and plan.count("Bucketed: true") == 2
+    runs.merged(runs.levels[0]).explain()
+    assert "Exchange" not in capsys.readouterr().out
+    assert {r["key"].decode(): r["n"] for r in spark.table(runs.levels[0][1]).collect()} == {"b": 1, "d": 1}
+    runs.add(batch(["c"]))
+    assert [len(level) for level in runs.levels] == [0, 1]
+    assert sorted(r["key"].decode() for r in runs.finish().collect()) == ["a", "b"]
+
+
 def test_lines_of_an_empty_table(spark, none):
     assert linededup.dedup_lines(none).count() == 0
 
