@@ -7,23 +7,28 @@ one short document costs its index entry, one frame and the dictionary.  The dic
 beside the shards; a shard whose dictionary hash differs is refused.
 
 Writing: documents are range-partitioned by (id, text hash), sorted, and every partition streams its
-documents into one shard.  A task writes under a name of its own attempt and renames at the end, so
-a retried task replaces the file with the same bytes.  A manifest (one row for each shard) holds the
-number of ids in earlier shards, from which readers know every document's place in the whole stream.
+documents into shards, closing one when it has reached ``shard_bytes``; so a shard, and what a task
+holds of it, is bounded at any input size.  A task writes under a name of its own attempt and renames
+at the end of each shard, so a retried task replaces the files with the same bytes.  A manifest (one
+row for each shard) holds the number of ids in earlier shards, from which readers know every
+document's place in the whole stream.
 
-The dictionary is trained on a bounded sample: the ``sample_docs`` documents of at most
-``sample_chars`` characters with the smallest hash.  It changes the size of the files, never the ids
-read back.  With too little to train on, the sampled ids themselves are the dictionary.
+The dictionary is trained on a bounded sample: of the ``sample_docs`` documents with the smallest hash,
+of whatever length, one piece of at most ``sample_chars`` characters each, at a hashed offset.  It
+changes the size of the files, never the ids read back.  A small sample gives a small dictionary;
+only where there is nothing to train on (no ids that repeat) are the sampled ids the dictionary.
 
 Defined results: a null or empty text is the end id alone; a null id sorts first and stays null;
-repeated rows are written one by one; an empty table gives an empty manifest and no documents.
-Other columns are not read.
+repeated rows are written one by one; rows of one id are ordered by the hash of their text; a very
+long text is one frame (and may make its shard larger than ``shard_bytes``); an empty table gives an
+empty manifest and no documents.  Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +43,7 @@ from ..session import checkpoint_dir
 from .common import as_large, encoder, hashed_sample, slices
 
 MAGIC = b"TOKF1\n"
-SHARD = "shard int, path string, n_docs long, n_tokens long, n_bytes long, dictionary string"
+SHARD = "shard string, path string, n_docs long, n_tokens long, n_bytes long, dictionary string"
 
 
 def _open_fs(path: str):
@@ -61,13 +66,23 @@ def train_dictionary(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
                      end_id: int = 1, sample_docs: int = 2000, sample_chars: int = 8192,
                      size: int = 64 << 10, width: int = 2) -> bytes:
     """The shared dictionary, from at most ``sample_docs * sample_chars`` characters on the driver."""
-    short = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).filter(F.length("t").between(1, sample_chars))
-    rows = hashed_sample(short, ["i", "t"], sample_docs).collect()
+    room = F.greatest(F.length("t") - F.lit(sample_chars), F.lit(0)) + 1
+    piece = F.substring(F.col("t"), F.pmod(F.xxhash64(F.lit("offset"), F.col("t")), room).cast("int") + 1, F.lit(sample_chars))
+    chosen = hashed_sample(docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).filter(F.length("t") > 0),
+                           ["i", "t"], sample_docs)
+    rows = chosen.select(piece.alias("t")).collect()
     texts = as_large(pa.array([r["t"] for r in rows], pa.string()))
     samples = [d.astype(f"<u{width}").tobytes() for d in _documents(texts, tokenizer, end_id)] if rows else []
-    if sum(map(len, samples)) >= 16 * size:
-        return zstandard.train_dictionary(size, samples).as_bytes()
-    return b"".join(samples)[:size]
+    if not samples:
+        return b""
+    # the trainer wants many samples and sixteen times the dictionary: short blocks, all of them again if they are few
+    blocks = [x[i:i + 1024] for x in samples for i in range(0, len(x), 1024)]
+    size = max(512, min(size, sum(map(len, blocks)) // 16))
+    blocks *= -(-16 * size // sum(map(len, blocks)))
+    try:
+        return zstandard.train_dictionary(size, blocks).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(samples)[:size]
 
 
 def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict | None:
@@ -78,11 +93,46 @@ def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict | None:
                                          else zstandard.DICT_TYPE_RAWCONTENT)
 
 
+class _ShardWriter:
+    """One shard file, written under ``temp`` and renamed when it is closed."""
+
+    def __init__(self, name: str, temp: str, width: int, digest: bytes):
+        self.files, self.final = _open_fs(name)
+        self.name, self.temp, self.width, self.digest = name, f"{self.final}.{temp}", width, digest
+        self.ids, self.null, self.offsets, self.sizes = array("q"), array("b"), array("q"), array("q")
+        self.place = len(MAGIC) + 1 + 32
+        self.out = self.files.open_output_stream(self.temp)
+        self.out.write(MAGIC + bytes([width]) + digest)
+
+    def add(self, doc_id: int | None, n_tokens: int, frame: bytes) -> None:
+        self.out.write(frame)
+        self.ids.append(doc_id or 0)
+        self.null.append(doc_id is None)
+        self.offsets.append(self.place)
+        self.sizes.append(n_tokens)
+        self.place += len(frame)
+
+    def close(self, shard: str) -> pa.RecordBatch:
+        """Write the index, rename the file; the shard's row of the manifest."""
+        index = [np.array(self.ids, "<i8"), np.array(self.null, "<u1"),
+                 np.append(np.array(self.offsets, "<u8"), np.uint64(self.place)), np.array(self.sizes, "<u8")]
+        for part in index:
+            self.out.write(part.tobytes())
+        self.out.write(struct.pack("<QQ", self.place, len(self.ids)) + MAGIC)
+        self.out.close()
+        self.files.move(self.temp, self.final)
+        n_bytes = self.place + sum(p.nbytes for p in index) + 16 + len(MAGIC)
+        return pa.RecordBatch.from_pydict({"shard": [shard], "path": [self.name], "n_docs": [len(self.ids)],
+                                           "n_tokens": [sum(self.sizes)], "n_bytes": [n_bytes],
+                                           "dictionary": [self.digest.hex()]})
+
+
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-                      end_id: int = 1, shards: int | None = None, level: int = 3, width: int = 2,
-                      dictionary: bytes | None = None) -> DataFrame:
+                      end_id: int = 1, partitions: int | None = None, level: int = 3, width: int = 2,
+                      dictionary: bytes | None = None, shard_bytes: int = 128 << 20) -> DataFrame:
     """Write the shards, the dictionary and the manifest under ``path``; the manifest with
-    ``first_token`` (ids in all earlier shards)."""
+    ``first_token`` (ids in all earlier shards).  ``partitions`` tasks write (by default the session's
+    shuffle partitions), each one shard or more."""
     spark = docs.sparkSession
     checkpoint_dir(spark)
     raw = train_dictionary(docs, tokenizer, id_col, text_col, end_id, width=width) if dictionary is None else dictionary
@@ -95,47 +145,29 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, id_col: str =
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get()
-        name = f"{path}/shards/{at.partitionId():06d}.tok"
-        files, final = _open_fs(name)
         zipped = zstandard.ZstdCompressor(level=level, dict_data=_dictionary(raw))
-        ids, offsets, sizes, place = [], [], [], len(MAGIC) + 1 + 32
-        out = None
-        temp = f"{final}.{at.stageId()}-{at.taskAttemptId()}"
+        out, shard, done = None, "", 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            if out is None:
-                out = files.open_output_stream(temp)
-                out.write(MAGIC + bytes([width]) + digest)
-            ids += batch.column(0).to_pylist()
-            for doc in _documents(as_large(batch.column(1)), tokenizer, end_id):
-                if len(doc) and int(doc.max()) >= limit:
+            coded = _documents(as_large(batch.column(1)), tokenizer, end_id)
+            for doc_id, doc in zip(batch.column(0).to_pylist(), coded, strict=True):
+                if int(doc.max()) >= limit:
                     raise ValueError(f"an id does not fit {width} bytes")
-                frame = zipped.compress(doc.astype(f"<u{width}").tobytes())
-                out.write(frame)
-                offsets.append(place)
-                sizes.append(len(doc))
-                place += len(frame)
-        if out is None:
-            return
-        index = [np.array([0 if i is None else i for i in ids], "<i8"), np.array([i is None for i in ids], "<u1"),
-                 np.array([*offsets, place], "<u8"), np.array(sizes, "<u8")]
-        for part in index:
-            out.write(part.tobytes())
-        out.write(struct.pack("<QQ", place, len(ids)) + MAGIC)
-        out.close()
-        files.move(temp, final)
-        n_bytes = place + sum(p.nbytes for p in index) + 16 + len(MAGIC)
-        yield pa.RecordBatch.from_pydict({"shard": pa.array([at.partitionId()], pa.int32()), "path": [name],
-                                          "n_docs": [len(ids)], "n_tokens": [sum(sizes)], "n_bytes": [n_bytes],
-                                          "dictionary": [digest.hex()]})
-
-    n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("doc_id").asc_nulls_first(), F.col("h"), F.col("text")]
+                if out is None:
+                    shard = f"{at.partitionId():06d}-{done:06d}"
+                    out = _ShardWriter(f"{path}/shards/{shard}.tok", f"{at.stageId()}-{at.taskAttemptId()}", width, digest)
+                out.add(doc_id, len(doc), zipped.compress(doc.astype(f"<u{width}").tobytes()))
+                if out.place >= shard_bytes:
+                    yield out.close(shard)
+                    out, done = None, done + 1
+        if out is not None:
+            yield out.close(shard)
+
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("h")]
     # no text in the sort keys of the range cut: its sample then holds ids and hashes only
     cut = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.xxhash64(text_col).alias("h"))
-           .repartitionByRange(n, *order[:2]).sortWithinPartitions(*order[:2]))
+           .repartitionByRange(n, *order).sortWithinPartitions(*order))
     cut.select("doc_id", "text").mapInArrow(write, SHARD).write.mode("overwrite").parquet(f"{path}/manifest")
     return manifest(spark, path)
 

@@ -62,7 +62,7 @@ def test_packing_an_empty_table(spark, none):
 
 def test_token_files_round_trip(spark, odd):
     path = scratch_path(spark, "test-tokens")
-    listed = tokenfiles.write_token_files(odd, path, PATH, shards=3)
+    listed = tokenfiles.write_token_files(odd, path, PATH, partitions=3)
     assert listed.agg(F.sum("n_docs")).first()[0] == len(ODD)
     back = sorted(tokenfiles.read_token_files(spark, path).collect(), key=lambda r: r["start"])
     ordered = [r["doc_id"] for r in back]
@@ -78,7 +78,7 @@ def test_token_files_round_trip(spark, odd):
 def test_token_shards_are_read_at_random_and_checked(spark):
     path = scratch_path(spark, "test-tokens")
     docs = documents(spark, SF_SMALL)
-    listed = tokenfiles.write_token_files(docs, path, PATH, shards=2, width=4).orderBy("shard").collect()
+    listed = tokenfiles.write_token_files(docs, path, PATH, partitions=2, width=4).orderBy("shard").collect()
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     raw = open(f"{path}/dictionary", "rb").read()
     assert len(raw) > 1000
@@ -95,6 +95,32 @@ def test_token_shards_are_read_at_random_and_checked(spark):
     assert sum(len(shared.compress(x)) for x in short) < sum(len(alone.compress(x)) for x in short)
 
 
+def test_shards_roll_over_by_bytes(spark, odd):
+    path = scratch_path(spark, "roll")
+    docs = spark.createDataFrame([(i, f"some words {i} " * (1 + i % 7)) for i in range(300)], "doc_id long, text string")
+    whole = tokenfiles.write_token_files(docs, f"{path}/a", PATH, partitions=2)
+    rolled = tokenfiles.write_token_files(docs, f"{path}/b", PATH, partitions=2, shard_bytes=500)
+    assert whole.count() == 2 and rolled.count() > 6
+    # frames stop at the first document beyond the limit; the rest of a file is 25 bytes a document and a fixed part
+    assert all(r["n_bytes"] - 25 * r["n_docs"] < 500 + 400 for r in rolled.collect())
+    a, b = (sorted(map(tuple, tokenfiles.read_token_files(spark, f"{path}/{x}").collect())) for x in "ab")
+    assert a == b and len(a) == 300
+
+
+def test_the_dictionary_is_trained_at_every_size(spark):
+    trained = b"\x37\xa4\x30\xec"
+    words = ["alpha beta", "gamma", "delta of the road", "a long way home"]
+    for n in (1, 3, 30, 3000):
+        docs = spark.createDataFrame([(i, " ".join(words[(i + j) % 4] for j in range(12))) for i in range(n)],
+                                     "doc_id long, text string")
+        raw = tokenfiles.train_dictionary(docs, PATH)
+        assert raw.startswith(trained) and len(raw) <= 64 << 10
+    # a document longer than a piece takes part, with a piece from somewhere inside it
+    long = spark.createDataFrame([(1, "first " * 5000 + "second " * 5000)], "doc_id long, text string")
+    assert tokenfiles.train_dictionary(long, PATH).startswith(trained)
+    assert tokenfiles.train_dictionary(spark.createDataFrame([(1, None), (2, "")], long.schema), PATH) == b""
+
+
 def test_token_files_of_an_empty_table(spark, none):
     path = scratch_path(spark, "test-tokens")
     assert tokenfiles.write_token_files(none, path, PATH).count() == 0
