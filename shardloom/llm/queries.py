@@ -109,12 +109,20 @@ from (select *, octet_length(encode(rec)) as length,
 where md5(coalesce(url, '')) like '0%' or md5(coalesce(url, '')) like '1%'
 """)
 def warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page as a WARC record, audited against a replica that lost or altered the records of some urls."""
-    pages = documents(spark, sf_dir, "pages")
-    mark = F.substring(F.md5(F.coalesce("url", F.lit(""))), 1, 1)
-    replica = pages.filter(mark != "1").withColumn(
-        "html", F.when(mark == "0", F.concat(F.lit("!"), F.coalesce("html", F.lit("")))).otherwise(F.col("html")))
-    return warc.audit_tables(pages, replica).withColumnRenamed("id", "page_id")
+    """Every page written as a WARC record, and the archive audited against a replica of its files that lost or
+    altered the records of some urls."""
+    primary, replica = scratch_path(spark, "warc"), scratch_path(spark, "warc-replica")
+    manifest = warc.write_warc(documents(spark, sf_dir, "pages"), primary, gzip=True)
+    text = F.col("record").cast("string")
+    ends = F.instr(text, "\r\n\r\n")
+    url = F.regexp_extract(F.substring(text, F.lit(1), ends), "WARC-Target-URI: ([^\r\n]*)", 1)
+    body = F.substring(text, ends + 4, F.length(text) - ends - 7)
+    mark = F.substring(F.md5(url), 1, 1)
+    copied = warc.read_warc(spark, primary).filter(mark != "1").select(
+        "file", F.col("at").alias("seq"), F.when(mark == "0", warc.record(url, F.concat(F.lit("!"), body)).cast("binary"))
+        .otherwise(F.col("record")).alias("record"))
+    warc.write_records(copied, replica, gzip=True)
+    return warc.audit_archives(spark, primary, replica, manifest).withColumnRenamed("id", "page_id")
 
 
 @register("op7_quality_neighbours")

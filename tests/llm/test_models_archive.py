@@ -1,7 +1,9 @@
 """WARC audit (6), neighbour classifier (7) and language identification (10)."""
 
 import itertools
+import os
 import random
+import shutil
 
 import brute
 import numpy as np
@@ -102,6 +104,69 @@ def test_damaged_headers_are_located(spark):
     assert sorted((r["seq"], r["status"]) for r in bad) == [(k, "altered") for k in (2, 5, 7, 15)]
 
 
+@pytest.mark.parametrize("gzip", [False, True])
+def test_archives_round_trip_and_replicas_are_audited(spark, gzip):
+    rows, pages = _pages(spark, 60)
+    primary, replica = scratch_path(spark, "test-primary"), scratch_path(spark, "test-replica")
+    manifest = warc.write_warc(pages, primary, per_file=16, gzip=gzip)
+    by_seq = {(r["file"], r["seq"]): r for r in manifest.collect()}
+    back = warc.read_warc(spark, primary).collect()
+    assert sorted(bytes(r["record"]) for r in back) == sorted(_record(*r[1:]) for r in rows)
+    assert {(r["file"], r["at"]): brute.hashlib.sha256(r["record"]).hexdigest() for r in back} == {k: r["digest"] for k, r in by_seq.items()}
+    assert not [n for n in os.listdir(primary) if n.startswith(".0")]
+    # the replica lost three records of one file and has another body in a record behind them
+    gone, other = [1, 2, 9], 12
+    copied = warc.read_warc(spark, primary).filter(~((F.col("file") == "00000001.warc") & F.col("at").isin(gone))).select(
+        "file", F.col("at").alias("seq"), F.when((F.col("file") == "00000001.warc") & (F.col("at") == other),
+                                                 F.lit(_record("u", "new").decode()).cast("binary")).otherwise(F.col("record")).alias("record"))
+    warc.write_records(copied, replica, gzip=gzip)
+    got = {(r["file"], r["seq"]): r for r in warc.audit_archives(spark, primary, replica, manifest).collect()}
+    assert {k[1]: r["status"] for k, r in got.items()} == {**{k: "missing" for k in gone}, other: "altered"}
+    for k, r in got.items():
+        assert (r["id"], r["offset"], r["primary_sha256"]) == tuple(by_seq[k][c] for c in ("id", "offset", "digest"))
+    assert got["00000001.warc", other]["replica_sha256"] == brute.hashlib.sha256(_record("u", "new")).hexdigest()
+    assert warc.audit_archives(spark, primary, primary, manifest).count() == 0
+
+
+def test_damaged_members_are_located(spark):
+    """A flipped byte, a bad member header, a hole over three members and bytes at the end hide no other record."""
+    _, pages = _pages(spark, 40)
+    primary, replica = scratch_path(spark, "test-gzip"), scratch_path(spark, "test-gzip-replica")
+    manifest = warc.write_warc(pages, primary, per_file=64, gzip=True)
+    shutil.copytree(primary, replica)
+    starts = [r["start"] for r in warc.catalogue(spark, replica).orderBy("at").collect()]
+    name = f"{replica}/00000000.warc"
+    raw = bytearray(open(name, "rb").read())
+    raw[0] ^= 1
+    raw[starts[6] - 12] ^= 4
+    raw[starts[20]] ^= 1
+    raw[starts[30]:starts[33]] = bytes(starts[33] - starts[30])
+    with open(name, "wb") as f:
+        f.write(raw + b"tail")
+    found = warc.audit_archives(spark, primary, replica, manifest).collect()
+    by = {r["seq"]: r["status"] for r in found}
+    assert by == {0: "altered", 5: "altered", 20: "altered", 30: "altered", 31: "missing", 32: "missing", None: "extra"}
+
+
+def test_copies_beyond_one_task_and_odd_archives(spark, monkeypatch):
+    """One record's copies fill more than two of the files, one file to a task; every copy has its place."""
+    monkeypatch.setattr(warc, "TASKS", 1000)
+    rows = [(i, f"http://h/{i}", "x" * i) for i in range(20)] + [(7, "same", "copy")] * 41 + [(None, None, None)] * 9
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("task", F.lit(1)).withColumn("r", F.lit("x")).repartition(5)
+    path = scratch_path(spark, "test-copies")
+    manifest = warc.write_warc(pages, path, per_file=16, gzip=True)
+    listed = {(r["file"], r["seq"]): r["digest"] for r in manifest.collect()}
+    back = {(r["file"], r["seq"]): r["digest"] for r in warc.scan_warc(spark, path).collect()}
+    assert len(listed) == 70 and back == listed
+    few = warc.write_warc(pages, scratch_path(spark, "test-few"), per_file=16)
+    assert {(r["file"], r["seq"]): r["digest"] for r in few.collect()} == listed
+    empty, nothing = scratch_path(spark, "test-none"), pages.limit(0)
+    none = warc.write_warc(nothing, empty, gzip=True)
+    assert none.count() == 0 and warc.scan_warc(spark, empty).count() == 0 and warc.read_warc(spark, empty).count() == 0
+    assert warc.audit_archives(spark, empty, empty, none).count() == 0
+    assert warc.audit_archives(spark, path, empty, manifest).count() == 70
+
+
 # ---- quality classifier
 
 def test_votes_match_a_plain_search(spark):
