@@ -2,15 +2,17 @@
 
 A space is put before a text, which is then cut between any two characters that are neighbours in no
 piece of the vocabulary: no merge can span such a place.  Each chunk's characters are merged by an
-agenda: the best-scored pair of neighbours first, the leftmost on ties.  A candidate merge is skipped for good when the keyed hash of (seed, variant, chunk,
-place, merged piece) falls below ``dropout``; the variant of a chunk's occurrence is drawn by a keyed
-hash of the document's key and the occurrence's number, so the same word is cut in up to ``variants``
-ways across a corpus, and every run with one seed gives the same ids.  Characters outside the
-vocabulary, and a literal U+2581 (which stands for the space inside pieces), become byte pieces, so
-every segmentation decodes to the very text.
-
-A slice's distinct (chunk, variant) pairs are merged in step, as arrays of symbols of one length; the
-few long chunks go through a heap one by one (``merge_chunk``, which is also the plain definition).
+agenda: the best-scored pair of neighbours first, the leftmost on ties.  A candidate merge is skipped for good
+when the keyed hash of (seed, document's key, number of the chunk in the document, place, merged piece) falls
+below ``dropout``, so every occurrence of a word draws anew, and every run with one seed gives the same ids.
+Characters outside the vocabulary, and a literal U+2581 (which stands for the space inside pieces), become byte
+pieces, so every segmentation decodes to the very text.
+
+Occurrences share their work, not their draws: the agenda of a chunk is a binary tree of states (the symbols and
+the candidates left), from each of which the candidate at the head is either merged or skipped.  A worker keeps
+the states that some occurrence has reached (``States``); all occurrences of a block walk down in step, each by
+its own draws, and states reached for the first time are computed together, as arrays of symbols.  The few long
+chunks go through a heap one by one (``merge_chunk``, which is also the plain definition).
 
 Defined results: a null text is the empty text, which has no pieces; a null id is a key like any
 other; repeated rows get equal ids; ties in score go to the left; an empty table gives no rows.
@@ -24,7 +26,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,10 +33,12 @@ from .common import as_large, slices
 
 SPACE = "▁"
 SLICE = 6 << 20
-#: merged (chunk, variant) pairs that a Python worker remembers across slices
-REMEMBERED = 400_000
-FREQUENT = 3
-LONGEST = 48  # characters of a chunk that is merged in step with others
+#: agenda states that a Python worker keeps from one block of occurrences to the next
+KEPT = 400_000
+OCCURRENCES = 1 << 16  # of a block
+WIDTHS = (6, 10, 18, 48)  # symbols of a state, padded to one of these
+LONGEST = WIDTHS[-1]  # characters of a chunk whose states are kept
+FAR = np.int32(1 << 30)
 _A, _B, _C = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 _FULL = (1 << 64) - 1
 
@@ -52,7 +55,7 @@ class Pieces:
 
     def __init__(self, path: str):
         import sentencepiece
-        self.merged_before: dict[tuple, list[dict[str, bytes]]] = {}  # settings -> variant -> chunk -> ids
+        self.pairs: dict[int, int] = {}
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.get_piece_size()
         names = [sp.id_to_piece(i) for i in range(n)]
@@ -114,6 +117,7 @@ class Pieces:
         self.raw = np.frombuffer(b"".join(raw), np.uint8)
         self.raw_size = np.array([len(r) for r in raw], np.int64)
         self.raw_start = np.cumsum(self.raw_size) - self.raw_size
+        self.states = States(self)
 
     def _slot(self, keys: np.ndarray, probe: int) -> np.ndarray:
         return ((_mix(keys.astype(np.uint64)) >> np.uint64(64 - self.bits)).astype(np.int64) + probe) & ((1 << self.bits) - 1)
@@ -131,6 +135,22 @@ class Pieces:
             probe += 1
         return out
 
+    def pair_of(self, a: int, b: int) -> int:
+        """``pair`` of two symbols, remembered."""
+        if a < 0 or b < 0:
+            return -1
+        m = self.pairs.get(a * self.size + b)
+        if m is None:
+            if len(self.pairs) >= 1 << 20:
+                self.pairs.clear()
+            m = self.pairs[a * self.size + b] = int(self.pair(np.array([a]), np.array([b]))[0])
+        return m
+
+    def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of the piece that neighbours merge into, ``FAR`` where there is none."""
+        m = self.pair(a, b)
+        return np.where(m >= 0, self.rank[m], FAR)
+
     def of_chars(self, cp: np.ndarray) -> np.ndarray:
         return self.letter_id[self.letter[cp]]
 
@@ -141,36 +161,169 @@ class Pieces:
         return (self.beside[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
+class States:
+    """Agenda states of short chunks, reached by merging or skipping one candidate after the other.
+
+    A node has the candidate at the head of its agenda (place ``start`` of the left symbol and ``merged`` piece, -1
+    when nothing is left), its children if it is merged (0) and skipped (1), and, without a candidate, its ids.
+    A symbol is a piece, or -1 - c for a character c without one.  Nothing here depends on seed or dropout."""
+
+    def __init__(self, vocabulary: Pieces):
+        self.vocabulary = vocabulary
+        self.clear()
+
+    def clear(self) -> None:
+        self.root: dict[str, int] = {}
+        self.n = self.n_out = 0
+        self.node = {k: np.zeros((1024, *shape), t) for k, t, shape in (
+            ("start", np.int32, ()), ("merged", np.int32, ()), ("child", np.int32, (2,)), ("size", np.int32, ()),
+            ("width", np.int8, ()), ("row", np.int32, ()), ("at", np.int64, ()))}
+        self.out = np.zeros(4096, np.uint32)
+        self.used = [0] * len(WIDTHS)
+        self.table = [{"ids": np.zeros((64, w), np.int32), "start": np.zeros((64, w), np.int8), "rank": np.zeros((64, w), np.int32),
+                       "best": np.zeros(64, np.int8)} for w in WIDTHS]
+
+    @staticmethod
+    def _room(columns: dict[str, np.ndarray], n: int) -> None:
+        for k, a in columns.items():
+            if n > len(a):
+                columns[k] = np.zeros((max(n, 2 * len(a)), *a.shape[1:]), a.dtype)
+                columns[k][:len(a)] = a
+
+    def _add(self, w: int, ids: np.ndarray, start: np.ndarray, rank: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The nodes of new states of width number ``w``."""
+        each = np.arange(len(ids))
+        nodes = self.n + each
+        self.n += len(ids)
+        self._room(self.node, self.n)
+        best = rank.argmin(1)  # the first of the least ranks
+        low = rank[each, best]
+        left = low < FAR
+        merged = np.where(left, self.vocabulary.piece_of_rank[np.where(left, low, 0)], -1)
+        shared = np.flatnonzero(left & (merged < 0))  # a score that several pieces have
+        if len(shared):
+            merged[shared] = self.vocabulary.pair(ids[shared, best[shared]], ids[shared, best[shared] + 1])
+        self.node["start"][nodes], self.node["merged"][nodes] = start[each, best], merged
+        self.node["child"][nodes], self.node["size"][nodes], self.node["width"][nodes] = -1, size, w
+        rows = self.used[w] + np.arange(int(left.sum()))
+        self.used[w] += len(rows)
+        self._room(self.table[w], self.used[w])
+        t = self.table[w]
+        t["ids"][rows], t["start"][rows], t["rank"][rows], t["best"][rows] = ids[left], start[left], rank[left], best[left]
+        self.node["row"][nodes[left]] = rows
+        self._finish(nodes[~left], ids[~left], size[~left])
+        return nodes
+
+    def _finish(self, nodes: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        """Store the ids of nodes without a candidate; characters without a piece become byte pieces."""
+        live = np.arange(ids.shape[1]) < size[:, None]
+        flat, count = ids[live], size.astype(np.int64)
+        if (flat < 0).any():
+            parts = [[x] if x >= 0 else [int(self.vocabulary.byte_id[b]) for b in chr(-1 - x).encode("utf-8", "surrogatepass")]
+                     for x in flat.tolist()]
+            owner = np.repeat(np.arange(len(nodes)), size)
+            count = np.bincount(owner, weights=[len(x) for x in parts], minlength=len(nodes)).astype(np.int64)
+            flat = np.array([x for part in parts for x in part], np.int64)
+        room = {"out": self.out}
+        self._room(room, self.n_out + len(flat))
+        self.out = room["out"]
+        self.out[self.n_out:self.n_out + len(flat)] = flat
+        self.node["at"][nodes], self.node["size"][nodes] = self.n_out + np.cumsum(count) - count, count
+        self.n_out += len(flat)
+
+    def roots(self, chunks: list[str]) -> np.ndarray:
+        """The first states of distinct chunks of at most ``LONGEST`` characters."""
+        out = np.array([self.root.get(c, -1) for c in chunks], np.int64)
+        new = np.flatnonzero(out < 0)
+        length = np.array([len(chunks[i]) for i in new.tolist()], np.int64)
+        kind = np.searchsorted(WIDTHS, length)
+        for w in np.unique(kind).tolist():
+            some, n, width = new[kind == w], length[kind == w], WIDTHS[w]
+            cp = np.frombuffer("".join(chunks[i].ljust(width) for i in some.tolist()).encode("utf-32-le", "surrogatepass"), "<u4")
+            cp = cp.astype(np.int32).reshape(-1, width)
+            ids = self.vocabulary.of_chars(cp)
+            ids = np.where(ids < 0, -1 - cp, ids)
+            rank = np.full(ids.shape, FAR, np.int32)
+            rank[:, :-1] = self.vocabulary.ranks(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(some), -1)
+            rank[np.arange(width) >= n[:, None] - 1] = FAR
+            out[some] = self._add(w, ids, np.tile(np.arange(width, dtype=np.int8), (len(some), 1)), rank, n)
+        self.root.update((chunks[i], int(out[i])) for i in new.tolist())
+        return out
+
+    def _next(self, nodes: np.ndarray, skipped: np.ndarray) -> np.ndarray:
+        """New children of ``nodes``: their candidate is skipped or merged."""
+        out = np.zeros(len(nodes), np.int64)
+        kind = self.node["width"][nodes]
+        for w in np.unique(kind).tolist():
+            which = np.flatnonzero(kind == w)
+            t, own, skip = self.table[w], nodes[which], skipped[which] == 1
+            row, each, column = self.node["row"][own], np.arange(len(own)), np.arange(WIDTHS[w])
+            best, size = t["best"][row].astype(np.int64), self.node["size"][own] - ~skip
+            # what lies behind a merged pair moves up
+            source = np.minimum(column + ((column > best[:, None]) & ~skip[:, None]), WIDTHS[w] - 1)
+            ids, start, rank = (np.take_along_axis(t[k][row], source, 1) for k in ("ids", "start", "rank"))
+            rank[each, best] = FAR
+            ids[each[~skip], best[~skip]] = self.node["merged"][own[~skip]]
+            for shift in (-1, 0):  # the merged symbol's pairs with its neighbours
+                at = best + shift
+                i = np.flatnonzero(~skip & (at >= 0) & (at < size - 1))
+                rank[i, at[i]] = self.vocabulary.ranks(ids[i, at[i]], ids[i, at[i] + 1])
+            out[which] = self._add(w, ids, start, rank, size)
+        return out
+
+    def walk(self, at: np.ndarray, keys: np.ndarray, limit: int) -> np.ndarray:
+        """The last state of every occurrence, from its chunk's first state and its key."""
+        out, going = at.copy(), np.arange(len(at))
+        while True:
+            at = out[going]
+            more = self.node["merged"][at] >= 0
+            going, at = going[more], at[more]
+            if not len(going):
+                return out
+            skip = _skips(keys[going], self.node["start"][at], self.node["merged"][at], limit).astype(np.int64)
+            child = self.node["child"][at, skip]
+            if (child < 0).any():
+                edges = np.unique(2 * at[child < 0] + skip[child < 0])
+                made = self._next(edges >> 1, edges & 1)
+                self.node["child"][edges >> 1, edges & 1] = made
+                child = self.node["child"][at, skip]
+            out[going] = child
+
+
 @lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def chunk_key(chunk: str, variant: int, seed: int) -> int:
-    return (xxhash.xxh3_64_intdigest(chunk.encode("utf-8", "surrogatepass"), seed & _FULL) + variant * _C) & _FULL
-
-
 def _skips(key: np.ndarray, start: np.ndarray, merged: np.ndarray, limit: int) -> np.ndarray:
     """Whether the candidate merge at ``start`` into ``merged`` is dropped."""
+    if not limit:
+        return np.zeros(len(key), bool)
     with np.errstate(over="ignore"):
         h = _mix(key + start.astype(np.uint64) * np.uint64(_A) + merged.astype(np.uint64) * np.uint64(_B))
     return (h >> np.uint64(11)).astype(np.int64) < limit
 
 
-def merge_chunk(vocabulary: Pieces, chunk: str, variant: int, seed: int, dropout: float) -> list[int]:
-    """The ids of one chunk, by the agenda as defined."""
-    key, limit = np.uint64(chunk_key(chunk, variant, seed)), int(dropout * (1 << 53))
-    cp = np.array([ord(c) for c in chunk], np.int64)
-    ids = vocabulary.of_chars(cp).tolist()
+def _skips_one(key: int, start: int, merged: int, limit: int) -> bool:
+    x = (key + start * _A + merged * _B) & _FULL
+    x = ((x ^ (x >> 30)) * _A) & _FULL
+    x = ((x ^ (x >> 27)) * _B) & _FULL
+    return (x ^ (x >> 31)) >> 11 < limit
+
+
+def merge_chunk(vocabulary: Pieces, chunk: str, key: int, dropout: float) -> list[int]:
+    """The ids of one chunk's occurrence, by the agenda as defined."""
+    limit = int(dropout * (1 << 53))
+    ids = vocabulary.of_chars(np.array([ord(c) for c in chunk], np.int64)).tolist()
     after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
-    agenda: list[tuple[int, int, int, int]] = []
+    rank, agenda = vocabulary.rank, []
 
     def offer(i: int, j: int) -> None:
         if i < 0 or j >= len(ids):
             return
-        m = int(vocabulary.pair(np.array([ids[i]]), np.array([ids[j]]))[0])
+        m = vocabulary.pair_of(ids[i], ids[j])
         if m >= 0:
-            heapq.heappush(agenda, (int(vocabulary.rank[m]), i, m, ids[j]))
+            heapq.heappush(agenda, (int(rank[m]), i, m, ids[j]))
 
     for i in range(len(ids) - 1):
         offer(i, i + 1)
@@ -178,9 +331,9 @@ def merge_chunk(vocabulary: Pieces, chunk: str, variant: int, seed: int, dropout
     while agenda:
         _, i, m, right = heapq.heappop(agenda)
         j = after[i]
-        if gone[i] or j >= len(ids) or ids[j] != right or vocabulary.pair(np.array([ids[i]]), np.array([ids[j]]))[0] != m:
+        if gone[i] or j >= len(ids) or ids[j] != right or vocabulary.pair_of(ids[i], ids[j]) != m:
             continue  # one of the two has been merged since
-        if limit and _skips(key, np.array([i]), np.array([m]), limit)[0]:
+        if limit and _skips_one(key, i, m, limit):
             continue
         ids[i], gone[j] = m, True
         after[i] = after[j]
@@ -195,127 +348,32 @@ def merge_chunk(vocabulary: Pieces, chunk: str, variant: int, seed: int, dropout
     return out
 
 
-def merge_remembered(vocabulary: Pieces, distinct: list[str], which: np.ndarray, variants: np.ndarray, seed: int,
-                     dropout: float, frequent: np.ndarray) -> list[bytes]:
-    """``merge_chunks`` of the pairs that this worker has not merged lately.  Only chunks that are
-    ``frequent`` in the slice are looked up and remembered."""
-    known = vocabulary.merged_before.setdefault((seed, dropout), [])
-    known += [{} for _ in range(int(variants.max(initial=-1)) + 1 - len(known))]
-    out: list[bytes | None] = [None] * len(which)
-    often = np.flatnonzero(frequent[which]).tolist()
-    for i, w, v in zip(often, which[often].tolist(), variants[often].tolist(), strict=True):
-        out[i] = known[v].get(distinct[w])
-    new = np.array([i for i, x in enumerate(out) if x is None], np.int64)
-    if sum(map(len, known)) + len(often) > REMEMBERED:
-        for one in known:
-            one.clear()
-    for i, blob in zip(new.tolist(), merge_chunks(vocabulary, distinct, which[new], variants[new], seed, dropout), strict=True):
-        out[i] = blob
-    for i, w, v in zip(often, which[often].tolist(), variants[often].tolist(), strict=True):
-        known[v][distinct[w]] = out[i]
-    return out
-
-
-def merge_chunks(vocabulary: Pieces, distinct: list[str], which: np.ndarray, variants: np.ndarray, seed: int,
-                 dropout: float) -> list[bytes]:
-    """The ids (uint32 bytes) of every (distinct[which], variant); chunks of one length are merged in step."""
-    out: list[bytes] = [b""] * len(which)
-    limit = int(dropout * (1 << 53))
-    lengths = np.array([len(c) for c in distinct] or [0])[which]
-    digest = xxhash.xxh3_64_intdigest
-    keys = np.array([digest(c.encode("utf-8", "surrogatepass"), seed & _FULL) for c in distinct] or [0], np.uint64)[which]
-    with np.errstate(over="ignore"):
-        keys += variants.astype(np.uint64) * np.uint64(_C)
-    far = np.int32(1 << 30)
-
-    def rank(ids_a: np.ndarray, ids_b: np.ndarray, start: np.ndarray, key: np.ndarray) -> np.ndarray:
-        m = vocabulary.pair(ids_a, ids_b)
-        r = np.where(m >= 0, vocabulary.rank[m], far)
-        if limit:
-            some = np.flatnonzero(m >= 0)
-            r[some[_skips(key[some], start[some], m[some], limit)]] = far
-        return r
-
-    for length in np.unique(lengths).tolist():
-        rows = np.flatnonzero(lengths == length)
-        if length == 0:
-            continue
-        if length > LONGEST:
-            for i in rows.tolist():
-                out[i] = np.array(merge_chunk(vocabulary, distinct[which[i]], int(variants[i]), seed, dropout), "<u4").tobytes()
-            continue
-        cp = np.frombuffer("".join([distinct[i] for i in which[rows].tolist()]).encode("utf-32-le", "surrogatepass"), "<u4")
-        # symbol j of all chunks is row j: steps are passes over contiguous arrays
-        cp = np.ascontiguousarray(cp.astype(np.int32).reshape(-1, length).T)
-        ids, key = vocabulary.of_chars(cp), keys[rows]
-        start = np.repeat(np.arange(length, dtype=np.int32)[:, None], len(rows), axis=1)
-        r = rank(ids[:-1].ravel(), ids[1:].ravel(), start[:-1].ravel(), np.tile(key, length - 1)).reshape(length - 1, len(rows))
-        width = length
-        while len(rows):
-            best, low = np.zeros(len(rows), np.int32), np.full(len(rows), far, np.int32)
-            for j in range(width - 1):  # the first of the least ranks
-                less = r[j] < low
-                np.copyto(low, r[j], where=less)
-                np.copyto(best, j, where=less)
-            done = low >= far
-            n_done = int(done.sum())
-            if n_done:
-                _emit(vocabulary, out, rows[done], ids[:width, done].T, np.take_along_axis(cp[:, done], start[:width, done], axis=0).T)
-                keep = ~done
-                rows, key, best, low = rows[keep], key[keep], best[keep], low[keep]
-                if not len(rows):
-                    break
-                ids, start, cp, r = ids[:width, keep], start[:width, keep], cp[:, keep], r[:width - 1, keep]
-            each = np.arange(len(rows))
-            merged = vocabulary.piece_of_rank[low]
-            shared = np.flatnonzero(merged < 0)  # a score that several pieces have
-            if len(shared):
-                merged[shared] = vocabulary.pair(ids[best[shared], shared], ids[best[shared] + 1, shared])
-            ids[best, each] = merged
-            for j in range(width - 1):  # what lies behind the merged pair moves up
-                after = best < j
-                if j < width - 2:
-                    np.copyto(r[j], r[j + 1], where=best <= j)
-                np.copyto(ids[j], ids[j + 1], where=after)
-                np.copyto(start[j], start[j + 1], where=after)
-            width -= 1
-            for shift in (-1, 0):  # the merged symbol's pairs with its neighbours
-                at = best + shift
-                i = np.flatnonzero((at >= 0) & (at < width - 1))
-                if len(i):
-                    j = at[i]
-                    r[j, i] = rank(ids[j, i], ids[j + 1, i], start[j, i], key[i])
-    return out
-
-
-def _emit(vocabulary: Pieces, out: list[bytes], rows: np.ndarray, ids: np.ndarray, first: np.ndarray) -> None:
-    """Store finished rows; symbols without a piece (single characters) become byte pieces."""
-    odd = (ids < 0).any(1)
-    width = 4 * ids.shape[1]
-    raw = ids.astype("<u4").tobytes()
-    for k, i in enumerate(rows.tolist()):
-        out[i] = raw[k * width:(k + 1) * width]
-    at = np.flatnonzero(odd)
-    if not len(at):
-        return
-    flat, cp = ids[at].ravel(), first[at].ravel()
-    seen, which = np.unique(cp, return_inverse=True)
-    coded = [chr(c).encode("utf-8", "surrogatepass") for c in seen.tolist()]
-    size = np.where(flat < 0, np.array([len(b) for b in coded])[which], 1)
-    table = np.zeros((len(seen), 4), np.int64)
-    for k, b in enumerate(coded):
-        table[k, :len(b)] = vocabulary.byte_id[list(b)]
-    ends = np.cumsum(size)
-    owner = np.repeat(np.arange(len(flat)), size)
-    place = np.arange(ends[-1]) - np.repeat(ends - size, size)
-    full = np.where(flat[owner] < 0, table[which[owner], place], flat[owner]).astype("<u4").tobytes()
-    cuts = np.concatenate(([0], ends.reshape(len(at), -1)[:, -1])) * 4
-    for k, i in enumerate(rows[at].tolist()):
-        out[i] = full[cuts[k]:cuts[k + 1]]
-
-
-def encode_texts(vocabulary: Pieces, texts: pa.Array, keys: np.ndarray, seed: int, dropout: float,
-                 variants: int) -> tuple[np.ndarray, np.ndarray]:
+def merge_block(vocabulary: Pieces, chunks: list[str], codes: np.ndarray, keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of the occurrences ``chunks[codes]`` one after the other, number of each one's)."""
+    states, limit = vocabulary.states, int(dropout * (1 << 53))
+    if states.n > KEPT:
+        states.clear()
+    seen, which = np.unique(codes, return_inverse=True)
+    words = [chunks[c] for c in seen.tolist()]
+    short = np.flatnonzero([len(x) <= LONGEST for x in words])
+    first = np.full(len(words), -1, np.int64)
+    first[short] = states.roots([words[i] for i in short.tolist()])
+    at = first[which]
+    begin, count = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
+    walked = np.flatnonzero(at >= 0)
+    last = states.walk(at[walked], keys[walked], limit)
+    begin[walked], count[walked] = states.node["at"][last], states.node["size"][last]
+    tables, end = [states.out[:states.n_out]], states.n_out
+    for i in np.flatnonzero(at < 0).tolist():
+        tables.append(np.array(merge_chunk(vocabulary, words[which[i]], int(keys[i]), dropout), np.uint32))
+        begin[i], count[i] = end, len(tables[-1])
+        end += len(tables[-1])
+    ends = np.cumsum(count)
+    take = np.arange(ends[-1]) + np.repeat(begin - ends + count, count)
+    return np.concatenate(tables)[take], count
+
+
+def encode_texts(vocabulary: Pieces, texts: pa.Array, keys: np.ndarray, seed: int, dropout: float) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, start of each text's with the total appended); ``keys``: one for each document."""
     filled = pc.not_equal(texts, "")
     spaced = pc.if_else(filled, pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), texts,
@@ -341,22 +399,12 @@ def encode_texts(vocabulary: Pieces, texts: pa.Array, keys: np.ndarray, seed: in
     number = np.arange(len(codes)) - np.repeat(starts[:-1], counts)
     with np.errstate(over="ignore"):
         draw = _mix(np.repeat(keys.view(np.uint64), counts) + number.astype(np.uint64) * np.uint64(_C) + np.uint64(seed & _FULL))
-    variant = (draw % np.uint64(variants)).astype(np.int64) if dropout else np.zeros(len(codes), np.int64)
-    drawn = codes * variants + variant
-    place = np.zeros(len(coded.dictionary) * variants + 1, np.int64)
-    place[drawn] = 1
-    pair = np.flatnonzero(place)
-    place[pair] = np.arange(len(pair))
-    at = place[drawn]
-    frequent = np.bincount(codes, minlength=len(coded.dictionary)) >= FREQUENT
-    blobs = merge_remembered(vocabulary, coded.dictionary.to_pylist(), pair // variants, pair % variants, seed, dropout, frequent)
-    size = np.array([len(b) for b in blobs], np.int64) // 4
-    table = np.frombuffer(b"".join(blobs), "<u4")
-    begin, length = np.cumsum(size) - size, size[at]
-    ends = np.concatenate(([0], np.cumsum(length)))
-    take = np.arange(ends[-1])
-    take += np.repeat(begin[at] - ends[:-1], length)
-    return table[take], ends[starts]
+    words, ids, sizes = coded.dictionary.to_pylist(), [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+    for i in range(0, len(codes), OCCURRENCES):
+        some, count = merge_block(vocabulary, words, codes[i:i + OCCURRENCES], draw[i:i + OCCURRENCES], dropout)
+        ids.append(some)
+        sizes.append(count)
+    return np.concatenate(ids), np.cumsum(np.concatenate(sizes))[starts]
 
 
 def decode_ids(vocabulary: Pieces, ids: np.ndarray) -> bytes:
@@ -369,13 +417,13 @@ def decode_ids(vocabulary: Pieces, ids: np.ndarray) -> bytes:
     return vocabulary.raw[take].tobytes()[1:]
 
 
-def encode_column(path: str, text: str | Column, key: Column, seed: int = 1, dropout: float = 0.1, variants: int = 8) -> Column:
+def encode_column(path: str, text: str | Column, key: Column, seed: int = 1, dropout: float = 0.1) -> Column:
     """ids of a text column as little-endian unsigned 32-bit integers; ``key``: a long for each document."""
     def run(texts: pa.Array, keys: pa.Array) -> pa.Array:
         texts, out = as_large(texts), []
         keys = pc.fill_null(keys, 0).to_numpy(zero_copy_only=False).astype(np.int64)
         for a, b in slices(texts, SLICE):
-            ids, at = encode_texts(pieces(path), texts[a:b], keys[a:b], seed, dropout, variants)
+            ids, at = encode_texts(pieces(path), texts[a:b], keys[a:b], seed, dropout)
             raw, at = ids.tobytes(), (4 * at).tolist()
             out += [raw[s:e] for s, e in zip(at, at[1:])]
         return pa.array(out, pa.binary())
@@ -395,7 +443,7 @@ def decode_column(path: str, ids: str | Column) -> Column:
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", seed: int = 1,
-                     dropout: float = 0.1, variants: int = 8) -> DataFrame:
+                     dropout: float = 0.1) -> DataFrame:
     """doc_id, text and ids of every document."""
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn(
-        "ids", encode_column(path, "text", F.xxhash64("doc_id"), seed, dropout, variants))
+        "ids", encode_column(path, "text", F.xxhash64("doc_id"), seed, dropout))

@@ -152,9 +152,9 @@ def near(sp):
     return {p for name in plain for p in zip(name, name[1:])}
 
 
-def _encode(texts, seed, dropout, variants):
+def _encode(texts, seed, dropout):
     vocabulary, arr = sentencepieces.pieces(PIECES), as_large(pa.array(texts))
-    ids, at = sentencepieces.encode_texts(vocabulary, arr, np.arange(len(texts)), seed, dropout, variants)
+    ids, at = sentencepieces.encode_texts(vocabulary, arr, np.arange(len(texts)), seed, dropout)
     return [ids[s:e].tolist() for s, e in zip(at, at[1:])]
 
 
@@ -167,35 +167,54 @@ def _strings():
 
 def test_without_dropout_ids_are_the_library_s(spark, sp):
     texts = _strings() + [r["text"] for r in documents(spark, SF_SMALL).select("text").collect()]
-    for text, ids in zip(texts, _encode(texts, 1, 0.0, 8)):
+    for text, ids in zip(texts, _encode(texts, 1, 0.0)):
         if "▁" not in text and "\x00" not in text:
             assert ids == sp.encode(text, num_threads=1), text[:80]
 
 
 @pytest.mark.parametrize("dropout", [0.0, 0.1, 0.5, 1.0])
 def test_dropout_follows_the_agenda_and_is_lossless(near, dropout):
-    texts, seed, variants = _strings(), 9, 4
+    texts, seed = _strings(), 9
     vocabulary = sentencepieces.pieces(PIECES)
-    for i, (text, ids) in enumerate(zip(texts, _encode(texts, seed, dropout, variants))):
+    for i, (text, ids) in enumerate(zip(texts, _encode(texts, seed, dropout))):
         want = []
         for k, chunk in enumerate(_cuts(" " + text, near) if text else []):
             with np.errstate(over="ignore"):
                 drawn = sentencepieces._mix(np.array([i], np.uint64) + np.array([k], np.uint64)
                                             * np.uint64(sentencepieces._C) + np.uint64(seed))[0]
-            v = int(drawn % np.uint64(variants)) if dropout else 0
-            want += sentencepieces.merge_chunk(vocabulary, chunk, v, seed, dropout)
+            want += sentencepieces.merge_chunk(vocabulary, chunk, int(drawn), dropout)
         assert ids == want, text[:80]
         assert sentencepieces.decode_ids(vocabulary, np.array(ids, np.int64)).decode() == text
 
 
 def test_seeds_and_occurrences_vary(sp):
     text = "the quick brown foxes jumped over internationalisation " * 40
-    a, b, c = (_encode([text], s, 0.2, 8)[0] for s in (1, 1, 2))
+    a, b, c = (_encode([text], s, 0.2)[0] for s in (1, 1, 2))
     assert a == b and a != c
     assert len({tuple(a[i:i + 3]) for i in range(len(a))}) > len({tuple(x) for x in zip(*[iter(sp.encode(text))] * 3)})
     assert sp.decode(a) == text  # the library reads the ids back as well
 
 
+def test_every_occurrence_draws_anew(monkeypatch):
+    """Of 10,000 occurrences of a chunk of one merge about a tenth is cut otherwise, in every document and block."""
+    monkeypatch.setattr(sentencepieces, "OCCURRENCES", 700)
+    monkeypatch.setattr(sentencepieces, "KEPT", 50)
+    texts = ["a" + " a" * 4999, "a" + " a" * 4999]
+    got = _encode(texts, 1, 0.1)
+    whole = _encode(["a"], 1, 0.0)[0]
+    assert len(whole) == 1
+    for ids in got:
+        assert 430 <= len(ids) - 5000 <= 570
+    cuts = [[i for i, x in enumerate(ids) if x != whole[0]] for ids in got]
+    assert cuts[0] != cuts[1]
+
+
+def test_a_million_joined_letters():
+    text = "abcdefghij" * 20_000 + "x" * 800_000
+    ids = _encode([text], 1, 0.1)[0]
+    assert sentencepieces.decode_ids(sentencepieces.pieces(PIECES), np.array(ids, np.int64)).decode() == text
+
+
 def test_encoded_columns_of_odd_rows(spark, odd, none):
     out = sentencepieces.encode_documents(odd, PIECES).withColumn("back", sentencepieces.decode_column(PIECES, "ids"))
     assert rows(out, "doc_id", "back") == sorted([(i, t or "") for i, t in ODD], key=lambda r: [(x is not None, x) for x in r])
