@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import splits as B
 from ..operators import text as T
 from ..session import scratch_path
+from ..sources import cursor as C
 from ..sources import readers as R
 from ..sources import shards as S
 from ..sources import writers as WR
@@ -276,3 +277,30 @@ def read_shard_positions(spark, sf):
     n = man.agg(F.sum("rows")).first()[0]
     asked = table(spark, sf, "orders").select((F.col("o_orderkey") % F.lit(n)).alias("position"))
     return S.read_positions(spark, p, asked)
+
+
+@register("read_resumed_workers", sql=_duck_rolled(f"""
+with {FX.DUCK["fx_sentences"]},
+rows as (select idx, sentence, label, octet_length(encode(sentence)) + 16 as row_bytes, '' as digest
+         from fx_sentences)""", 4, TEXT_LIMIT).replace("man as (", "unused as (") + """
+, man as (select part, shard, count(*) as n from sh group by part, shard),
+ord as (select part, shard, sum(n) over (order by md5('7:1:' || part || ':' || shard), part, shard) - n as start from man),
+stream as (
+  select s.part, s.shard, s.idx, s.label, o.start + row_number() over w - 1 as pos, row_number() over w - 1 as off
+  from sh s join ord o on o.part = s.part and o.shard = s.shard window w as (partition by s.part, s.shard order by s.idx)),
+runs as (select *, case when pos < 144 then 3 else 5 end as workers, pos - case when pos < 144 then 0 else 144 end as nth from stream)
+select workers, cast((nth // 16) % workers as int) as worker, cast(nth // 16 as bigint) as batch, cast(nth % 16 as bigint) as place,
+       part, shard, cast(off as bigint) as "offset", idx, label
+from runs
+""")
+def read_resumed_workers(spark, sf):
+    """Three workers read three rounds of batches of 16, then five read the rest of the epoch."""
+    p = scratch_path(spark, "text-shards")
+    man = S.export_shards(FX.sentences(spark, sf), p, TEXT_COLUMNS, "idx", parts=4, size_limit=TEXT_LIMIT)
+    total = man.agg(F.sum("rows")).first()[0]
+    start = C.Cursor(epoch=1)
+    rest = C.advance(start, 3, 3, 16, total)
+    out = C.read_batches(spark, p, start, 3, 16, rounds=3, seed=7, columns=["idx", "label"]).withColumn("workers", F.lit(3))
+    if rest.epoch == start.epoch:
+        out = out.unionByName(C.read_batches(spark, p, rest, 5, 16, seed=7, columns=["idx", "label"]).withColumn("workers", F.lit(5)))
+    return out
