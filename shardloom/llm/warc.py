@@ -43,6 +43,7 @@ LEAF = "file string, seq long, length long, digest string"
 CATALOGUE = "file string, at long, seq long, start long"
 TASKS = 16_384  # at most so many tasks write or scan; twice as many keys go through the driver
 BLOCK = 1 << 16
+LEVEL = 3
 
 
 def record(url: Column, body: Column) -> Column:
@@ -173,7 +174,7 @@ def _packed(raw: Column, gzip: bool) -> Column:
     def pack(records: pa.Array) -> pa.Array:
         out = []
         for r in records:
-            member = zlib.compressobj(6, zlib.DEFLATED, 31)
+            member = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
             out.append(member.compress(r.as_buffer()) + member.flush())
         return pa.array(out, pa.binary())
 
