@@ -376,3 +376,24 @@ def test_full_range_with_ignored_giants_matches_brute_force(spark):
         a, r = _brute_ranges(pred, truth, pct / 100, *E.AREA_RANGES["all"])[0]
         assert ap[pct / 100] == pytest.approx(a, abs=1e-12)
         assert rec[pct / 100] == pytest.approx(r, abs=1e-12)
+
+
+def test_a_class_over_many_partitions_matches_brute_force(spark):
+    """Contested and uncontested boxes in one evaluation; each class lies in
+    several partitions, which go on from the counts of those before."""
+    pred, truth = _random_fixture(3, 40)
+    pdf = spark.createDataFrame(pred, "image_id long, label int, det_id long, x1 double, y1 double, x2 double, "
+                                      "y2 double, score double")
+    tdf = spark.createDataFrame(truth, "image_id long, label int, gt_id long, x1 double, y1 double, x2 double, "
+                                       "y2 double")
+    res = E.evaluate(pdf, tdf, thresholds_pct=[50, 60, 75], num_partitions=11)
+    ap = {(r["label"], r["thr"], r["rng"]): r["ap"] for r in res["ap"].collect()}
+    for rng in ("all", "small", "medium"):
+        for pct in (50, 60, 75):
+            for lab, (a, _) in _brute_ranges(pred, truth, pct / 100, *E.AREA_RANGES[rng]).items():
+                assert ap[lab, pct / 100, rng] == pytest.approx(a, abs=1e-12), (lab, pct, rng)
+    # a row for each capped detection, none for each threshold
+    assert res["flags"].count() == len(pred)
+    greedy = E.match_greedy(pdf, tdf, [50, 60, 75], E.AREA_RANGES)
+    columns = ["image_id", "label", "thr", "rng", "det_id", "gt_id", "gt_ignored"]
+    assert sorted(map(tuple, res["matches"].select(columns).collect())) == sorted(map(tuple, greedy.select(columns).collect()))
