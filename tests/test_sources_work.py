@@ -274,3 +274,16 @@ def test_fresh_copies_are_skipped(spark):
                                "target string, bytes long, modified long")
     have = spark.createDataFrame([("a", 5, 10), ("a", 5, 3), ("b", 6, 99), ("c", 5, 9), ("d", None, 99)], df.schema)
     assert sorted(r[0] for r in WQ.skip_fresh(df, have).select("target").collect()) == ["b", "c", "d", "e"]
+
+
+def test_many_folders_are_listed_by_few_tasks(spark):
+    p = scratch_path(spark, "test-folders")
+    S.export_shards(_encoded(spark, 600), p, COLS, "idx", parts=1, size_limit=100)  # a sample a shard
+    before = spark.conf.get(fs._LISTING)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    assert R.list_artifacts(spark, p, "*.parquet").count() == 600
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(s.numTasks for s in stages if s) <= max(32, 8 * spark.sparkContext.defaultParallelism)
+    assert spark.conf.get(fs._LISTING) == before
