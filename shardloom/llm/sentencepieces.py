@@ -8,11 +8,10 @@ below ``dropout``, so every occurrence of a word draws anew, and every run with
 Characters outside the vocabulary, and a literal U+2581 (which stands for the space inside pieces), become byte
 pieces, so every segmentation decodes to the very text.
 
-Occurrences share their work, not their draws: the agenda of a chunk is a binary tree of states (the symbols and
-the candidates left), from each of which the candidate at the head is either merged or skipped.  A worker keeps
-the states that some occurrence has reached (``States``); all occurrences of a block walk down in step, each by
-its own draws, and states reached for the first time are computed together, as arrays of symbols.  The few long
-chunks go through a heap one by one (``merge_chunk``, which is also the plain definition).
+Occurrences share their work, not their draws: each distinct chunk of a slice is merged once without skips
+(``Chunks``), and every occurrence draws for the candidates on that course.  One that skips none of them has the
+chunk's ids; every other one runs its own agenda, many side by side as arrays of symbols.  The few long chunks go
+through a heap one by one (``merge_chunk``, which is also the plain definition).
 
 Defined results: a null text is the empty text, which has no pieces; a null id is a key like any
 other; repeated rows get equal ids; ties in score go to the left; an empty table gives no rows.
@@ -33,12 +32,14 @@ from .common import as_large, slices
 
 SPACE = "▁"
 SLICE = 6 << 20
-#: agenda states that a Python worker keeps from one block of occurrences to the next
-KEPT = 400_000
+#: chunks whose symbols are kept side by side while they are merged in step
+KEPT = 1 << 14
 OCCURRENCES = 1 << 16  # of a block
-WIDTHS = (6, 10, 18, 48)  # symbols of a state, padded to one of these
-LONGEST = WIDTHS[-1]  # characters of a chunk whose states are kept
-FAR = np.int32(1 << 30)
+WIDTHS = (*range(1, 13), 16, 24, 48)  # symbols of a chunk, padded to one of these
+LONGEST = WIDTHS[-1]  # characters of a chunk that is merged beside others
+ROWS = 64  # a power of two over LONGEST
+FAR = np.int32((1 << 31) - 1)
+GONE = np.int32(-1 << 31)
 _A, _B, _C = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 _FULL = (1 << 64) - 1
 
@@ -117,7 +118,6 @@ class Pieces:
         self.raw = np.frombuffer(b"".join(raw), np.uint8)
         self.raw_size = np.array([len(r) for r in raw], np.int64)
         self.raw_start = np.cumsum(self.raw_size) - self.raw_size
-        self.states = States(self)
 
     def _slot(self, keys: np.ndarray, probe: int) -> np.ndarray:
         return ((_mix(keys.astype(np.uint64)) >> np.uint64(64 - self.bits)).astype(np.int64) + probe) & ((1 << self.bits) - 1)
@@ -161,133 +161,116 @@ class Pieces:
         return (self.beside[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-class States:
-    """Agenda states of short chunks, reached by merging or skipping one candidate after the other.
+class Chunks:
+    """Distinct short chunks, by width: the symbols and candidates that each starts from, and its course when no
+    candidate is skipped, as ``place * _A + piece * _B`` of every merge, and the ids this ends with.
 
-    A node has the candidate at the head of its agenda (place ``start`` of the left symbol and ``merged`` piece, -1
-    when nothing is left), its children if it is merged (0) and skipped (1), and, without a candidate, its ids.
-    A symbol is a piece, or -1 - c for a character c without one.  Nothing here depends on seed or dropout."""
+    Chunks lie side by side, a column each and a row for every character; a merge leaves its symbol in the left
+    row, so a row is the place of its symbol.  A symbol is a piece, -1 - c for a character c without one, or
+    ``GONE``; a candidate is its rank and its row in one number, ``FAR`` where there is none.  The row behind the
+    last is the neighbour of the first and last symbols, and merges with nothing."""
 
-    def __init__(self, vocabulary: Pieces):
+    def __init__(self, vocabulary: Pieces, words: list[str]):
         self.vocabulary = vocabulary
-        self.clear()
-
-    def clear(self) -> None:
-        self.root: dict[str, int] = {}
-        self.n = self.n_out = 0
-        self.node = {k: np.zeros((1024, *shape), t) for k, t, shape in (
-            ("start", np.int32, ()), ("merged", np.int32, ()), ("child", np.int32, (2,)), ("size", np.int32, ()),
-            ("width", np.int8, ()), ("row", np.int32, ()), ("at", np.int64, ()))}
-        self.out = np.zeros(4096, np.uint32)
-        self.used = [0] * len(WIDTHS)
-        self.table = [{"ids": np.zeros((64, w), np.int32), "start": np.zeros((64, w), np.int8), "rank": np.zeros((64, w), np.int32),
-                       "best": np.zeros(64, np.int8)} for w in WIDTHS]
-
-    @staticmethod
-    def _room(columns: dict[str, np.ndarray], n: int) -> None:
-        for k, a in columns.items():
-            if n > len(a):
-                columns[k] = np.zeros((max(n, 2 * len(a)), *a.shape[1:]), a.dtype)
-                columns[k][:len(a)] = a
-
-    def _add(self, w: int, ids: np.ndarray, start: np.ndarray, rank: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """The nodes of new states of width number ``w``."""
-        each = np.arange(len(ids))
-        nodes = self.n + each
-        self.n += len(ids)
-        self._room(self.node, self.n)
-        best = rank.argmin(1)  # the first of the least ranks
-        low = rank[each, best]
-        left = low < FAR
-        merged = np.where(left, self.vocabulary.piece_of_rank[np.where(left, low, 0)], -1)
-        shared = np.flatnonzero(left & (merged < 0))  # a score that several pieces have
-        if len(shared):
-            merged[shared] = self.vocabulary.pair(ids[shared, best[shared]], ids[shared, best[shared] + 1])
-        self.node["start"][nodes], self.node["merged"][nodes] = start[each, best], merged
-        self.node["child"][nodes], self.node["size"][nodes], self.node["width"][nodes] = -1, size, w
-        rows = self.used[w] + np.arange(int(left.sum()))
-        self.used[w] += len(rows)
-        self._room(self.table[w], self.used[w])
-        t = self.table[w]
-        t["ids"][rows], t["start"][rows], t["rank"][rows], t["best"][rows] = ids[left], start[left], rank[left], best[left]
-        self.node["row"][nodes[left]] = rows
-        self._finish(nodes[~left], ids[~left], size[~left])
-        return nodes
-
-    def _finish(self, nodes: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
-        """Store the ids of nodes without a candidate; characters without a piece become byte pieces."""
-        live = np.arange(ids.shape[1]) < size[:, None]
-        flat, count = ids[live], size.astype(np.int64)
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        self.kind = np.where(length <= LONGEST, np.searchsorted(WIDTHS, length), -1)
+        self.column = np.zeros(len(words), np.int64)
+        self.steps, self.size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        self.first: dict[int, tuple[np.ndarray, ...]] = {}
+        chunks, course, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for w in np.unique(self.kind[self.kind >= 0]).tolist():
+            some = np.flatnonzero(self.kind == w)
+            self.column[some] = np.arange(len(some))
+            self.first[w] = self._first([words[i] for i in some.tolist()], length[some], WIDTHS[w])
+            for i in range(0, len(some), KEPT):
+                part = some[i:i + KEPT]
+                out, self.size[part], passed = self.merge(w, self.column[part], None, 0)
+                lane = np.concatenate([x for x, _ in passed] or chunks[:1])
+                order = np.argsort(lane, kind="stable")
+                course.append(np.concatenate([x for _, x in passed] or course[:1])[order])
+                self.steps[part] = np.bincount(lane, minlength=len(part))
+                ids.append(out)
+                chunks.append(part)
+        at = np.concatenate(chunks)
+        self.course, self.ids = np.concatenate(course), np.concatenate(ids)
+        self.course_at, self.ids_at = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        self.course_at[at] = np.cumsum(self.steps[at]) - self.steps[at]
+        self.ids_at[at] = np.cumsum(self.size[at]) - self.size[at]
+
+    def _first(self, words: list[str], length: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+        """(symbols, candidates, rows after and rows before) of chunks of at most ``width`` characters."""
+        cp = np.frombuffer("".join([x.ljust(width) for x in words]).encode("utf-32-le", "surrogatepass"), "<u4")
+        cp = np.ascontiguousarray(cp.astype(np.int32).reshape(-1, width).T)
+        row = np.arange(width, dtype=np.int32)[:, None]
+        ids, order = (np.full((width + 1, len(words)), x, np.int32) for x in (GONE, FAR))
+        after, before = (np.full((width + 1, len(words)), width, np.int8) for _ in range(2))
+        piece = self.vocabulary.of_chars(cp)
+        ids[:-1] = np.where(row >= length, GONE, np.where(piece < 0, -1 - cp, piece))
+        order[:-2] = self._candidate(ids[:-2], ids[1:-1], row[:-1])
+        after[:-1] = np.where(row + 1 < length, row + 1, width)
+        before[1:-1] = row[:-1]
+        return ids, order, after, before
+
+    def _candidate(self, a: np.ndarray, b: np.ndarray, row: np.ndarray) -> np.ndarray:
+        rank = self.vocabulary.ranks(a.ravel(), b.ravel()).reshape(a.shape)
+        return np.where(rank < FAR, rank * ROWS + row, FAR)
+
+    def merge(self, w: int, column: np.ndarray, keys: np.ndarray | None, limit: int) -> tuple:
+        """(ids of the chunks in these columns, number of each one's, merges made), all chunks in step; without
+        ``keys`` nothing is skipped, and only then the merges are noted, as (chunks, ``course`` of each) a step."""
+        vocabulary, n, width = self.vocabulary, len(column), WIDTHS[w]
+        symbols, order, after, before = (np.ascontiguousarray(x[:, column]) for x in self.first[w])
+        ids, candidate, after, before = (x.reshape(-1) for x in (symbols, order, after, before))
+        passed = []
+        while True:
+            best = order.min(axis=0)  # the leftmost of the least ranks
+            lane = np.flatnonzero(best < FAR)
+            if not len(lane):
+                break
+            best = best[lane]
+            row = (best & (ROWS - 1)).astype(np.int64)
+            at, merged = row * n + lane, vocabulary.piece_of_rank[best // ROWS]
+            shared = np.flatnonzero(merged < 0)  # a score that several pieces have
+            if len(shared):
+                right = after[at[shared]].astype(np.int64) * n + lane[shared]
+                merged[shared] = vocabulary.pair(ids[at[shared]], ids[right])
+            if keys is None:
+                with np.errstate(over="ignore"):
+                    passed.append((lane, row.astype(np.uint64) * np.uint64(_A) + merged.astype(np.uint64) * np.uint64(_B)))
+            else:
+                skip = _skips(keys[lane], row, merged, limit)
+                candidate[at[skip]] = FAR
+                lane, row, at, merged = (x[~skip] for x in (lane, row, at, merged))
+            gone = after[at].astype(np.int64) * n + lane
+            behind, ahead = after[gone], before[at]
+            ids[at], ids[gone], candidate[gone] = merged, GONE, FAR
+            after[at], next_ = behind, behind.astype(np.int64) * n + lane
+            before[next_] = row
+            last = ahead.astype(np.int64) * n + lane  # the merged symbol's pairs with its neighbours
+            candidate[np.concatenate((at, last))] = self._candidate(
+                np.concatenate((merged, ids[last])), np.concatenate((ids[next_], merged)),
+                np.concatenate((row, ahead)).astype(np.int32))
+        symbols = symbols[:-1].T
+        live = symbols > GONE
+        flat, count = symbols[live], live.sum(axis=1)
         if (flat < 0).any():
-            parts = [[x] if x >= 0 else [int(self.vocabulary.byte_id[b]) for b in chr(-1 - x).encode("utf-8", "surrogatepass")]
+            parts = [[x] if x >= 0 else [int(vocabulary.byte_id[b]) for b in chr(-1 - x).encode("utf-8", "surrogatepass")]
                      for x in flat.tolist()]
-            owner = np.repeat(np.arange(len(nodes)), size)
-            count = np.bincount(owner, weights=[len(x) for x in parts], minlength=len(nodes)).astype(np.int64)
+            owner = np.repeat(np.arange(n), count)
+            count = np.bincount(owner, weights=[len(x) for x in parts], minlength=n).astype(np.int64)
             flat = np.array([x for part in parts for x in part], np.int64)
-        room = {"out": self.out}
-        self._room(room, self.n_out + len(flat))
-        self.out = room["out"]
-        self.out[self.n_out:self.n_out + len(flat)] = flat
-        self.node["at"][nodes], self.node["size"][nodes] = self.n_out + np.cumsum(count) - count, count
-        self.n_out += len(flat)
-
-    def roots(self, chunks: list[str]) -> np.ndarray:
-        """The first states of distinct chunks of at most ``LONGEST`` characters."""
-        out = np.array([self.root.get(c, -1) for c in chunks], np.int64)
-        new = np.flatnonzero(out < 0)
-        length = np.array([len(chunks[i]) for i in new.tolist()], np.int64)
-        kind = np.searchsorted(WIDTHS, length)
-        for w in np.unique(kind).tolist():
-            some, n, width = new[kind == w], length[kind == w], WIDTHS[w]
-            cp = np.frombuffer("".join(chunks[i].ljust(width) for i in some.tolist()).encode("utf-32-le", "surrogatepass"), "<u4")
-            cp = cp.astype(np.int32).reshape(-1, width)
-            ids = self.vocabulary.of_chars(cp)
-            ids = np.where(ids < 0, -1 - cp, ids)
-            rank = np.full(ids.shape, FAR, np.int32)
-            rank[:, :-1] = self.vocabulary.ranks(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(some), -1)
-            rank[np.arange(width) >= n[:, None] - 1] = FAR
-            out[some] = self._add(w, ids, np.tile(np.arange(width, dtype=np.int8), (len(some), 1)), rank, n)
-        self.root.update((chunks[i], int(out[i])) for i in new.tolist())
-        return out
+        return flat, count, passed
 
-    def _next(self, nodes: np.ndarray, skipped: np.ndarray) -> np.ndarray:
-        """New children of ``nodes``: their candidate is skipped or merged."""
-        out = np.zeros(len(nodes), np.int64)
-        kind = self.node["width"][nodes]
-        for w in np.unique(kind).tolist():
-            which = np.flatnonzero(kind == w)
-            t, own, skip = self.table[w], nodes[which], skipped[which] == 1
-            row, each, column = self.node["row"][own], np.arange(len(own)), np.arange(WIDTHS[w])
-            best, size = t["best"][row].astype(np.int64), self.node["size"][own] - ~skip
-            # what lies behind a merged pair moves up
-            source = np.minimum(column + ((column > best[:, None]) & ~skip[:, None]), WIDTHS[w] - 1)
-            ids, start, rank = (np.take_along_axis(t[k][row], source, 1) for k in ("ids", "start", "rank"))
-            rank[each, best] = FAR
-            ids[each[~skip], best[~skip]] = self.node["merged"][own[~skip]]
-            for shift in (-1, 0):  # the merged symbol's pairs with its neighbours
-                at = best + shift
-                i = np.flatnonzero(~skip & (at >= 0) & (at < size - 1))
-                rank[i, at[i]] = self.vocabulary.ranks(ids[i, at[i]], ids[i, at[i] + 1])
-            out[which] = self._add(w, ids, start, rank, size)
-        return out
-
-    def walk(self, at: np.ndarray, keys: np.ndarray, limit: int) -> np.ndarray:
-        """The last state of every occurrence, from its chunk's first state and its key."""
-        out, going = at.copy(), np.arange(len(at))
-        while True:
-            at = out[going]
-            more = self.node["merged"][at] >= 0
-            going, at = going[more], at[more]
-            if not len(going):
-                return out
-            skip = _skips(keys[going], self.node["start"][at], self.node["merged"][at], limit).astype(np.int64)
-            child = self.node["child"][at, skip]
-            if (child < 0).any():
-                edges = np.unique(2 * at[child < 0] + skip[child < 0])
-                made = self._next(edges >> 1, edges & 1)
-                self.node["child"][edges >> 1, edges & 1] = made
-                child = self.node["child"][at, skip]
-            out[going] = child
+    def strays(self, codes: np.ndarray, keys: np.ndarray, limit: int) -> np.ndarray:
+        """The occurrences that skip some candidate of their chunk's course."""
+        if not limit:
+            return np.zeros(0, np.int64)
+        steps = self.steps[codes]
+        ends = np.cumsum(steps)
+        take = np.arange(ends[-1]) + np.repeat(self.course_at[codes] - ends + steps, steps)
+        with np.errstate(over="ignore"):
+            skip = _mix(np.repeat(keys, steps) + self.course[take]) >> np.uint64(11) < np.uint64(limit)
+        return np.unique(np.searchsorted(ends, np.flatnonzero(skip), side="right"))
 
 
 @lru_cache(maxsize=2)
@@ -348,29 +331,34 @@ def merge_chunk(vocabulary: Pieces, chunk: str, key: int, dropout: float) -> lis
     return out
 
 
-def merge_block(vocabulary: Pieces, chunks: list[str], codes: np.ndarray, keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of the occurrences ``chunks[codes]`` one after the other, number of each one's)."""
-    states, limit = vocabulary.states, int(dropout * (1 << 53))
-    if states.n > KEPT:
-        states.clear()
-    seen, which = np.unique(codes, return_inverse=True)
-    words = [chunks[c] for c in seen.tolist()]
-    short = np.flatnonzero([len(x) <= LONGEST for x in words])
-    first = np.full(len(words), -1, np.int64)
-    first[short] = states.roots([words[i] for i in short.tolist()])
-    at = first[which]
-    begin, count = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
-    walked = np.flatnonzero(at >= 0)
-    last = states.walk(at[walked], keys[walked], limit)
-    begin[walked], count[walked] = states.node["at"][last], states.node["size"][last]
-    tables, end = [states.out[:states.n_out]], states.n_out
-    for i in np.flatnonzero(at < 0).tolist():
-        tables.append(np.array(merge_chunk(vocabulary, words[which[i]], int(keys[i]), dropout), np.uint32))
+def merge_all(vocabulary: Pieces, words: list[str], codes: np.ndarray, keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of the occurrences ``words[codes]`` one after the other, number of each one's)."""
+    limit, chunks = int(dropout * (1 << 53)), Chunks(vocabulary, words)
+    begin, count = chunks.ids_at[codes], chunks.size[codes]
+    tables, end = [chunks.ids.astype(np.uint32)], len(chunks.ids)
+    kind = chunks.kind[codes].astype(np.int8)
+    strays = [np.zeros(0, np.int64)]
+    for i in range(0, len(codes), OCCURRENCES):
+        strays.append(i + chunks.strays(codes[i:i + OCCURRENCES], keys[i:i + OCCURRENCES], limit))
+    stray = np.concatenate(strays)
+    for w in np.unique(kind[stray]).tolist():
+        some = stray[kind[stray] == w]
+        for i in range(0, len(some), KEPT):
+            part = some[i:i + KEPT]
+            ids, count[part], _ = chunks.merge(w, chunks.column[codes[part]], keys[part], limit)
+            begin[part] = end + np.cumsum(count[part]) - count[part]
+            tables.append(ids.astype(np.uint32))
+            end += len(ids)
+    for i in np.flatnonzero(kind < 0).tolist():
+        tables.append(np.array(merge_chunk(vocabulary, words[codes[i]], int(keys[i]), dropout), np.uint32))
         begin[i], count[i] = end, len(tables[-1])
         end += len(tables[-1])
-    ends = np.cumsum(count)
-    take = np.arange(ends[-1]) + np.repeat(begin - ends + count, count)
-    return np.concatenate(tables)[take], count
+    table, out = np.concatenate(tables), [np.zeros(0, np.uint32)]
+    for i in range(0, len(codes), OCCURRENCES):
+        size = count[i:i + OCCURRENCES]
+        ends = np.cumsum(size)
+        out.append(table[np.arange(ends[-1]) + np.repeat(begin[i:i + OCCURRENCES] - ends + size, size)])
+    return np.concatenate(out), count
 
 
 def encode_texts(vocabulary: Pieces, texts: pa.Array, keys: np.ndarray, seed: int, dropout: float) -> tuple[np.ndarray, np.ndarray]:
@@ -399,12 +387,8 @@ def encode_texts(vocabulary: Pieces, texts: pa.Array, keys: np.ndarray, seed: in
     number = np.arange(len(codes)) - np.repeat(starts[:-1], counts)
     with np.errstate(over="ignore"):
         draw = _mix(np.repeat(keys.view(np.uint64), counts) + number.astype(np.uint64) * np.uint64(_C) + np.uint64(seed & _FULL))
-    words, ids, sizes = coded.dictionary.to_pylist(), [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
-    for i in range(0, len(codes), OCCURRENCES):
-        some, count = merge_block(vocabulary, words, codes[i:i + OCCURRENCES], draw[i:i + OCCURRENCES], dropout)
-        ids.append(some)
-        sizes.append(count)
-    return np.concatenate(ids), np.cumsum(np.concatenate(sizes))[starts]
+    ids, sizes = merge_all(vocabulary, coded.dictionary.to_pylist(), codes, draw, dropout)
+    return ids, np.concatenate(([0], np.cumsum(sizes)))[starts]
 
 
 def decode_ids(vocabulary: Pieces, ids: np.ndarray) -> bytes:

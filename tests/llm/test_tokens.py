@@ -209,6 +209,24 @@ def test_every_occurrence_draws_anew(monkeypatch):
     assert cuts[0] != cuts[1]
 
 
+def test_only_occurrences_that_skip_run_their_own_agenda(monkeypatch):
+    """Of a chunk of one merge, those that come out in two pieces; of many distinct chunks, each once and its strays."""
+    alone, run = [], sentencepieces.Chunks.merge
+
+    def merge(self, w, column, keys, limit):
+        alone.append((len(column), keys is not None))
+        return run(self, w, column, keys, limit)
+
+    monkeypatch.setattr(sentencepieces.Chunks, "merge", merge)
+    got = _encode(["a" + " a" * 9999], 1, 0.1)[0]
+    assert sum(n for n, drawn in alone if not drawn) == 1
+    assert sum(n for n, drawn in alone if drawn) == len(got) - 10_000
+    alone.clear()
+    rnd = random.Random(5)
+    _encode([" ".join("".join(rnd.choices("etaoinshrdlu", k=6)) for _ in range(3000)) for _ in range(2)], 1, 0.0)
+    assert 3000 < sum(n for n, _ in alone) <= 6000 and not any(drawn for _, drawn in alone)
+
+
 def test_a_million_joined_letters():
     text = "abcdefghij" * 20_000 + "x" * 800_000
     ids = _encode([text], 1, 0.1)[0]
