@@ -16,10 +16,12 @@ other.  Work is tiled so that no link is lost and no all-pairs join is made:
    ``(|A| + |B| - popcount(a xor b)) / 2``; only pairs that could reach the ratio are checked, by
    intersecting their sorted arrays.
 3. Connected components of those links.  Tiles that still hold more than one component are cut into
-   blocks of bounded size, in which members show a folded bitmap (a bound as well, if a looser one).  Within each pair of blocks the pairs across components pass the same bit
-   count bound and exact check: in a first round the likeliest pair of each node, which joins most
-   components that belong together (as in Boruvka's algorithm), then all pairs that are left.  Every pair that shares a tile is thereby joined by verified links or
-   tested itself.
+   blocks of bounded size, in which members show a folded bitmap (a bound as well, if a looser one).
+   Of tiles with the same members one is enough.  Within each pair of blocks the pairs across components
+   pass the same bit count bound and exact check: in a first round the likeliest pair of each node, which
+   joins most components that belong together (as in Boruvka's algorithm), then, in the tiles where some
+   node had more than one, all pairs that are left.  Every pair that shares a tile is thereby joined by
+   verified links or tested itself.
 
 Defined results: null or empty texts and texts without words have an empty set, are linked with
 nothing and are their own group; texts of fewer words than n have one shingle, the whole sequence;
@@ -49,6 +51,8 @@ _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x1
 _SEEN = 200_000
 #: rows of a tile that one block holds
 BLOCK = 2048
+#: pairs of rows, and words of their bitmaps, that are compared at once
+PAIRS, WORDS = 1 << 17, 1 << 19
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -245,53 +249,103 @@ def _linked(num: int, den: int):
     return F.arrow_udf(run, "boolean")
 
 
+def _at_width(bits: pa.ListArray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bitmaps of ``words`` words of all rows that have as many or more, each row's place among them or -1)."""
+    at = bits.offsets.to_numpy().astype(np.int64)
+    flat, size = bits.values.to_numpy().view(np.uint64), np.diff(at)
+    place = np.full(len(size), -1, np.int64)
+    parts, n = [np.zeros((0, words), np.uint64)], 0
+    for width in np.unique(size[size >= words]).tolist():
+        some = np.flatnonzero(size == width)
+        whole = flat[at[:-1][some][:, None] + np.arange(width)]
+        parts.append(np.bitwise_or.reduce(whole.reshape(len(some), width // words, words), axis=1))
+        place[some] = n + np.arange(len(some))
+        n += len(some)
+    return np.concatenate(parts), place
+
+
 def _across(num: int, den: int, most_likely: int | None):
-    """Rows (block pair, side, node, size, label, bits), one block pair after another -> pairs of
+    """Rows (tile, blocks, side, node, size, label, bits), one block pair after another, side 0 first -> pairs of
     nodes of different components whose bit counts leave the ratio possible; with ``most_likely``,
-    for each node only that many, those of the highest bounds."""
-    def pairs(rows: list[tuple]) -> tuple[list[int], list[int]]:
-        ua, ub = [], []
-        sides = [np.array([r[1] for r in rows]) == s for s in (0, 1)]
-        node, size, label = (np.array([r[i] for r in rows], np.int64) for i in (2, 3, 4))
-        words = min(len(r[5]) for r in rows)
-        bits = np.stack([_fold(np.array(r[5], np.int64).view(np.uint64), words) for r in rows])
-        same_block = not sides[1].any()
-        left = np.flatnonzero(sides[0])
-        right = left if same_block else np.flatnonzero(sides[1])
-        for k, i in enumerate(left.tolist()):
-            js = right[k + 1:] if same_block else right
-            small, large = np.minimum(size[js], size[i]), np.maximum(size[js], size[i])
-            js = js[(label[js] != label[i]) & (den * small >= num * large)]
-            if len(js):
-                most = overlap_bound(size[js], size[i], bits[js], bits[i][None, :])
-                able = den * most >= num * (size[js] + size[i] - most)
-                js, most = js[able], most[able]
-                if most_likely and len(js) > most_likely:
-                    js = js[np.argsort(-most / (size[js] + size[i]), kind="stable")[:most_likely]]
-                # tiles repeat the pairs of one another; a pair is sent once while it is remembered
-                new = [p for p in ((int(node[i]), x) for x in node[js].tolist()) if p not in sent]
-                if len(sent) + len(new) > _SEEN:
-                    sent.clear()
-                sent.update(new)
-                ua += [p[0] for p in new]
-                ub += [p[1] for p in new]
-        return ua, ub
-
+    for each node only that many, those of the highest bounds, and the tiles in which some node has more."""
     sent: set[tuple[int, int]] = set()
 
+    def able(size: np.ndarray, width: np.ndarray, bits: pa.ListArray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of the pairs of rows i and j could reach the ratio, the bound on the overlap of each)."""
+        most, words = np.zeros(len(i), np.int64), np.minimum(width[i], width[j])
+        for w in np.unique(words).tolist():
+            some = np.flatnonzero(words == w)
+            maps, place = matrices[w] if w in matrices else matrices.setdefault(w, _at_width(bits, w))
+            for k in range(0, len(some), max(1, WORDS // w)):
+                part = some[k:k + max(1, WORDS // w)]
+                a, b = i[part], j[part]
+                most[part] = overlap_bound(size[a], size[b], maps[place[a]], maps[place[b]])
+        return den * most >= num * (size[i] + size[j] - most), most
+
+    matrices: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def pairs(rows: pa.RecordBatch) -> tuple[list[int], list[int], list[int]]:
+        tile, blocks, side, node, size, label = (c.to_numpy() for c in rows.columns[:6])
+        bits = rows.column(6)
+        width = np.diff(bits.offsets.to_numpy()).astype(np.int64)
+        matrices.clear()
+        first = np.concatenate(([True], (tile[1:] != tile[:-1]) | (blocks[1:] != blocks[:-1])))
+        group = np.cumsum(first) - 1
+        ends = np.append(np.flatnonzero(first)[1:], len(tile))
+        other = ends - np.bincount(group, weights=side).astype(np.int64)  # where side 1 begins
+        left = np.flatnonzero(side == 0)
+        # a row of side 0 meets side 1, or within one block the rows behind it
+        begin = np.where(other[group[left]] < ends[group[left]], other[group[left]], left + 1)
+        count = ends[group[left]] - begin
+        total = np.cumsum(count)
+        out: tuple[list[int], list[int], list[int]] = ([], [], [])
+        k = 0
+        while k < len(left):
+            # as many rows as have about PAIRS pairs, one at least
+            stop = max(k + 1, int(np.searchsorted(total, (total[k - 1] if k else 0) + PAIRS, side="right")))
+            n = count[k:stop]
+            i = np.repeat(left[k:stop], n)
+            j = np.arange(len(i)) + np.repeat(begin[k:stop] - np.cumsum(n) + n, n)
+            k = stop
+            fit = (label[i] != label[j]) & (den * np.minimum(size[i], size[j]) >= num * np.maximum(size[i], size[j]))
+            i, j = i[fit], j[fit]
+            fit, most = able(size, width, bits, i, j)
+            i, j, most = i[fit], j[fit], most[fit]
+            if most_likely and len(i):
+                order = np.lexsort((-most / (size[i] + size[j]), i))
+                i, j = i[order], j[order]
+                nth = np.arange(len(i)) - np.searchsorted(i, i)
+                out[2].extend(np.unique(tile[i[nth >= most_likely]]).tolist())
+                i, j = i[nth < most_likely], j[nth < most_likely]
+            # tiles repeat the pairs of one another; a pair is sent once while it is remembered
+            new = [p for p in dict.fromkeys(zip(node[i].tolist(), node[j].tolist(), strict=True)) if p not in sent]
+            if len(sent) + len(new) > _SEEN:
+                sent.clear()
+            sent.update(new)
+            out[0].extend(p[0] for p in new)
+            out[1].extend(p[1] for p in new)
+        return out
+
+    def batch(u: list[int], v: list[int], more: list[int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x + [None] * n, pa.int64()) if i < 2 else pa.array([None] * len(u) + x, pa.int64())
+                                           for i, (x, n) in enumerate(((u, len(more)), (v, len(more)), (more, 0)))],
+                                          names=["u", "v", "more"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        for batch in batches:
-            done: tuple[list[int], list[int]] = ([], [])
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if rows and row[0] != rows[0][0]:
-                    for to, more in zip(done, pairs(rows), strict=True):
-                        to += more
-                    rows = []
-                rows.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in done], names=["u", "v"])
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in pairs(rows)], names=["u", "v"])
+        held = None  # the rows of the block pair that the last batch ended in
+        for rows in batches:
+            if not rows.num_rows:
+                continue
+            if held is not None:
+                rows = pa.concat_batches([held, rows])
+            tile, blocks = (rows.column(i).to_numpy() for i in (0, 1))
+            cut = len(tile) - int(np.argmin(((tile == tile[-1]) & (blocks == blocks[-1]))[::-1])) if (
+                tile[0] != tile[-1] or blocks[0] != blocks[-1]) else 0
+            held = pa.concat_batches([rows.slice(cut)])
+            if cut:
+                yield batch(*pairs(pa.concat_batches([rows.slice(0, cut)])))
+        if held is not None:
+            yield batch(*pairs(held))
     return run
 
 
@@ -371,22 +425,33 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     everyone = stars.select("tile", "node").union(stars.select("tile", "centre")).distinct()
     for name, most_likely in (("likely", 1), ("rest", None)):
         member = everyone.join(labels, "node", "left").select("tile", "node", F.coalesce("label", "node").alias("label"))
-        split = (member.groupBy("tile").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m"))
-                 .filter("lo <> hi").select("tile", F.ceil(F.col("m") / BLOCK).alias("g")))
+        # copies of a passage share many segments: of tiles with the same members one is enough
+        split = (member.groupBy("tile").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m"),
+                                            F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+                 .filter("lo <> hi").groupBy("m", "x", "y").agg(F.min("tile").alias("tile"))
+                 .select("tile", F.ceil(F.col("m") / BLOCK).alias("g")))
         blocks = member.join(split, "tile").select(
-            "tile", "node", "label", F.pmod(F.xxhash64("node"), F.col("g")).alias("c"),
+            "tile", "node", "label", "g", F.pmod(F.xxhash64("node"), F.col("g")).alias("c"),
             F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("o"))
-        # a node meets others in many tiles: there it shows a bitmap folded to two bits an element or so, and
+        # a node meets others in many tiles: there it shows a bitmap folded to a bit an element or so, and
         # the pairs that this leaves possible meet their whole bitmaps afterwards
-        across = (blocks.join(met.select("node", "size", F.col("coarse").alias("bits")), "node")
-                  .select(F.xxhash64("tile", F.least("c", "o"), F.greatest("c", "o")).alias("block"),
-                          F.when(F.col("c") > F.col("o"), 1).otherwise(0).alias("side"), "node", "size", "label", "bits")
-                  .repartition("block").sortWithinPartitions("block", "node")
-                  .mapInArrow(_across(num, den, most_likely), "u long, v long").distinct())
-        links = links.union(verified(possible(across), name))
+        (blocks.join(met.select("node", "size", F.col("coarse").alias("bits")), "node")
+         .select("tile", (F.least("c", "o") * F.col("g") + F.greatest("c", "o")).alias("blocks"),
+                 F.when(F.col("c") > F.col("o"), 1).otherwise(0).alias("side"), "node", "size", "label", "bits")
+         .repartition("tile", "blocks").sortWithinPartitions("tile", "blocks", "side", "node")
+         .mapInArrow(_across(num, den, most_likely), "u long, v long, more long").write.parquet(f"{folder}/{name}-found"))
+        del member, split, blocks
+        release(spark)
+        across = spark.read.schema("u long, v long, more long").parquet(f"{folder}/{name}-found")
+        links = links.union(verified(possible(across.filter("u is not null").select("u", "v").distinct()), name))
         labels = connected_components(links)
         labels.write.parquet(f"{folder}/labels-{name}")
         labels = spark.read.schema("node long, label long").parquet(f"{folder}/labels-{name}")
+        # elsewhere all possible pairs have been sent
+        more = across.filter("more is not null").select(F.col("more").alias("tile")).distinct()
+        if not more.head(1):
+            break
+        everyone = everyone.join(more, "tile", "left_semi")
 
     # the least id of every group, by node first, so copies are aggregated before the shuffle
     own = F.when(F.col("_null") == 0, F.col("_id"))
@@ -416,8 +481,8 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col:
 
 
 def _coarse(bits: str, size: str):
-    """A bitmap folded to 1.5 bits an element or more, eight words at least."""
-    words = f"cast(least(size({bits}), greatest(8, pow(2, ceil(log2(greatest({size}, 1) * 3 / 128.0))))) as int)"
+    """A bitmap folded to 0.75 bits an element or more, eight words at least."""
+    words = f"cast(least(size({bits}), greatest(8, pow(2, ceil(log2(greatest({size}, 1) * 3 / 256.0))))) as int)"
     return F.expr(f"transform(array({words}), w -> transform(sequence(0, w - 1), i -> aggregate("
                   f"sequence(0, size({bits}) div w - 1), 0L, (s, j) -> s | {bits}[i + j * w])))[0]")
 

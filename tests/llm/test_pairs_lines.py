@@ -197,3 +197,51 @@ def test_stars_across_batches():
                    for i in range(0, len(pairs), size)]
         got = [tuple(r.values()) for b in jaccard._stars(iter(batches)) for r in b.to_pylist()]
         assert got == want, size
+
+
+def test_pairs_across_components_of_whole_batches(monkeypatch):
+    """Block pairs that span batches give every possible pair once, compared many at a time; tiles with more
+    candidates than were sent are named."""
+    rnd = np.random.default_rng(4)
+    table = []  # tile, blocks, side, node, size, label, bits
+    for tile in range(300):
+        blocks = tile % 3
+        for node in np.unique(rnd.integers(0, 400, rnd.integers(2, 30))).tolist():
+            own = np.random.default_rng(node % 40)  # nodes of one remainder are much alike
+            bits = np.array([own.integers(0, 1 << 62, 16)]).ravel()[:16 if node % 3 else 8]
+            table.append((tile, blocks, node % 2 if blocks else 0, node, 100 + node % 20, node // 100, bits.tolist()))
+    table.sort(key=lambda r: r[:4])
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+
+    def run(most_likely, size):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*table[i:i + size]), kinds)], names=list("abcdefg"))
+                   for i in range(0, len(table), size)]
+        return [tuple(r.values()) for b in jaccard._across(80, 100, most_likely)(iter(batches)) for r in b.to_pylist()]
+
+    want, crowded = set(), set()
+    for tile in range(300):
+        mine = [r for r in table if r[0] == tile]
+        two = any(r[2] for r in mine)
+        for k, x in enumerate(mine):
+            able = []
+            for y in (mine[k + 1:] if not two else mine):
+                words = min(len(x[6]), len(y[6]))
+                a, b = (jaccard._fold(np.array(r[6], np.uint64), words) for r in (x, y))
+                most = int(jaccard.overlap_bound(np.array([x[4]]), np.array([y[4]]), a[None], b[None])[0])
+                if (not two or (x[2], y[2]) == (0, 1)) and x[5] != y[5] and 100 * most >= 80 * (x[4] + y[4] - most):
+                    able.append((x[3], y[3]))
+            want.update(able)
+            if len(able) > 1:
+                crowded.add(tile)
+    assert want and crowded and len(crowded) < 300
+    calls, bound = [], jaccard.overlap_bound
+    monkeypatch.setattr(jaccard, "overlap_bound", lambda *a: calls.append(len(a[0])) or bound(*a))
+    for size in (7, 1000, len(table)):
+        calls.clear()
+        got = run(None, size)
+        assert sorted((u, v) for u, v, _ in got) == sorted(want), size
+        if size == len(table):
+            assert len(calls) < len(table) / 100
+        some = run(1, size)
+        assert {t for *_, t in some if t is not None} == crowded, size
+        assert {(u, v) for u, v, t in some if t is None} <= want, size
