@@ -19,9 +19,10 @@ other.  Work is tiled so that no link is lost and no all-pairs join is made:
    blocks of bounded size, in which members show a folded bitmap (a bound as well, if a looser one).
    Of tiles with the same members one is enough.  Within each pair of blocks the pairs across components
    pass the same bit count bound and exact check: in a first round the likeliest pair of each node, which
-   joins most components that belong together (as in Boruvka's algorithm), then, in the tiles where some
-   node had more than one, all pairs that are left.  Every pair that shares a tile is thereby joined by
-   verified links or tested itself.
+   joins most components that belong together (as in Boruvka's algorithm), then all pairs that are left
+   of the nodes that were in one not sent, tile by tile.  In this round members show whole bitmaps, so that only
+   pairs close to the ratio leave a tile, however many of its texts are somewhat alike.  Every pair that
+   shares a tile is thereby joined by verified links or tested itself.
 
 Defined results: null or empty texts and texts without words have an empty set, are linked with
 nothing and are their own group; texts of fewer words than n have one shingle, the whole sequence;
@@ -267,7 +268,7 @@ def _at_width(bits: pa.ListArray, words: int) -> tuple[np.ndarray, np.ndarray]:
 def _across(num: int, den: int, most_likely: int | None):
     """Rows (tile, blocks, side, node, size, label, bits), one block pair after another, side 0 first -> pairs of
     nodes of different components whose bit counts leave the ratio possible; with ``most_likely``,
-    for each node only that many, those of the highest bounds, and the tiles in which some node has more."""
+    for each node only that many, those of the highest bounds, and (as u, more) the nodes of the others with their tiles."""
     sent: set[tuple[int, int]] = set()
 
     def able(size: np.ndarray, width: np.ndarray, bits: pa.ListArray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -284,7 +285,7 @@ def _across(num: int, den: int, most_likely: int | None):
 
     matrices: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    def pairs(rows: pa.RecordBatch) -> tuple[list[int], list[int], list[int]]:
+    def pairs(rows: pa.RecordBatch) -> tuple[list[int], list[int], list[int], list[int]]:
         tile, blocks, side, node, size, label = (c.to_numpy() for c in rows.columns[:6])
         bits = rows.column(6)
         width = np.diff(bits.offsets.to_numpy()).astype(np.int64)
@@ -298,7 +299,8 @@ def _across(num: int, den: int, most_likely: int | None):
         begin = np.where(other[group[left]] < ends[group[left]], other[group[left]], left + 1)
         count = ends[group[left]] - begin
         total = np.cumsum(count)
-        out: tuple[list[int], list[int], list[int]] = ([], [], [])
+        out: tuple[list[int], list[int]] = ([], [])
+        pending = np.zeros(len(tile), bool)  # rows in a pair that is not sent
         k = 0
         while k < len(left):
             # as many rows as have about PAIRS pairs, one at least
@@ -315,7 +317,7 @@ def _across(num: int, den: int, most_likely: int | None):
                 order = np.lexsort((-most / (size[i] + size[j]), i))
                 i, j = i[order], j[order]
                 nth = np.arange(len(i)) - np.searchsorted(i, i)
-                out[2].extend(np.unique(tile[i[nth >= most_likely]]).tolist())
+                pending[i[nth >= most_likely]] = pending[j[nth >= most_likely]] = True
                 i, j = i[nth < most_likely], j[nth < most_likely]
             # tiles repeat the pairs of one another; a pair is sent once while it is remembered
             new = [p for p in dict.fromkeys(zip(node[i].tolist(), node[j].tolist(), strict=True)) if p not in sent]
@@ -324,11 +326,10 @@ def _across(num: int, den: int, most_likely: int | None):
             sent.update(new)
             out[0].extend(p[0] for p in new)
             out[1].extend(p[1] for p in new)
-        return out
+        return *out, node[pending].tolist(), tile[pending].tolist()
 
-    def batch(u: list[int], v: list[int], more: list[int]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x + [None] * n, pa.int64()) if i < 2 else pa.array([None] * len(u) + x, pa.int64())
-                                           for i, (x, n) in enumerate(((u, len(more)), (v, len(more)), (more, 0)))],
+    def batch(u: list[int], v: list[int], left: list[int], more: list[int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (u + left, v + [None] * len(more), [None] * len(u) + more)],
                                           names=["u", "v", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -433,9 +434,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
         blocks = member.join(split, "tile").select(
             "tile", "node", "label", "g", F.pmod(F.xxhash64("node"), F.col("g")).alias("c"),
             F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("o"))
-        # a node meets others in many tiles: there it shows a bitmap folded to a bit an element or so, and
-        # the pairs that this leaves possible meet their whole bitmaps afterwards
-        (blocks.join(met.select("node", "size", F.col("coarse").alias("bits")), "node")
+        # a node meets others in many tiles: there it shows a bitmap folded to a bit an element or so at first, and
+        # the pairs that this leaves possible meet their whole bitmaps afterwards; few nodes are left to the second
+        # round, where such a bitmap would leave possible nearly all pairs of a family of texts, so they show the whole
+        (blocks.join(met.select("node", "size", F.col("coarse" if most_likely else "bits").alias("bits")), "node")
          .select("tile", (F.least("c", "o") * F.col("g") + F.greatest("c", "o")).alias("blocks"),
                  F.when(F.col("c") > F.col("o"), 1).otherwise(0).alias("side"), "node", "size", "label", "bits")
          .repartition("tile", "blocks").sortWithinPartitions("tile", "blocks", "side", "node")
@@ -443,15 +445,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
         del member, split, blocks
         release(spark)
         across = spark.read.schema("u long, v long, more long").parquet(f"{folder}/{name}-found")
-        links = links.union(verified(possible(across.filter("u is not null").select("u", "v").distinct()), name))
+        found = across.filter("more is null").select("u", "v").distinct()
+        links = links.union(verified(possible(found) if most_likely else found, name))
         labels = connected_components(links)
         labels.write.parquet(f"{folder}/labels-{name}")
         labels = spark.read.schema("node long, label long").parquet(f"{folder}/labels-{name}")
-        # elsewhere all possible pairs have been sent
-        more = across.filter("more is not null").select(F.col("more").alias("tile")).distinct()
-        if not more.head(1):
+        # all other possible pairs have been sent
+        everyone = across.filter("more is not null").select(F.col("more").alias("tile"), F.col("u").alias("node")).distinct()
+        if not everyone.head(1):
             break
-        everyone = everyone.join(more, "tile", "left_semi")
 
     # the least id of every group, by node first, so copies are aggregated before the shuffle
     own = F.when(F.col("_null") == 0, F.col("_id"))

@@ -245,3 +245,36 @@ def test_pairs_across_components_of_whole_batches(monkeypatch):
         some = run(1, size)
         assert {t for *_, t in some if t is not None} == crowded, size
         assert {(u, v) for u, v, t in some if t is None} <= want, size
+
+
+def test_pairs_not_sent_leave_both_nodes_in_their_tile():
+    """Every possible pair of a tile is sent or has both nodes among those left to the second round; others are not left."""
+    rnd = np.random.default_rng(6)
+    table = []
+    for tile in range(40):
+        for node in np.unique(rnd.integers(0, 60, 12)).tolist():
+            bits = np.random.default_rng(node % 12 if node < 40 else node).integers(0, 1 << 62, 8)
+            table.append((tile, 0, 0, node, 100, node, bits.tolist()))
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    whole = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*table), kinds)], names=list("abcdefg"))
+    some = [tuple(r.values()) for b in jaccard._across(80, 100, 1)(iter([whole])) for r in b.to_pylist()]
+    sent, left = {r[:2] for r in some if r[2] is None}, {(t, u) for u, _, t in some if t is not None}
+    alike = [(t, u, v) for t, _, _, u, *_ in table for s, _, _, v, *_ in table
+             if s == t and u < v < 40 and u % 12 == v % 12]
+    assert left and all((u, v) in sent or {(t, u), (t, v)} <= left for t, u, v in alike)
+    assert left <= {(t, x) for t, u, v in alike for x in (u, v)}
+
+
+def test_texts_somewhat_alike_leave_few_pairs(spark, monkeypatch, tmp_path):
+    """A family of texts below the ratio, with a few links: the second round gives no pair of most of them."""
+    rnd = random.Random(8)
+    base, texts = [f"w{i}" for i in range(400)], []
+    for i in range(100):
+        at = rnd.randrange(380)
+        texts.append(base[:at] + [f"o{i}x{k}" for k in range(17)] + base[at + 17:])
+    texts += [[*t[:200], f"c{i}", *t[201:]] for i, t in enumerate(texts[:10])]
+    monkeypatch.setattr(jaccard, "scratch_path", lambda _, name: str(tmp_path / name))
+    df = spark.createDataFrame(list(enumerate(" ".join(t) for t in texts)), "doc_id long, text string")
+    _check_groups(jaccard.near_duplicates(df, 3, 90, 100), [" ".join(t) for t in texts], 3, 90, 100)
+    assert spark.read.parquet(str(tmp_path / "jaccard" / "likely-found")).filter("more is not null").count() > 100
+    assert spark.read.parquet(str(tmp_path / "jaccard" / "rest-found")).count() < 5 * len(texts)
