@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ..operators.index import with_row_index
 from ..session import checkpoint_dir, scratch_path
-from .common import KEY, key_columns
+from .common import KEY, key_columns, release
 
 LOW, HIGH = 0.001, 0.02
 BROADCAST_TERMS = 1 << 20
@@ -181,14 +181,8 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     folder = scratch_path(spark, "imatch")
     terms = lexicon(docs, text_col, low, high, wide)
     base = docs.select(*key_columns(id_col, text_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-
-    # the order, on keys and lengths only: each document's donor is the next one, the last one's the first
-    keys = base.select(*KEY, F.length("text").cast("long").alias("n")).distinct().checkpoint()
-    placed = with_row_index(keys, [F.col("_null"), F.col("_id").desc(), F.col("_h")], "at", count_name="all")
-    order = placed.select(*KEY, "n", "at", "all").checkpoint()
-    taker = order.select(((F.col("at") + 1) % F.col("all")).alias("at"), *[F.col(k).alias(f"to{k}") for k in KEY],
-                         F.expr("cast(n div 3 as int)").alias("need"))
-    donor = order.select("at", *KEY).join(taker, "at").drop("at").checkpoint()
+    donor = _donors(base)
+    release(spark)  # the shuffles of the lexicon and of the order, before the texts are shuffled
 
     # both bands in one query, so the texts are shuffled once and that exchange is read again for the second band
     prints = edited_texts(base, donor)
@@ -201,6 +195,8 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         out = out.unionByName(prints.filter("_copy = 1").select(*KEY, second("text", "_h").alias("pw"), second("edited", "_e").alias("ew"),
                                                                 F.lit(2).alias("band")), allowMissingColumns=True)
     out.write.partitionBy("band").parquet(f"{folder}/prints")
+    del base, prints, out
+    release(spark)  # the shuffled texts, before the fingerprints are shuffled
     kinds = "_id long, _null int, _h long, _copy int, n_chars long, _e long, edited_sha256 string, p array<int>, e array<int>, p_few boolean, e_few boolean"
     more = ", pw array<int>, ew array<int>" if wide is not None else ""
     written = spark.read.schema(f"{kinds}{more}, band int").parquet(f"{folder}/prints")
@@ -224,6 +220,17 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         near("e").alias("near_edited"), near("q").alias("near_next"))
 
 
+def _donors(base: DataFrame) -> DataFrame:
+    """KEY, to KEY and need: the document that each document's beginning goes to, and how many code points of it."""
+    # the order, on keys and lengths only: each document's donor is the next one, the last one's the first
+    keys = base.select(*KEY, F.length("text").cast("long").alias("n")).distinct().checkpoint()
+    placed = with_row_index(keys, [F.col("_null"), F.col("_id").desc(), F.col("_h")], "at", count_name="all")
+    order = placed.select(*KEY, "n", "at", "all").checkpoint()
+    taker = order.select(((F.col("at") + 1) % F.col("all")).alias("at"), *[F.col(k).alias(f"to{k}") for k in KEY],
+                         F.expr("cast(n div 3 as int)").alias("need"))
+    return order.select("at", *KEY).join(taker, "at").drop("at").checkpoint()
+
+
 def _edit_columns() -> list[Column]:
     return [F.when(F.col("_null") == 0, F.col("_id")).alias("doc_id"), F.col("n_chars"), F.col("edited_sha256")]
 

@@ -196,3 +196,34 @@ def test_large_groups_of_copies_keep_evidence(spark):
     # unrelated documents are not alike by the second band
     others = sorted(r["near_next"] for i, r in got.items() if i < 100_000)
     assert others[len(others) // 2] < 0.2
+
+
+def test_shuffled_texts_are_gone_when_fingerprints_meet(spark):
+    """The texts' shuffle files are removed before the fingerprints are joined."""
+    import random
+    import time
+
+    from shardloom.llm.common import release
+
+    rnd = random.Random(9)
+    texts = ["".join(rnd.choice("abcdefghij     ") for _ in range(10_000)) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").checkpoint()
+    files = spark._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffled():
+        found, total = files.getAllFiles().iterator(), 0
+        while found.hasNext():
+            f = found.next()
+            total += f.length() if f.getName().startswith("shuffle_") else 0
+        return total
+
+    release(spark)
+    time.sleep(3)
+    before = shuffled()
+    out = imatch.fingerprint_edits(docs, wide=imatch.WIDE)
+    for _ in range(20):
+        if shuffled() - before < 500_000:
+            break
+        time.sleep(1)
+    assert shuffled() - before < 500_000
+    assert out.count() == 300
