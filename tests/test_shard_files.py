@@ -70,3 +70,17 @@ def test_an_export_is_replaced_and_a_failed_task_leaves_no_file(spark, tmp_path)
     for _ in range(2):  # another attempt, and one more beside it
         list(write(batches(False)))
     assert [r["x"] for r in spark.read.parquet(str(tmp_path)).orderBy("x").collect()] == [1, 2, 3]
+
+
+@pytest.mark.parametrize("glob", ["*", "*.parquet", "a?.{txt,bin}", "[a-b]1.*"])
+def test_listing_is_that_of_sparks_reader(spark, tmp_path, monkeypatch, glob):
+    for name in ("a1.txt", "a2.bin", "_hidden/a1.txt", ".x/a1.txt", "d/a1.parquet", "d/e f/g/a3.bin", "d/_SUCCESS", "d/.a1.crc",
+                 "_k=1/b1.txt", "d/b1.parquet._COPYING_", "p=1/q=2/a1.parquet", "a+1.txt", "d/a%20.txt"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"x" * len(name))
+    (tmp_path / "empty").mkdir()
+    ours = R.list_artifacts(spark, str(tmp_path), glob)
+    assert "binaryfile" not in ours._jdf.queryExecution().toString().lower()
+    monkeypatch.setattr(fs, "mounted", lambda *a: None)
+    theirs = R.list_artifacts(spark, str(tmp_path), glob)
+    assert ours.schema.simpleString() == theirs.schema.simpleString() and _all(ours) == _all(theirs) and ours.count() > 0
