@@ -51,6 +51,32 @@ def test_a_shard_costs_one_file_and_no_checksum_file(spark):
     assert len(shards) > 20 and all(os.listdir(s) == ["part-00000.zstd.parquet"] for s in shards)
 
 
+def test_verify_reads_the_files_once(spark, monkeypatch):
+    p = scratch_path(spark, "test-once")
+    src = _rows(spark)
+    S.export_shards(src, p, COLS, "idx", parts=2, size_limit=100)
+    opened = []
+    monkeypatch.setattr(S, "_open", lambda *a, f=S._open: opened.append(a) or f(*a))
+    assert all(r["rows_ok"] and r["hash_ok"] for r in S.verify_export(spark, p, COLS, src).collect())
+    assert len(opened) == 1
+
+
+def test_verify_finds_lost_changed_and_added_shards(spark):
+    p = scratch_path(spark, "test-harm")
+    src = _rows(spark)
+    man = S.export_shards(src, p, COLS, "idx", parts=2, size_limit=100)
+    n = man.filter("part = 0").count()
+    fs.delete(spark, f"{p}/part=0/shard=1")
+    spark.read.parquet(f"{p}/part=1/shard=0").withColumn("label", F.lit(8)).write.parquet(f"{p}/part=1/_new")
+    fs.delete(spark, f"{p}/part=1/shard=0")
+    spark.read.parquet(f"{p}/part=1/_new").write.parquet(f"{p}/part=1/shard=0")
+    spark.read.parquet(f"{p}/part=0/shard=0").write.parquet(f"{p}/part=0/shard={n}")
+    got = S.verify_export(spark, p, COLS, src).collect()
+    bad = {(r["part"], r["shard"]): (r["rows_ok"], r["hash_ok"]) for r in got if not (r["rows_ok"] and r["hash_ok"])}
+    assert bad[0, 1] == (False, False) and bad[0, n] == (False, False) and bad[1, 0] == (True, False) and not bad[-1, -1][1]
+    assert len(bad) == 4
+
+
 def test_an_export_is_replaced_and_a_failed_task_leaves_no_file(spark, tmp_path):
     p = scratch_path(spark, "test-again")
     S.export_shards(_rows(spark), p, COLS, "idx", parts=2, size_limit=30)
