@@ -11,6 +11,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import os
+import time
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -39,8 +40,18 @@ def workers_find_package(spark: SparkSession) -> None:
 
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of frames that are no longer used: it acts when the
-    driver's garbage is collected, which by itself may come long after the disk is needed again."""
+    driver's garbage is collected, which by itself may come long after the disk is needed again.
+
+    The JVM learns of frames that Python has dropped from a thread that looks once a second; collected before that, it
+    would find them in use and keep their files until it is asked again.  The last job's frames are in use until
+    another job has run, so a job of one row goes first."""
     gc.collect()
+    spark.range(1).collect()
+    dropped = getattr(spark.sparkContext._gateway._gateway_client, "finalizer_deque", None)
+    until = time.monotonic() + 10
+    while dropped and time.monotonic() < until:
+        time.sleep(0.05)
+    time.sleep(0.05)  # the last one may be on its way
     spark.sparkContext._jvm.System.gc()
 
 

@@ -33,6 +33,7 @@ Only the id and the text are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -52,6 +53,8 @@ _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x1
 _SEEN = 200_000
 #: rows of a tile that one block holds
 BLOCK = 2048
+#: bytes that a shuffle of tiles may take in one pass, at least: more tiles than that are worked on in several passes
+PASS_BYTES = 64 << 20
 #: pairs of rows, and words of their bitmaps, that are compared at once
 PAIRS, WORDS = 1 << 17, 1 << 19
 
@@ -361,9 +364,20 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     base.mapInArrow(_sketch(n, num, den), kind).write.parquet(f"{folder}/sketch")
     sketch = spark.read.schema(kind).parquet(f"{folder}/sketch")
 
+    def passes(rows: int, width: float, room: int) -> int:
+        """In how many passes tiles are shuffled, so that rows of so many bytes take no more than ``room``."""
+        return max(1, math.ceil(rows * width / max(room, PASS_BYTES)))
+
+    def nth(of: int, k: int):
+        return F.pmod(F.xxhash64("tile"), F.lit(of)) == k
+
     # tiles: sorted by (tile, node), each tile's first node is the centre of its star
-    (sketch.select(F.explode("tiles").alias("tile"), "node").repartition("tile").sortWithinPartitions("tile", "node")
-     .mapInArrow(_stars, "tile long, centre long, node long").write.parquet(f"{folder}/stars"))
+    of = passes(sketch.agg(F.sum(F.size("tiles"))).first()[0] or 0, 20, fs.stored(spark, f"{folder}/sketch") // 3)
+    for k in range(of):
+        (sketch.select(F.explode("tiles").alias("tile"), "node").filter(nth(of, k)).repartition("tile").sortWithinPartitions("tile", "node")
+         .mapInArrow(_stars, "tile long, centre long, node long").write.mode("append").parquet(f"{folder}/stars"))
+        if k + 1 < of:
+            release(spark)
     stars = spark.read.schema("tile long, centre long, node long").parquet(f"{folder}/stars")
     # the tiles of all sets, by far the largest part, have done their work
     kind = kind.replace(", tiles array<long>", "")
@@ -431,19 +445,28 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
                                             F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
                  .filter("lo <> hi").groupBy("m", "x", "y").agg(F.min("tile").alias("tile"))
                  .select("tile", F.ceil(F.col("m") / BLOCK).alias("g")))
-        blocks = member.join(split, "tile").select(
-            "tile", "node", "label", "g", F.pmod(F.xxhash64("node"), F.col("g")).alias("c"),
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("o"))
+        member.join(split, "tile").write.parquet(f"{folder}/{name}-members")
+        del member, split
+        release(spark)
+        members = spark.read.schema("tile long, node long, label long, g long").parquet(f"{folder}/{name}-members")
         # a node meets others in many tiles: there it shows a bitmap folded to a bit an element or so at first, and
         # the pairs that this leaves possible meet their whole bitmaps afterwards; few nodes are left to the second
         # round, where such a bitmap would leave possible nearly all pairs of a family of texts, so they show the whole
-        (blocks.join(met.select("node", "size", F.col("coarse" if most_likely else "bits").alias("bits")), "node")
-         .select("tile", (F.least("c", "o") * F.col("g") + F.greatest("c", "o")).alias("blocks"),
-                 F.when(F.col("c") > F.col("o"), 1).otherwise(0).alias("side"), "node", "size", "label", "bits")
-         .repartition("tile", "blocks").sortWithinPartitions("tile", "blocks", "side", "node")
-         .mapInArrow(_across(num, den, most_likely), "u long, v long, more long").write.parquet(f"{folder}/{name}-found"))
-        del member, split, blocks
-        release(spark)
+        shown = met.select("node", "size", F.col("coarse" if most_likely else "bits").alias("bits"))
+        # a member of a large tile goes to as many block pairs as the tile has blocks, so these rows are the most by far
+        width = 60 + 8 * (shown.agg(F.avg(F.size("bits"))).first()[0] or 0)
+        of = passes(members.agg(F.sum("g")).first()[0] or 0, width, fs.stored(spark, f"{folder}/nodes-of-rows"))
+        for k in range(of):
+            blocks = members.filter(nth(of, k)).select(
+                "tile", "node", "label", "g", F.pmod(F.xxhash64("node"), F.col("g")).alias("c"),
+                F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("o"))
+            (blocks.join(shown, "node")
+             .select("tile", (F.least("c", "o") * F.col("g") + F.greatest("c", "o")).alias("blocks"),
+                     F.when(F.col("c") > F.col("o"), 1).otherwise(0).alias("side"), "node", "size", "label", "bits")
+             .repartition("tile", "blocks").sortWithinPartitions("tile", "blocks", "side", "node")
+             .mapInArrow(_across(num, den, most_likely), "u long, v long, more long").write.mode("append").parquet(f"{folder}/{name}-found"))
+            del blocks
+            release(spark)
         across = spark.read.schema("u long, v long, more long").parquet(f"{folder}/{name}-found")
         found = across.filter("more is null").select("u", "v").distinct()
         links = links.union(verified(possible(found) if most_likely else found, name))
