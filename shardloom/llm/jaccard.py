@@ -24,6 +24,9 @@ other.  Work is tiled so that no link is lost and no all-pairs join is made:
    pairs close to the ratio leave a tile, however many of its texts are somewhat alike.  Every pair that
    shares a tile is thereby joined by verified links or tested itself.
 
+Tiles (1) and blocks (3) are shuffled in as many passes as their bytes need; what a pass has shuffled is released
+before the next, and each tile is in one pass.
+
 Defined results: null or empty texts and texts without words have an empty set, are linked with
 nothing and are their own group; texts of fewer words than n have one shingle, the whole sequence;
 ties and repeated rows share a set; a null id is kept, and a group's id is its least non-null id; an
